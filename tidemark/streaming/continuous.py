@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contract import Contract
@@ -14,7 +15,7 @@ from tidemark.operators.quality import accepted, classify, dedupe_latest
 from tidemark.sources.storage import VersionedTable
 
 
-def read_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """New files under ``path`` as they arrive."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
