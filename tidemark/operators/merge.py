@@ -15,6 +15,7 @@ from tidemark.functions.text import timestamp_literal
 ACTION = "merge_action"
 UNCHANGED, UPDATED, INSERTED, SOFT_DELETED = "unchanged", "updated", "inserted", "deleted"
 _SRC = "_src_"
+_INSERT, _UPDATE, _DELETE = "_insert", "_update", "_delete"
 
 
 def row_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -222,25 +223,25 @@ def _resolve(
     differs = row_differs([src[c] for c in compare], [F.col(c) for c in compare]) if compare else F.lit(False)
     if rules.undelete:
         differs = differs | (F.col(DELETED) == 1)
-    action = (
-        F.when(~old, F.lit(INSERTED))
-        .when(new & differs, F.lit(UPDATED))
-        .when(~new & _marks_deleted(rules), F.lit(SOFT_DELETED))
-        .otherwise(F.lit(UNCHANGED))
-    )
-    decided = paired.withColumn(ACTION, action)
-    act = F.col(ACTION)
-    takes = act.isin(INSERTED, UPDATED)
+    # Decided once per row; the columns below only test these flags.
+    decided = paired.withColumns({
+        _INSERT: ~old,
+        _UPDATE: old & new & differs,
+        _DELETE: ~new & _marks_deleted(rules),
+    })
+    insert, update, delete = F.col(_INSERT), F.col(_UPDATE), F.col(_DELETE)
+    takes = insert | update
     out = [F.when(takes, src[c]).otherwise(F.col(c)).alias(c) for c in columns if c not in AUDIT_COLUMNS]
-    flag = F.when(act == INSERTED, F.lit(0)).when(act == SOFT_DELETED, F.lit(1))
-    if rules.undelete:
-        flag = flag.when(act == UPDATED, F.lit(0))
+    cleared = takes if rules.undelete else insert
     out += [
-        F.when(act == INSERTED, src[CREATED]).otherwise(F.col(CREATED)).alias(CREATED),
+        F.when(insert, src[CREATED]).otherwise(F.col(CREATED)).alias(CREATED),
         F.when(takes, src[MODIFIED])
-        .when(act == SOFT_DELETED, timestamp_literal(merge_ts))
+        .when(delete, timestamp_literal(merge_ts))
         .otherwise(F.col(MODIFIED)).alias(MODIFIED),
-        flag.otherwise(F.col(DELETED)).alias(DELETED),
-        act,
+        F.when(cleared, F.lit(0)).when(delete, F.lit(1)).otherwise(F.col(DELETED)).alias(DELETED),
+        F.when(insert, F.lit(INSERTED))
+        .when(update, F.lit(UPDATED))
+        .when(delete, F.lit(SOFT_DELETED))
+        .otherwise(F.lit(UNCHANGED)).alias(ACTION),
     ]
     return decided.select(*out)

@@ -8,19 +8,18 @@ from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import CREATED, DELETED, MODIFIED, Contract
 from tidemark.operators import merge as m
-from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, classify, dedupe_latest
+from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, accepted, classify, dedupe_latest, rejected
 from tidemark.plans.marks import MarkStore, highest
 from tidemark.sources.extract import Delta, extract, run_hook
 from tidemark.sources.storage import VersionedTable, append_run, read_appended
 
 FULL, INCREMENT, APPEND = "Full", "Increment", "Append"
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
-_REJECTED = "_rejected"
 
 Hook = Callable[[SparkSession], object] | str | None
 
@@ -131,32 +130,40 @@ class Stage:
         return self.table(spec).read()
 
     def diff(self, spec: LoadSpec) -> DataFrame:
-        return self._landed(spec).where(F.col(_REJECTED) == 0).select(*spec.contract.names, CREATED, MODIFIED, DELETED)
+        """The accepted rows of the last run of an Increment or Append."""
+        return self._landed(spec).where(F.col(REASON).isNull()).select(*spec.contract.target_schema().names)
 
     def rejects(self, spec: LoadSpec) -> DataFrame:
-        return self._landed(spec).where(F.col(_REJECTED) == 1).select(REASON, RAW_ROW)
+        """The rows the last run set aside."""
+        if spec.pattern == FULL:
+            return self.spark.read.schema(f"{REASON} string, {RAW_ROW} string").parquet(self._reject_path(spec))
+        return self._landed(spec).where(F.col(REASON).isNotNull()).select(REASON, RAW_ROW)
 
     def run(self, spec: LoadSpec, session_start: str, merge_ts: str | None = None) -> LoadStats:
         """Extract, land, merge, then move the mark. Errors reach the caller.
 
-        The diff is landed before anything else uses it, so the source is read
-        once and counts, mark and merge all see the same rows. A crash before the
-        mark is committed replays the same rows into the same target.
+        A diff is landed before anything else uses it, so the source is read once
+        and counts, mark and merge all see the same rows. A crash before the mark is
+        committed replays the same rows into the same target.
         """
         stats = LoadStats(spec.name, start_time=_now())
         mark = self.marks.read(spec.name, spec.delta) if spec.keeps_mark else None
-        self._land(spec, mark, session_start)
-        self._count(spec, mark, stats)
+        run_hook(self.spark, spec.pre_source)
+        rows = self._incoming(spec, mark, session_start)
+        if spec.pattern == FULL:
+            self._replace(spec, rows, stats)
+        else:
+            rows.write.mode("overwrite").parquet(self._diff_path(spec))
+        run_hook(self.spark, spec.post_source)
 
+        if spec.pattern != FULL:
+            self._count(spec, mark, stats)
         if spec.pattern == APPEND:
             # The mark a run starts from names it: a replay starts from the same one.
             rows = self.diff(spec).select(*spec.contract.names)
             append_run(rows, f"{self.root}/{spec.name}", _folder_name(mark))
             stats.inserted_rows = stats.tgt_success_rows
-        elif spec.pattern == FULL:
-            self.table(spec).write(self.diff(spec))
-            stats.inserted_rows = stats.tgt_success_rows
-        else:
+        elif spec.pattern == INCREMENT:
             self._merge(spec, merge_ts or session_start, stats)
         run_hook(self.spark, spec.post_load)
 
@@ -184,41 +191,51 @@ class Stage:
             done = list(pool.map(inheritable_thread_target(self.spark)(one), specs))
         return stats_frame(self.spark, done)
 
-    def _land(self, spec: LoadSpec, mark: str | None, session_start: str) -> None:
-        """Truncate and fill the diff: accepted and rejected rows in one pass over the source."""
-        run_hook(self.spark, spec.pre_source)
+    def _incoming(self, spec: LoadSpec, mark: str | None, session_start: str) -> DataFrame:
+        """This run's rows, converted, stamped and classified."""
         delta = spec.delta if spec.keeps_mark else None
         where = spec.where if spec.pattern != FULL else None
         rows = extract(spec.read(self.spark), spec.contract, delta=delta, mark=mark, where=where)
-        rows = m.audit_stamp(classify(rows, spec.contract), session_start)
-        rows = rows.withColumn(_REJECTED, F.col(REASON).isNotNull().cast("int"))
-        rows.write.mode("overwrite").partitionBy(_REJECTED).parquet(self._diff_path(spec))
-        run_hook(self.spark, spec.post_source)
+        return m.audit_stamp(classify(rows, spec.contract), session_start)
+
+    def _replace(self, spec: LoadSpec, rows: DataFrame, stats: LoadStats) -> None:
+        """Write the whole extract as the new target, counting in the same pass.
+
+        A full extract can be the size of the target, so it is not landed first.
+        Only when rows were set aside is the source read again, for those rows.
+        """
+        seen = Observation(f"load of {spec.name}")
+        self.table(spec).write(accepted(rows.observe(seen, *_row_counts())))
+        self._note(seen.get, stats)
+        stats.inserted_rows = stats.tgt_success_rows
+        bad = rejected(rows) if stats.tgt_failed_rows else rejected(rows.limit(0))
+        bad.write.mode("overwrite").parquet(self._reject_path(spec))
 
     def _landed(self, spec: LoadSpec) -> DataFrame:
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in spec.contract.target_schema()]
-        schema = ", ".join([*fields, f"{REASON} string", f"{RAW_ROW} string", f"{_REJECTED} int"])
+        schema = ", ".join([*fields, f"{REASON} string", f"{RAW_ROW} string"])
         return self.spark.read.schema(schema).parquet(self._diff_path(spec))
 
     def _diff_path(self, spec: LoadSpec) -> str:
         return f"{self.root}/{spec.name}_diff"
 
+    def _reject_path(self, spec: LoadSpec) -> str:
+        return f"{self.root}/{spec.name}_bad"
+
+    def _note(self, counts: dict, stats: LoadStats) -> None:
+        stats.src_success_rows = counts["read"]
+        stats.tgt_failed_rows = counts["bad"]
+        stats.tgt_success_rows = counts["read"] - counts["bad"]
+        stats.total_trans_errors = counts["unreadable"]
+        stats.first_error = counts["first_error"]
+
     def _count(self, spec: LoadSpec, mark: str | None, stats: LoadStats) -> None:
-        landed = self._landed(spec)
-        counts = [
-            F.count(F.lit(1)).alias("all"),
-            F.count(REASON).alias("bad"),
-            F.count_if(F.col(REASON).endswith(CONVERSION)).alias("unreadable"),
-            F.min(REASON).alias("first_error"),
-        ]
+        """Counts and the new mark, from the landed rows: two columns of a file scan."""
+        counts = _row_counts()
         if spec.keeps_mark:
             counts.append(spec.target_delta.as_text(F.max(spec.target_delta.value)).alias("top"))
-        row = landed.agg(*counts).first()
-        stats.src_success_rows = row["all"]
-        stats.tgt_failed_rows = row["bad"]
-        stats.tgt_success_rows = row["all"] - row["bad"]
-        stats.total_trans_errors = row["unreadable"]
-        stats.first_error = row["first_error"]
+        row = self._landed(spec).agg(*counts).first().asDict()
+        self._note(row, stats)
         if spec.keeps_mark:
             stats.mark = row["top"] if row["top"] is not None else mark
 
@@ -258,6 +275,15 @@ class Stage:
         return fixed + self.diff(spec).agg(sum(lengths[1:], lengths[0]).alias("bytes")).first()["bytes"]
 
 
+def _row_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("read"),
+        F.count(REASON).alias("bad"),
+        F.count_if(F.col(REASON).endswith(CONVERSION)).alias("unreadable"),
+        F.min(REASON).alias("first_error"),
+    ]
+
+
 def stats_frame(spark: SparkSession, stats: Sequence[LoadStats]) -> DataFrame:
     """One row per load."""
     return spark.createDataFrame([tuple(asdict(s).values()) for s in stats], STATS_SCHEMA)

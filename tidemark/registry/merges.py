@@ -20,7 +20,7 @@ from tidemark.operators.merge import (
 )
 from tidemark.operators.numbering import min_pending, ordered_concat, row_numbers, surrogate_keys
 from tidemark.operators.quality import dedupe_latest, duplicate_keys
-from tidemark.plans.load import APPEND, FULL, LoadSpec, Stage
+from tidemark.plans.load import APPEND, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import highest
 from tidemark.registry.common import (
     CONVERSATION_COLUMNS,
@@ -322,12 +322,10 @@ def stamped_sql(columns, source, at):
 def diff_load(spark, sf_dir):
     """Truncate and fill the diff, twice: the second run leaves only its own rows."""
     stage = Stage(spark, new_workdir(spark, "diff-load"))
-    whole = LoadSpec("events", EVENTS, lambda s: table(s, sf_dir, "events"), pattern=FULL)
-    recent = LoadSpec("events", EVENTS, lambda s: table(s, sf_dir, "events"), pattern="Increment",
-                      delta=Delta("ts", "datetime"), where=f"ts > timestamp_ntz'{EVENT_MARK}'")
-    stage.run(whole, RUN1)
-    stage.run(recent, RUN2)
-    return stage.diff(recent)
+    for condition, at in (("event_type = 'error'", RUN1), (f"ts > timestamp_ntz'{EVENT_MARK}'", RUN2)):
+        spec = LoadSpec("events", EVENTS, lambda s: table(s, sf_dir, "events"), INCREMENT, where=condition)
+        stage.run(spec, at)
+    return stage.diff(spec)
 
 
 @query(f"SELECT {', '.join(EVENTS.names)} FROM events")
@@ -397,9 +395,9 @@ def post_load_hook(spark, sf_dir):
     target.write(staged_orders(spark, sf_dir))
 
     def merge_diff(_):
-        target.write(merge(target.read(), stage.diff(spec), KEY, merge_ts=MERGE_TS, keys_not_null=True))
+        target.write(merge(target.read(), stage.target(spec), KEY, merge_ts=MERGE_TS, keys_not_null=True))
 
-    spec = LoadSpec("orders", ORDERS, lambda s: source_orders(s, sf_dir), post_load=merge_diff)
+    spec = LoadSpec("orders_diff", ORDERS, lambda s: source_orders(s, sf_dir), post_load=merge_diff)
     stage.run(spec, RUN2)
     return target.read()
 
