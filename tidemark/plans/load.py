@@ -33,7 +33,8 @@ class LoadSpec:
     soft-deletes them only when the diff is a snapshot of the source; a delta says
     nothing about the rows it does not hold. ``soft_delete`` is the literal rule.
     unique_source: the source is known to be unique on its keys (no dedupe).
-    slice_by: see VersionedTable; pays off for delta loads.
+    slice_by, buckets: see VersionedTable; slices pay off for delta loads, buckets
+    (a number) for snapshots of a table too large to shuffle on every run.
     """
 
     name: str
@@ -47,6 +48,7 @@ class LoadSpec:
     only_active: bool = False
     unique_source: bool = False
     slice_by: str | None = None
+    buckets: int | None = None
     pre_source: Hook = None
     post_source: Hook = None
     post_load: Hook = None
@@ -122,7 +124,8 @@ class Stage:
         self.marks = MarkStore(self.spark, f"{self.root}/marks")
 
     def table(self, spec: LoadSpec) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{spec.name}", spec.contract.target_schema(), spec.slice_by)
+        bucket_by = (spec.contract.keys, spec.buckets) if spec.buckets else None
+        return VersionedTable(self.spark, f"{self.root}/{spec.name}", spec.contract.target_schema(), spec.slice_by, bucket_by)
 
     def target(self, spec: LoadSpec) -> DataFrame:
         if spec.pattern == APPEND:

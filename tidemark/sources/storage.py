@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +50,24 @@ class VersionedTable:
     slices it rewrote, whole, and the current table is the newest copy of every
     slice: a delta merge reads and writes the slices its keys fall into and leaves
     the rest of the table alone.
+
+    ``bucket_by`` (key columns and a number of buckets) is for tables merged with
+    whole snapshots: the files keep the layout a join on the keys needs, so each
+    merge shuffles the snapshot only and never the table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, slice_by: str | None = None):
-        self.spark, self.path, self.schema, self.slice_by = spark, path.rstrip("/"), _all_nullable(schema), slice_by
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        slice_by: str | None = None,
+        bucket_by: tuple[Sequence[str], int] | None = None,
+    ):
+        if slice_by and bucket_by:
+            raise ValueError("a table is either sliced or bucketed")
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), _all_nullable(schema)
+        self.slice_by, self.bucket_by = slice_by, bucket_by
         self.files = SharedFiles(spark, self.path)
 
     def versions(self) -> list[int]:
@@ -64,6 +79,8 @@ class VersionedTable:
         versions = self.versions()
         if not versions:
             return self._empty()
+        if self.bucket_by:
+            return self._read_bucketed(versions[-1])
         if self.slice_by is None:
             return self.spark.read.schema(self.schema).parquet(self._folder(versions[-1]))
         newest = self._newest(versions)
@@ -83,7 +100,9 @@ class VersionedTable:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it."""
         version = max(self._seen(), default=0) + 1
         df = df.select(*self.schema.names)
-        if self.slice_by is None:
+        if self.bucket_by:
+            self._write_bucketed(df, version)
+        elif self.slice_by is None:
             df.write.mode("overwrite").parquet(self._folder(version))
         else:
             # Gathers each slice into few files, splitting the large ones over several tasks.
@@ -105,6 +124,28 @@ class VersionedTable:
             if f"v_{version:08d}" not in current:
                 self.files.remove(self._folder(version))
 
+    def _write_bucketed(self, df: DataFrame, version: int) -> None:
+        """Bucketed files come from the catalog's writer; its entry is not needed afterwards."""
+        keys, count = self.bucket_by
+        name = self._catalog_name(version)
+        writer = df.write.mode("overwrite").format("parquet").option("path", self._folder(version))
+        writer.bucketBy(count, *keys).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
+
+    def _read_bucketed(self, version: int) -> DataFrame:
+        """The catalog entry tells Spark that the files are bucketed."""
+        keys, count = self.bucket_by
+        name = self._catalog_name(version)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {count} BUCKETS "
+            f"LOCATION '{self._folder(version)}'")
+        return self.spark.table(name)
+
+    def _catalog_name(self, version: int) -> str:
+        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{version}"
+
     def _newest(self, versions: Sequence[int]) -> dict[str, str]:
         """Slice value -> folder of its newest copy."""
         newest = {}
