@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.numbering import ordered_concat, row_numbers, surrogate_keys
+from tidemark.operators.numbering import ordered_concat, row_numbers, sort_rows, surrogate_keys
 from tidemark.operators.quality import dedupe_latest, duplicate_keys
 
 
@@ -30,7 +30,7 @@ def test_copies_spread_over_partitions(spark, skewed):
     """The hot value must not sit in one range partition."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        ordered = skewed.withColumn("_tie", F.monotonically_increasing_id()).orderBy("v", "k", "_tie")
+        ordered = sort_rows(skewed, [F.col("v"), F.col("k")])
         sizes = Counter(r["p"] for r in ordered.select(F.spark_partition_id().alias("p")).collect())
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.functions import rowversion
-from tidemark.operators.merge import MergeRules, except_rows, merge
+from tidemark.operators.joins import inner_distinct, semi_exists
+from tidemark.operators.merge import MergeRules, audit_stamp, except_rows, merge, new_rows, vanished_rows
 from tidemark.operators.quality import dedupe_latest
 from tidemark.registry.common import MERGE_TS, staged_orders, stamped_orders, table
 from tidemark.sources.extract import Delta, extract
@@ -59,7 +60,8 @@ def test_small_delta_does_not_shuffle_the_target(spark):
     text = plan(df)
     assert "SortMergeJoin" not in text
     # The only shuffle moves the keys that target and delta share.
-    assert count(df, "Exchange hashpartitioning") == 1
+    assert re.findall(r"Exchange hashpartitioning\((\w+)", text) == ["o_orderkey"]
+    assert "_hash" in text
 
 
 def test_large_delta_is_not_broadcast(spark):
@@ -78,6 +80,62 @@ def test_dedupe_limits_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
 
 
+@pytest.fixture
+def eager_skew(spark):
+    """Thresholds low enough for the skew of a small table to count as skew."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df._jdf.collectAsList()  # runs this very plan, so that its final form is known
+    return plan(df)
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of the rows share key 7; the other table repeats every key and 7 a thousand times."""
+    left = spark.range(0, 60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    keys = F.when(F.col("id") < 1000, 7).otherwise(F.floor(F.col("id") / 2)).alias("k")
+    return left, spark.range(0, 60000, numPartitions=8).select(keys)
+
+
+@pytest.mark.parametrize("join, rows", [
+    (lambda left, right: semi_exists(left, right, {"k": "k"}), 39668),
+    (lambda left, right: inner_distinct(left, right, ["k"]), 39668),
+    (lambda left, right: new_rows(left, right, ["k"]), 20332),
+    (lambda left, right: vanished_rows(left, right, ["k"]), 20332),
+], ids=["semi", "inner", "new", "vanished"])
+def test_hot_keys_are_split(spark, eager_skew, hot, join, rows):
+    left, right = hot
+    known = {r.k for r in right.distinct().collect()}
+    want = sum(r["count"] for r in left.groupBy("k").count().collect() if (r.k in known) == (rows > 30000))
+    df = join(left, right)
+    assert "skew=true" in final_plan(df)
+    assert df.count() == want
+
+
+def test_hot_target_key_is_split_in_a_merge(spark, eager_skew, hot):
+    left, right = hot
+    target = audit_stamp(left, "2024-01-01")
+    source = audit_stamp(dedupe_latest(right.withColumn("v", F.lit("x")), ["k"], []), "2024-01-02")
+    df = merge(target, source, ["k"], merge_ts="2024-01-03", unique_target=False, keys_not_null=True)
+    assert "skew=true" in final_plan(df)
+    assert df.where("k = 7 AND v = 'x'").count() == 20001
+
+
 def test_except_shuffles_once(spark):
     orders = table(spark, SF, "orders")
     df = except_rows(orders, orders.where("o_orderkey > 5"), orders.columns)

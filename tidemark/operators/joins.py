@@ -8,6 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of a table, to be joined with a side that may hold hot keys.
+
+    Repeated keys collapse before they move, one row per key and task. Grouping by
+    a hash as well leaves the result partitioned differently from what the join
+    wants, so the join shuffles these few rows once more by itself: Spark splits a
+    skewed partition only when both inputs of the join come straight from a shuffle.
+    """
+    return df.select(*keys, F.xxhash64(*keys).alias("_hash")).distinct().drop("_hash")
+
+
 def left_chain(first: DataFrame, *steps: tuple[DataFrame, Column]) -> DataFrame:
     """first LEFT JOIN a ON .. LEFT JOIN b ON ..; the optimizer broadcasts the steps it measures as small."""
     for table, on in steps:
@@ -16,18 +27,14 @@ def left_chain(first: DataFrame, *steps: tuple[DataFrame, Column]) -> DataFrame:
 
 
 def inner_distinct(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join against the distinct keys of another table, which collapse before the shuffle."""
-    return left.join(right.select(*keys).distinct(), list(keys))
+    """Inner join against the distinct keys of another table."""
+    return left.join(distinct_keys(right, keys), list(keys))
 
 
 def semi_exists(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Rows of ``left`` for which a matching row exists; ``on`` maps left columns to right columns.
-
-    Distinct right keys first: a key repeated many times on the right is sent once
-    per task, and its partition cannot become a hot one.
-    """
-    known = right.select(*[F.col(r).alias(l) for l, r in on.items()]).distinct()
-    return left.join(known, list(on), "left_semi")
+    """Rows of ``left`` for which a matching row exists; ``on`` maps left columns to right columns."""
+    renamed = right.select(*[F.col(r).alias(l) for l, r in on.items()])
+    return left.join(distinct_keys(renamed, list(on)), list(on), "left_semi")
 
 
 def update_from(

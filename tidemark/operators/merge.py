@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import AUDIT_COLUMNS, CREATED, DELETED, MODIFIED, is_audit
 from tidemark.functions.text import timestamp_literal
+from tidemark.operators.joins import distinct_keys
 
 ACTION = "merge_action"
 UNCHANGED, UPDATED, INSERTED, SOFT_DELETED = "unchanged", "updated", "inserted", "deleted"
@@ -92,7 +93,9 @@ def merge(
     small = source_bytes is not None and source_bytes <= broadcast_limit(source.sparkSession)
 
     if small or not unique_target:
-        side = F.broadcast(renamed) if small else renamed
+        # The hint gives the source a shuffle of its own, without which Spark would not
+        # split a hot key of the target if the source was partitioned on the keys before.
+        side = F.broadcast(renamed) if small else renamed.hint("rebalance")
         known = target.join(side, on, "left")
         result = _resolve(known, target.columns, keys, compare, merge_ts, rules)
         result = result.unionByName(_label(new_rows(source, target, keys, small), INSERTED))
@@ -108,18 +111,17 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], small_so
     """Source rows whose key the target lacks.
 
     With a small source the target is first cut to the keys they share, a scan of
-    its key columns without a shuffle. Either way its keys are made distinct
-    before they move, so a repeated key costs one row per task.
+    its key columns without a shuffle.
     """
     known = target.select(*keys)
     if small_source:
         known = known.join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
-    return source.join(known.distinct(), list(keys), "left_anti").select(*source.columns)
+    return source.join(distinct_keys(known, keys), list(keys), "left_anti").select(*source.columns)
 
 
 def vanished_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source lacks."""
-    return target.join(source.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+    return target.join(distinct_keys(source, keys), list(keys), "left_anti").select(*target.columns)
 
 
 def except_rows(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:

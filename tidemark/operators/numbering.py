@@ -13,19 +13,25 @@ _PID, _POS, _TIE = "_pid", "_pos", "_tie"
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
+def sort_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """A global sort whose equal rows may spread over several range partitions.
+
+    The number of the input partition breaks ties: a value that fills a third of
+    the table is split by where its rows came from. Unlike an arrival position it
+    is the same when a lost task is run again, whatever order its rows come in.
+    """
+    return df.withColumn(_TIE, F.spark_partition_id()).orderBy(*order, _TIE).drop(_TIE)
+
+
 def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY ..) without putting the table into one task.
 
     Range partitions are sorted in parallel and written once, each row with its
     partition and its position there. A row's number is its position plus the
-    rows of all earlier partitions, and that table has one row per partition. The
-    arrival position breaks ties in the sort, so even a value that fills a third
-    of the table spreads over several range partitions.
+    rows of all earlier partitions, and that table has one row per partition.
     """
     spark = df.sparkSession
-    ordered = df.withColumn(_TIE, F.monotonically_increasing_id()).orderBy(*order, _TIE).drop(_TIE)
-    ids = ordered.withColumn(_POS, F.monotonically_increasing_id())
-    placed = ids.select(
+    placed = sort_rows(df, order).withColumn(_POS, F.monotonically_increasing_id()).select(
         *df.columns,
         F.shiftright(_POS, _PARTITION_BITS).cast("int").alias(_PID),
         F.col(_POS).bitwiseAND(F.lit(2**_PARTITION_BITS - 1)).alias(_POS),

@@ -208,7 +208,7 @@ class Stage:
         Only when rows were set aside is the source read again, for those rows.
         """
         seen = Observation(f"load of {spec.name}")
-        self.table(spec).write(accepted(rows.observe(seen, *_row_counts())))
+        self.table(spec).write(rows, last=lambda df: accepted(df.observe(seen, *_row_counts())))
         self._note(seen.get, stats)
         stats.inserted_rows = stats.tgt_success_rows
         bad = rejected(rows) if stats.tgt_failed_rows else rejected(rows.limit(0))
@@ -256,10 +256,9 @@ class Stage:
             table.read(slices), diff, spec.contract.keys, merge_ts=merge_ts, rules=rules,
             keys_not_null=True,  # the contract rejects NULL keys before they land
             source_bytes=self._diff_bytes(spec, stats.tgt_success_rows), with_action=True)
-        # Counted in the writing stage itself: every output partition counts once.
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
-        table.write(merged.observe(seen, *hits.values()))
+        table.write(merged, last=lambda df: df.observe(seen, *hits.values()))
         stats.inserted_rows, stats.updated_rows, stats.deleted_rows = (seen.get[a] for a in hits)
 
     def _diff_bytes(self, spec: LoadSpec, rows: int) -> int | None:

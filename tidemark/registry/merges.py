@@ -18,7 +18,7 @@ from tidemark.operators.merge import (
     row_differs,
     vanished_rows,
 )
-from tidemark.operators.numbering import min_pending, ordered_concat, row_numbers, surrogate_keys
+from tidemark.operators.numbering import min_pending, ordered_concat, row_numbers, sort_rows, surrogate_keys
 from tidemark.operators.quality import dedupe_latest, duplicate_keys
 from tidemark.plans.load import APPEND, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import highest
@@ -238,10 +238,10 @@ def numbered_rows(spark, sf_dir):
     return row_numbers(rows, [F.col("o_orderdate"), F.col("o_orderkey")], name="rn").drop("o_orderdate")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber")
 def sorted_scan(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").orderBy(
-        "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    return sort_rows(rows, [F.col("l_shipdate"), F.col("l_orderkey"), F.col("l_linenumber")])
 
 
 @query("""SELECT o_orderkey, o_orderkey + 1 AS id FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'

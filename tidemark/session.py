@@ -21,13 +21,32 @@ SETTINGS = {
 }
 
 
-def get_spark(app: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` uses ``__`` for dots."""
+# One shuffle partition is planned per this many bytes of the largest table; those
+# that turn out small are merged at run time, those too large spill.
+BYTES_PER_PARTITION = 256 * 2**20
+MAX_PARTITIONS = 100_000
+
+
+def planned_partitions(largest_table_bytes: int) -> int:
+    """How many shuffle partitions to start from for tables of this size."""
+    return max(200, min(MAX_PARTITIONS, -(-largest_table_bytes // BYTES_PER_PARTITION)))
+
+
+def get_spark(
+    app: str = "tidemark", master: str | None = None, largest_table_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings above; ``extra`` uses ``__`` for dots.
+
+    Spark merges small shuffle partitions but never adds any, so the size of the
+    largest table should be given when it is known.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if largest_table_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(planned_partitions(largest_table_bytes)))
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.contract import Contract
 from tidemark.functions import rowversion
 from tidemark.functions.text import mark_text, timestamp_literal
+from tidemark.operators.numbering import sort_rows
 
 # Marks of a load that has never run.
 FIRST_NUMBER = "0"
@@ -102,9 +103,7 @@ def extract(
     if distinct:
         df = df.distinct()
     if sorted_columns:
-        # The rest of the row breaks ties, so that rows equal on the sorted
-        # columns still spread over several range partitions.
-        df = df.orderBy(*df.columns)
+        df = sort_rows(df, [F.col(c) for c in df.columns[:sorted_columns]])
     return df
 
 

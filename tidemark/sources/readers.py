@@ -18,18 +18,13 @@ def jdbc_options(
     fetch_rows: int = 10_000,
     query: str | None = None,
 ) -> dict[str, str]:
-    """Options of a relational read.
-
-    Without a partition column the whole table comes through one task, so large
-    tables should pass one with its bounds: the executors then read disjoint
-    ranges. Filters on the result are still sent to the database.
-    """
-    options = {"url": url, "fetchsize": str(fetch_rows), "preferTimestampNTZ": "true"}
-    if query:
-        # A query option excludes partitioning; as a derived table it does not.
-        options["dbtable"] = f"({query}) src"
-    else:
-        options["dbtable"] = table
+    """Options of a relational read; a query is read as a derived table, so that it can be partitioned too."""
+    options = {
+        "url": url,
+        "dbtable": f"({query}) src" if query else table,
+        "fetchsize": str(fetch_rows),
+        "preferTimestampNTZ": "true",
+    }
     if partition_column:
         if lower is None or upper is None or partitions < 1:
             raise ValueError("a partitioned read needs lower, upper and partitions")
@@ -42,8 +37,32 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None, **options) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).options(**(properties or {})).load()
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    *,
+    partition_column: str | None = None,
+    partitions: int = 1,
+    query: str | None = None,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """A relational table or query, read by ``partitions`` tasks over ranges of a column.
+
+    The range is asked from the database first. Without a partition column all rows
+    come through one task, which suits small tables only. Filters and column choices
+    on the result are sent to the database.
+    """
+    def load(**options) -> DataFrame:
+        return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).options(**(properties or {})).load()
+
+    if not partition_column or partitions <= 1:
+        return load(query=query)
+    source = f"({query}) src" if query else table
+    bounds = load(query=f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {source}").first()
+    if bounds["lo"] is None:
+        return load(query=query)
+    return load(query=query, partition_column=partition_column, lower=bounds["lo"], upper=bounds["hi"], partitions=partitions)
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

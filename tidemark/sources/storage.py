@@ -8,7 +8,7 @@ it was. Nothing overwrites files that a plan still reads.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,18 +96,23 @@ class VersionedTable:
         rows = df.select(self._slice()).distinct().collect()
         return sorted(r[0] for r in rows)
 
-    def write(self, df: DataFrame) -> int:
-        """Commit ``df`` as the next version: the whole table, or the whole of every slice in it."""
+    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+        """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
+
+        ``last`` is applied after any shuffle the layout needs, so what it observes
+        is observed by the writing tasks, each of which counts once even if
+        executors are lost.
+        """
         version = max(self._seen(), default=0) + 1
-        df = df.select(*self.schema.names)
+        names = self.schema.names
         if self.bucket_by:
-            self._write_bucketed(df, version)
+            self._write_bucketed(last(df).select(*names), version)
         elif self.slice_by is None:
-            df.write.mode("overwrite").parquet(self._folder(version))
+            last(df).select(*names).write.mode("overwrite").parquet(self._folder(version))
         else:
             # Gathers each slice into few files, splitting the large ones over several tasks.
-            sliced = df.withColumn(SLICE, self._slice()).hint("rebalance", F.col(SLICE))
-            sliced.write.mode("overwrite").partitionBy(SLICE).parquet(self._folder(version))
+            sliced = last(df.withColumn(SLICE, self._slice()).hint("rebalance", F.col(SLICE)))
+            sliced.select(*names, SLICE).write.mode("overwrite").partitionBy(SLICE).parquet(self._folder(version))
         return version
 
     def truncate(self) -> int:
