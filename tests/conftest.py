@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")

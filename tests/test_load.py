@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.contract import CREATED, DELETED, MODIFIED, Column, Contract
+from tidemark.operators.merge import merge
 from tidemark.plans.load import APPEND, FAILED, FULL, INCREMENT, SUCCEEDED, LoadSpec, Stage
 from tidemark.plans.marks import MarkStore
 from tidemark.sources.extract import Delta
@@ -225,6 +226,8 @@ def test_specs_that_cannot_run_are_refused():
         LoadSpec("x", PEOPLE, None, APPEND, Delta.constant())
     with pytest.raises(ValueError, match="key"):
         LoadSpec("x", Contract([Column("a", "int")]), None, INCREMENT, Delta("a"))
+    with pytest.raises(ValueError, match="layouts"):
+        LoadSpec("x", PEOPLE, None, FULL, buckets=4)
     with pytest.raises(ValueError, match="pattern"):
         LoadSpec("x", PEOPLE, None, "Sometimes")
 
@@ -251,7 +254,11 @@ def test_bucketed_table_is_not_shuffled_by_a_snapshot(spark, stage):
     stats = stage.run(spec(df.where("id >= 100"), **layout), AT[1])
     assert (stats.inserted_rows, stats.updated_rows, stats.deleted_rows) == (0, 0, 100)
     table = stage.table(spec(None, **layout))
-    assert len([n for n in table.files.names(f"{table.path}/v_00000002") if n.startswith("part-")]) == 4
+    for version in (1, 2):
+        assert len([n for n in table.files.names(f"{table.path}/v_{version:08d}") if n.startswith("part-")]) == 4
+    snapshot = df.selectExpr("*", f"changed {CREATED}", f"changed {MODIFIED}", f"0 {DELETED}")
+    plan = merge(table.read(), snapshot, ["id"], merge_ts=AT[2], keys_not_null=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
     assert table.read().agg(F.sum(DELETED)).first()[0] == 100
     table.expire(keep=1)
     assert table.versions() == [2]

@@ -60,6 +60,8 @@ class LoadSpec:
             raise ValueError(f"{self.name}: {self.pattern} needs a delta column or a condition")
         if self.pattern == APPEND and not self.keeps_mark:
             raise ValueError(f"{self.name}: Append needs a delta column to resume from")
+        if self.pattern != INCREMENT and (self.slice_by or self.buckets):
+            raise ValueError(f"{self.name}: slices and buckets are layouts of merged tables")
         if self.pattern == INCREMENT and not self.contract.keys:
             raise ValueError(f"{self.name}: Increment needs key columns")
 
@@ -255,7 +257,9 @@ class Stage:
         merged = m.merge(
             table.read(slices), diff, spec.contract.keys, merge_ts=merge_ts, rules=rules,
             keys_not_null=True,  # the contract rejects NULL keys before they land
-            source_bytes=self._diff_bytes(spec, stats.tgt_success_rows), with_action=True)
+            # A bucketed table is joined along its buckets, which keeps the layout.
+            source_bytes=None if spec.buckets else self._diff_bytes(spec, stats.tgt_success_rows),
+            with_action=True)
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
         table.write(merged, last=lambda df: df.observe(seen, *hits.values()))

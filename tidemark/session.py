@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -58,16 +59,19 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster a
     machine-local path would be invisible to the other nodes.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def new_workdir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared one; never reused, so no run reads another's files."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -53,7 +53,8 @@ class VersionedTable:
 
     ``bucket_by`` (key columns and a number of buckets) is for tables merged with
     whole snapshots: the files keep the layout a join on the keys needs, so each
-    merge shuffles the snapshot only and never the table.
+    merge shuffles the snapshot only and never the table. What is written after the
+    first version should come from such a join.
     """
 
     def __init__(
@@ -106,7 +107,7 @@ class VersionedTable:
         version = max(self._seen(), default=0) + 1
         names = self.schema.names
         if self.bucket_by:
-            self._write_bucketed(last(df).select(*names), version)
+            self._write_bucketed(last(self._in_buckets(df)).select(*names), version)
         elif self.slice_by is None:
             last(df).select(*names).write.mode("overwrite").parquet(self._folder(version))
         else:
@@ -129,6 +130,15 @@ class VersionedTable:
             if f"v_{version:08d}" not in current:
                 self.files.remove(self._folder(version))
 
+    def _in_buckets(self, df: DataFrame) -> DataFrame:
+        """One task per bucket, so that a version has one file per bucket.
+
+        A merge with the current version comes in that layout by itself, because
+        the join follows the table's buckets; the first version has to be arranged.
+        """
+        keys, count = self.bucket_by
+        return df if self.versions() else df.repartition(count, *keys)
+
     def _write_bucketed(self, df: DataFrame, version: int) -> None:
         """Bucketed files come from the catalog's writer; its entry is not needed afterwards."""
         keys, count = self.bucket_by
