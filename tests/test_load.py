@@ -153,6 +153,14 @@ def test_rejects_and_statistics(spark, stage):
     assert stage.marks.read("people", TIME) == "2024-01-02 00:00:00.000000"
 
 
+def test_reject_file(spark, stage, tmp_path):
+    load = spec(people(spark, (1, "a", DAY[0]), (2, "too long", DAY[1])), FULL, None)
+    stage.run(load, AT[0])
+    stage.write_reject_file(load, str(tmp_path / "people.bad"))
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "people.bad")).collect()]
+    assert len(lines) == 1 and lines[0].startswith('name: length\t{"id":2,"name":"too long"')
+
+
 def test_clean_full_load_has_no_rejects(spark, stage):
     full = spec(people(spark, (1, "a", DAY[0])), FULL, None)
     stage.run(full, AT[0])
@@ -210,6 +218,11 @@ def test_one_failure_leaves_the_others(spark, stage):
     assert stage.table(bad).versions() == []
 
 
+def test_names_must_differ(spark, stage):
+    with pytest.raises(ValueError, match="same name"):
+        stage.run_all([spec(None, FULL, None), spec(None, FULL, None)], AT[0])
+
+
 def test_failed_write_leaves_the_table(spark, stage):
     stage.run(spec(people(spark, (1, "a", DAY[0]))), AT[0])
     broken = people(spark, (2, "b", DAY[1])).withColumn("name", F.raise_error(F.lit("boom")).cast("string"))

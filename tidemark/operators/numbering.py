@@ -23,12 +23,15 @@ def sort_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.withColumn(_TIE, F.spark_partition_id()).orderBy(*order, _TIE).drop(_TIE)
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number", folder: str | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY ..) without putting the table into one task.
 
     Range partitions are sorted in parallel and written once, each row with its
     partition and its position there. A row's number is its position plus the
     rows of all earlier partitions, and that table has one row per partition.
+
+    The sorted rows are written to ``folder`` (a new one under the shared folder by
+    default), and the result reads them from there: remove it when done with that.
     """
     spark = df.sparkSession
     placed = sort_rows(df, order).withColumn(_POS, F.monotonically_increasing_id()).select(
@@ -36,7 +39,7 @@ def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number"
         F.shiftright(_POS, _PARTITION_BITS).cast("int").alias(_PID),
         F.col(_POS).bitwiseAND(F.lit(2**_PARTITION_BITS - 1)).alias(_POS),
     )
-    folder = new_workdir(spark, "row-numbers")
+    folder = folder or new_workdir(spark, "row-numbers")
     placed.write.parquet(folder)
     placed = spark.read.schema(placed.schema).parquet(folder)
 

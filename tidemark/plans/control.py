@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from itertools import groupby
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.contract import Column, Contract
 from tidemark.functions.text import server_label
 from tidemark.operators.joins import inner_distinct, left_chain
+from tidemark.plans.load import INCREMENT, LoadSpec, Stage
+from tidemark.sources.extract import CONSTANT_COLUMN, Delta
 
 DIFF_SUFFIX = "_diff"
 
@@ -19,7 +26,8 @@ def load_plan(flows: DataFrame, statements: DataFrame, conditions: DataFrame, co
     conditions: statement_id, delta_column, delta_type
     columns:    schema_name, table_name, pattern (one row per column of every table)
 
-    An incremental load goes to the diff table. A custom condition outranks the
+    One delta condition per statement, one statement per flow. An incremental load
+    goes to the diff table. A custom condition outranks the
     delta condition, and a full load has neither. A flow that cannot run carries
     the cause in ``problem``; see ``runnable``.
     """
@@ -46,7 +54,10 @@ def load_plan(flows: DataFrame, statements: DataFrame, conditions: DataFrame, co
     return joined.select(
         "flow_id", "schema_name", "table_name", "pattern",
         server_label(F.col("source_server"), F.col("source_db")).alias("source_name"),
-        target.alias("target_name"), source_filter.alias("source_filter"), problem.alias("problem"),
+        target.alias("target_name"), source_filter.alias("source_filter"),
+        F.when(increment, F.col("delta_column")).alias("delta_column"),
+        F.when(increment, F.col("custom_where")).alias("custom_where"),
+        problem.alias("problem"),
     )
 
 
@@ -61,3 +72,68 @@ def runnable(plan: DataFrame) -> DataFrame:
 def flows_with_columns(flows: DataFrame, columns: DataFrame) -> DataFrame:
     """Flows whose table is described in the column catalog."""
     return inner_distinct(flows, columns, ["schema_name", "table_name"])
+
+
+def contracts(catalog: DataFrame) -> dict[tuple[str, str], Contract]:
+    """Contracts from a column catalog, by (schema_name, table_name).
+
+    catalog: schema_name, table_name, column_id, column_name, type_name, max_length
+    (bytes, -1 for unlimited), precision, scale, is_nullable, is_pk, target_column.
+    A catalog describes tables, it does not hold their rows; it is read as a whole.
+    """
+    rows = catalog.orderBy("schema_name", "table_name", "column_id").collect()
+    return {
+        table: Contract(_column(r) for r in columns)
+        for table, columns in groupby(rows, key=lambda r: (r.schema_name, r.table_name))
+    }
+
+
+def _column(r: Row) -> Column:
+    length = None
+    if r.max_length is not None and r.max_length > 0:
+        length = r.max_length // 2 if r.type_name in ("nchar", "nvarchar") else r.max_length
+    return Column(
+        r.target_column or r.column_name, r.type_name, length=length, precision=r.precision, scale=r.scale,
+        nullable=bool(r.is_nullable), key=bool(r.is_pk), source=r.column_name)
+
+
+def load_spec(entry: Row, contract: Contract, read: Callable[[SparkSession], DataFrame]) -> LoadSpec:
+    """The load one row of a plan asks for. The delta's kind follows from its column's type."""
+    if entry.problem:
+        raise ValueError(entry.problem)
+    name = f"{entry.schema_name}.{entry.table_name}"
+    delta = None
+    if entry.delta_column == CONSTANT_COLUMN:
+        delta = Delta.constant()
+    elif entry.delta_column is not None:
+        column = next((c for c in contract.data_columns if c.source_name == entry.delta_column), None)
+        if column is None:
+            raise ValueError(f"{name}: delta column {entry.delta_column!r} is not in the contract")
+        kinds = {T.TimestampNTZType(): "datetime", T.BinaryType(): "rowversion"}
+        delta = Delta(entry.delta_column, kinds.get(column.spark_type, "numeric"))
+    where = entry.custom_where if entry.pattern == INCREMENT else None
+    return LoadSpec(name, contract, read, entry.pattern, delta, where)
+
+
+def run_plan(
+    stage: Stage,
+    plan: DataFrame,
+    catalog: DataFrame,
+    reader: Callable[[Row], Callable[[SparkSession], DataFrame]],
+    session_start: str,
+    merge_ts: str | None = None,
+) -> DataFrame:
+    """Run every load of a plan; one that cannot be set up fails alone, with its cause in the statistics.
+
+    ``reader`` gives the function that reads the source of one row of the plan.
+    """
+    known, specs, refused = contracts(catalog), [], {}
+    for entry in plan.collect():  # one row per table to load
+        table = (entry.schema_name, entry.table_name)
+        try:
+            if table not in known:
+                raise ValueError("no columns in the catalog")
+            specs.append(load_spec(entry, known[table], reader(entry)))
+        except ValueError as error:
+            refused[".".join(table)] = str(error)
+    return stage.run_all(specs, session_start, merge_ts, refused=refused)

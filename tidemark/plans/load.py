@@ -177,12 +177,27 @@ class Stage:
         stats.end_time = _now()
         return stats
 
-    def run_all(self, specs: Sequence[LoadSpec], session_start: str, merge_ts: str | None = None, at_once: int = 8) -> DataFrame:
+    def write_reject_file(self, spec: LoadSpec, path: str) -> None:
+        """The rows set aside as text, one line each: the reason, a tab, the row as JSON."""
+        self.rejects(spec).select(F.concat_ws("\t", REASON, RAW_ROW)).write.mode("overwrite").text(path)
+
+    def run_all(
+        self,
+        specs: Sequence[LoadSpec],
+        session_start: str,
+        merge_ts: str | None = None,
+        at_once: int = 8,
+        refused: dict[str, str] | None = None,
+    ) -> DataFrame:
         """Run loads side by side; one that fails leaves the others alone and shows in its statistics.
 
         Each load runs in its own scheduler pool, so under the FAIR mode a large
-        table does not hold up the small ones.
+        table does not hold up the small ones. ``refused`` names loads that could not
+        even be set up, with the cause; they are reported as failed.
         """
+        if len({s.name for s in specs}) != len(specs):
+            raise ValueError("two loads of the same name would write the same target")
+
         def one(spec: LoadSpec) -> LoadStats:
             self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
             started = _now()
@@ -194,6 +209,8 @@ class Stage:
 
         with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(specs)))) as pool:
             done = list(pool.map(inheritable_thread_target(self.spark)(one), specs))
+        done += [LoadStats(name, first_error=cause, start_time=_now(), end_time=_now(), status=FAILED)
+                 for name, cause in (refused or {}).items()]
         return stats_frame(self.spark, done)
 
     def _incoming(self, spec: LoadSpec, mark: str | None, session_start: str) -> DataFrame:

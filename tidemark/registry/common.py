@@ -22,6 +22,20 @@ CONVERSATION_COLUMNS = ["conv_id", "turn", "role", "text"]
 AUDIT_NAMES = [CREATED, MODIFIED, DELETED]
 
 
+def registry():
+    """Two empty dictionaries, queries and their SQL, and the decorator that fills them."""
+    queries, oracles = {}, {}
+
+    def query(sql: str, name: str | None = None):
+        def register(fn):
+            queries[name or fn.__name__] = fn
+            oracles[name or fn.__name__] = sql
+            return fn
+        return register
+
+    return queries, oracles, query
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

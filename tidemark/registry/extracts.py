@@ -8,11 +8,11 @@ from tidemark.contract import Column, Contract
 from tidemark.functions import rowversion, text
 from tidemark.operators.merge import audit_stamp
 from tidemark.operators.quality import accepted, classify, rejected
-from tidemark.registry.common import EVENT_MARK, RUN1, SOURCE_ORDERS, source_orders, table
+from tidemark.registry.common import EVENT_MARK, RUN1, SOURCE_ORDERS, registry, source_orders, table
 from tidemark.sources.extract import Delta, extract, source_mark, sql_override
 from tidemark.sources.readers import inline_rows, read_files
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, query = registry()
 
 CUSTOMER = Contract([
     Column("c_custkey", "bigint", key=True, nullable=False),
@@ -37,15 +37,6 @@ ORDERS = Contract([
 ])
 
 
-def query(oracle: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-    return register
-
-
 # --- extracts -------------------------------------------------------------
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
@@ -189,7 +180,7 @@ def project_rename(spark, sf_dir):
 
 
 @query(f"""SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{RUN1}' AS "AUD_CreateDatetime",
-    TIMESTAMP '{RUN1}' AS "AUD_LastModDatetime", CAST(0 AS INTEGER) AS "AUD_isDeleted" FROM customer""")
+    TIMESTAMP '{RUN1}' AS "AUD_LastModDatetime", CAST(0 AS INTEGER) AS "AUD_isDeleted" FROM customer""", name="audit_stamp")
 def audit_columns(spark, sf_dir):
     return audit_stamp(CUSTOMER.project(table(spark, sf_dir, "customer")), RUN1)
 

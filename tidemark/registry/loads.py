@@ -10,23 +10,14 @@ from tidemark.operators.merge import audit_stamp
 from tidemark.plans.control import load_plan
 from tidemark.plans.load import FULL, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import marks_or_default
-from tidemark.registry.common import EVENT_MARK, RUN1, RUN2, table
+from tidemark.registry.common import EVENT_MARK, RUN1, RUN2, registry, table
 from tidemark.registry.extracts import EVENTS, ORDERS
 from tidemark.session import new_workdir
 from tidemark.sources.extract import FIRST_NUMBER, Delta
 from tidemark.sources.storage import VersionedTable
 from tidemark.streaming.continuous import read_stream, start_merge_stream
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(oracle: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 # Control tables at the size of the data: every supplier is a source table, its
@@ -61,9 +52,11 @@ _LABEL = r"""'SQL_' || CASE WHEN strpos(source_server, '\') > 0 THEN split_part(
     FROM flows f JOIN tables t ON f.schema_name = t.schema_name AND f.table_name = t.table_name
     LEFT JOIN statements s ON f.flow_id = s.flow_id LEFT JOIN conditions c ON s.statement_id = c.statement_id)
 SELECT flow_id, schema_name, table_name, pattern, source_name, target_name, source_filter,
+       CASE WHEN pattern = 'Increment' THEN resolved.delta_column END AS delta_column,
+       CASE WHEN pattern = 'Increment' THEN resolved.custom_where END AS custom_where,
        CASE WHEN pattern IS NULL THEN 'no valid pattern' WHEN pattern = 'Increment' AND source_filter IS NULL THEN 'no delta condition'
             WHEN source_name IS NULL THEN 'no source' END AS problem
-FROM resolved""")
+FROM resolved""", name="load_plan")
 def table_load_plan(spark, sf_dir):
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     schema_name = F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("schema_name")

@@ -33,6 +33,7 @@ from tidemark.registry.common import (
     STAGED_AT,
     STAGED_ORDERS,
     merge_sql,
+    registry,
     source_orders,
     staged_orders,
     stamped_orders,
@@ -43,19 +44,10 @@ from tidemark.session import new_workdir
 from tidemark.sources.extract import Delta, extract
 from tidemark.sources.storage import VersionedTable
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, query = registry()
 KEY = ["o_orderkey"]
 
 
-def query(oracle: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-    return register
-
-
 # --- merge ----------------------------------------------------------------
 
 @query(merge_sql(STAGED_ORDERS, SOURCE_ORDERS, KEY, ORDER_COLUMNS))
@@ -160,7 +152,7 @@ def load_stats(spark, sf_dir):
            o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' AND o_orderpriority <> '5-LOW'
     UNION ALL
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
-    WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderpriority = '3-MEDIUM')""")
+    WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderpriority = '3-MEDIUM')""", name="apply_row_actions")
 def row_actions(spark, sf_dir):
     """Tagged rows: urgent orders are updated (also ones the target lacks: dropped), low ones
     deleted, medium ones inserted (also ones the target has: left as they are)."""
@@ -179,7 +171,7 @@ def row_actions(spark, sf_dir):
 # --- joins ----------------------------------------------------------------
 
 @query("""SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND c_acctbal > 0
-    LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'""")
+    LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'""", name="left_chain")
 def left_joins(spark, sf_dir):
     return left_chain(
         table(spark, sf_dir, "customer"),
@@ -189,7 +181,7 @@ def left_joins(spark, sf_dir):
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, l_partkey, l_suppkey FROM lineitem
-    JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R') USING (l_partkey, l_suppkey)""")
+    JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R') USING (l_partkey, l_suppkey)""", name="inner_distinct")
 def inner_distinct_pairs(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     rows = lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
@@ -197,7 +189,7 @@ def inner_distinct_pairs(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, o_orderdate FROM orders o
-    WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')""")
+    WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')""", name="semi_exists")
 def semi_join(spark, sf_dir):
     returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return semi_exists(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), returned, {"o_orderkey": "l_orderkey"})
@@ -219,7 +211,7 @@ def watermark_max_text(spark, sf_dir):
 _NUMBERED = "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn, o_orderkey, o_orderstatus FROM orders"
 
 
-@query(f"SELECT min(rn) AS next_number FROM ({_NUMBERED}) WHERE NOT o_orderstatus = 'F'")
+@query(f"SELECT min(rn) AS next_number FROM ({_NUMBERED}) WHERE NOT o_orderstatus = 'F'", name="min_pending")
 def next_pending(spark, sf_dir):
     """The lowest number among the orders not yet finished."""
     numbered = row_numbers(table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus"),
@@ -232,7 +224,7 @@ def distinct_pairs(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()
 
 
-@query(_NUMBERED)
+@query(_NUMBERED, name="row_numbers")
 def numbered_rows(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     return row_numbers(rows, [F.col("o_orderdate"), F.col("o_orderkey")], name="rn").drop("o_orderdate")
@@ -276,14 +268,14 @@ LINE_COLUMNS = ["l_orderkey", "l_linenumber", *_LINE_TIES, "l_shipdate"]
 
 
 @query(f"""SELECT {", ".join(LINE_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in _LINE_TIES)}) AS rn FROM lineitem) WHERE rn = 1""")
+    ORDER BY l_shipdate DESC NULLS LAST, {", ".join(c + " DESC NULLS LAST" for c in _LINE_TIES)}) AS rn FROM lineitem) WHERE rn = 1""", name="dedupe_latest")
 def latest_per_key(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     return dedupe_latest(lines, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate").desc_nulls_last()])
 
 
 @query("""SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS row_count FROM lineitem
-    GROUP BY ALL HAVING count(*) > 1""")
+    GROUP BY ALL HAVING count(*) > 1""", name="duplicate_keys")
 def repeated_keys(spark, sf_dir):
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 

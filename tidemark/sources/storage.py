@@ -109,11 +109,11 @@ class VersionedTable:
         if self.bucket_by:
             self._write_bucketed(last(self._in_buckets(df)).select(*names), version)
         elif self.slice_by is None:
-            last(df).select(*names).write.mode("overwrite").parquet(self._folder(version))
+            last(df).select(*names).write.parquet(self._folder(version))
         else:
             # Gathers each slice into few files, splitting the large ones over several tasks.
             sliced = last(df.withColumn(SLICE, self._slice()).hint("rebalance", F.col(SLICE)))
-            sliced.select(*names, SLICE).write.mode("overwrite").partitionBy(SLICE).parquet(self._folder(version))
+            sliced.select(*names, SLICE).write.partitionBy(SLICE).parquet(self._folder(version))
         return version
 
     def truncate(self) -> int:
