@@ -43,7 +43,7 @@ _LABEL = r"""'SQL_' || CASE WHEN strpos(source_server, '\') > 0 THEN split_part(
 
 
 @query(f"""{_CONTROL}, resolved AS (
-    SELECT f.*, t.pattern, {_LABEL} AS source_name,
+    SELECT f.*, t.pattern, s.custom_where, c.delta_column, {_LABEL} AS source_name,
            target_schema || '.' || f.table_name || CASE WHEN pattern = 'Increment' THEN '_diff' ELSE '' END AS target_name,
            CASE WHEN pattern = 'Increment' THEN coalesce(custom_where,
                 CASE WHEN delta_type = 'datetime' THEN delta_column || ' > timestamp_ntz''$last_' || delta_column || ''''
