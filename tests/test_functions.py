@@ -109,8 +109,13 @@ def test_conversions(spark, type_name, source, value, want):
 
 def test_strict_cast_fails_the_job(spark):
     df = spark.createDataFrame([("x",)], "v string")
-    with pytest.raises(PySparkException):
-        Contract([Column("v", "int")]).cast(df).collect()
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(PySparkException, match="v: a value cannot be converted to int"):
+                Contract([Column("v", "int")]).cast(df).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
 
 
 @pytest.mark.parametrize("column, source, value, reason", [

@@ -92,6 +92,17 @@ def test_microseconds_at_the_mark(spark, stage):
     assert result(stage.target(spec(None, APPEND)), "id") == [(1,), (2,)]
 
 
+@pytest.mark.parametrize("how", [
+    {"pattern": FULL, "delta": None}, {"delta": Delta.constant()}, {}, {"pattern": APPEND},
+    {"slice_by": "id div 10"}, {"delta": Delta.constant(), "buckets": 2}], ids=str)
+def test_empty_source(spark, stage, how):
+    for at in AT[:2]:
+        stats = stage.run(spec(people(spark), **how), at)
+        assert (stats.src_success_rows, stats.inserted_rows, stats.updated_rows, stats.deleted_rows) == (0, 0, 0, 0)
+    assert stage.target(spec(None, **how)).count() == 0
+    assert stage.rejects(spec(None, **how)).count() == 0
+
+
 def test_null_delta_is_never_read(spark, stage):
     stats = stage.run(spec(people(spark, (1, "a", None), (2, "b", DAY[0]))), AT[0])
     assert stats.src_success_rows == 1
@@ -260,6 +271,12 @@ def test_sliced_table_rewrites_only_what_the_delta_touches(spark, stage):
     assert table.versions() == [1, 2]  # the old version still holds current slices
 
 
+def test_too_many_slices_are_refused(spark, stage):
+    df = spark.range(0, 30000).select("id", F.lit("a").alias("name"), F.lit(DAY[0]).cast("timestamp_ntz").alias("changed"))
+    with pytest.raises(ValueError, match="slices"):
+        stage.run(spec(df, slice_by="id"), AT[0])
+
+
 def test_bucketed_table_is_not_shuffled_by_a_snapshot(spark, stage):
     layout = {"delta": Delta.constant(), "buckets": 4, "unique_source": True}
     df = spark.range(0, 1000).select("id", F.lit("a").alias("name"), F.lit(DAY[0]).cast("timestamp_ntz").alias("changed"))

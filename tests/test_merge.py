@@ -154,6 +154,12 @@ def test_row_actions(spark, rules, want):
     assert rows(apply_row_actions(target, tagged, ["k"], rules=rules)) == want
 
 
+def test_untagged_rows_are_inserts(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    more = spark.createDataFrame([(1, "x"), (2, "b")], "k int, v string")
+    assert rows(apply_row_actions(target, more, ["k"], action=None)) == [(1, "a"), (2, "b")]
+
+
 def test_row_actions_null_key(spark):
     target = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
     tagged = spark.createDataFrame([(None, "U", "update"), (None, "I", "insert"), (None, "D", "delete")],

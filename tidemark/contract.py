@@ -26,6 +26,7 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "tinyint": T.ShortType(),
     "bit": T.IntegerType(),
     "money": T.DecimalType(19, 4),
+    "smallmoney": T.DecimalType(10, 4),
     "float": T.DoubleType(),
     "char": T.StringType(),
     "varchar": T.StringType(),
@@ -116,7 +117,7 @@ class Contract:
         return df.select(*[F.col(c.source_name).alias(c.name) for c in self.data_columns])
 
     def cast(self, df: DataFrame) -> DataFrame:
-        """Convert every column strictly: under ANSI mode a bad value fails the job."""
+        """Convert every column strictly: a bad value fails the job."""
         return df.select(*[convert(F.col(c.name), c, df.schema[c.name].dataType).alias(c.name)
                            for c in self.data_columns])
 
@@ -131,14 +132,18 @@ class Contract:
 
 
 def convert(value: SparkColumn, column: Column, source_type: T.DataType, strict: bool = True) -> SparkColumn:
-    """``value`` in the contract type; a failed conversion raises, or gives NULL if not ``strict``."""
+    """``value`` in the contract type; a failed conversion stops the job, or gives NULL if not ``strict``."""
     target = column.spark_type
     if source_type == target:
         return value
     if isinstance(target, T.BinaryType):
         if isinstance(source_type, T.StringType):  # text such as 0x0000000000004652
-            decode = F.unhex if strict else F.try_to_binary
-            digits = F.regexp_replace(value, "^0[xX]", "")
-            return decode(digits) if strict else decode(digits, F.lit("hex"))
-        return F.unhex(F.lpad(F.hex(value.cast("bigint")), 2 * ROWVERSION_BYTES, "0"))
-    return value.cast(target) if strict else value.try_cast(target)
+            converted = F.try_to_binary(F.regexp_replace(value, "^0[xX]", ""), F.lit("hex"))
+        else:
+            converted = F.unhex(F.lpad(F.hex(value.cast("bigint")), 2 * ROWVERSION_BYTES, "0"))
+    else:
+        converted = value.try_cast(target)
+    if not strict:
+        return converted
+    failure = F.raise_error(F.lit(f"{column.name}: a value cannot be converted to {target.simpleString()}"))
+    return F.when(value.isNull() | converted.isNotNull(), converted).otherwise(failure.cast(target))

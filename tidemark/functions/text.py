@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 MARK_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 STYLE_121 = "yyyy-MM-dd HH:mm:ss.SSS"
 
+# Fixed value: what a connection label starts with.
+LABEL_PREFIX = "SQL_"
+
 
 def mark_text(ts: Column) -> Column:
     """Sortable text of a timestamp, to the microsecond."""
@@ -27,7 +30,7 @@ def prefix_before(text: Column, delimiter: str) -> Column:
 
 
 def text_length(text: Column) -> Column:
-    """Characters without trailing blanks, which the reference's length function does not count."""
+    """Characters without trailing blanks, which the source database's LEN does not count either."""
     return F.length(F.rtrim(text))
 
 
@@ -48,4 +51,4 @@ def default_fill(value: Column, default: Column) -> Column:
 
 def server_label(server: Column, database: Column) -> Column:
     """Connection label of a server and a database; NULL if either part is NULL."""
-    return F.concat(F.lit("SQL_"), prefix_before(server, "\\"), F.lit("_"), database)
+    return F.concat(F.lit(LABEL_PREFIX), prefix_before(server, "\\"), F.lit("_"), database)

@@ -154,16 +154,19 @@ def apply_row_actions(
     target: DataFrame,
     rows: DataFrame,
     keys: Sequence[str],
-    action: str = "row_action",
+    action: str | None = "row_action",
     rules: ActionRules = ActionRules(),
 ) -> DataFrame:
     """Apply rows tagged insert, update or delete; at most one row per key.
 
+    With ``action=None`` the rows carry no tag and are all treated as inserts.
     Deletes remove the row. An update without a match is dropped unless
     ``update_else_insert``; an insert whose key exists leaves the row as it is.
     Rows with a NULL key match nothing.
     """
     keys, columns = list(keys), target.columns
+    if action is None:
+        action, rows = "_action", rows.withColumn("_action", F.lit("insert"))
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     inserts = [a for a, on in (("insert", rules.insert), ("update", rules.update_as_insert or rules.update_else_insert)) if on]
     wanted = F.col(action).isin(*inserts) if inserts else F.lit(False)

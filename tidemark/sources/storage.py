@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE = "_slice"
+MAX_SLICES = 20_000
 _VERSION = re.compile(r"v_(\d{8})$")
 
 
@@ -91,10 +92,12 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*wanted.values())
 
     def slices_of(self, df: DataFrame) -> list[str] | None:
-        """The slices the rows of ``df`` fall into: at most as many as there are slices."""
+        """The slices the rows of ``df`` fall into; a table has ``MAX_SLICES`` at most."""
         if self.slice_by is None:
             return None
-        rows = df.select(self._slice()).distinct().collect()
+        rows = df.select(self._slice()).distinct().limit(MAX_SLICES + 1).collect()
+        if len(rows) > MAX_SLICES:
+            raise ValueError(f"{self.slice_by} gives more than {MAX_SLICES} slices")
         return sorted(r[0] for r in rows)
 
     def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
