@@ -264,7 +264,7 @@ def test_sliced_table_rewrites_only_what_the_delta_touches(spark, stage):
     stage.run(spec(change, **sliced), AT[1])
     table = stage.table(spec(None, **sliced))
     assert table.versions() == [1, 2]
-    assert [n for n in table.files.names(f"{table.path}/v_00000002") if "=" in n] == ["_slice=2", "_slice=5"]
+    assert [n for n in table.files.names(table.folder(2)) if "=" in n] == ["_slice=2", "_slice=5"]
     assert table.read().count() == 501
     assert result(table.read().where("name <> 'a'"), "id", "name") == [(250, "x"), (501, "y")]
     table.expire(keep=1)
@@ -275,6 +275,7 @@ def test_too_many_slices_are_refused(spark, stage):
     df = spark.range(0, 30000).select("id", F.lit("a").alias("name"), F.lit(DAY[0]).cast("timestamp_ntz").alias("changed"))
     with pytest.raises(ValueError, match="slices"):
         stage.run(spec(df, slice_by="id"), AT[0])
+    assert stage.table(spec(None, slice_by="id")).versions() == []
 
 
 def test_bucketed_table_is_not_shuffled_by_a_snapshot(spark, stage):
@@ -285,7 +286,7 @@ def test_bucketed_table_is_not_shuffled_by_a_snapshot(spark, stage):
     assert (stats.inserted_rows, stats.updated_rows, stats.deleted_rows) == (0, 0, 100)
     table = stage.table(spec(None, **layout))
     for version in (1, 2):
-        assert len([n for n in table.files.names(f"{table.path}/v_{version:08d}") if n.startswith("part-")]) == 4
+        assert len([n for n in table.files.names(table.folder(version)) if n.startswith("part-")]) == 4
     snapshot = df.selectExpr("*", f"changed {CREATED}", f"changed {MODIFIED}", f"0 {DELETED}")
     plan = merge(table.read(), snapshot, ["id"], merge_ts=AT[2], keys_not_null=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
@@ -294,6 +295,26 @@ def test_bucketed_table_is_not_shuffled_by_a_snapshot(spark, stage):
     assert table.versions() == [2]
 
 
+@pytest.mark.parametrize("before, after", [
+    ({}, {"slice_by": "id div 100"}), ({"slice_by": "id div 100"}, {"slice_by": "id div 70"}), ({"slice_by": "id div 100"}, {}),
+    ({}, {"buckets": 4}), ({"buckets": 4}, {"buckets": 6}), ({"buckets": 4}, {"slice_by": "id div 100"}), ({"buckets": 4}, {}),
+    ({"slice_by": "id div 100"}, {"buckets": 4}),
+], ids=str)
+def test_layout_may_change_between_runs(spark, stage, before, after):
+    start = spark.range(0, 300).select("id", F.lit("a").alias("name"), F.lit(DAY[0]).cast("timestamp_ntz").alias("changed"))
+    stage.run(spec(start, **before), AT[0])
+    one = start.unionAll(people(spark, (7, "x", DAY[1]), (300, "y", DAY[1])))
+    stage.run(spec(one, **after), AT[1])
+    two = one.unionAll(people(spark, (150, "z", DAY[2])))
+    stats = stage.run(spec(two, **after), AT[2])
+    assert (stats.inserted_rows, stats.updated_rows) == (0, 1)
+    table = stage.table(spec(None, **after))
+    assert table.read().count() == 301
+    assert result(table.read().where("name <> 'a'"), "id", "name") == [(7, "x"), (150, "z"), (300, "y")]
+    table.expire(keep=1)
+    assert table.read().count() == 301
+
+
 def test_unfinished_version_is_skipped(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), PEOPLE.target_schema())
     assert table.read().count() == 0

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 SLICE = "_slice"
 MAX_SLICES = 20_000
-_VERSION = re.compile(r"v_(\d{8})$")
+_VERSION = re.compile(r"v_(\d{8})(?:-[\w-]+)?$")
 
 
 class SharedFiles:
@@ -72,33 +72,56 @@ class VersionedTable:
         self.slice_by, self.bucket_by = slice_by, bucket_by
         self.files = SharedFiles(spark, self.path)
 
+    @property
+    def layout(self) -> str:
+        """How this object arranges files; part of a version's folder name.
+
+        Files must be read the way they were written: a wrong number of buckets or
+        another slice expression would silently lose rows in joins.
+        """
+        if self.bucket_by:
+            keys, count = self.bucket_by
+            return f"b{count}-{_digest(','.join(keys))}"
+        return f"s-{_digest(self.slice_by)}" if self.slice_by else ""
+
     def versions(self) -> list[int]:
-        found = [int(m.group(1)) for m in map(_VERSION.match, self.files.names(self.path)) if m]
-        return [v for v in found if self.files.exists(f"{self._folder(v)}/_SUCCESS")]
+        return [v for v, _ in self._committed()]
+
+    def folder(self, version: int) -> str:
+        return next(f for v, f in self._committed() if v == version)
 
     def read(self, slices: Sequence[str] | None = None) -> DataFrame:
-        """The current rows; of the given slices only, if any are named."""
-        versions = self.versions()
-        if not versions:
+        """The current rows; of the given slices only, if any are named.
+
+        A version in another layout is read as it is; the next whole write then
+        brings the table into this one.
+        """
+        committed = self._committed()
+        if not committed:
             return self._empty()
-        if self.bucket_by:
-            return self._read_bucketed(versions[-1])
-        if self.slice_by is None:
-            return self.spark.read.schema(self.schema).parquet(self._folder(versions[-1]))
-        newest = self._newest(versions)
-        wanted = newest if slices is None else {s: newest[s] for s in slices if s in newest}
+        version, newest = committed[-1]
+        layout = _layout(newest)
+        if self.bucket_by and layout == self.layout:
+            return self._read_bucketed(version, newest)
+        if not layout.startswith("s-"):
+            return self.spark.read.schema(self.schema).parquet(newest)
+        current = self._current_slices(committed)
+        wanted = current if slices is None else {s: current[s] for s in slices if s in current}
         if not wanted:
             return self._empty()
         return self.spark.read.schema(self.schema).parquet(*wanted.values())
 
     def slices_of(self, df: DataFrame) -> list[str] | None:
-        """The slices the rows of ``df`` fall into; a table has ``MAX_SLICES`` at most."""
+        """The slices the rows of ``df`` fall into; a table has ``MAX_SLICES`` at most.
+
+        None stands for the whole table: it has no slices, or none by this expression yet.
+        """
         if self.slice_by is None:
             return None
         rows = df.select(self._slice()).distinct().limit(MAX_SLICES + 1).collect()
         if len(rows) > MAX_SLICES:
             raise ValueError(f"{self.slice_by} gives more than {MAX_SLICES} slices")
-        return sorted(r[0] for r in rows)
+        return sorted(r[0] for r in rows) if self._in_layout() else None
 
     def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
@@ -108,15 +131,16 @@ class VersionedTable:
         executors are lost.
         """
         version = max(self._seen(), default=0) + 1
+        folder = f"{self.path}/v_{version:08d}" + (f"-{self.layout}" if self.layout else "")
         names = self.schema.names
         if self.bucket_by:
-            self._write_bucketed(last(self._in_buckets(df)).select(*names), version)
+            self._write_bucketed(last(self._in_buckets(df)).select(*names), version, folder)
         elif self.slice_by is None:
-            last(df).select(*names).write.parquet(self._folder(version))
+            last(df).select(*names).write.parquet(folder)
         else:
             # Gathers each slice into few files, splitting the large ones over several tasks.
             sliced = last(df.withColumn(SLICE, self._slice()).hint("rebalance", F.col(SLICE)))
-            sliced.select(*names, SLICE).write.partitionBy(SLICE).parquet(self._folder(version))
+            sliced.select(*names, SLICE).write.partitionBy(SLICE).parquet(folder)
         return version
 
     def truncate(self) -> int:
@@ -127,11 +151,38 @@ class VersionedTable:
 
     def expire(self, keep: int = 2) -> None:
         """Remove versions older than the ``keep`` newest that hold no current rows."""
-        versions = self.versions()
-        current = {path.rsplit("/", 2)[1] for path in self._newest(versions).values()} if self.slice_by else set()
-        for version in versions[:-keep]:
-            if f"v_{version:08d}" not in current:
-                self.files.remove(self._folder(version))
+        committed = self._committed()
+        current = {path.rsplit("/", 1)[0] for path in self._current_slices(committed).values()}
+        for _, folder in committed[:-keep]:
+            if folder not in current:
+                self.files.remove(folder)
+
+    def _committed(self) -> list[tuple[int, str]]:
+        """Version and folder of every finished write, oldest first."""
+        found = [(int(m.group(1)), f"{self.path}/{m.group(0)}") for m in map(_VERSION.match, self.files.names(self.path)) if m]
+        return sorted((v, f) for v, f in found if self.files.exists(f"{f}/_SUCCESS"))
+
+    def _seen(self) -> list[int]:
+        """Numbers in use, committed or not: an unfinished version is never reused."""
+        return [int(m.group(1)) for m in map(_VERSION.match, self.files.names(self.path)) if m]
+
+    def _in_layout(self) -> bool:
+        committed = self._committed()
+        return bool(committed) and _layout(committed[-1][1]) == self.layout
+
+    def _current_slices(self, committed: Sequence[tuple[int, str]]) -> dict[str, str]:
+        """Slice value -> folder of its newest copy, among the latest versions of one layout."""
+        newest: dict[str, str] = {}
+        layout = _layout(committed[-1][1]) if committed else ""
+        if not layout.startswith("s-"):
+            return newest
+        for _, folder in reversed(committed):
+            if _layout(folder) != layout:
+                break
+            for name in self.files.names(folder):
+                if name.startswith(SLICE + "="):
+                    newest.setdefault(name.split("=", 1)[1], f"{folder}/{name}")
+        return newest
 
     def _in_buckets(self, df: DataFrame) -> DataFrame:
         """One task per bucket, so that a version has one file per bucket.
@@ -140,45 +191,27 @@ class VersionedTable:
         the join follows the table's buckets; the first version has to be arranged.
         """
         keys, count = self.bucket_by
-        return df if self.versions() else df.repartition(count, *keys)
+        return df if self._in_layout() else df.repartition(count, *keys)
 
-    def _write_bucketed(self, df: DataFrame, version: int) -> None:
+    def _write_bucketed(self, df: DataFrame, version: int, folder: str) -> None:
         """Bucketed files come from the catalog's writer; its entry is not needed afterwards."""
         keys, count = self.bucket_by
         name = self._catalog_name(version)
-        writer = df.write.mode("overwrite").format("parquet").option("path", self._folder(version))
-        writer.bucketBy(count, *keys).saveAsTable(name)
+        df.write.format("parquet").option("path", folder).bucketBy(count, *keys).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
 
-    def _read_bucketed(self, version: int) -> DataFrame:
+    def _read_bucketed(self, version: int, folder: str) -> DataFrame:
         """The catalog entry tells Spark that the files are bucketed."""
         keys, count = self.bucket_by
         name = self._catalog_name(version)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {count} BUCKETS "
-            f"LOCATION '{self._folder(version)}'")
+            f"CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {count} BUCKETS LOCATION '{folder}'")
         return self.spark.table(name)
 
     def _catalog_name(self, version: int) -> str:
-        return f"tidemark_{md5(self.path.encode()).hexdigest()[:16]}_{version}"
-
-    def _newest(self, versions: Sequence[int]) -> dict[str, str]:
-        """Slice value -> folder of its newest copy."""
-        newest = {}
-        for version in versions:
-            for name in self.files.names(self._folder(version)):
-                if name.startswith(SLICE + "="):
-                    newest[name.split("=", 1)[1]] = f"{self._folder(version)}/{name}"
-        return newest
-
-    def _seen(self) -> list[int]:
-        """Numbers in use, committed or not: an unfinished version is never reused."""
-        return [int(m.group(1)) for m in map(_VERSION.match, self.files.names(self.path)) if m]
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/v_{version:08d}"
+        return f"tidemark_{_digest(self.path)}_{version}"
 
     def _slice(self):
         return F.expr(self.slice_by).cast("string").alias(SLICE)
@@ -191,6 +224,14 @@ def _all_nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
+def _layout(folder: str) -> str:
+    return folder.rsplit("/", 1)[1][len("v_00000000-"):]
+
+
+def _digest(text: str) -> str:
+    return md5(text.encode()).hexdigest()[:12]
+
+
 def append_run(df: DataFrame, path: str, run: str) -> None:
     """Append the rows of one run; a replay of the same run replaces its rows instead of doubling them."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}")
