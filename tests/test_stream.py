@@ -27,7 +27,7 @@ def test_stream_resumes_and_updates(spark, tmp_path):
     def arrive_and_run(df, at):
         df.coalesce(1).write.mode("append").parquet(incoming)
         stream = read_stream(spark, incoming, df.schema, files_per_batch=1)
-        start_merge_stream(stream, table, PEOPLE, checkpoint, at, "changed").awaitTermination()
+        start_merge_stream(stream, table, PEOPLE, checkpoint, lambda batch: at, "changed", keep_versions=1).awaitTermination()
 
     arrive_and_run(people(spark, (1, "a", DAY[0]), (11, "k", DAY[0])), "2024-02-01")
     assert table.versions() == [1]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,18 +53,25 @@ def start_merge_stream(
     table: VersionedTable,
     contract: Contract,
     checkpoint: str,
-    session_start: str,
+    session_start: str | Callable[[int], str],
     delta_column: str | None = None,
+    every: str | None = None,
+    keep_versions: int | None = None,
 ) -> StreamingQuery:
-    """Merge what has arrived and stop. The stream's checkpoint is the mark."""
+    """Merge what has arrived and stop, or keep merging ``every`` interval.
+
+    The stream's checkpoint is the mark. ``session_start`` may be a function of the
+    batch number, for streams that run on. Old versions are removed only if
+    ``keep_versions`` says how many to leave.
+    """
     order = [F.col(delta_column).desc_nulls_last()] if delta_column else []
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        merge_batch(batch, table, contract, session_start, order)
+    def on_batch(batch: DataFrame, number: int) -> None:
+        stamp = session_start(number) if callable(session_start) else session_start
+        merge_batch(batch, table, contract, stamp, order)
+        if keep_versions:
+            table.expire(keep_versions)
 
-    return (
-        stream.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
