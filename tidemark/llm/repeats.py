@@ -25,6 +25,8 @@ SENT_BYTES = 1 << 23
 PART_BYTES = 1 << 22
 LEAST_PARTS = 1021
 LEAST_GROUPS = 509
+# Strings that need a look are dealt to this many heaps, or one for so many bytes of text.
+LEAST_LOOKS, LOOK_BYTES = 256, 1 << 25
 # Doc-id ranges whose entries enter a part's levels one after the other.
 BATCHES = 8
 # An anchor with more stretches than this has its strings dealt out by content instead of by anchor.
@@ -250,6 +252,11 @@ def masks(doc: np.ndarray, content: np.ndarray, offset: np.ndarray) -> tuple[np.
     return doc[order][head], content[order][head], np.bitwise_or.reduceat(bits, np.flatnonzero(head)) if len(bits) else bits
 
 
+def taken(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of many places, one after the other."""
+    return buf[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+
+
 def strings(s: Stretches, chosen: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The strings of chosen stretches: which stretch, which of its strings, and its fingerprint."""
     counts = s.last[chosen] - s.first[chosen] + 1
@@ -342,21 +349,23 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
     known = rows.where("doc_id IS NOT NULL")
     total = known.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts, groups = max(LEAST_PARTS, total // PART_BYTES), max(LEAST_GROUPS, total // PART_BYTES)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks, looks = int(spark.conf.get("spark.sql.shuffle.partitions")), max(LEAST_LOOKS, total // LOOK_BYTES)
     hot = spark.sparkContext.broadcast(_hot_anchors(known, window))
 
+    def answers(found: list[list[np.ndarray]]) -> Iterator[pd.DataFrame]:
+        """What a task found out, dealt to the groups of documents in one go."""
+        if found:
+            doc, content, mask = (np.concatenate(c) for c in zip(*found))
+            yield _frame([(p, "status", b) for p, b in dealt(doc, groups, doc, content, mask)])
+
     def first_look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
+        found: list[list[np.ndarray]] = []
         for df in batches:
-            done = df[df["kind"] == "done"]
-            out = []
-            for body in done["body"]:
-                doc, content, mask = unpack(body, np.int64, np.uint64, np.uint32)
-                out += [(p, "status", b) for p, b in dealt(doc, groups, doc, content, mask)]
-            if out:
-                yield _frame(out)
             for part, kind, body in zip(df["part"], df["kind"], df["body"]):
-                if kind != "done":
+                if kind == "done":
+                    found.append(unpack(body, np.int64, np.uint64, np.uint32))
+                else:
                     held.setdefault(part, []).append((kind, body))
         for part in list(held):
             sent = held.pop(part)
@@ -364,14 +373,15 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             anchor, content, doc = gathered([b for _, b in sent], np.uint32, np.uint64, np.int64)
             state = settle(anchor, content, doc, np.repeat([k == "hot" for k, _ in sent], sizes))
             keep = np.flatnonzero(state)
-            yield _frame([(p, "status", b) for p, b in dealt(doc[keep], groups, doc[keep], content[keep], state[keep])])
+            found.append([doc[keep], content[keep], state[keep]])
+        yield from answers(found)
 
     def second_look(statuses: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         doc, content, state = gathered(statuses["body"], np.int64, np.uint64, np.uint32)
         out: list[tuple] = []
         settled = np.flatnonzero(state == ALL)
         if len(settled):
-            out.append((int(content[settled[0]] % np.uint64(parts)), "status", pack(doc[settled], content[settled], state[settled])))
+            out.append((int(content[settled[0]] % np.uint64(looks)), "status", pack(doc[settled], content[settled], state[settled])))
         asked = np.flatnonzero((state == CHECK) | (state == HOT))
         if not len(asked):
             return _frame(out)
@@ -381,6 +391,7 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
         code, wanted = code[order], state[asked][order]
         here = texts[texts["doc_id"].isin(np.unique(doc[asked]))]
         ids = here["doc_id"].to_numpy()
+        cold_rows: list[tuple] = []
         hot_rows: list[tuple] = []
         for owner, _, held in pieces(_texts(here["text"]), window.length):
             s = stretches(held, window)
@@ -390,43 +401,45 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             mine = mix(s.content + mix(d.astype(np.uint64)))
             at = np.minimum(np.searchsorted(code, mine), len(code) - 1)
             what = np.where(code[at] == mine, wanted[at], np.uint32(0))
-            _, once = np.unique(mine, return_index=True)
-            single = np.zeros(len(mine), bool)
-            single[once] = True
-            cold = np.flatnonzero((what == CHECK) & single)
-            if len(cold):
-                keys = s.anchor[cold] % np.uint64(parts)
-                for part in np.unique(keys):
-                    rows = cold[keys == part]
-                    sizes = s.last[rows] - s.first[rows] + window.length
-                    body = b"".join(s.buf[a:a + n].tobytes() for a, n in zip(s.first[rows], sizes))
-                    out.append((int(part), "strings", pack(d[rows], s.content[rows], s.anchor[rows], sizes.astype(np.uint32)) + pa.compress(body, "zstd", asbytes=True)))
-            which, offset, name = strings(s, np.flatnonzero((what == HOT) & single), window.length)
+            some = np.flatnonzero(what)
+            some = some[np.unique(mine[some], return_index=True)[1]]
+            cold = some[what[some] == CHECK]
+            cold = cold[np.argsort(s.anchor[cold] % np.uint64(looks), kind="stable")]
+            sizes = s.last[cold] - s.first[cold] + window.length
+            cold_rows.append((s.anchor[cold], d[cold], s.content[cold], sizes, taken(s.buf, s.first[cold], sizes)))
+            which, offset, name = strings(s, some[what[some] == HOT], window.length)
             hot_rows.append((name, s.anchor[which], d[which], s.content[which], offset))
-        if hot_rows:
+        if cold_rows:
+            anchor, d, c, sizes, data = (np.concatenate(x) for x in zip(*cold_rows))
+            part = (anchor % np.uint64(looks)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            data = taken(data, np.cumsum(sizes)[order] - sizes[order], sizes[order])
+            ends = np.cumsum(sizes[order])
+            for rows in np.split(np.arange(len(order)), np.flatnonzero(np.diff(part[order])) + 1):
+                if len(rows):
+                    pick = order[rows]
+                    body = data[ends[rows[0]] - sizes[pick[0]]:ends[rows[-1]]]
+                    out.append((int(part[pick[0]]), "strings", pack(d[pick], c[pick], anchor[pick], sizes[pick].astype(np.uint32)) + pa.compress(body.tobytes(), "zstd", asbytes=True)))
             name, anchor, d, c, offset = (np.concatenate(x) for x in zip(*hot_rows))
             before, _ = least_before((name, anchor), d)
             rows = np.flatnonzero(before)
             if len(rows):
                 md, mc, mm = masks(d[rows], c[rows], offset[rows])
-                out.append((int(mc[0] % np.uint64(parts)), "status", pack(md, mc, mm)))
+                out.append((int(mc[0] % np.uint64(looks)), "status", pack(md, mc, mm)))
             # A string may lie in several stretches of its first document: each of them asks.
             rows = np.flatnonzero(~before)
-            out += [(p, "names", b) for p, b in dealt(name[rows], parts, name[rows], anchor[rows], d[rows], c[rows], offset[rows].astype(np.uint32))]
+            out += [(p, "names", b) for p, b in dealt(name[rows], looks, name[rows], anchor[rows], d[rows], c[rows], offset[rows].astype(np.uint32))]
         return _frame(out)
 
     def third_look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
+        found: list[list[np.ndarray]] = []
         for df in batches:
-            out = []
             for part, kind, body in zip(df["part"], df["kind"], df["body"]):
                 if kind == "status":
-                    doc, content, mask = unpack(body, np.int64, np.uint64, np.uint32)
-                    out += [(p, "status", b) for p, b in dealt(doc, groups, doc, content, mask)]
+                    found.append(unpack(body, np.int64, np.uint64, np.uint32))
                 else:
                     held.setdefault((part, kind), []).append(body)
-            if out:
-                yield _frame(out)
         for (_, kind), bodies in held.items():
             if kind == "names":
                 name, anchor, doc, content, offset = gathered(bodies, np.uint64, np.uint64, np.int64, np.uint64, np.uint32)
@@ -447,8 +460,8 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             before, _ = least_before((name, anchor), doc)
             rows = np.flatnonzero(before)
             if len(rows):
-                d, c, m = masks(doc[rows], content[rows], offset[rows])
-                yield _frame([(p, "status", b) for p, b in dealt(d, groups, d, c, m)])
+                found.append(list(masks(doc[rows], content[rows], offset[rows])))
+        yield from answers(found)
 
     def finish(statuses: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         doc, content, mask = gathered(statuses["body"], np.int64, np.uint64, np.uint32)
@@ -459,27 +472,35 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             head = np.flatnonzero(leaders(code))
             code, mask = code[head], np.bitwise_or.reduceat(mask, head)
         data, ids = _texts(texts["text"]), texts["doc_id"].to_numpy()
-        marked = [np.zeros(len(t), bool) for t in data]
-        touched = np.isin(ids, np.unique(doc))
-        at_rows = np.flatnonzero(touched)
-        for owner, shift, held in pieces([data[i] for i in at_rows], window.length):
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        # Where removed runs begin and end, in all texts one after the other with a place between them.
+        change = np.zeros(int((sizes + 1).sum()) + 1, np.int64)
+        touched = np.flatnonzero(np.isin(ids, np.unique(doc)))
+        for owner, shift, held in pieces([data[i] for i in touched], window.length):
             s = stretches(held, window)
             if not len(s.owner) or not len(code):
                 continue
-            starts = np.cumsum([0, *map(len, held)])[:-1]
-            row = at_rows[np.array(owner, np.int64)]
+            row = touched[np.array(owner, np.int64)]
+            moved = begin[row] + np.array(shift, np.int64) - np.cumsum([0, *map(len, held)])[:-1]
             mine = mix(s.content + mix(ids[row][s.owner].astype(np.uint64)))
             at = np.minimum(np.searchsorted(code, mine), len(code) - 1)
             hits = np.flatnonzero(code[at] == mine)
-            for h in hits:
-                base = int(s.first[h] - starts[s.owner[h]]) + shift[s.owner[h]]
-                into, bits, count = marked[row[s.owner[h]]], int(mask[at[h]]), int(s.last[h] - s.first[h]) + 1
-                if bits & ((1 << count) - 1) == (1 << count) - 1:
-                    into[base:base + count - 1 + window.length] = True
-                else:
-                    for o in range(count):
-                        if bits >> o & 1:
-                            into[base + o:base + o + window.length] = True
+            bits, count = mask[at[hits]], s.last[hits] - s.first[hits] + 1
+            place = s.first[hits] + moved[s.owner[hits]]
+            full = np.uint32(1) << (count - 1).astype(np.uint32)
+            full |= full - np.uint32(1)
+            whole = (bits & full) == full
+            some = np.flatnonzero(~whole)
+            which = np.repeat(some, count[some])
+            offset = np.arange(len(which)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            on = (bits[which] >> offset.astype(np.uint32)) & np.uint32(1) == 1
+            starts = np.concatenate([place[whole], (place[which] + offset)[on]])
+            ends = np.concatenate([(place + count - 1 + window.length)[whole], (place[which] + offset + window.length)[on]])
+            np.add.at(change, starts, 1)
+            np.add.at(change, ends, -1)
+        covered = np.cumsum(change) > 0
+        marked = [covered[a:a + n] for a, n in zip(begin, sizes)]
         out = []
         for i, t, m in zip(ids, data, marked):
             edges = np.flatnonzero(np.diff(m.astype(np.int8), prepend=0, append=0))
