@@ -5,39 +5,102 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, quality, secret_scan
-from tidemark.llm.registry import send_package
+from tidemark.llm import jaccard, mixing, pieces, quality, secret_scan
+from tidemark.llm.registry import MIXTURE, PIECES_MODEL, send_package
 from tidemark.session import new_workdir
 
 REJECTED_BELOW = 0.7
+MASK = "[SECRET]"
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; one whose id is null, or that has no text, is judged by its score as well."""
+    """The documents whose score is not below the threshold; those without text or id are scored like any other."""
     send_package(spark)
-    rows = docs.withColumn("_row", F.xxhash64(*docs.columns))
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scores = quality.score(rows, model, "_row").where(F.col("score") >= REJECTED_BELOW).select("_row").distinct()
-    return rows.join(scores, "_row", "left_semi").select(*docs.columns)
+    sent = spark.sparkContext.broadcast(model)
+    schema, columns = docs.schema, docs.columns
+
+    def good(batches):
+        for b in batches:
+            texts = b.column(columns.index("text")).to_pylist()
+            keep = []
+            for _, held in quality.chunks(range(len(texts)), texts, quality.CHUNK_BYTES):
+                keep += [bool(s >= REJECTED_BELOW) for s in sent.value.scores(held)]
+            yield b.filter(quality.pa.array(keep, quality.pa.bool_()))
+
+    return docs.mapInArrow(good, schema)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one of smallest id; documents without an id or words stay."""
-    found = jaccard.linked(docs).where("component_id IS NULL OR component_id = doc_id")
-    kept = found.where("doc_id IS NOT NULL").select("doc_id").distinct()
+    """One document of each group that links connect, the one of smallest id; documents without an id stay."""
+    send_package(spark)
+    kept = jaccard.linked(docs).where("component_id = doc_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
-STAGES = [("quality_classifier", quality_classifier), ("near_duplicates", near_duplicates)]
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by a mask; overlapping spans are masked as one, and ``n_chars`` follows the text."""
+    send_package(spark)
+    schema, columns = docs.schema, docs.columns
+    at, size = columns.index("text"), columns.index("n_chars")
+    pa = secret_scan.pa
+
+    def masked(text: str | None) -> str | None:
+        if not text:
+            return text
+        out, end, shown = [], 0, False
+        for s in secret_scan.spans(text):
+            if s["start"] > end or not shown:
+                out += [text[end:s["start"]], MASK]
+            shown, end = True, max(end, s["end"])
+        return "".join(out) + text[end:] if shown else text
+
+    def scan(batches):
+        for b in batches:
+            old = b.column(at).to_pylist()
+            new = [masked(t) for t in old]
+            sizes = [n if a == t else len(t) for n, a, t in zip(b.column(size).to_pylist(), old, new)]
+            arrays = list(b.columns)
+            arrays[at], arrays[size] = pa.array(new, b.schema.field(at).type), pa.array(sizes, b.schema.field(size).type)
+            yield pa.RecordBatch.from_arrays(arrays, schema=b.schema)
+
+    return docs.mapInArrow(scan, schema)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as its rate calls for, so that the languages' tokens meet the mixture."""
+    send_package(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
+    domains = mixing.fit_domains(docs, docs.select("doc_id", "lang").join(labels, "doc_id"), sorted(MIXTURE))
+    # Rows are told apart by id and text: equal rows have equal rates.
+    counts = mixing.mix_to_targets(docs, domains, MIXTURE).groupBy(F.col("code").alias("_code")).agg(F.min("copies").alias("_copies")).where("_copies > 0")
+    rows = docs.withColumn("_code", F.xxhash64("doc_id", "text")).join(counts, "_code")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+
+
+def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every document."""
+    send_package(spark)
+    return pieces.encode(docs, pieces.vocabulary(PIECES_MODEL)).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("secret_scans", secret_scans),
+    ("mixture", mixture),
+    ("piece_ids", piece_ids),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to the documents; each reads what the one before has written."""
-    send_package(spark)
     docs, work = spark.read.parquet(f"{sf_dir}/documents.parquet"), new_workdir(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         result = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return result
         result.write.parquet(f"{work}/{k}-{name}")
         docs = spark.read.schema(result.schema).parquet(f"{work}/{k}-{name}")
     return docs

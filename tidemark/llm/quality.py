@@ -59,13 +59,13 @@ def features(texts: list[bytes], settings: Settings) -> tuple[np.ndarray, np.nda
     if not len(buf):
         return empty, empty
     roll = Rolling(buf, seed=3)
-    owner_of = np.repeat(np.arange(len(texts)), np.append(starts[1:], len(buf)) - starts)
     first, last = words(buf)
-    word, owner = roll.spans(first, last), owner_of[first]
+    word, owner = roll.spans(first, last), np.searchsorted(ends, first, "right")
     parts, owners = [word], [owner]
     same = np.flatnonzero(owner[1:] == owner[:-1])
     parts.append(mix(word[same] * np.uint64(3) + word[same + 1]))
     owners.append(owner[same])
+    owner_of = np.repeat(np.arange(len(texts)), np.append(starts[1:], len(buf)) - starts) if settings.grams else owner
     for n in settings.grams:
         gram = roll.grams(n)
         inside = np.flatnonzero(np.arange(len(gram)) + n <= ends[owner_of[: len(gram)]])

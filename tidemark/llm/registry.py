@@ -7,8 +7,13 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import ann, jaccard, quality, repeats, secret_scan, topk
+from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, repeats, secret_scan, topk
+
+PIECES_MODEL = os.environ.get("TIDEMARK_PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+# Shares of the tokens that the mixture is to have, by language.
+MIXTURE = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}
 
 _sent: set[str] = set()
 
@@ -36,15 +41,31 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(_table(spark, sf_dir, "documents"))
 
 
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    labelled = labels.select("doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    domains = mixing.fit_domains(docs, labelled, sorted(MIXTURE))
+    return mixing.mix_to_targets(docs, domains, MIXTURE).drop("code")
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, words = _table(spark, sf_dir, "documents"), pieces.vocabulary(PIECES_MODEL)
+    return pieces.encode(docs, words).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
 def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(_table(spark, sf_dir, "documents")))
 
@@ -54,8 +75,13 @@ def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(rows, rows.where("vec_id % 50 = 0"), 5)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_quality_classifier, op4_jaccard_join, op6_nearest_neighbours, op8_repeat_removal, op9_top_products)}
+    op1_secret_scan, op2_quality_classifier, op3_licence_scan, op4_jaccard_join, op5_mixture, op6_nearest_neighbours, op7_pieces,
+    op8_repeat_removal, op9_top_products, op10_personal_data)}
 
 TOP_PRODUCTS_SQL = """
 WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
