@@ -22,9 +22,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     def good(batches):
         for b in batches:
-            texts = b.column(columns.index("text")).to_pylist()
+            texts = (t.as_py() for t in b.column(columns.index("text")))
             keep = []
-            for _, held in quality.chunks(range(len(texts)), texts, quality.CHUNK_BYTES):
+            for _, held in quality.chunks(range(b.num_rows), texts, quality.CHUNK_BYTES):
                 keep += [bool(s >= REJECTED_BELOW) for s in sent.value.scores(held)]
             yield b.filter(quality.pa.array(keep, quality.pa.bool_()))
 

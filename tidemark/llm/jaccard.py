@@ -23,7 +23,7 @@ from tidemark.llm.components import components
 from tidemark.llm.rolling import LOWER, Rolling, chunks, joined, mix, words
 from tidemark.session import new_workdir
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 # Sizes of a band grow by this factor; segments there are more of than needed, so that sets can pass over empty ones.
 BAND_GROWTH = 1.4
 SPARE = 1.2
@@ -178,7 +178,7 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
     for b in batches:
-        for ids, texts in chunks(b.column(0).to_pylist(), b.column(1).to_pylist(), CHUNK_BYTES):
+        for ids, texts in chunks(b.column(0).to_pylist(), (t.as_py() for t in b.column(1)), CHUNK_BYTES):
             yield ids, shingle_sets(texts, k)
 
 

@@ -68,7 +68,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], settings:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), 1 << settings.bits), np.int64)
         for b in batches:
-            for rows, texts in chunks(b.column(0).to_pylist(), b.column(1).to_pylist(), CHUNK_BYTES):
+            for rows, texts in chunks(b.column(0).to_pylist(), (t.as_py() for t in b.column(1)), CHUNK_BYTES):
                 bucket, owner = features(texts, hashed)
                 np.add.at(total, (np.array([names.index(d) for d in rows], np.int64)[owner], bucket), 1)
         yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["one", "counts"])
@@ -123,7 +123,7 @@ def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, floa
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, p = [np.zeros(0, np.int64)], [np.zeros((0, d))]
-            for _, texts in chunks(range(b.num_rows), b.column(1).to_pylist(), CHUNK_BYTES):
+            for _, texts in chunks(range(b.num_rows), (t.as_py() for t in b.column(1)), CHUNK_BYTES):
                 buf, starts, ends = joined(texts, b"\n")
                 first = words(buf)[0]
                 n.append(np.searchsorted(first, ends) - np.searchsorted(first, starts))

@@ -31,6 +31,10 @@ CHUNK = 1 << 16
 REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 GRID = 1 << 20
 NEVER = -(1 << 60)
+STIR = np.uint64(0x9E3779B97F4A7C15)
+# Characters of the texts whose words are looked up together.
+TOGETHER = 1 << 20
+CELL_BITS = 20
 
 
 @dataclass
@@ -40,7 +44,7 @@ class Vocabulary:
     pieces: dict[str, tuple[int, int]]
     bytes_: list[int]
     byte_score: int
-    memory: dict[str, tuple[list[int], int]] = field(default_factory=dict, repr=False)
+    memory: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     @cached_property
     def longest(self) -> int:
@@ -109,25 +113,92 @@ class Vocabulary:
             at = i
         return [i for ids in reversed(out) for i in ids], score[n]
 
-    def parts(self, text: str) -> list[tuple[list[int], int]]:
-        """Best pieces and sums of the parts of a text that starts and ends at piece boundaries."""
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces by fingerprint: a sparse table of places, the next place of the same cell, then fingerprints and
+        (id, score) by place; place 0 is none."""
+        names = sorted(self.pieces, key=len)
+        prints = np.zeros(len(names) + 1, np.uint64)
+        at = 1
+        for n in sorted({len(p) for p in names}):
+            group = [p for p in names if len(p) == n]
+            prints[at:at + len(group)] = self._prints(_codes(group, n))[n - 1][:, 0]
+            at += len(group)
+        values = np.array([(0, NEVER), *(self.pieces[p] for p in names)], np.int64)
+        places, after = np.zeros(1 << CELL_BITS, np.int32), np.zeros(len(prints), np.int32)
+        for i, cell in enumerate((prints[1:] >> np.uint64(64 - CELL_BITS)).tolist(), 1):
+            after[i], places[cell] = places[cell], i
+        return places, after, prints, values
+
+    def _found(self, h: np.ndarray) -> np.ndarray:
+        """The places of pieces by fingerprint, 0 where there is none."""
+        places, after, prints, _ = self.table
+        at = places[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)].ravel()
+        flat = h.ravel()
+        other = np.flatnonzero((at > 0) & (prints[at] != flat))
+        while len(other):
+            at[other] = after[at[other]]
+            other = other[(at[other] > 0) & (prints[at[other]] != flat[other])]
+        return at.reshape(h.shape)
+
+    def _prints(self, codes: np.ndarray) -> list[np.ndarray]:
+        """Fingerprints of the substrings of every row, by length and by where they start."""
+        out, h = [], np.zeros(codes.shape, np.uint64)
+        for n in range(1, min(self.longest, codes.shape[1]) + 1):
+            h = (h[:, : codes.shape[1] - n + 1] + codes[:, n - 1:]) * STIR
+            out.append(h ^ (h >> np.uint64(29)))
+        return out
+
+    def best_many(self, units: list[str]) -> dict[str, tuple[int, ...]]:
+        """The pieces ``best`` finds for many short texts, those of one length together."""
+        out: dict[str, tuple[int, ...]] = {}
+        by_size: dict[int, list[str]] = {}
+        for u in units:
+            by_size.setdefault(len(u), []).append(u)
+        values = self.table[3]
+        for n, group in by_size.items():
+            if n > LONGEST_REMEMBERED or len(group) < 8:
+                out.update((u, tuple(self.best(u)[0])) for u in group)
+                continue
+            m = len(group)
+            found = [self._found(h) for h in self._prints(_codes(group, n))]
+            score = np.full((m, n + 1), NEVER, np.int64)
+            back, piece = np.zeros((m, n + 1), np.int64), np.zeros((m, n + 1), np.int64)
+            score[:, 0] = 0
+            for j in range(1, n + 1):
+                for size in range(min(j, len(found)), 0, -1):
+                    at = found[size - 1][:, j - size]
+                    s = score[:, j - size] + values[at, 1]
+                    better = (at > 0) & (s > score[:, j])
+                    score[better, j], back[better, j], piece[better, j] = s[better], size, at[better]
+            rows, place, steps = np.arange(m), np.full(m, n), []
+            while (place > 0).any():
+                steps.append(np.where(place > 0, values[piece[rows, place], 0], -1))
+                place = place - np.maximum(back[rows, place], (place > 0) & (back[rows, place] == 0))
+            ids = np.stack(steps[::-1], axis=1).tolist()
+            # Characters without a piece are spelt one text at a time.
+            sure = (found[0] > 0).all(axis=1).tolist()
+            for u, row, plain in zip(group, ids, sure):
+                out[u] = tuple([i for i in row if i >= 0] if plain else self.best(u)[0])
+        return out
+
+    @cached_property
+    def scores(self) -> dict[int, int]:
+        return {b: self.byte_score for b in self.bytes_} | dict(self.pieces.values())
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Best pieces of texts that start and end at piece boundaries."""
         if not self.cuts_at_space:
-            return [self.best(text)] if text else []
-        found, get, best = [], self.memory.get, self.best
-        for unit in self.units.findall(text):
-            hit = get(unit)
-            if hit is None:
-                if len(self.memory) >= REMEMBERED:
-                    self.memory.clear()
-                hit = best(unit)
-                if len(unit) <= LONGEST_REMEMBERED:
-                    self.memory[unit] = hit
-            found.append(hit)
-        return found
+            return [np.array(self.best(t)[0] if t else [], np.int32) for t in texts]
+        units, memory = [self.units.findall(t) for t in texts], self.memory
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        memory.update(self.best_many(list(set(chain.from_iterable(units)) - memory.keys())))
+        return [np.fromiter(chain.from_iterable(map(memory.__getitem__, us)), np.int32) for us in units]
 
     def encoded(self, text: str) -> tuple[list[int], int]:
-        found = self.parts(text)
-        return list(chain.from_iterable([ids for ids, _ in found])), sum([s for _, s in found])
+        ids = self.encode_all([text])[0].tolist()
+        return ids, sum(map(self.scores.__getitem__, ids))
 
     def cuts(self, text: str, start: int, end: int) -> tuple[int, int] | None:
         """The first and the last place in a chunk where a piece has to begin."""
@@ -195,6 +266,11 @@ class Vocabulary:
         return b"".join([texts[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
 
 
+def _codes(texts: list[str], n: int) -> np.ndarray:
+    """Texts of one length as rows of code points, moved off zero."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n).astype(np.uint64) + np.uint64(7)
+
+
 def marked(text: str) -> str:
     """The text as the lattice sees it, with a space in front."""
     return SPACE + text if text else ""
@@ -255,8 +331,18 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [sent.value.encode(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["id", "ids"])
+            out: list[np.ndarray] = []
+            held, size_held = [], 0
+            for text in (marked(t.as_py()) for t in b.column(1)):
+                held.append(text)
+                size_held += len(text)
+                if size_held >= TOGETHER:
+                    out += sent.value.encode_all(held)
+                    held, size_held = [], 0
+            out += sent.value.encode_all(held)
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            values = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], names=["id", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -165,7 +165,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [sent.value.scores(held) for _, held in chunks(range(b.num_rows), b.column(1).to_pylist(), CHUNK_BYTES)]
+            out = [sent.value.scores(held) for _, held in chunks(range(b.num_rows), (t.as_py() for t in b.column(1)), CHUNK_BYTES)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(out) if out else [], pa.float64())], names=["id", "score"])
 
     kind = source.schema["id"].dataType.simpleString()

@@ -7,6 +7,7 @@ Two independent seeds give 128 bits where equality has to be beyond doubt.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -83,7 +84,7 @@ def joined(texts: list[bytes], gap: bytes = b"") -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(gap.join(texts), np.uint8), ends - lengths, ends
 
 
-def chunks(ids: list, texts: list, limit: int):
+def chunks(ids: Iterable, texts: Iterable, limit: int) -> Iterator[tuple[list, list[bytes]]]:
     """Lists of whole texts of about ``limit`` bytes together; a longer text makes a list of its own."""
     held_ids, held, size = [], [], 0
     for i, t in zip(ids, texts):
