@@ -147,7 +147,7 @@ def test_dedupe_feeds_the_merge_without_another_shuffle(spark):
     assert count(df, "Exchange hashpartitioning") == 2
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.CORE))
 def test_no_python_rows_and_no_cross_joins(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for word in ("PythonEval", "PythonUDF", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
