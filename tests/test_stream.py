@@ -35,7 +35,7 @@ def test_stream_resumes_and_updates(spark, tmp_path):
     rows = sorted(tuple(r) for r in table.read().select("id", "name", CREATED, MODIFIED).collect())
     first, second = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
     assert rows == [(1, "a2", first, second), (11, "k", first, first)]
-    assert [n for n in table.files.names(table.folder(2)) if "=" in n] == ["_slice=0"]
+    assert len([n for n in table.files.names(table.folder(2)) if "=" in n]) == 1
 
 
 def test_replayed_batch_changes_no_row(spark, tmp_path):

@@ -28,13 +28,18 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "money": T.DecimalType(19, 4),
     "smallmoney": T.DecimalType(10, 4),
     "float": T.DoubleType(),
+    "real": T.DoubleType(),
     "char": T.StringType(),
     "varchar": T.StringType(),
     "nchar": T.StringType(),
     "nvarchar": T.StringType(),
+    "text": T.StringType(),
+    "ntext": T.StringType(),
     "uniqueidentifier": T.StringType(),
     "date": T.TimestampNTZType(),
     "datetime": T.TimestampNTZType(),
+    "datetime2": T.TimestampNTZType(),
+    "smalldatetime": T.TimestampNTZType(),
     "timestamp": T.BinaryType(),
 }
 

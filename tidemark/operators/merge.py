@@ -188,10 +188,10 @@ def apply_row_actions(
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's own bound on what may be broadcast, in bytes."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    units = {"b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
     text = text.strip().lower()
-    digits = text.rstrip("bkmg")
-    return int(digits) * units.get(text[len(digits):] or "b", 1)
+    digits = text.rstrip("bkmgtp")
+    unit = text[len(digits):].removesuffix("b")
+    return int(digits) * 2 ** (10 * " kmgtp".index(unit or " "))
 
 
 def _label(df: DataFrame, action: str) -> DataFrame:

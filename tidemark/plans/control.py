@@ -81,16 +81,19 @@ def contracts(catalog: DataFrame) -> dict[tuple[str, str], Contract]:
     (bytes, -1 for unlimited), precision, scale, is_nullable, is_pk, target_column.
     A catalog describes tables, it does not hold their rows; it is read as a whole.
     """
+    return {table: Contract(_column(c) for c in columns) for table, columns in catalog_columns(catalog).items()}
+
+
+def catalog_columns(catalog: DataFrame) -> dict[tuple[str, str], list[Row]]:
+    """The catalog's rows by table, in column order."""
     rows = catalog.orderBy("schema_name", "table_name", "column_id").collect()
-    return {
-        table: Contract(_column(r) for r in columns)
-        for table, columns in groupby(rows, key=lambda r: (r.schema_name, r.table_name))
-    }
+    return {table: list(columns) for table, columns in groupby(rows, key=lambda r: (r.schema_name, r.table_name))}
 
 
 def _column(r: Row) -> Column:
     length = None
-    if r.max_length is not None and r.max_length > 0:
+    # A catalog gives a GUID's 16 bytes; as text it is longer and of one length by itself.
+    if r.max_length is not None and r.max_length > 0 and r.type_name != "uniqueidentifier":
         length = r.max_length // 2 if r.type_name in ("nchar", "nvarchar") else r.max_length
     return Column(
         r.target_column or r.column_name, r.type_name, length=length, precision=r.precision, scale=r.scale,
@@ -127,13 +130,13 @@ def run_plan(
 
     ``reader`` gives the function that reads the source of one row of the plan.
     """
-    known, specs, refused = contracts(catalog), [], {}
+    known, specs, refused = catalog_columns(catalog), [], {}
     for entry in plan.collect():  # one row per table to load
         table = (entry.schema_name, entry.table_name)
         try:
             if table not in known:
                 raise ValueError("no columns in the catalog")
-            specs.append(load_spec(entry, known[table], reader(entry)))
-        except ValueError as error:
-            refused[".".join(table)] = str(error)
+            specs.append(load_spec(entry, Contract(_column(c) for c in known[table]), reader(entry)))
+        except Exception as error:  # noqa: BLE001 - whatever keeps one table from being set up is its own failure
+            refused[".".join(table)] = str(error) or type(error).__name__
     return stage.run_all(specs, session_start, merge_ts, refused=refused)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
@@ -195,8 +196,10 @@ class Stage:
         table does not hold up the small ones. ``refused`` names loads that could not
         even be set up, with the cause; they are reported as failed.
         """
-        if len({s.name for s in specs}) != len(specs):
-            raise ValueError("two loads of the same name would write the same target")
+        # Two loads of one name would write one target: neither runs.
+        named = Counter(s.name for s in specs)
+        refused = {**(refused or {}), **{n: "two loads of the same name would write the same target" for n, c in named.items() if c > 1}}
+        specs = [s for s in specs if named[s.name] == 1]
 
         def one(spec: LoadSpec) -> LoadStats:
             self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
@@ -210,7 +213,7 @@ class Stage:
         with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(specs)))) as pool:
             done = list(pool.map(inheritable_thread_target(self.spark)(one), specs))
         done += [LoadStats(name, first_error=cause, start_time=_now(), end_time=_now(), status=FAILED)
-                 for name, cause in (refused or {}).items()]
+                 for name, cause in refused.items()]
         return stats_frame(self.spark, done)
 
     def _incoming(self, spec: LoadSpec, mark: str | None, session_start: str) -> DataFrame:

@@ -16,7 +16,7 @@ def highest(df: DataFrame, delta: Delta, mark: str | None = None) -> DataFrame:
     """One row: the highest delta value as text, never below ``mark``; NULLs are skipped."""
     top = F.max(delta.value)
     if mark is not None:
-        top = F.greatest(top, delta.literal(mark))
+        top = F.greatest(top, delta.literal(mark, delta.type_in(df)))
     return df.agg(delta.as_text(top).alias("mark"))
 
 

@@ -179,9 +179,7 @@ def incremental_load_two_runs(spark, sf_dir):
 def stream_incremental_merge(spark, sf_dir):
     """The same change set arriving as files of a stream, one micro-batch each, on a sliced target."""
     folder = new_workdir(spark, "stream")
-    # Sixteen slices at any size of the table.
-    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    target = VersionedTable(spark, f"{folder}/target", EVENTS.target_schema(), slice_by=f"event_id div {top // 16 + 1}")
+    target = VersionedTable(spark, f"{folder}/target", EVENTS.target_schema(), slice_by="event_id div 4096")
     target.write(audit_stamp(EVENTS.project(early_events(spark, sf_dir)), RUN1))
     incoming = EVENTS.project(changed_events(spark, sf_dir)).where(F.col("ts") > timestamp_literal(EVENT_MARK))
     incoming.repartition(2, "event_id").write.parquet(f"{folder}/incoming")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,12 +23,11 @@ SETTINGS = {
 # One shuffle partition is planned per this many bytes of the largest table; those
 # that turn out small are merged at run time, those too large spill.
 BYTES_PER_PARTITION = 256 * 2**20
-MAX_PARTITIONS = 100_000
 
 
 def planned_partitions(largest_table_bytes: int) -> int:
     """How many shuffle partitions to start from for tables of this size."""
-    return max(200, min(MAX_PARTITIONS, -(-largest_table_bytes // BYTES_PER_PARTITION)))
+    return max(200, -(-largest_table_bytes // BYTES_PER_PARTITION))
 
 
 def get_spark(
@@ -54,22 +51,12 @@ def get_spark(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be invisible to the other nodes.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or ``spark.tidemark.dir`` where that is unset."""
+    named = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+             or spark.conf.get("spark.tidemark.dir", None))
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return named.rstrip("/")
 
 
 def new_workdir(spark: SparkSession, label: str) -> str:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import Contract
 from tidemark.functions import rowversion
@@ -45,23 +47,31 @@ class Delta:
     def first_mark(self) -> str:
         return {"datetime": FIRST_DATETIME, "rowversion": FIRST_VERSION}.get(self.kind, FIRST_NUMBER)
 
-    def literal(self, mark: str) -> Column:
-        """The mark as a constant of the column's own kind, so that the scan can skip row groups by it."""
+    def literal(self, mark: str, data_type: T.DataType | None = None) -> Column:
+        """The mark as a constant of the column's own type, exactly, so that the scan can skip row groups by it.
+
+        Without a type a number is as wide as its text asks for.
+        """
         if self.kind == "datetime":
             return timestamp_literal(mark)
         if self.kind == "rowversion":
             return rowversion.literal(mark)
-        return F.lit(int(mark)) if mark.lstrip("-").isdigit() else F.lit(mark).cast("decimal(38,10)")
+        if self.kind == "numeric" and isinstance(data_type, T.NumericType):
+            return F.lit(mark).cast(data_type)
+        return F.lit(int(mark)) if mark.lstrip("-").isdigit() else F.lit(Decimal(mark))
 
     @property
     def value(self) -> Column:
         return F.lit(1) if self.kind == "constant" else F.col(self.column)
 
-    def after(self, mark: str) -> Column:
-        return self.value > self.literal(mark)
+    def type_in(self, df: DataFrame) -> T.DataType | None:
+        return df.schema[self.column].dataType if self.column in df.columns else None
+
+    def after(self, mark: str, data_type: T.DataType | None = None) -> Column:
+        return self.value > self.literal(mark, data_type)
 
-    def up_to(self, mark: str) -> Column:
-        return self.value <= self.literal(mark)
+    def up_to(self, mark: str, data_type: T.DataType | None = None) -> Column:
+        return self.value <= self.literal(mark, data_type)
 
     def as_text(self, value: Column) -> Column:
         """A value of this column in the form in which marks are stored."""
@@ -95,9 +105,9 @@ def extract(
     if where is not None:
         df = df.where(F.expr(where))
     elif delta is not None:
-        df = df.where(delta.after(mark if mark is not None else delta.first_mark))
+        df = df.where(delta.after(mark if mark is not None else delta.first_mark, delta.type_in(df)))
         if upper is not None:
-            df = df.where(delta.up_to(upper))
+            df = df.where(delta.up_to(upper, delta.type_in(df)))
     if contract is not None:
         df = contract.project(df)
     if distinct:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE = "_slice"
-MAX_SLICES = 20_000
+SLICES = 1024
 _VERSION = re.compile(r"v_(\d{8})(?:-[\w-]+)?$")
 
 
@@ -46,11 +46,12 @@ class SharedFiles:
 class VersionedTable:
     """A target table kept as numbered versions.
 
-    ``slice_by`` is a SQL expression over immutable key columns with a bounded
-    number of values (a range of ids, a month). Each version then holds only the
-    slices it rewrote, whole, and the current table is the newest copy of every
-    slice: a delta merge reads and writes the slices its keys fall into and leaves
-    the rest of the table alone.
+    ``slice_by`` is a SQL expression over immutable key columns (a range of ids, a
+    month); its values, NULL among them, are dealt to ``slices`` numbered slices by a
+    hash. Each version then holds only the slices it rewrote, whole, and the current
+    table is the newest copy of every slice: a delta merge reads and writes the slices
+    its keys fall into and leaves the rest of the table alone. More slices make a
+    smaller rewrite; their number is part of the layout and bounds what is listed.
 
     ``bucket_by`` (key columns and a number of buckets) is for tables merged with
     whole snapshots: the files keep the layout a join on the keys needs, so each
@@ -65,11 +66,14 @@ class VersionedTable:
         schema: T.StructType,
         slice_by: str | None = None,
         bucket_by: tuple[Sequence[str], int] | None = None,
+        slices: int = SLICES,
     ):
         if slice_by and bucket_by:
             raise ValueError("a table is either sliced or bucketed")
+        if slices < 1:
+            raise ValueError("a table has one slice at least")
         self.spark, self.path, self.schema = spark, path.rstrip("/"), _all_nullable(schema)
-        self.slice_by, self.bucket_by = slice_by, bucket_by
+        self.slice_by, self.bucket_by, self.slices = slice_by, bucket_by, slices
         self.files = SharedFiles(spark, self.path)
 
     @property
@@ -82,7 +86,7 @@ class VersionedTable:
         if self.bucket_by:
             keys, count = self.bucket_by
             return f"b{count}-{_digest(','.join(keys))}"
-        return f"s-{_digest(self.slice_by)}" if self.slice_by else ""
+        return f"s{self.slices}-{_digest(self.slice_by)}" if self.slice_by else ""
 
     def versions(self) -> list[int]:
         return [v for v, _ in self._committed()]
@@ -103,7 +107,7 @@ class VersionedTable:
         layout = _layout(newest)
         if self.bucket_by and layout == self.layout:
             return self._read_bucketed(version, newest)
-        if not layout.startswith("s-"):
+        if not layout.startswith("s"):
             return self.spark.read.schema(self.schema).parquet(newest)
         current = self._current_slices(committed)
         wanted = current if slices is None else {s: current[s] for s in slices if s in current}
@@ -112,16 +116,13 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(*wanted.values())
 
     def slices_of(self, df: DataFrame) -> list[str] | None:
-        """The slices the rows of ``df`` fall into; a table has ``MAX_SLICES`` at most.
+        """The slices the rows of ``df`` fall into: no more numbers than the layout has slices.
 
         None stands for the whole table: it has no slices, or none by this expression yet.
         """
-        if self.slice_by is None:
+        if self.slice_by is None or not self._in_layout():
             return None
-        rows = df.select(self._slice()).distinct().limit(MAX_SLICES + 1).collect()
-        if len(rows) > MAX_SLICES:
-            raise ValueError(f"{self.slice_by} gives more than {MAX_SLICES} slices")
-        return sorted(r[0] for r in rows) if self._in_layout() else None
+        return sorted(r[0] for r in df.select(self._slice()).distinct().collect())
 
     def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
@@ -174,7 +175,7 @@ class VersionedTable:
         """Slice value -> folder of its newest copy, among the latest versions of one layout."""
         newest: dict[str, str] = {}
         layout = _layout(committed[-1][1]) if committed else ""
-        if not layout.startswith("s-"):
+        if not layout.startswith("s"):
             return newest
         for _, folder in reversed(committed):
             if _layout(folder) != layout:
@@ -214,7 +215,8 @@ class VersionedTable:
         return f"tidemark_{_digest(self.path)}_{version}"
 
     def _slice(self):
-        return F.expr(self.slice_by).cast("string").alias(SLICE)
+        value = F.coalesce(F.expr(self.slice_by).cast("string"), F.lit(""))
+        return F.pmod(F.xxhash64(value), F.lit(self.slices)).cast("string").alias(SLICE)
 
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
