@@ -270,7 +270,8 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     grouped = land(keys.join(heads, "key").join(single, F.col("id") == F.col("own")).select("key", "head", "id", "n"), "grouped")
     first = land(grouped.where("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "first")
     needed = first.select(F.col("a").alias("id")).union(first.select("b")).distinct()
-    sets = land(_members(source.join(needed, "id", "left_semi"), rule), "sets")
+    # One plan at every size: what the ids of candidates weigh is not bounded, so they are not broadcast.
+    sets = land(_members(source.join(needed.hint("merge"), "id", "left_semi"), rule), "sets")
 
     is_link = f"{rule.whole} * shared >= {rule.part} * total"
     checked = land(_verified(first, sets), "checked")
