@@ -84,9 +84,9 @@ QUERIES = {f.__name__: f for f in (
     op8_repeat_removal, op9_top_products, op10_personal_data)}
 
 TOP_PRODUCTS_SQL = """
-WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
      s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
            FROM t q JOIN t d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
