@@ -230,3 +230,33 @@ def test_runnable_stops_on_a_problem(control):
     assert runnable(plan.where("table_name = 'a'")).count() == 1
     with pytest.raises(PySparkException, match="load of s.c: no delta condition"):
         runnable(plan).collect()
+
+
+@pytest.mark.parametrize("column, source, value, reason", [
+    (Column("v", "decimal", precision=6, scale=2), "string", "12.3456", "v: precision"),
+    (Column("v", "decimal", precision=6, scale=2), "string", "12.340", None),
+    (Column("v", "decimal", precision=6, scale=2), "double", 0.1, None),
+    (Column("v", "decimal", precision=6, scale=2), "double", 0.125, "v: precision"),
+    (Column("v", "money"), "string", "1.00009", "v: precision"),
+    (Column("v", "int"), "double", 1.9, "v: precision"),
+    (Column("v", "int"), "double", -2.0, None),
+    (Column("v", "int"), "string", " 7 ", None),
+    (Column("v", "bigint"), "string", "123456789012345678", None),
+    (Column("v", "decimal", precision=38, scale=0), "string", "99999999999999999999999999999999999999", None),
+    (Column("v", "float"), "string", "0.1", None),
+])
+def test_numbers_that_lose_digits_are_set_aside(spark, column, source, value, reason):
+    rows = spark.createDataFrame([(value,), (None,)], f"v {source}")
+    got = [r[0] for r in classify(rows, Contract([column])).select("reject_reason").collect()]
+    assert got == [reason, None]
+
+
+@pytest.mark.parametrize("limit, want", [("10MB", 10 * 2**20), ("1t", 2**40), ("-1", -1)])
+def test_broadcast_limit(spark, limit, want):
+    from tidemark.operators.merge import broadcast_limit
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert broadcast_limit(spark) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

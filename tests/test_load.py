@@ -366,3 +366,71 @@ def test_hooks_run_in_order(spark, stage):
                 post_source=lambda _: seen.append("post"), post_load=lambda _: seen.append("load"))
     stage.run(load, AT[0])
     assert seen == ["pre", "post", "load"]
+
+
+def balanced(s):
+    return s.src_success_rows == s.inserted_rows + s.updated_rows + s.unchanged_rows + s.repeated_rows + s.tgt_failed_rows
+
+
+@pytest.mark.parametrize("delta", [TIME, Delta.constant()])
+def test_every_row_read_is_counted(spark, stage, delta):
+    one = people(spark, (1, "a", DAY[0]), (2, "b", DAY[0]), (2, "z", DAY[1]), (3, "toolong", DAY[1]), (None, "n", DAY[1]))
+    first = stage.run(spec(one, delta=delta), AT[0])
+    assert balanced(first) and (first.inserted_rows, first.repeated_rows, first.tgt_failed_rows) == (2, 1, 2)
+    two = people(spark, (1, "a", DAY[2]), (2, "z", DAY[1]), (4, "d", DAY[3]))
+    second = stage.run(spec(two, delta=delta), AT[1])
+    assert balanced(second) and second.updated_rows == 1
+    assert second.unchanged_rows == (1 if delta.kind == "constant" else 0)
+
+
+def test_repeated_key_of_a_unique_source_fails(spark, stage):
+    rows = people(spark, (1, "a", DAY[0]), (1, "b", DAY[0]), (2, "c", DAY[0]))
+    with pytest.raises(ValueError, match="1 rows repeat a key"):
+        stage.run(spec(rows, unique_source=True), AT[0])
+    assert stage.target(spec(rows)).count() == 0
+    clean = stage.run(spec(rows.where("name <> 'b'"), unique_source=True), AT[1])
+    assert clean.inserted_rows == 2
+
+
+@pytest.mark.parametrize("more", [{}, {"buckets": 2}])
+def test_rejected_row_does_not_delete_its_key(spark, stage, more):
+    how = {"delta": Delta.constant(), **more}
+    stage.run(spec(people(spark, (1, "a", DAY[0]), (2, "b", DAY[0]), (3, "c", DAY[0])), **how), AT[0])
+    later = people(spark, (1, "toolong", DAY[1]), (3, "c", DAY[0]), (3, "toolong", DAY[0]), (9, "toolong", DAY[0]), (None, "x", DAY[0]))
+    stats = stage.run(spec(later, **how), AT[1])
+    assert balanced(stats) and (stats.deleted_rows, stats.unchanged_rows, stats.tgt_failed_rows) == (1, 1, 4)
+    assert result(stage.target(spec(later, **how)), "id", "name", MODIFIED, DELETED) == [
+        (1, "a", WHEN[0], 0), (2, "b", WHEN[1], 1), (3, "c", WHEN[0], 0)]
+
+
+def test_rejects_outlive_the_next_run(spark, stage):
+    stage.run(spec(people(spark, (1, "toolong", DAY[0]))), AT[0])
+    later = spec(people(spark, (2, "b", DAY[1]), (3, "toolong", DAY[2])))
+    stage.run(later, AT[1])
+    assert stage.rejects(later).count() == 1
+    assert stage.reject_history(later).count() == 2
+
+
+@pytest.mark.parametrize("more", [{}, {"slice_by": "id div 10"}, {"buckets": 2}])
+def test_files_stay_bounded_over_many_runs(spark, stage, more):
+    sizes = []
+    for run in range(6):
+        rows = people(spark, (1, f"v{run}", DAY[run]), (11, f"w{run}", DAY[run]))
+        one = spec(rows, keep_versions=2, **more)
+        stage.run(one, AT[run])
+        sizes.append(len(stage.table(one).versions()))
+        assert result(stage.target(one), "id", "name") == [(1, f"v{run}"), (11, f"w{run}")]
+    assert sizes == [1, 2, 2, 2, 2, 2]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidemark_")]
+
+
+def test_superseded_slices_and_unfinished_versions_go(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), PEOPLE.target_schema(), slice_by="id")
+    from tidemark.operators.merge import audit_stamp
+    table.write(audit_stamp(people(spark, (1, "a", DAY[0]), (2, "b", DAY[0])), AT[0]))
+    (tmp_path / "t" / f"v_00000002-{table.layout}").mkdir()
+    table.write(audit_stamp(people(spark, (1, "c", DAY[0])), AT[0]))
+    table.expire(keep=1)
+    assert table.versions() == [1, 3] and len(list((tmp_path / "t").iterdir())) == 2
+    assert len([n for n in table.files.names(table.folder(1)) if "=" in n]) == 1
+    assert result(table.read(), "id", "name") == [(1, "c"), (2, "b")]

@@ -70,3 +70,10 @@ def test_fragments_follow_their_ordinals(spark):
     df = spark.createDataFrame([("t", 10, "c"), ("t", 2, "b"), ("t", 1, "a"), ("u", 1, None)], "g string, n int, x string")
     got = dict(map(tuple, ordered_concat(df, ["g"], "n", "x", ",", "s").collect()))
     assert got == {"t": "a,b,c", "u": None}
+
+
+def test_delimiter_is_a_value(spark):
+    from tidemark.operators.numbering import ordered_concat
+    rows = spark.createDataFrame([(1, 2, "b"), (1, 1, "a")], "g int, n int, t string")
+    for delimiter in ("'", "\\", "', '", '"'):
+        assert ordered_concat(rows, ["g"], "n", "t", delimiter, "x").first().x == f"a{delimiter}b"

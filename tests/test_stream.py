@@ -5,7 +5,7 @@ import datetime as dt
 from tidemark.contract import CREATED, MODIFIED, Column, Contract
 from tidemark.operators.merge import audit_stamp
 from tidemark.sources.storage import VersionedTable
-from tidemark.streaming.continuous import merge_batch, read_stream, start_merge_stream
+from tidemark.streaming.continuous import merge_batch, read_stream, start_merge_stream, stream_rejects
 
 PEOPLE = Contract([
     Column("id", "bigint", key=True, nullable=False),
@@ -53,3 +53,23 @@ def test_empty_batch_writes_no_version(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), PEOPLE.target_schema())
     merge_batch(people(spark), table, PEOPLE, "2024-02-01")
     assert table.versions() == []
+
+
+def test_rejects_of_a_stream_are_kept(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), PEOPLE.target_schema())
+    assert stream_rejects(spark, table).count() == 0
+    merge_batch(people(spark, (1, "a", DAY[0]), (2, "toolong", DAY[0])), table, PEOPLE, "2024-02-01", "changed", 0)
+    merge_batch(people(spark, (None, "b", DAY[0])), table, PEOPLE, "2024-02-02", "changed", 1)
+    merge_batch(people(spark, (None, "b", DAY[0])), table, PEOPLE, "2024-02-02", "changed", 1)  # a replay
+    assert sorted((r.batch, r.reject_reason) for r in stream_rejects(spark, table).collect()) == [(0, "name: length"), (1, "id: not null")]
+    assert [r.id for r in table.read().collect()] == [1]
+
+
+def test_older_rows_do_not_win_in_a_later_batch(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), PEOPLE.target_schema(), slice_by="id")
+    batches = [(1, "new", DAY[4]), (1, "old", DAY[1]), (1, "none", None), (1, "same", DAY[4])]
+    seen = []
+    for number, row in enumerate(batches):
+        merge_batch(people(spark, row), table, PEOPLE, "2024-02-01", "changed", number)
+        seen += [r.name for r in table.read().collect()]
+    assert seen == ["new", "new", "new", "same"]

@@ -15,8 +15,9 @@ from tidemark.operators.joins import distinct_keys
 
 ACTION = "merge_action"
 UNCHANGED, UPDATED, INSERTED, SOFT_DELETED = "unchanged", "updated", "inserted", "deleted"
+MATCHED = "merge_matched"
 _SRC = "_src_"
-_INSERT, _UPDATE, _DELETE = "_insert", "_update", "_delete"
+_INSERT, _UPDATE, _DELETE, _HELD = "_insert", "_update", "_delete", "_held"
 
 
 def row_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -59,6 +60,9 @@ def merge(
     unique_target: bool = True,
     source_bytes: int | None = None,
     with_action: bool = False,
+    with_matched: bool = False,
+    held: DataFrame | None = None,
+    newer_by: str | None = None,
 ) -> DataFrame:
     """The target after the merge, as a plan; nothing is written.
 
@@ -68,6 +72,12 @@ def merge(
     one partition of an outer join, so they go around it unless the caller knows
     that there are none (``keys_not_null``).
 
+    ``held`` lists keys the source has although their rows are not merged (they were
+    rejected): the target rows stay as they are, and nothing is inserted for them.
+    With ``newer_by``, a source row whose value there is below the target's, or NULL
+    where the target has one, changes nothing. ``with_matched`` adds a flag: the row
+    comes from the source or has its key.
+
     Three physical forms, same rows:
     * a full outer join, one shuffle of either side (none for a side bucketed on
       the keys), when the target is unique on the keys;
@@ -90,21 +100,32 @@ def merge(
 
     renamed = source.select(*[F.col(c).alias(_SRC + c) for c in target.columns])
     on = reduce(Column.__and__, [F.col(k) == F.col(_SRC + k) for k in keys])
-    small = source_bytes is not None and source_bytes <= broadcast_limit(source.sparkSession)
+    # The measured size says nothing about the keys held back.
+    small = held is None and source_bytes is not None and source_bytes <= broadcast_limit(source.sparkSession)
+    if held is not None:
+        known_keys = distinct_keys(source, keys)
+        others = held.select(*keys).dropna().distinct().join(known_keys, keys, "left_anti")
+        others = others.select(*[F.col(k).alias(_SRC + k) for k in keys], F.lit(True).alias(_HELD))
+        renamed = renamed.withColumn(_HELD, F.lit(False)).unionByName(others, allowMissingColumns=True)
+    else:
+        renamed = renamed.withColumn(_HELD, F.lit(False))
 
     if small or not unique_target:
         # The hint gives the source a shuffle of its own, without which Spark would not
         # split a hot key of the target if the source was partitioned on the keys before.
         side = F.broadcast(renamed) if small else renamed.hint("rebalance")
         known = target.join(side, on, "left")
-        result = _resolve(known, target.columns, keys, compare, merge_ts, rules)
+        result = _resolve(known, target.columns, keys, compare, merge_ts, rules, newer_by)
         result = result.unionByName(_label(new_rows(source, target, keys, small), INSERTED))
     else:
         paired = target.join(renamed, on, "full")
-        result = _resolve(paired, target.columns, keys, compare, merge_ts, rules)
+        if held is not None:
+            paired = paired.where(F.col(keys[0]).isNotNull() | ~F.col(_HELD))
+        result = _resolve(paired, target.columns, keys, compare, merge_ts, rules, newer_by)
     if spare is not None:
         result = result.unionByName(spare)
-    return result if with_action else result.drop(ACTION)
+    unwanted = [c for c, wanted in ((ACTION, with_action), (MATCHED, with_matched)) if not wanted]
+    return result.drop(*unwanted)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:
@@ -187,15 +208,25 @@ def apply_row_actions(
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's own bound on what may be broadcast, in bytes."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    text = text.strip().lower()
-    digits = text.rstrip("bkmgtp")
-    unit = text[len(digits):].removesuffix("b")
-    return int(digits) * 2 ** (10 * " kmgtp".index(unit or " "))
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def memory_bytes(df: DataFrame, rows: int | None = None) -> int:
+    """The size of a landed diff in memory: a fixed part per value, and its texts as they are measured."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    if rows is None or texts:
+        found = df.agg(F.count(F.lit(1)).alias("rows"), sum(lengths, F.lit(0)).alias("bytes")).first()
+        return fixed_bytes(df, found["rows"]) + found["bytes"]
+    return fixed_bytes(df, rows)
+
+
+def fixed_bytes(df: DataFrame, rows: int) -> int:
+    return rows * (16 * len(df.columns) + 32)
 
 
 def _label(df: DataFrame, action: str) -> DataFrame:
-    return df.withColumn(ACTION, F.lit(action))
+    return df.withColumns({ACTION: F.lit(action), MATCHED: F.lit(True)})
 
 
 def _gone(target: DataFrame, merge_ts: str, rules: MergeRules) -> DataFrame:
@@ -205,6 +236,7 @@ def _gone(target: DataFrame, merge_ts: str, rules: MergeRules) -> DataFrame:
         MODIFIED: F.when(marked, timestamp_literal(merge_ts)).otherwise(F.col(MODIFIED)),
         DELETED: F.when(marked, F.lit(1)).otherwise(F.col(DELETED)),
         ACTION: F.when(marked, F.lit(SOFT_DELETED)).otherwise(F.lit(UNCHANGED)),
+        MATCHED: F.lit(False),
     })
 
 
@@ -221,6 +253,7 @@ def _resolve(
     compare: Sequence[str],
     merge_ts: str,
     rules: MergeRules,
+    newer_by: str | None = None,
 ) -> DataFrame:
     """One output row per pair; an outer side shows as NULL in its (non-null) key."""
     src = {c: F.col(_SRC + c) for c in columns}
@@ -228,10 +261,13 @@ def _resolve(
     differs = row_differs([src[c] for c in compare], [F.col(c) for c in compare]) if compare else F.lit(False)
     if rules.undelete:
         differs = differs | (F.col(DELETED) == 1)
+    if newer_by is not None:
+        older = F.coalesce(src[newer_by] < F.col(newer_by), src[newer_by].isNull() & F.col(newer_by).isNotNull())
+        differs = differs & ~older
     # Decided once per row; the columns below only test these flags.
     decided = paired.withColumns({
         _INSERT: ~old,
-        _UPDATE: old & new & differs,
+        _UPDATE: old & new & ~F.col(_HELD) & differs,
         _DELETE: ~new & _marks_deleted(rules),
     })
     insert, update, delete = F.col(_INSERT), F.col(_UPDATE), F.col(_DELETE)
@@ -248,5 +284,6 @@ def _resolve(
         .when(update, F.lit(UPDATED))
         .when(delete, F.lit(SOFT_DELETED))
         .otherwise(F.lit(UNCHANGED)).alias(ACTION),
+        (new & ~F.col(_HELD)).alias(MATCHED),
     ]
     return decided.select(*out)

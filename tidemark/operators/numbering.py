@@ -63,7 +63,8 @@ def ordered_concat(df: DataFrame, group: Sequence[str], ordinal: str, text: str,
     (group, ordinal) must be unique, so a group holds no more fragments than there
     are ordinals (the columns of a table, the lines of an order).
     """
-    spec = f"listagg(`{text}`, '{delimiter}') WITHIN GROUP (ORDER BY `{ordinal}`)"
+    quoted = delimiter.replace("\\", "\\\\").replace("'", "\\'")
+    spec = f"listagg(`{text}`, '{quoted}') WITHIN GROUP (ORDER BY `{ordinal}`)"
     return df.groupBy(*group).agg(F.expr(spec).alias(name))
 
 

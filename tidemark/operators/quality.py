@@ -60,6 +60,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def _exact(spark_type: T.DataType) -> bool:
+    return isinstance(spark_type, (T.DecimalType, T.IntegralType))
+
+
+def _loses_digits(raw: Column, value: Column, source_type: T.DataType) -> Column:
+    """True where the converted number is no longer the one that was read."""
+    if isinstance(source_type, T.StringType):
+        # Eighteen more digits than any scale in use here; a number too long for that is compared as a double.
+        wide = raw.try_cast(T.DecimalType(38, 18))
+        return F.coalesce(wide != value, raw.try_cast("double") != value.cast("double"), F.lit(False))
+    return F.coalesce(value.try_cast(source_type) != raw, value.isNotNull())
+
+
 def _broken_rule(c: ContractColumn, raw: Column, value: Column, source_type: T.DataType) -> Column:
     tests: list[tuple[Column, str]] = []
     if c.key or not c.nullable:
@@ -69,6 +82,8 @@ def _broken_rule(c: ContractColumn, raw: Column, value: Column, source_type: T.D
         tests.append((raw.isNotNull() & value.isNull() & raw.try_cast("double").isNotNull(), PRECISION))
     if source_type != c.spark_type:
         tests.append((raw.isNotNull() & value.isNull(), CONVERSION))
+        if _exact(c.spark_type):
+            tests.append((_loses_digits(raw, value, source_type), PRECISION))
     if c.type_name in VALUE_RANGES:
         low, high = VALUE_RANGES[c.type_name]
         tests.append((~value.between(low, high), RANGE))

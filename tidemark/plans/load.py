@@ -33,7 +33,9 @@ class LoadSpec:
     missing_rows: what an Increment does to target keys the diff lacks. ``auto``
     soft-deletes them only when the diff is a snapshot of the source; a delta says
     nothing about the rows it does not hold. ``soft_delete`` is the literal rule.
-    unique_source: the source is known to be unique on its keys (no dedupe).
+    unique_source: the source is declared unique on its keys: no dedupe, and a
+    repeated key fails the load before anything is merged.
+    keep_versions: how many versions of the target stay; all if not given.
     slice_by, buckets: see VersionedTable; slices pay off for delta loads, buckets
     (a number) for snapshots of a table too large to shuffle on every run.
     """
@@ -50,6 +52,7 @@ class LoadSpec:
     unique_source: bool = False
     slice_by: str | None = None
     buckets: int | None = None
+    keep_versions: int | None = None
     pre_source: Hook = None
     post_source: Hook = None
     post_load: Hook = None
@@ -91,7 +94,13 @@ class LoadSpec:
 
 @dataclass
 class LoadStats:
-    """What one load read, loaded and set aside."""
+    """What one load read, loaded and set aside.
+
+    Rows read (``src_success_rows``) = inserted + updated + unchanged + repeated + set
+    aside (``tgt_failed_rows``). Repeated rows are those of a key that lost to a later
+    one. ``src_failed_rows`` of the rows set aside held a value that could not be read
+    in its declared type.
+    """
 
     load_name: str
     src_success_rows: int = 0
@@ -103,6 +112,8 @@ class LoadStats:
     inserted_rows: int = 0
     updated_rows: int = 0
     deleted_rows: int = 0
+    unchanged_rows: int = 0
+    repeated_rows: int = 0
     mark: str | None = None
     start_time: datetime | None = None
     end_time: datetime | None = None
@@ -111,7 +122,7 @@ class LoadStats:
 
 STATS_SCHEMA = """load_name string, src_success_rows long, src_failed_rows long, tgt_success_rows long,
     tgt_failed_rows long, total_trans_errors long, first_error string, inserted_rows long, updated_rows long,
-    deleted_rows long, mark string, start_time timestamp_ntz, end_time timestamp_ntz, status string"""
+    deleted_rows long, unchanged_rows long, repeated_rows long, mark string, start_time timestamp_ntz, end_time timestamp_ntz, status string"""
 
 
 @dataclass
@@ -140,11 +151,16 @@ class Stage:
         return self._landed(spec).where(F.col(REASON).isNull()).select(*spec.contract.target_schema().names)
 
     def rejects(self, spec: LoadSpec) -> DataFrame:
-        """The rows the last run set aside."""
+        """The rows the last run set aside; ``reject_history`` has those of all runs."""
         if spec.pattern == FULL:
             return self.spark.read.schema(f"{REASON} string, {RAW_ROW} string").parquet(self._reject_path(spec))
         return self._landed(spec).where(F.col(REASON).isNotNull()).select(REASON, RAW_ROW)
 
+    def reject_history(self, spec: LoadSpec) -> DataFrame:
+        """The rows that runs of an Increment or Append set aside, which the mark has passed."""
+        schema = self.rejects(spec).schema
+        return read_appended(self.spark, f"{self.root}/{spec.name}_rejects", schema)
+
     def run(self, spec: LoadSpec, session_start: str, merge_ts: str | None = None) -> LoadStats:
         """Extract, land, merge, then move the mark. Errors reach the caller.
 
@@ -164,6 +180,8 @@ class Stage:
 
         if spec.pattern != FULL:
             self._count(spec, mark, stats)
+            if stats.tgt_failed_rows:
+                append_run(self.rejects(spec), f"{self.root}/{spec.name}_rejects", _folder_name(f"{session_start} {mark}"))
         if spec.pattern == APPEND:
             # The mark a run starts from names it: a replay starts from the same one.
             rows = self.diff(spec).select(*spec.contract.names)
@@ -172,6 +190,8 @@ class Stage:
         elif spec.pattern == INCREMENT:
             self._merge(spec, merge_ts or session_start, stats)
         run_hook(self.spark, spec.post_load)
+        if spec.keep_versions and spec.pattern != APPEND:
+            self.table(spec).expire(spec.keep_versions)
 
         if spec.keeps_mark and stats.mark is not None and stats.mark != mark:
             self.marks.commit(spec.name, spec.delta, stats.mark, session_start)
@@ -251,7 +271,7 @@ class Stage:
         stats.src_success_rows = counts["read"]
         stats.tgt_failed_rows = counts["bad"]
         stats.tgt_success_rows = counts["read"] - counts["bad"]
-        stats.total_trans_errors = counts["unreadable"]
+        stats.src_failed_rows = stats.total_trans_errors = counts["unreadable"]
         stats.first_error = counts["first_error"]
 
     def _count(self, spec: LoadSpec, mark: str | None, stats: LoadStats) -> None:
@@ -259,18 +279,26 @@ class Stage:
         counts = _row_counts()
         if spec.keeps_mark:
             counts.append(spec.target_delta.as_text(F.max(spec.target_delta.value)).alias("top"))
+        checked = spec.pattern == INCREMENT and spec.unique_source
+        if checked:
+            counts.append(F.count_distinct(F.when(F.col(REASON).isNull(), F.struct(*spec.contract.keys))).alias("keys"))
         row = self._landed(spec).agg(*counts).first().asDict()
         self._note(row, stats)
+        if checked and row["keys"] != stats.tgt_success_rows:
+            raise ValueError(f"{spec.name}: {stats.tgt_success_rows - row['keys']} rows repeat a key of a source declared unique")
         if spec.keeps_mark:
             stats.mark = row["top"] if row["top"] is not None else mark
 
     def _merge(self, spec: LoadSpec, merge_ts: str, stats: LoadStats) -> None:
         rules, table, diff = spec.merge_rules, self.table(spec), self.diff(spec)
-        slices = None
+        slices = held = None
         if rules.not_matched_by_source == "ignore":
             if stats.tgt_success_rows == 0:
                 return  # an empty delta changes nothing
             slices = table.slices_of(diff)
+        elif stats.tgt_failed_rows:
+            # The source still has these keys, so they have not vanished.
+            held = self._landed(spec).where(F.col(REASON).isNotNull()).select(*spec.contract.keys)
         if not spec.unique_source:
             order = [spec.target_delta.value.desc_nulls_last()] if spec.keeps_mark else []
             diff = dedupe_latest(diff, spec.contract.keys, order)
@@ -279,26 +307,23 @@ class Stage:
             keys_not_null=True,  # the contract rejects NULL keys before they land
             # A bucketed table is joined along its buckets, which keeps the layout.
             source_bytes=None if spec.buckets else self._diff_bytes(spec, stats.tgt_success_rows),
-            with_action=True)
+            with_action=True, with_matched=True, held=held)
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
-        table.write(merged, last=lambda df: df.observe(seen, *hits.values()))
+        same = F.count_if((F.col(m.ACTION) == m.UNCHANGED) & F.col(m.MATCHED)).alias(m.UNCHANGED)
+        table.write(merged, last=lambda df: df.observe(seen, *hits.values(), same))
         stats.inserted_rows, stats.updated_rows, stats.deleted_rows = (seen.get[a] for a in hits)
+        stats.unchanged_rows = seen.get[m.UNCHANGED]
+        used = stats.inserted_rows + stats.updated_rows + stats.unchanged_rows
+        stats.repeated_rows, stats.tgt_success_rows = stats.tgt_success_rows - used, used
 
     def _diff_bytes(self, spec: LoadSpec, rows: int) -> int | None:
         """Measured size of the accepted rows in memory; None once it is beyond any broadcast.
 
         The text is only measured when the fixed part alone could still fit.
         """
-        schema = spec.contract.target_schema()
-        fixed = rows * (16 * len(schema) + 32)
-        if fixed > m.broadcast_limit(self.spark):
-            return None
-        texts = [f.name for f in schema if f.dataType.typeName() in ("string", "binary")]
-        if not texts:
-            return fixed
-        lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
-        return fixed + self.diff(spec).agg(sum(lengths[1:], lengths[0]).alias("bytes")).first()["bytes"]
+        diff = self.diff(spec)
+        return None if m.fixed_bytes(diff, rows) > m.broadcast_limit(self.spark) else m.memory_bytes(diff, rows)
 
 
 def _row_counts() -> list[Column]:

@@ -8,6 +8,7 @@ it was. Nothing overwrites files that a plan still reads.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 from hashlib import md5
 
@@ -151,12 +152,25 @@ class VersionedTable:
         return self.write(self._empty())
 
     def expire(self, keep: int = 2) -> None:
-        """Remove versions older than the ``keep`` newest that hold no current rows."""
+        """Remove what is older than the ``keep`` newest versions and holds no current rows.
+
+        That is whole versions, superseded slices of versions that hold current ones,
+        and versions below the newest that were never finished (a table has one writer).
+        """
         committed = self._committed()
-        current = {path.rsplit("/", 1)[0] for path in self._current_slices(committed).values()}
+        current = set(self._current_slices(committed).values())
+        in_use = {path.rsplit("/", 1)[0] for path in current}
         for _, folder in committed[:-keep]:
-            if folder not in current:
+            if folder not in in_use:
                 self.files.remove(folder)
+                continue
+            for name in self.files.names(folder):
+                if name.startswith(SLICE + "=") and f"{folder}/{name}" not in current:
+                    self.files.remove(f"{folder}/{name}")
+        finished = {folder for _, folder in committed}
+        for m in map(_VERSION.match, self.files.names(self.path)):
+            if m and committed and int(m.group(1)) < committed[-1][0] and f"{self.path}/{m.group(0)}" not in finished:
+                self.files.remove(f"{self.path}/{m.group(0)}")
 
     def _committed(self) -> list[tuple[int, str]]:
         """Version and folder of every finished write, oldest first."""
@@ -202,17 +216,19 @@ class VersionedTable:
         self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
 
     def _read_bucketed(self, version: int, folder: str) -> DataFrame:
-        """The catalog entry tells Spark that the files are bucketed."""
+        """A catalog entry tells Spark that the files are bucketed; the plan holds that on, so the entry goes at once."""
         keys, count = self.bucket_by
         name = self._catalog_name(version)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+            f"CREATE TABLE {name} ({columns}) USING parquet "
             f"CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {count} BUCKETS LOCATION '{folder}'")
-        return self.spark.table(name)
+        rows = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
+        return rows
 
     def _catalog_name(self, version: int) -> str:
-        return f"tidemark_{_digest(self.path)}_{version}"
+        return f"tidemark_{_digest(self.path)}_{version}_{uuid.uuid4().hex[:8]}"
 
     def _slice(self):
         value = F.coalesce(F.expr(self.slice_by).cast("string"), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contract import Contract
-from tidemark.operators.merge import MergeRules, audit_stamp, merge
-from tidemark.operators.quality import accepted, classify, dedupe_latest
-from tidemark.sources.storage import VersionedTable
+from tidemark.operators.merge import MergeRules, audit_stamp, memory_bytes, merge
+from tidemark.operators.quality import RAW_ROW, REASON, accepted, classify, dedupe_latest
+from tidemark.sources.storage import SharedFiles, VersionedTable
+
+REJECTED = "rejected"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -28,24 +30,48 @@ def merge_batch(
     table: VersionedTable,
     contract: Contract,
     session_start: str,
-    order: Sequence[Column] = (),
+    delta_column: str | None = None,
+    number: int = 0,
 ) -> None:
     """Merge one delta into the table; merging it again changes nothing.
 
-    Keys the batch lacks are left alone. Only the slices the batch touches are
-    read and rewritten.
+    The batch is landed under its number first, converted and classified, so its
+    source is read once and a replay lands the same rows again. Its rejected rows stay
+    there (see ``stream_rejects``), the accepted ones go once they are merged.
+    Keys the batch lacks are left alone, and so are rows that are newer than the
+    batch's by ``delta_column``. Only the slices the batch touches are read and rewritten;
+    an unsliced table is rewritten whole by every batch.
     """
-    diff = accepted(classify(contract.project(batch), contract))
-    diff = dedupe_latest(diff, contract.keys, order)
-    diff = audit_stamp(diff, session_start).persist()
-    try:
-        if diff.isEmpty():
-            return
-        current = table.read(table.slices_of(diff))
-        rules = MergeRules(not_matched_by_source="ignore")
-        table.write(merge(current, diff, contract.keys, merge_ts=session_start, rules=rules, keys_not_null=True))
-    finally:
-        diff.unpersist()
+    spark, landed = batch.sparkSession, f"{_landing(table)}/batch={number}"
+    classified = classify(contract.project(batch), contract)
+    classified.withColumn(REJECTED, F.col(REASON).isNotNull().cast("int")).write.mode("overwrite").partitionBy(REJECTED).parquet(landed)
+    files = SharedFiles(spark, landed)
+    if not files.exists(f"{landed}/{REJECTED}=0"):
+        return
+    order: list[Column] = [F.col(delta_column).desc_nulls_last()] if delta_column else []
+    diff = accepted(spark.read.schema(classified.schema).parquet(f"{landed}/{REJECTED}=0"))
+    diff = audit_stamp(dedupe_latest(diff, contract.keys, order), session_start)
+    current = table.read(table.slices_of(diff))
+    rules = MergeRules(not_matched_by_source="ignore")
+    size = None if table.bucket_by else memory_bytes(diff)
+    table.write(merge(
+        current, diff, contract.keys, merge_ts=session_start, rules=rules, keys_not_null=True,
+        source_bytes=size, newer_by=delta_column))
+    files.remove(f"{landed}/{REJECTED}=0")
+
+
+def stream_rejects(spark: SparkSession, table: VersionedTable) -> DataFrame:
+    """The rows that the batches merged into the table set aside: batch, reason, the row as JSON."""
+    root, files = _landing(table), SharedFiles(spark, table.path)
+    schema = f"{REASON} string, {RAW_ROW} string, batch long"
+    folders = [f"{root}/{b}/{REJECTED}=1" for b in files.names(root) if files.exists(f"{root}/{b}/{REJECTED}=1")]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders).select("batch", REASON, RAW_ROW)
+
+
+def _landing(table: VersionedTable) -> str:
+    return f"{table.path}_batches"
 
 
 def start_merge_stream(
@@ -64,11 +90,9 @@ def start_merge_stream(
     batch number, for streams that run on. Old versions are removed only if
     ``keep_versions`` says how many to leave.
     """
-    order = [F.col(delta_column).desc_nulls_last()] if delta_column else []
-
     def on_batch(batch: DataFrame, number: int) -> None:
         stamp = session_start(number) if callable(session_start) else session_start
-        merge_batch(batch, table, contract, stamp, order)
+        merge_batch(batch, table, contract, stamp, delta_column, number)
         if keep_versions:
             table.expire(keep_versions)
 
