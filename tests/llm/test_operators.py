@@ -312,6 +312,14 @@ def test_licences(spark):
     assert "Python" not in text and "Arrow" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_licences_of_repeated_rows_and_ties(spark):
+    twice = spark.createDataFrame([(None, "All rights reserved"), (None, "All rights reserved"), (3, None)], "doc_id long, text string")
+    assert [r.licence for r in licences.scan(twice).collect()] == ["Proprietary"] * 2
+    assert licences.scan(twice.where("false")).collect() == []
+    tied = licences.scan(twice, {"B": ["all rights reserved"], "A": ["x y z", "ALL RIGHTS RESERVED"]}).collect()
+    assert [(r.licence, r.form, r.shared, r.size) for r in tied] == [("A", 1, 2, 2)] * 2
+
+
 # Mixing.
 
 def test_mixture_meets_targets(spark):

@@ -61,7 +61,7 @@ def scan(docs: DataFrame, named: dict[str, list[str]] | None = None, least: floa
 
     A template of n bigrams can only reach the threshold with lines of n * least / (2 - least) to n * (2 - least) / least
     bigrams: the words of a line are split only if their number lets it fit a template at all, and a join on that
-    number pairs it with the templates it can fit alone. The templates are few and broadcast, the texts are not moved.
+    number pairs it with the templates it can fit alone. The templates are few and broadcast; nothing is shuffled.
     """
     named = named or TEMPLATES
     spark = docs.sparkSession
@@ -75,12 +75,14 @@ def scan(docs: DataFrame, named: dict[str, list[str]] | None = None, least: floa
     words = counted.where(F.col("n").isin(*fits)).select(id_column, "line", "n", F.split("plain", " ").alias("words"))
     grams = words.select(id_column, "line", "n", F.array_distinct(bigrams(F.col("words"))).alias("held"))
     wanted = known.withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("size") * low).cast("int")), F.floor(F.col("size") * high).cast("int"))))
-    met = grams.join(F.broadcast(wanted), "n").withColumn("shared", F.size(F.array_intersect("held", "grams")))
-    dice = 2 * F.col("shared") / (F.col("n") + F.col("size"))
-    found = met.withColumn("dice", dice).where(F.col("dice") >= least)
-    # A line meets each template once, so its best is found among a handful without moving it.
-    best = F.min_by(F.struct("licence", "form", "shared", "size", "dice"), F.struct(F.negative("dice"), "licence", "form"))
-    row = F.xxhash64("held")
-    return (found.groupBy(id_column, "line", row.alias("_row")).agg(best.alias("best"))
-            .select(id_column, F.col("line").cast("bigint").alias("line"), "best.licence", "best.form", F.col("best.shared").cast("bigint").alias("shared"),
-                    F.col("best.size").cast("bigint").alias("size"), "best.dice"))
+    # One row for each number of bigrams, so that the join gives each line one row.
+    by_size = wanted.groupBy("n").agg(F.collect_list(F.struct("licence", "form", "grams", "size")).alias("fitting"))
+
+    def judged(t: Column) -> Column:
+        shared = F.size(F.array_intersect("held", t.grams))
+        dice = 2 * shared / (F.col("n") + t["size"])
+        return F.struct(F.negative(dice).alias("order"), t.licence.alias("licence"), t.form.alias("form"), shared.cast("bigint").alias("shared"),
+                        t["size"].cast("bigint").alias("size"), dice.alias("dice"))
+
+    met = grams.join(F.broadcast(by_size), "n").select(id_column, "line", F.array_min(F.transform("fitting", judged)).alias("best"))
+    return met.where(F.col("best.dice") >= least).select(id_column, F.col("line").cast("bigint").alias("line"), *(F.col(f"best.{c}") for c in ("licence", "form", "shared", "size", "dice")))
