@@ -16,7 +16,8 @@ MASK = "[SECRET]"
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is not below the threshold; those without text or id are scored like any other."""
     send_package(spark)
-    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"NOT ({quality.HELD_OUT})")
+    model = quality.fit(docs, labels)
     sent = spark.sparkContext.broadcast(model)
     schema, columns = docs.schema, docs.columns
 
