@@ -434,3 +434,14 @@ def test_superseded_slices_and_unfinished_versions_go(spark, tmp_path):
     assert table.versions() == [1, 3] and len(list((tmp_path / "t").iterdir())) == 2
     assert len([n for n in table.files.names(table.folder(1)) if "=" in n]) == 1
     assert result(table.read(), "id", "name") == [(1, "c"), (2, "b")]
+
+
+def test_closed_window_leaves_late_rows_to_the_next_run(spark, stage, tmp_path):
+    source = str(tmp_path / "source")
+    people(spark, (1, "a", DAY[0]), (2, "b", DAY[1])).write.parquet(source)
+    closed = LoadSpec("people", PEOPLE, lambda session: session.read.parquet(source), INCREMENT, TIME, closed=True)
+    assert stage.run(closed, AT[0]).mark == "2024-01-02 00:00:00.000000"
+    people(spark, (3, "c", DAY[2])).write.mode("append").parquet(source)
+    assert stage.run(closed, AT[1]).src_success_rows == 1
+    assert stage.run(closed, AT[2]).src_success_rows == 0  # a source that holds nothing above the mark
+    assert result(stage.target(closed), "id") == [(1,), (2,), (3,)]

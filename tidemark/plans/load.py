@@ -16,7 +16,7 @@ from tidemark.contract import CREATED, DELETED, MODIFIED, Contract
 from tidemark.operators import merge as m
 from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, accepted, classify, dedupe_latest, rejected
 from tidemark.plans.marks import MarkStore, highest
-from tidemark.sources.extract import Delta, extract, run_hook
+from tidemark.sources.extract import Delta, extract, run_hook, source_mark
 from tidemark.sources.storage import VersionedTable, append_run, read_appended
 
 FULL, INCREMENT, APPEND = "Full", "Increment", "Append"
@@ -35,6 +35,8 @@ class LoadSpec:
     nothing about the rows it does not hold. ``soft_delete`` is the literal rule.
     unique_source: the source is declared unique on its keys: no dedupe, and a
     repeated key fails the load before anything is merged.
+    closed: a delta read ends at the highest value the source holds when the run
+    starts, so rows that arrive meanwhile wait for the next run.
     keep_versions: how many versions of the target stay; all if not given.
     slice_by, buckets: see VersionedTable; slices pay off for delta loads, buckets
     (a number) for snapshots of a table too large to shuffle on every run.
@@ -53,6 +55,7 @@ class LoadSpec:
     slice_by: str | None = None
     buckets: int | None = None
     keep_versions: int | None = None
+    closed: bool = False
     pre_source: Hook = None
     post_source: Hook = None
     post_load: Hook = None
@@ -240,7 +243,9 @@ class Stage:
         """This run's rows, converted, stamped and classified."""
         delta = spec.delta if spec.keeps_mark else None
         where = spec.where if spec.pattern != FULL else None
-        rows = extract(spec.read(self.spark), spec.contract, delta=delta, mark=mark, where=where)
+        source = spec.read(self.spark)
+        upper = source_mark(source, delta) if spec.closed and delta is not None and where is None else None
+        rows = extract(source, spec.contract, delta=delta, mark=mark, upper=upper, where=where)
         return m.audit_stamp(classify(rows, spec.contract), session_start)
 
     def _replace(self, spec: LoadSpec, rows: DataFrame, stats: LoadStats) -> None:

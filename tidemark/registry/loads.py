@@ -8,7 +8,7 @@ from tidemark.contract import Column, Contract
 from tidemark.functions.text import timestamp_literal
 from tidemark.operators.merge import audit_stamp
 from tidemark.plans.control import load_plan
-from tidemark.plans.load import FULL, INCREMENT, LoadSpec, Stage
+from tidemark.plans.load import APPEND, FULL, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import marks_or_default
 from tidemark.registry.common import EVENT_MARK, RUN1, RUN2, registry, table
 from tidemark.registry.extracts import EVENTS, ORDERS
@@ -186,3 +186,57 @@ def stream_incremental_merge(spark, sf_dir):
     stream = read_stream(spark, f"{folder}/incoming", incoming.schema, files_per_batch=1)
     start_merge_stream(stream, target, EVENTS, f"{folder}/checkpoint", RUN2, "ts").awaitTermination()
     return target.read()
+
+
+MONTH_MARK = "1997-06-15 00:00:00.000"
+MONTHLY_ORDERS = Contract([
+    Column("o_orderkey", "bigint", key=True, nullable=False),
+    Column("o_month", "datetime", key=True, nullable=False),
+    Column("o_totalprice", "float"),
+    Column("changed", "datetime"),
+])
+
+
+@query(f"""SELECT o_orderkey, date_trunc('month', o_orderdate) AS o_month,
+    o_totalprice + CASE WHEN early AND o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice,
+    CASE WHEN early AND o_orderstatus = 'F' THEN o_orderdate + INTERVAL 3650 DAY ELSE o_orderdate END AS changed,
+    CASE WHEN early THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_CreateDatetime",
+    CASE WHEN early AND o_orderstatus <> 'F' THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_LastModDatetime",
+    CAST(0 AS INTEGER) AS "AUD_isDeleted"
+    FROM (SELECT *, o_orderdate <= TIMESTAMP '{MONTH_MARK}' AS early FROM orders)""")
+def merge_sliced_month(spark, sf_dir):
+    """A target in slices of months, two delta runs: early orders, then later ones and corrections of the early."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_month", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"))
+    early = F.col("o_orderdate") <= timestamp_literal(MONTH_MARK)
+    corrected = early & (F.col("o_orderstatus") == "F")
+    later = orders.withColumns({
+        "changed": F.when(corrected, F.col("o_orderdate") + F.expr("INTERVAL 3650 DAYS")).otherwise(F.col("o_orderdate")),
+        "o_totalprice": F.when(corrected, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+    })
+    first = orders.where(early).withColumn("changed", F.col("o_orderdate"))
+    stage = Stage(spark, new_workdir(spark, "months"))
+    for rows, at in ((first, RUN1), (later, RUN2)):
+        spec = LoadSpec("orders", MONTHLY_ORDERS, lambda _, rows=rows: rows, INCREMENT, Delta("changed", "datetime"),
+                        slice_by="date_trunc('month', o_month)", unique_source=True, closed=True)
+        stage.run(spec, at)
+    return stage.target(spec)
+
+
+DECIMAL_LINES = Contract([
+    Column("l_orderkey", "bigint"), Column("l_linenumber", "int"), Column("l_quantity", "float"),
+    Column("version", "decimal", precision=20, scale=12),
+])
+DECIMAL_MARK = "1000.000000000003"
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def append_decimal_mark(spark, sf_dir):
+    """Rows appended past a mark of twelve decimals, in two runs and one more that finds nothing: each is there once."""
+    version = F.concat_ws(".", F.col("l_orderkey").cast("string"), F.lpad(F.col("l_linenumber").cast("string"), 12, "0"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("version", version.cast("decimal(20,12)"))
+    first = lines.where(F.col("version") <= F.lit(DECIMAL_MARK).cast("decimal(20,12)"))
+    stage = Stage(spark, new_workdir(spark, "decimals"))
+    for rows, at in ((first, RUN1), (lines, RUN2), (lines, RUN2)):
+        spec = LoadSpec("lines", DECIMAL_LINES, lambda _, rows=rows: rows, APPEND, Delta("version"))
+        stage.run(spec, at)
+    return stage.target(spec).drop("version")
