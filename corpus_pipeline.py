@@ -11,6 +11,8 @@ from tidemark.session import new_workdir
 
 REJECTED_BELOW = 0.7
 MASK = "[SECRET]"
+# Near duplicates: a Jaccard similarity of 0.8 or more over distinct shingles of five words.
+NEAR = jaccard.Rule(shingle=5, part=80, whole=100)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links connect, the one of smallest id; documents without an id stay."""
     send_package(spark)
-    kept = jaccard.linked(docs).where("component_id = doc_id").select("doc_id").distinct()
+    kept = jaccard.linked(docs, NEAR).where("component_id = doc_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -74,9 +76,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
     domains = mixing.fit_domains(docs, docs.select("doc_id", "lang").join(labels, "doc_id"), sorted(MIXTURE))
     # Rows are told apart by id and text: equal rows have equal rates.
-    counts = mixing.mix_to_targets(docs, domains, MIXTURE).groupBy(F.col("code").alias("_code")).agg(F.min("copies").alias("_copies")).where("_copies > 0")
-    rows = docs.withColumn("_code", F.xxhash64("doc_id", "text")).join(counts, "_code")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    counts = mixing.mix_to_targets(docs, domains, MIXTURE).groupBy("code").agg(F.min("copies").alias("copies")).where("copies > 0")
+    # Rows travel as one value, so that no name of theirs can meet one used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("code")).join(counts, "code")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

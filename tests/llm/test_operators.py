@@ -123,16 +123,16 @@ def test_quality_separates_and_is_defined_everywhere(spark):
 
 # Jaccard.
 
-def linked_by_brute_force(rows):
+def linked_by_brute_force(rows, k=3, part=90):
     sets = {}
     for i, text in rows:
         words = (text or "").encode().lower().split()
-        sets[i] = {tuple(words[j:j + 3]) for j in range(len(words) - 2)} if len(words) > 2 else {tuple(words)} - {()}
+        sets[i] = {tuple(words[j:j + k]) for j in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} - {()}
     of = {i: i for i in sets}
     for a in sorted(sets):
         for b in sorted(sets):
             shared = len(sets[a] & sets[b])
-            if a < b and shared and 100 * shared >= 90 * len(sets[a] | sets[b]) and of[a] != of[b]:
+            if a < b and shared and 100 * shared >= part * len(sets[a] | sets[b]) and of[a] != of[b]:
                 low, high = sorted((of[a], of[b]))
                 of = {k: low if v == high else v for k, v in of.items()}
     return {i: (len(sets[i]), of[i]) for i in sets}
@@ -397,6 +397,18 @@ def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_duplicates", "secret_scans", "mixture", "piece_ids"]
 
 
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    texts = [*AWKWARD, *near_copies(5), *near_copies(6)]
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs_of(spark, texts), SF).collect()}
+    assert kept == {i for i, (_, first) in linked_by_brute_force(list(enumerate(texts)), 5, 80).items() if i == first}
+
+
+def test_mixture_keeps_columns_of_clashing_names(spark):
+    docs = small(spark).withColumns({c: F.col("doc_id") for c in ("code", "copies", "_code", "_copies", "row", "col", "id", "rate")})
+    rows = corpus_pipeline.mixture(spark, docs, SF)
+    assert rows.columns == docs.columns and rows.where("code <> doc_id OR copies <> doc_id OR col <> doc_id").count() == 0
+
+
 def test_stages_take_awkward_rows(spark):
     texts = [*AWKWARD, "secret = abcdefgh and more", "secret = abcdefgh and more"]
     docs = spark.createDataFrame([(i if i != 3 else None, t, None, None, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
