@@ -9,6 +9,7 @@ the band is taken. Segments without tokens, which unlike sets share, cost most a
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,13 +25,15 @@ from tidemark.llm.rolling import LOWER, Rolling, chunks, joined, mix, words
 from tidemark.session import new_workdir
 
 CHUNK_BYTES = 1 << 20
-# Sizes of a band grow by this factor; segments there are more of than needed, so that sets can pass over empty ones.
-BAND_GROWTH = 1.4
+# Sizes of a band grow by this power of the ratio of sizes that can link, so that a set meets the band below its own about
+# one time in so many; segments there are more of than needed, so that sets can pass over empty ones.
+BAND_POWER = 3.2
 SPARE = 1.2
 LARGEST = 1 << 40
 # Bits, in words of 64, of the parities by which pairs are passed over: a differing token flips one bit.
 SKETCH_WORDS = 16
-# Of the cost model: the share of tokens taken to be common, and the cost of a false candidate in announced rows.
+# Of the cost model: the share of shingles of three words taken to be common, which falls with their length as a power,
+# and the cost of a false candidate in announced rows.
 COMMON, FALSE_COST = 0.02, 20
 
 
@@ -75,7 +78,7 @@ class Bands:
     def starts(self) -> list[int]:
         out = [1]
         while out[-1] < LARGEST:
-            out.append(max(out[-1] + 1, int(out[-1] * BAND_GROWTH)))
+            out.append(max(out[-1] + 1, int(out[-1] * (self.rule.whole / self.rule.part) ** BAND_POWER)))
         return out
 
     def band(self, n: int) -> int:
@@ -92,10 +95,12 @@ class Bands:
         size = self.starts[band]
         needed = self.rule.reach(size) + 1
         per_segment = size / scheme.segments
-        alike = np.exp(-per_segment * (1 - COMMON)) - np.exp(-per_segment)
+        common = COMMON ** (self.rule.shingle / 3)
+        # Unlike sets agree in a segment that holds common tokens alone, or one other that a deletion takes away.
+        alike = np.exp(-per_segment * (1 - common)) - np.exp(-per_segment)
         if scheme.deletions:
             used = (needed + 1) // 2
-            rows, alike = used * (1 + per_segment), alike * COMMON
+            rows, alike = used * (1 + per_segment), alike * (1 + per_segment * (1 - common))
         else:
             used = rows = needed
         return sets * rows + FALSE_COST * used * (sets * alike) ** 2 / 2
@@ -208,29 +213,40 @@ def _sketch(tokens: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
 
-def _members(docs: DataFrame, rule: Rule) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
+    """(id, packed text), which takes about a quarter of the room of its fingerprints."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, rule.shingle):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))],
-                names=["id", "tokens", "sketch"])
-    return docs.mapInArrow(run, "id bigint, tokens binary, sketch array<bigint>")
+        for b in batches:
+            texts = [zlib.compress((t.as_py() or "").encode("utf-8", "surrogatepass"), 1) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_pylist(), pa.int64()), pa.array(texts, pa.binary())], names=["id", "packed"])
+    return docs.mapInArrow(run, "id bigint, packed binary")
+
+
+def _sketches(packed: DataFrame, rule: Rule) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for ids, texts in chunks(b.column(0).to_pylist(), (zlib.decompress(t.as_py()) for t in b.column(1)), CHUNK_BYTES):
+                found = [_sketch(s) for s in shingle_sets(texts, rule.shingle)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketch"])
+    return packed.mapInArrow(run, "id bigint, sketch array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, packed: DataFrame, rule: Rule) -> DataFrame:
     """(a, b, shared, total) of candidate pairs: the sizes of intersection and union."""
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("right"))
+    left = packed.select(F.col("id").alias("a"), F.col("packed").alias("left"))
+    right = packed.select(F.col("id").alias("b"), F.col("packed").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, total = [], []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum()) if len(x) else 0
-                shared.append(both)
-                total.append(len(x) + len(y) - both)
+            shared, total, x = [], [], None
+            texts = (zlib.decompress(t.as_py()) for pair in zip(batch.column(2), batch.column(3)) for t in pair)
+            for places, held in chunks(range(2 * batch.num_rows), texts, CHUNK_BYTES):
+                for i, y in zip(places, shingle_sets(held, rule.shingle)):
+                    if i % 2:
+                        both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()) if len(x) else 0
+                        shared.append(both)
+                        total.append(len(x) + len(y) - both)
+                    x = y
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())],
                                              names=["a", "b", "shared", "total"])
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
@@ -261,7 +277,8 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     sizes = classes.groupBy(F.size(F.filter(edges, lambda s: s <= F.col("n"))).alias("k")).agg(F.count("*").alias("c")).collect()
     bands = bands.allocate({r.k - 1: r.c for r in sizes})
 
-    keys = land(_announced(source, bands), "keys")
+    # Announced twice, which costs less than to keep the keys: they outweigh the texts.
+    keys = _announced(source, bands)
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").select("key", "head")
     heads = land(heads, "heads")
     rep_of = land(about.join(classes, ["n", "f1", "f2"]).select("id", "rep", "n"), "reps")
@@ -271,10 +288,10 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     first = land(grouped.where("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "first")
     needed = first.select(F.col("a").alias("id")).union(first.select("b")).distinct()
     # One plan at every size: what the ids of candidates weigh is not bounded, so they are not broadcast.
-    sets = land(_members(source.join(needed.hint("merge"), "id", "left_semi"), rule), "sets")
+    texts = land(_packed(source).join(needed.hint("merge"), "id", "left_semi"), "texts")
 
     is_link = f"{rule.whole} * shared >= {rule.part} * total"
-    checked = land(_verified(first, sets), "checked")
+    checked = land(_verified(first, texts, rule), "checked")
     links = checked.where(is_link).select("a", "b")
     found = components(links, f"{work}/components-0")
 
@@ -282,7 +299,7 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     placed = grouped.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).join(far, ["head", "id"], "left")
     placed = land(placed.select("key", "id", "n", "component", F.coalesce("far", F.lit(0.0)).alias("far")), "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    sketches = sets.select("id", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
+    sketches = _sketches(texts, rule).select("id", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
     open_ = land(placed.join(land(mixed, "mixed"), "key").join(sketches, "id"), "open")
     other = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in open_.columns if c != "key"))
     apart = " + ".join(f"bit_count(s{i} ^ s{i}_b)" for i in range(SKETCH_WORDS))
@@ -291,7 +308,7 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
             .where(f"abs(far - far_b) <= {1 - rule.part / rule.whole} + 1e-9")
             .where(f"({apart}) * {rule.whole + rule.part} <= {rule.whole - rule.part} * (n + n_b)")
             .select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct())
-    rest = land(_verified(land(last, "last"), sets), "rest")
+    rest = land(_verified(land(last, "last"), texts, rule), "rest")
     final = components(links.unionByName(rest.where(is_link).select("a", "b")), f"{work}/final")
 
     named = land(classes.join(final, classes["rep"] == final["id"], "left")
