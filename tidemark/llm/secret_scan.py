@@ -20,12 +20,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "pem", "der", "openssh", "jwt", "hexkey")
 
-# Candidates of the structural checks. Every run is entered at its start only, so that long runs cost linear time.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}")
+# Candidates of the structural checks. Every run is entered at its start only.
+# A key's base64 begins with a sequence tag and a length, or with the OpenSSH magic; its lines are parted by breaks with
+# white space and marks of quotation around them.
+KEY_START = re.compile(r"[Mb](?<![A-Za-z0-9+/_-][Mb])(?:(?<=M)[A-I]|(?<=b)3B)")
+PIECE = re.compile(r"[A-Za-z0-9+/_-]++")
+BREAK = re.compile(r"[^\S\r\n]*+(?:[\r\n]++[^\S\r\n]*+(?:[>|#*][^\S\r\n]*+)*+)++")
+PADDING = re.compile(r"={1,2}")
+KEY_LEAST = 32
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){48,}+(?![0-9A-Fa-f])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*+(?:\.[A-Za-z0-9_-]*+){2,4}+")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]{1,12} ){0,3})PRIVATE KEY-----")
-LINE_BREAK = re.compile(r"\r?\n")
 OPENSSH_MAGIC = b"openssh-key-v1\0"
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -89,27 +94,75 @@ def is_key(data: bytes | None) -> bool:
     return False
 
 
+def outer_size(data: bytes) -> tuple[int, bool]:
+    """The size of the key that begins with these bytes, and True; or a larger number of bytes needed to tell, and False. 0 for no key."""
+    if data[:1] == b"\x30":
+        n = data[1] & 0x7F if data[1] >= 0x80 else 0
+        if n > 4 or data[1] == 0x80:
+            return 0, True
+        return (2 + n + int.from_bytes(data[2:2 + n], "big") if n else 2 + data[1]), True
+    if not data.startswith(OPENSSH_MAGIC):
+        return 0, True
+    at, left, counted = len(OPENSSH_MAGIC), 3, False
+    while left:
+        if at + 4 > len(data):
+            return at + 4, False
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+        left -= 1
+        if not left and not counted:
+            if at + 4 > len(data):
+                return at + 4, False
+            keys = int.from_bytes(data[at:at + 4], "big")
+            if not 1 <= keys <= 16:
+                return 0, True
+            # The public keys, then all private ones in one field.
+            at, left, counted = at + 4, keys + 1, True
+    return at, True
+
+
 def is_openssh(data: bytes | None) -> bool:
     """Whether the bytes are an OpenSSH private key whose length-prefixed fields fill them exactly."""
-    if not data or not data.startswith(OPENSSH_MAGIC):
-        return False
-    at = len(OPENSSH_MAGIC)
-
-    def field() -> bytes | None:
-        nonlocal at
-        size = int.from_bytes(data[at:at + 4], "big")
-        if at + 4 + size > len(data):
+    return bool(data) and data.startswith(OPENSSH_MAGIC) and outer_size(data) == (len(data), True)
+
+
+def joined(text: str, at: int, size: int) -> tuple[str, int] | None:
+    """The next ``size`` base64 characters, read across line breaks, and where they end; None if there are not as many."""
+    parts = []
+    while m := PIECE.match(text, at):
+        parts.append(text[at:min(m.end(), at + size)])
+        size -= len(parts[-1])
+        if not size:
+            return "".join(parts), at + len(parts[-1])
+        gap = BREAK.match(text, m.end())
+        if not gap:
+            break
+        at = gap.end()
+    return None
+
+
+def key_at(text: str, start: int) -> tuple[str, int] | None:
+    """The kind and the end of the key whose base64 begins here: its own lengths say where it ends, which has to be the end of a run."""
+    n, known, data = 18, False, b""
+    while True:
+        size = -(-n * 4 // 3)
+        if size > len(text) - start or not (found := joined(text, start, size)) or (data := decoded(found[0])) is None:
             return None
-        at += 4 + size
-        return data[at - size:at]
-
-    if any(field() is None for _ in range(3)) or at + 4 > len(data):
-        return False
-    keys = int.from_bytes(data[at:at + 4], "big")
-    at += 4
-    if not 1 <= keys <= 16 or any(field() is None for _ in range(keys)):
-        return False
-    return field() is not None and at == len(data)
+        if known:
+            break
+        n, known = outer_size(data)
+        if n < (KEY_LEAST * 3 // 4 if known else len(data)) or data[0] == 0x30 and (at := 2 + (data[1] & 0x7F) * (data[1] >= 0x80)) and (data[at:at + 2] != b"\x02\x01" or data[at + 2] > 1):
+            return None
+    kind = "der" if is_key(data) else "openssh" if is_openssh(data) else None
+    end = found[1]
+    if not kind or PIECE.match(text, end):
+        return None
+    missing = -size % 4
+    if m := PADDING.match(text, end):
+        end, missing = m.end(), missing - len(m[0])
+    # Padding may be wrapped as well.
+    if missing > 0 and (gap := BREAK.match(text, end)) and (m := PADDING.match(text, gap.end())) and len(m[0]) == missing:
+        end = m.end()
+    return kind, end
 
 
 def is_token(text: str) -> bool:
@@ -158,26 +211,14 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     if "eyJ" in text:
         out += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if is_token(m[0])]
 
-    def kind(piece: str) -> str | None:
-        data = decoded(piece)
-        return "der" if is_key(data) else "openssh" if is_openssh(data) else None
-
-    group: list[re.Match] = []
-
-    def report(group: list[re.Match]) -> None:
-        if len(group) > 1 and (k := kind("".join(m[0] for m in group))):
-            out.append((k, group[0].start(), group[-1].end()))
-        else:
-            out.extend((k, m.start(), m.end()) for m in group if (k := kind(m[0])))
-
-    for m in RUN.finditer(text):
+    at = 0
+    while m := KEY_START.search(text, at):
+        at = m.end()
         if (k := bisect_right(inside, (m.start(), len(text)))) and m.start() < inside[k - 1][1]:
-            continue
-        if group and not LINE_BREAK.fullmatch(text, group[-1].end(), m.start()):
-            report(group)
-            group = []
-        group.append(m)
-    report(group)
+            at = inside[k - 1][1]
+        elif found := key_at(text, m.start()):
+            out.append((found[0], m.start(), found[1]))
+            at = found[1]
     for m in HEX_RUN.finditer(text):
         data = bytes.fromhex(m[0])
         if is_key(data) or is_openssh(data):
@@ -198,8 +239,9 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     Base kinds are reported by pattern alone; ``pem``, ``der``, ``openssh``, ``jwt`` and ``hexkey`` only if the
     decoded bytes parse as a private key or the header and payload as a signed token. A null or empty text
     has no spans; repeated rows give repeated rows; an empty table gives none. Other columns are not read, so
-    their names cannot clash. Runs inside the scan, without a shuffle; texts are read whole and every pattern
-    takes time in proportion to their length.
+    their names cannot clash. Base64 keys may be wrapped at any width, indented or quoted, and may follow or precede other lines
+    of base64. Runs inside the scan, without a shuffle; texts are read whole and every pattern takes time in proportion
+    to their length, besides decoding as many bytes as a key would have at every line that begins like one.
     """
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
 
