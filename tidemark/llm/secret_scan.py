@@ -165,8 +165,11 @@ def key_at(text: str, start: int) -> tuple[str, int] | None:
     return kind, end
 
 
-def is_token(text: str) -> bool:
-    """Whether a dotted text is a signed or encrypted token: its header is an object that names an algorithm."""
+def token_end(text: str) -> int:
+    """The length of the signed or encrypted token that a dotted text is, its header an object that names an algorithm, without the dots of a sentence after it; 0 for none.
+
+    Only the signature of the three-part form may be empty, under the algorithm "none".
+    """
     parts = text.split(".")
 
     def parsed(part: str):
@@ -178,12 +181,17 @@ def is_token(text: str) -> bool:
 
     header = parsed(parts[0])
     if not isinstance(header, dict) or not isinstance(header.get("alg"), str):
-        return False
+        return 0
+    while parts and not parts[-1]:
+        parts.pop()
     if len(parts) == 5:
-        return isinstance(header.get("enc"), str) and bool(parts[3])
-    if len(parts) != 3 or not isinstance(parsed(parts[1]), dict):
-        return False
-    return bool(parts[2]) or header["alg"].lower() == "none"
+        return len(".".join(parts)) if isinstance(header.get("enc"), str) and parts[3] else 0
+    if len(parts) not in (2, 3) or not isinstance(parsed(parts[1]), dict):
+        return 0
+    if len(parts) == 2:
+        unsigned = len(".".join(parts)) + 1
+        return unsigned if header["alg"].lower() == "none" and unsigned <= len(text) else 0
+    return len(".".join(parts))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -209,7 +217,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
                 out.append(("pem", m.start(), close + len(last)))
                 inside.append((m.start(), close))
     if "eyJ" in text:
-        out += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if is_token(m[0])]
+        out += [("jwt", m.start(), m.start() + size) for m in TOKEN.finditer(text) if (size := token_end(m[0]))]
 
     at = 0
     while m := KEY_START.search(text, at):
