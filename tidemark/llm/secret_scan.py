@@ -28,6 +28,12 @@ PIECE = re.compile(r"[A-Za-z0-9+/_-]++")
 BREAK = re.compile(r"[^\S\r\n]*+(?:[\r\n]++[^\S\r\n]*+(?:[>|#*][^\S\r\n]*+)*+)++")
 PADDING = re.compile(r"={1,2}")
 KEY_LEAST = 32
+# What source code and data files put between the lines of a PEM body: breaks, slashes and signs written as escapes, and quotes
+# with signs of concatenation.
+ESCAPED_BREAK = re.compile(r"(?<!\\)\\++(?:[rnt]|u000[aAdD9])")
+ESCAPED_SIGN = re.compile(r"(?<!\\)\\++(?:u00(2[bBfF]|3[dD])|(?=/))")
+QUOTES = re.compile(r"""["'`][^A-Za-z0-9/="'`_-]*+["'`]""")
+AROUND = "\"'`,;>|#*()&.\\"
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){48,}+(?![0-9A-Fa-f])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]*+(?:\.[A-Za-z0-9_-]*+){2,4}+")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]{1,12} ){0,3})PRIVATE KEY-----")
@@ -194,6 +200,22 @@ def token_end(text: str) -> int:
     return len(".".join(parts))
 
 
+def body_bytes(body: str) -> Iterator[bytes | None]:
+    """What a PEM body may decode to: as it stands, and without the marks that code, data files and mail put around its lines.
+
+    Words with a colon or a comma are those of headers.
+    """
+    plain = lambda words: decoded("".join(x for x in words if ":" not in x and "," not in x))
+    yield plain(body.split())
+    body = ESCAPED_SIGN.sub(lambda m: chr(int(m[1], 16)) if m[1] else "", ESCAPED_BREAK.sub("\n", body))
+    quoted = any(q in body for q in "\"'`")
+    words = [x.strip(AROUND) for x in QUOTES.sub("\n", body).split()]
+    yield plain(words)
+    if quoted:
+        # A plus sign beside a quote, or alone, is one of concatenation.
+        yield plain(x.strip(AROUND) for x in re.sub(r"""(?<=["'`])\s*\++|(?<!\+)\++\s*(?=["'`])|(?<!\S)\++(?!\S)""", "\n", body).split())
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """What the plain patterns find, kind by kind, leftmost and without overlaps."""
     out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
@@ -211,9 +233,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             last = f"-----END {m[1]}PRIVATE KEY-----"
             if close < 0 or not text.startswith(last, close):
                 continue
-            body = "".join(x for x in text[m.end():close].split() if ":" not in x and "," not in x)
-            data = decoded(body)
-            if is_key(data) or is_openssh(data) or (m[1] == "ENCRYPTED " and data and elements(data)):
+            if any(is_key(data) or is_openssh(data) or (m[1] == "ENCRYPTED " and data and elements(data)) for data in body_bytes(text[m.end():close])):
                 out.append(("pem", m.start(), close + len(last)))
                 inside.append((m.start(), close))
     if "eyJ" in text:
