@@ -366,6 +366,21 @@ def test_licences_of_repeated_rows_and_ties(spark):
     assert [(r.licence, r.form, r.shared, r.size) for r in tied] == [("A", 1, 2, 2)] * 2
 
 
+def test_licences_across_lines_and_within_them(spark):
+    bsd, gpl, mit, apache = (licences.TEMPLATES[n] for n in ("BSD-3-Clause", "GPL-3.0", "MIT", "Apache-2.0"))
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i:i + n]) for i in range(0, len(t.split()), n))
+    texts = ["Some code.\n" + wrap(bsd[0], 12) + "\nmore", "# " + wrap(gpl[1], 10).replace("\n", "\r\n# "), "Copyright (c) 2020 Acme Inc. All rights reserved.",
+             "A tool for all. Released under the MIT License. Copyright 2020 Acme, all rights reserved by us.", "x " * 300 + "released\n\nunder the\nMIT license " + "y " * 300,
+             "all rights\nare reserved", wrap(apache[1], 9), "all rights reserved. " * 3, "All rights ... reserved"]
+    got = {}
+    for r in licences.scan(docs_of(spark, texts)).collect():
+        got.setdefault(r.doc_id, []).append((r.line, r.last_line, r.licence, r.form, round(r.dice, 3)))
+    assert got.pop(6).count((0, 3, "Apache-2.0", 1, 0.882)) == 1
+    assert {k: sorted(v) for k, v in got.items()} == {
+        0: [(1, 2, "BSD-3-Clause", 0, 1.0)], 1: [(0, 4, "GPL-3.0", 1, 0.951)], 2: [(0, 0, "Proprietary", 0, 1.0)],
+        3: [(0, 0, "MIT", 0, 1.0), (0, 0, "Proprietary", 0, 1.0)], 4: [(0, 3, "MIT", 0, 1.0)], 7: [(0, 0, "Proprietary", 0, 1.0)] * 3, 8: [(0, 0, "Proprietary", 0, 1.0)]}
+
+
 # Mixing.
 
 def test_mixture_meets_targets(spark):
