@@ -396,6 +396,47 @@ def test_mixture_meets_targets(spark):
     assert mixing.mix_to_targets(df.where("false"), domains, {"de": 1}).collect() == []
 
 
+def skewed(shares, tokens=1_000_000, n=20_000, pure=0.98):
+    """Documents of domains with these shares of the tokens; their posteriors."""
+    d = len(shares)
+    owner = np.concatenate([np.full(max(3, round(n * s)), k) for k, s in enumerate(shares)])
+    p = np.full((len(owner), d), (1 - pure) / (d - 1))
+    p[np.arange(len(owner)), owner] = pure
+    size = np.array(shares) * tokens / np.bincount(owner)
+    return size[owner], p
+
+
+@pytest.mark.parametrize("shares", [(.01, .97, .01, .01), (.001, .99, .005, .004), (.61, .15, .15, .09), (1e-5, 1 - 3e-5, 1e-5, 1e-5)])
+@pytest.mark.parametrize("share", [(.2, .5, .15, .15), (.97, .01, .01, .01)])
+def test_rare_domains_meet_targets(shares, share):
+    n, p = skewed(shares)
+    passes = []
+    weights, miss = mixing.solve(lambda points: passes.append(1) or mixing.sums(n, p, points), np.array(share), n.sum(), mixing.Settings())
+    reached = (n * mixing.rates(p, weights)) @ p / n.sum()
+    assert np.abs(reached - share).max() <= 0.002 and np.allclose(reached - share, miss) and len(passes) < 60
+
+
+def test_targets_out_of_reach_are_approached():
+    n, p = skewed((.2, .3, .3, .2), pure=0.7)
+    share = np.array([1.0, 0, 0, 0])
+    _, miss = mixing.solve(lambda points: mixing.sums(n, p, points), share, n.sum(), mixing.Settings())
+    best = p[0] * (p[0] @ share) / (p[0] @ p[0]) - share
+    assert np.abs(miss - best).max() <= 0.002
+
+
+def test_mixture_of_a_rare_language(spark):
+    rng = np.random.default_rng(0)
+    word = {"en": ["the", "of", "and", "with"], "de": ["der", "und", "nicht", "ein"]}
+    lang = lambda i: "de" if i % 200 == 0 else "en"
+    df = spark.createDataFrame([(i, " ".join(rng.choice(word[lang(i)], 40)), lang(i)) for i in range(2000)], "doc_id long, text string, lang string")
+    domains = mixing.fit_domains(df, df, ["de", "en", "fr"])
+    got = mixing.mix_to_targets(df, domains, {"de": 0.5, "en": 0.5}).collect()
+    total = sum(np.array(r.posteriors) * r.n_tokens * r.rate for r in got) / 80_000
+    assert np.abs(total - [.5, .5, 0]).max() <= 0.002
+    with pytest.warns(UserWarning, match="fr"):
+        mixing.mix_to_targets(df, domains, {"fr": 0.9, "en": 0.1})
+
+
 # Pieces.
 
 @pytest.fixture(scope="module")

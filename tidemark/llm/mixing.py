@@ -1,8 +1,9 @@
-"""Mixing to target weights by soft membership: domain posteriors from a classifier, document rates by projected gradient."""
+"""Mixing to target weights by soft membership: domain posteriors from a classifier, document rates by Newton's method."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import warnings
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,16 @@ from tidemark.llm.rolling import chunks, joined, words
 from tidemark.session import new_workdir
 
 CHUNK_BYTES = 1 << 20
+# Lengths of a step that are tried together; the pull at which doubles end.
+TRIED = np.array([1.0, 1 / 4, 1 / 16, 1 / 64])
+LEAST_PULL = 1e-12
 
 
 @dataclass(frozen=True)
 class Settings:
     """``max_rows`` bounds the labelled documents the classifier is fitted on; ``sharpness`` how many features' worth of
-    evidence a posterior rests on; ``pull`` holds rates near 1; the descent ends after ``steps``, or once no
-    domain misses its target by more than ``tolerance`` of all tokens."""
+    evidence a posterior rests on; ``pull`` holds rates near 1 and shrinks, after ``steps`` steps at the latest, until no domain misses
+    its target by more than ``tolerance`` of all tokens, or the targets are shown to be out of reach by as much as they are missed."""
 
     max_rows: int = 4000
     bits: int = 14
@@ -87,16 +91,61 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], settings:
     return Domains(names, np.log(smooth / smooth.sum(axis=1, keepdims=True)), settings)
 
 
-def replay(p: np.ndarray, steps: list[np.ndarray], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Rates and look-ahead point after the given residuals: a document's rate depends on its posteriors alone."""
-    rate = ahead = np.ones(len(p))
-    speed, size = 1.0, 1 / (1 + settings.pull)
-    for residual in steps:
-        moved = np.maximum(0, ahead - size * (p @ residual + settings.pull * (ahead - 1)))
-        faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
-        ahead = np.maximum(0, moved + (speed - 1) / faster * (moved - rate))
-        rate, speed = moved, faster
-    return rate, ahead
+def rates(p: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The rates of documents that are closest to 1, of all that give the same totals: they depend on the posteriors alone."""
+    return np.maximum(0, 1 - p @ weights)
+
+
+@dataclass
+class Sums:
+    """At some weights: expected tokens of the domains, their second moments over documents of a rate above 0, half the
+    sum of squared rates by tokens, and the least product of posteriors and weights."""
+
+    totals: np.ndarray
+    moments: np.ndarray
+    squares: float
+    low: float
+
+
+def sums(n: np.ndarray, p: np.ndarray, points: np.ndarray) -> list[Sums]:
+    """The sums of some documents at each point."""
+    out = []
+    for w in points:
+        rate = rates(p, w)
+        held = n * (rate > 0)
+        out.append(Sums((n * rate) @ p, (p * held[:, None]).T @ p, float(n @ rate**2) / 2, float((p @ w)[n > 0].min(initial=np.inf))))
+    return out
+
+
+def solve(measured: Callable[[np.ndarray], list[Sums]], share: np.ndarray, tokens: float, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the domains whose rates meet the shares, or come as close as any rates can, and what they miss.
+
+    The rates that minimise the misses and a pull to 1 are given by one weight for each domain, the miss over the pull; these
+    weights minimise a convex function with the moments as second derivative. A cone holds all totals that rates can
+    give: weights that are nonnegative on all posteriors bound the distance of the shares from it.
+    """
+    at, pull, taken = np.zeros(len(share)), settings.pull, 0
+    here = measured(at[None])[0]
+    while True:
+        miss = here.totals / tokens - share
+        normal = at - min(here.low, 0.0)
+        bound = max(0.0, -float(share @ normal) / (float(np.linalg.norm(normal)) or 1.0))
+        if np.abs(miss).max() <= settings.tolerance or np.linalg.norm(miss) - bound <= settings.tolerance / 10:
+            return at, miss
+        slope = pull * at - miss
+        height = lambda x, w: x.squares / tokens + share @ w + pull / 2 * (w @ w)
+        better = None
+        if np.abs(slope).max() > settings.tolerance / 10 and taken < settings.steps:
+            step = np.linalg.lstsq(here.moments / tokens + pull * np.eye(len(at)), -slope, rcond=None)[0]
+            points = at + TRIED[:, None] * step
+            below = [(t, w, x) for t, w, x in zip(TRIED, points, measured(points)) if height(x, w) <= height(here, at) + 1e-4 * t * (slope @ step)]
+            better, taken = below[0] if below else None, taken + 1
+        if better:
+            _, at, here = better
+        elif pull > LEAST_PULL:
+            pull, taken = pull / 10, 0
+        else:
+            return at, miss
 
 
 def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, float], settings: Settings = Settings(),
@@ -104,13 +153,14 @@ def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, floa
     """(id, n_tokens, ``posteriors``, ``rate``, ``copies``) of every row, ``posteriors`` in the order of the domains' names.
 
     Rates are nonnegative and minimise, over all documents, the squared misses of the targets by the expected token
-    totals of the domains, rate * tokens * posterior, plus a small pull of each rate to 1. Targets are shares of the tokens there
-    are; missing domains count as 0. ``copies`` is the rate rounded up or down by a hash of the id and the text, so that its mean
+    totals of the domains, rate * tokens * posterior, plus a pull of each rate to 1 that shrinks until the targets are met, however
+    rare a domain is. Targets are shares of the tokens there are; missing domains count as 0. A target that no rates can meet is
+    reported by a warning, with the share that comes closest. ``copies`` is the rate rounded up or down by a hash of the id and the text, so that its mean
     is the rate. Tokens are runs without white space. A null or empty text has no tokens, even posteriors and a rate
     all the same; repeated rows get equal rates; an empty table gives none. Other columns are not read.
 
-    Posteriors are written once. Each step of the descent is one sum over them with a row for each task; what the
-    driver holds are the residuals, one number for each domain and step, from which every task replays its rates.
+    Posteriors are written once. Each step is one sum over them with some rows for each task, their number that of the domains
+    squared; what the driver holds is one weight for each domain, which gives every task its rates.
     """
     spark = docs.sparkSession
     d = len(domains.names)
@@ -135,37 +185,37 @@ def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, floa
     path = new_workdir(spark, "mixing")
     source.mapInArrow(judge, schema).write.parquet(path)
     judged = spark.read.schema(schema).parquet(path)
-    steps: list[np.ndarray] = []
 
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
-    def totals(replayed: list[np.ndarray]) -> np.ndarray:
-        """Tokens, expected tokens at the rates, and at the look-ahead point."""
+    each = d + d * d + 2
+
+    def measured(points: np.ndarray) -> list[Sums]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((3, d))
+            out = np.zeros((len(points), each))
+            out[:, -1] = np.inf
             for b in batches:
-                n, p = b.column(0).to_numpy().astype(float), matrix(b.column(1))
-                rate, ahead = replay(p, replayed, settings)
-                out += np.stack([n @ p, (n * rate) @ p, (n * ahead) @ p])
-            yield pa.RecordBatch.from_arrays([pa.array(out.ravel())], names=["x"]).append_column("k", pa.array(range(3 * d), pa.int32()))
-        rows = judged.select("n_tokens", "posteriors").mapInArrow(run, "x double, k int").groupBy("k").agg(F.sum("x").alias("x")).collect()
-        out = np.zeros(3 * d)
+                for row, x in zip(out, sums(b.column(0).to_numpy().astype(float), matrix(b.column(1)), points)):
+                    row[:-1] += np.concatenate([x.totals, x.moments.ravel(), [x.squares]])
+                    row[-1] = min(row[-1], x.low)
+            yield pa.RecordBatch.from_arrays([pa.array(out.ravel())], names=["x"]).append_column("k", pa.array(range(out.size), pa.int32()))
+        rows = judged.select("n_tokens", "posteriors").mapInArrow(run, "x double, k int").groupBy("k").agg(F.sum("x").alias("x"), F.min("x").alias("low")).collect()
+        out = np.zeros((len(points), each))
         for r in rows:
-            out[r.k] = r.x
-        return out.reshape(3, d)
+            out[divmod(r.k, each)] = r.low if r.k % each == each - 1 else r.x
+        return [Sums(x[:d], x[d:-2].reshape(d, d), x[-2], x[-1]) for x in out]
 
-    for _ in range(settings.steps):
-        now, reached, ahead = totals(steps)
-        all_tokens = max(now.sum(), 1.0)
-        if np.abs(reached / all_tokens - share).max() <= settings.tolerance:
-            break
-        steps.append(ahead / all_tokens - share)
+    weights, tokens = np.zeros(d), float(judged.agg(F.sum("n_tokens")).first()[0] or 0)
+    if tokens:
+        weights, miss = solve(measured, share, tokens, settings)
+        missed = [f"{n}: {s:.4g}, closest {s + m:.4g}" for n, s, m in zip(domains.names, share, miss) if abs(m) > settings.tolerance]
+        if missed:
+            warnings.warn(f"targets that no rates meet ({'; '.join(missed)})", stacklevel=2)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rate, _ = replay(matrix(b.column(3)), steps, settings)
-            yield b.append_column("rate", pa.array(rate))
+            yield b.append_column("rate", pa.array(rates(matrix(b.column(3)), weights)))
 
     rated = judged.mapInArrow(apply, schema + ", rate double")
     dice = F.pmod(F.xxhash64("code"), F.lit(1 << 30)) / float(1 << 30)
