@@ -35,10 +35,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links connect, the one of smallest id; documents without an id stay."""
+    """One document of each group that links connect, the one of smallest id; documents without an id stay.
+
+    Of rows that share an id one stays: one with a text if there is any, then the smallest by its columns, in their order.
+    """
     send_package(spark)
+    # Written, so that its size is known: where no id is repeated, it is broadcast and no row travels for it.
+    path = new_workdir(spark, "repeated")
+    docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id").write.parquet(path)
+    repeated = spark.read.schema(docs.select("doc_id").schema).parquet(path)
+    least = F.min(F.struct(F.col("text").isNull().alias("empty"), F.struct(*docs.columns).alias("row"))).alias("least")
+    chosen = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(least).select("least.row.*")
+    single = docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(chosen)
     kept = jaccard.linked(docs, NEAR).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return single.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

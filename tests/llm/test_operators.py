@@ -505,6 +505,15 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
     assert kept == {i for i, (_, first) in linked_by_brute_force(list(enumerate(texts)), 5, 80).items() if i == first}
 
 
+def test_near_duplicates_keep_one_row_of_an_id(spark):
+    long, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, long, "b"), (1, long, "a"), (1, None, "a"), (2, long, "c"), (3, other, "c"), (3, other, "c"), (4, "single", "c"), (None, long, "d"), (None, long, "d")]
+    docs = spark.createDataFrame([(i, t, "s", "i", "k", c) for i, t, c in rows], DOCS)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 9), r.text, r.score) for r in kept.collect()) == [(1, long, "a"), (3, other, "c"), (4, "single", "c"), (9, long, "d"), (9, long, "d")]
+
+
 def test_mixture_keeps_columns_of_clashing_names(spark):
     docs = small(spark).withColumns({c: F.col("doc_id") for c in ("code", "copies", "_code", "_copies", "row", "col", "id", "rate")})
     rows = corpus_pipeline.mixture(spark, docs, SF)
