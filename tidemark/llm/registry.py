@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, repeats, secret_scan, topk
+from tidemark.llm import ann, audit, jaccard, licences, mixing, pieces, pii, quality, repeats, secret_scan, topk
 
 PIECES_MODEL = os.environ.get("TIDEMARK_PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 # Shares of the tokens that the mixture is to have, by language.
@@ -79,9 +79,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_classifier, op3_licence_scan, op4_jaccard_join, op5_mixture, op6_nearest_neighbours, op7_pieces,
-    op8_repeat_removal, op9_top_products, op10_personal_data)}
+    op8_repeat_removal, op9_top_products, op10_personal_data, op13_filter_audit)}
 
 TOP_PRODUCTS_SQL = """
 WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -92,4 +96,4 @@ WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floo
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
 
-ORACLES = {"op9_top_products": TOP_PRODUCTS_SQL}
+ORACLES = {"op9_top_products": TOP_PRODUCTS_SQL, "op13_filter_audit": audit.AUDIT_SQL}
