@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.rolling import chunks
-from tidemark.llm.terms import eights, stream, terms
+from tidemark.llm.terms import eights, ramps, stream, terms
 from tidemark.session import new_workdir
 
 CHUNK_BYTES = 1 << 20
@@ -31,12 +31,6 @@ PASS_BYTES = 1 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def ramps(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of each, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-
-
 @dataclass
 class Group:
     """Strings of which the shortest has ``least`` bytes; ``strings`` are sorted by the bucket of their block."""
