@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, audit, decontaminate, jaccard, licences, mixing, pieces, pii, quality, repeats, secret_scan, topk
+from tidemark.llm import ann, audit, decontaminate, jaccard, lexical, licences, mixing, pieces, pii, quality, repeats, secret_scan, topk
 
 PIECES_MODEL = os.environ.get("TIDEMARK_PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 # Shares of the tokens that the mixture is to have, by language.
@@ -83,6 +83,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -90,7 +94,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_quality_classifier, op3_licence_scan, op4_jaccard_join, op5_mixture, op6_nearest_neighbours, op7_pieces,
     op8_repeat_removal, op9_top_products, op10_personal_data, op11_decontamination,
-    op13_filter_audit)}
+    op12_lexical_search, op13_filter_audit)}
 
 TOP_PRODUCTS_SQL = """
 WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -101,5 +105,5 @@ WITH t AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floo
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
 
-ORACLES = {"op9_top_products": TOP_PRODUCTS_SQL, "op11_decontamination": decontaminate.DECONTAMINATION_SQL,
+ORACLES = {"op9_top_products": TOP_PRODUCTS_SQL, "op11_decontamination": decontaminate.DECONTAMINATION_SQL, "op12_lexical_search": lexical.RANKED_SQL,
            "op13_filter_audit": audit.AUDIT_SQL}
