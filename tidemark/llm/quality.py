@@ -146,7 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
 
     kind = sample.schema["id"].dataType.simpleString()
     counted = sample.mapInArrow(count, f"id {kind}, label int, buckets binary, counts binary")
-    row = counted.coalesce(1).mapInArrow(descend, "vectors binary, output binary, bias array<double>").first()
+    # The features of the sample move to the one task that descends; scan and count stay in theirs.
+    row = counted.repartition(1).mapInArrow(descend, "vectors binary, output binary, bias array<double>").first()
     if row is None:
         return train([], settings)
     return Model(settings, np.frombuffer(row.vectors, "<f4").reshape(-1, settings.dim),
