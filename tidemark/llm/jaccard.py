@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.rolling import LOWER, Rolling, chunks, joined, mix, words
+from tidemark.llm.rolling import LOWER, chunks, codes, joined, mix, words
 from tidemark.session import new_workdir
 
 CHUNK_BYTES = 1 << 20
@@ -156,13 +156,16 @@ class Bands:
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    """For each text its distinct shingles of ``k`` words, as sorted fingerprints; of fewer words, all as one."""
+    """For each text its distinct shingles of ``k`` words, as sorted fingerprints; of fewer words, all as one.
+
+    Words and shingles are 64-bit codes of chained blocks: two that differ agree with a chance of 2^-64, whatever they hold.
+    """
     buf, starts, ends = joined(texts, b"\n")
     if not len(buf):
         return [np.zeros(0, np.uint64) for _ in texts]
     buf = LOWER[buf]
     first, last = words(buf)
-    word = Rolling(buf, seed=5).spans(first, last)
+    word = codes(buf, first, last)
     from_, to = np.searchsorted(first, starts), np.searchsorted(first, ends)
     run = word
     for j in range(1, k):

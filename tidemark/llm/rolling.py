@@ -1,14 +1,17 @@
 """Vectorised 64-bit fingerprints of byte strings, for use inside tasks.
 
-A fingerprint of ``buf[a:b]`` depends on its bytes alone, not on its place: prefix
-sums of table values times powers of an odd number, divided by the power at ``a``.
-Two independent seeds give 128 bits where equality has to be beyond doubt.
+A fingerprint of ``buf[a:b]`` depends on its bytes alone, not on its place. ``Rolling``
+gives those of any substrings: prefix sums of table values times powers of an odd number,
+divided by the power at ``a``. Such sums are linear, and strings of some hundred bytes can be
+made that agree in them, so they serve features and short strings. ``codes`` chains
+mixed blocks, which no such structure passes through, and serves where equality counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 
@@ -77,6 +80,27 @@ class Rolling:
         return mix((self._sums[n:] - self._sums[:-n]) * self._inverse[: len(self._sums) - n] + np.uint64(n))
 
 
+# Bytes that count of the last block of a span, by how many are left; spans beyond the bound are hashed one by one.
+LEFT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_SPAN = 512
+
+
+def codes(buf: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """One fingerprint for each ``buf[first:last]``: its length, mixed with one block of eight bytes after the other."""
+    lengths = last - first
+    out = mix(lengths.astype(np.uint64) + MIX_1)
+    eight = np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), 0, (1,))
+    left = np.flatnonzero((lengths > 0) & (lengths <= LONG_SPAN))
+    step = 0
+    while len(left):
+        rest = lengths[left] - step
+        out[left] = mix(out[left] ^ (eight[first[left] + step] & LEFT[np.minimum(rest, 8)]))
+        left, step = left[rest > 8], step + 8
+    for i in np.flatnonzero(lengths > LONG_SPAN):
+        out[i] = int.from_bytes(blake2b(buf[first[i]:last[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def joined(texts: list[bytes], gap: bytes = b"") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one buffer, and where each starts and ends in it."""
     lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
