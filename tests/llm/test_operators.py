@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, registry, repeats, secret_scan, topk
+from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, registry, repeats, rolling, secret_scan, topk
 from tidemark.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -205,6 +205,28 @@ def test_jaccard_join(spark, monkeypatch, deletions):
     assert got == linked_by_brute_force(list(enumerate(texts)))
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [256, 512, 1024, 4096])
+def test_words_that_agree_in_power_sums_are_told_apart(spark, size):
+    word = thue_morse(size)
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts = [word, other, f"{word} x y z", f"{other} x y z", f"{word} x y z"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(docs_of(spark, texts)).collect()}
+    assert got == linked_by_brute_force(list(enumerate(texts))) and got[1][1] == 1 and got[3][1] == 3
+
+
+def test_codes_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(0)
+    words_ = [bytes(rng.integers(97, 99, n, dtype=np.uint8)) for n in [*range(20), 511, 512, 513, 3000]]
+    buf, first, last = rolling.joined([b"z", *words_, *words_], b"-")
+    codes = rolling.codes(buf, first[1:], last[1:])
+    assert (codes[:len(words_)] == codes[len(words_):]).all()
+    assert len(np.unique(codes)) == len(set(words_))
+
+
 def test_sets_that_link_share_a_key():
     rng = np.random.default_rng(3)
     rule = jaccard.Rule()
@@ -392,6 +414,7 @@ def test_mixture_meets_targets(spark):
     got = mixing.mix_to_targets(df, domains, {"de": 0.5, "en": 0.5}).collect()
     total = sum(np.array(r.posteriors) * r.n_tokens * r.rate for r in got)
     tokens = sum(r.n_tokens for r in got)
+    assert all(np.allclose(r.reached, total / tokens, atol=1e-9) for r in got)
     assert np.abs(total / tokens - 0.5).max() <= 0.01 and all(r.rate >= 0 and r.copies >= 0 for r in got) and len(got) == 405
     assert mixing.mix_to_targets(df.where("false"), domains, {"de": 1}).collect() == []
 
@@ -411,15 +434,15 @@ def skewed(shares, tokens=1_000_000, n=20_000, pure=0.98):
 def test_rare_domains_meet_targets(shares, share):
     n, p = skewed(shares)
     passes = []
-    weights, miss = mixing.solve(lambda points: passes.append(1) or mixing.sums(n, p, points), np.array(share), n.sum(), mixing.Settings())
-    reached = (n * mixing.rates(p, weights)) @ p / n.sum()
+    moves, miss = mixing.solve(lambda *at: passes.append(1) or mixing.sums(n, p, *at), np.array(share), n.sum(), mixing.Settings())
+    reached = (n * mixing.rates(p, moves)) @ p / n.sum()
     assert np.abs(reached - share).max() <= 0.002 and np.allclose(reached - share, miss) and len(passes) < 60
 
 
 def test_targets_out_of_reach_are_approached():
     n, p = skewed((.2, .3, .3, .2), pure=0.7)
     share = np.array([1.0, 0, 0, 0])
-    _, miss = mixing.solve(lambda points: mixing.sums(n, p, points), share, n.sum(), mixing.Settings())
+    _, miss = mixing.solve(lambda *at: mixing.sums(n, p, *at), share, n.sum(), mixing.Settings())
     best = p[0] * (p[0] @ share) / (p[0] @ p[0]) - share
     assert np.abs(miss - best).max() <= 0.002
 

@@ -1,4 +1,4 @@
-"""Mixing to target weights by soft membership: domain posteriors from a classifier, document rates by Newton's method."""
+"""Mixing to target weights by soft membership: domain posteriors from a classifier, document rates by projected gradient."""
 
 from __future__ import annotations
 
@@ -17,23 +17,22 @@ from tidemark.llm.rolling import chunks, joined, words
 from tidemark.session import new_workdir
 
 CHUNK_BYTES = 1 << 20
-# Lengths of a step that are tried together; the pull at which doubles end.
-TRIED = np.array([1.0, 1 / 4, 1 / 16, 1 / 64])
-LEAST_PULL = 1e-12
+# Lengths of a preconditioned step that are tried together, and tasks that count the labelled sample.
+TRIED = np.array([1.0, 1 / 2, 1 / 8, 1 / 32])
+SAMPLE_TASKS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
     """``max_rows`` bounds the labelled documents the classifier is fitted on; ``sharpness`` how many features' worth of
-    evidence a posterior rests on; ``pull`` holds rates near 1 and shrinks, after ``steps`` steps at the latest, until no domain misses
-    its target by more than ``tolerance`` of all tokens, or the targets are shown to be out of reach by as much as they are missed."""
+    evidence a posterior rests on. The descent ends once no domain misses its target by more than ``tolerance`` of all tokens, or the
+    targets are shown to be out of reach by as much as they are missed, or after ``steps`` steps."""
 
     max_rows: int = 4000
     bits: int = 14
     grams: tuple[int, ...] = ()
     sharpness: float = 12.0
-    pull: float = 0.002
-    steps: int = 30
+    steps: int = 200
     tolerance: float = 0.002
 
 
@@ -84,83 +83,89 @@ def fit_domains(docs: DataFrame, labels: DataFrame, names: list[str], settings:
                 total += np.frombuffer(data, "<i8").reshape(total.shape)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
 
-    # A table of fixed size from each task, summed by one.
-    row = sample.mapInArrow(count, "one bigint, counts binary").select("counts").coalesce(1).mapInArrow(add, "counts binary").first()
+    # The sample moves to a fixed number of tasks, each of which sends a table of fixed size to the one that adds them.
+    dealt = sample.repartition(SAMPLE_TASKS, F.xxhash64("text"))
+    row = dealt.mapInArrow(count, "one bigint, counts binary").select("counts").repartition(1).mapInArrow(add, "counts binary").first()
     total = np.frombuffer(row.counts, "<i8").reshape(len(names), -1) if row else np.zeros((len(names), 1 << settings.bits))
     smooth = total + 0.5
     return Domains(names, np.log(smooth / smooth.sum(axis=1, keepdims=True)), settings)
 
 
-def rates(p: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The rates of documents that are closest to 1, of all that give the same totals: they depend on the posteriors alone."""
-    return np.maximum(0, 1 - p @ weights)
+def rates(p: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The rates of documents after some moves: each starts at 1, goes down by the product of its posteriors and the move, and
+    is projected to 0 where it would fall below."""
+    out = np.ones(len(p))
+    for move in moves:
+        out = np.maximum(0, out - p @ move)
+    return out
 
 
 @dataclass
 class Sums:
-    """At some weights: expected tokens of the domains, their second moments over documents of a rate above 0, half the
-    sum of squared rates by tokens, and the least product of posteriors and weights."""
+    """After some moves: expected tokens of the domains, their second moments over documents of a rate above 0, and the least
+    product of posteriors and the asked direction."""
 
     totals: np.ndarray
     moments: np.ndarray
-    squares: float
     low: float
 
 
-def sums(n: np.ndarray, p: np.ndarray, points: np.ndarray) -> list[Sums]:
-    """The sums of some documents at each point."""
-    out = []
-    for w in points:
-        rate = rates(p, w)
+def sums(n: np.ndarray, p: np.ndarray, moves: np.ndarray, tries: np.ndarray, direction: np.ndarray) -> list[Sums]:
+    """The sums of some documents after the moves and each of the tries."""
+    before, low, out = rates(p, moves), float((p @ direction)[n > 0].min(initial=np.inf)), []
+    for move in tries:
+        rate = np.maximum(0, before - p @ move)
         held = n * (rate > 0)
-        out.append(Sums((n * rate) @ p, (p * held[:, None]).T @ p, float(n @ rate**2) / 2, float((p @ w)[n > 0].min(initial=np.inf))))
+        out.append(Sums((n * rate) @ p, (p * held[:, None]).T @ p, low))
     return out
 
 
-def solve(measured: Callable[[np.ndarray], list[Sums]], share: np.ndarray, tokens: float, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the domains whose rates meet the shares, or come as close as any rates can, and what they miss.
+def solve(measured: Callable[[np.ndarray, np.ndarray, np.ndarray], list[Sums]], share: np.ndarray, tokens: float,
+          settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The moves after which the rates meet the shares, or come as close as any rates can, and what they then miss.
 
-    The rates that minimise the misses and a pull to 1 are given by one weight for each domain, the miss over the pull; these
-    weights minimise a convex function with the moments as second derivative. A cone holds all totals that rates can
-    give: weights that are nonnegative on all posteriors bound the distance of the shares from it.
+    Projected gradient on the squared misses: the gradient of a document's rate is its tokens times the product of its posteriors
+    and the misses, so a move is one vector for all documents. It is preconditioned by the tokens and by the
+    inverse of the domains' moments over the documents that are still in use, which makes the first step exact where none is
+    projected; shorter steps and the plain gradient step, which always descends, are tried beside it. All totals that rates can
+    give form a cone: a direction that is nonnegative on all posteriors bounds the distance of the shares from it.
     """
-    at, pull, taken = np.zeros(len(share)), settings.pull, 0
-    here = measured(at[None])[0]
-    while True:
+    none = np.zeros(len(share))
+    moves = np.zeros((0, len(share)))
+    here = measured(moves, none[None], none)[0]
+    steepest = np.linalg.eigvalsh(here.moments / tokens).max()
+    for _ in range(settings.steps):
         miss = here.totals / tokens - share
-        normal = at - min(here.low, 0.0)
+        if np.abs(miss).max() <= settings.tolerance:
+            break
+        exact = np.linalg.lstsq(here.moments / tokens, miss, rcond=None)[0]
+        tries = np.concatenate([TRIED[:, None] * exact, miss[None] / steepest])
+        found = measured(moves, tries, miss)
+        normal = miss - min(found[0].low, 0.0)
         bound = max(0.0, -float(share @ normal) / (float(np.linalg.norm(normal)) or 1.0))
-        if np.abs(miss).max() <= settings.tolerance or np.linalg.norm(miss) - bound <= settings.tolerance / 10:
-            return at, miss
-        slope = pull * at - miss
-        height = lambda x, w: x.squares / tokens + share @ w + pull / 2 * (w @ w)
-        better = None
-        if np.abs(slope).max() > settings.tolerance / 10 and taken < settings.steps:
-            step = np.linalg.lstsq(here.moments / tokens + pull * np.eye(len(at)), -slope, rcond=None)[0]
-            points = at + TRIED[:, None] * step
-            below = [(t, w, x) for t, w, x in zip(TRIED, points, measured(points)) if height(x, w) <= height(here, at) + 1e-4 * t * (slope @ step)]
-            better, taken = below[0] if below else None, taken + 1
-        if better:
-            _, at, here = better
-        elif pull > LEAST_PULL:
-            pull, taken = pull / 10, 0
-        else:
-            return at, miss
+        if np.linalg.norm(miss) - bound <= settings.tolerance / 10:
+            break
+        left = [np.linalg.norm(x.totals / tokens - share) for x in found]
+        best = int(np.argmin(left))
+        if left[best] >= np.linalg.norm(miss) * (1 - 1e-9):
+            break
+        moves, here = np.concatenate([moves, tries[best:best + 1]]), found[best]
+    return moves, here.totals / tokens - share
 
 
 def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, float], settings: Settings = Settings(),
                    id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_tokens, ``posteriors``, ``rate``, ``copies``) of every row, ``posteriors`` in the order of the domains' names.
+    """(id, n_tokens, ``posteriors``, ``rate``, ``copies``, ``reached``) of every row, lists in the order of the domains' names.
 
-    Rates are nonnegative and minimise, over all documents, the squared misses of the targets by the expected token
-    totals of the domains, rate * tokens * posterior, plus a pull of each rate to 1 that shrinks until the targets are met, however
-    rare a domain is. Targets are shares of the tokens there are; missing domains count as 0. A target that no rates can meet is
-    reported by a warning, with the share that comes closest. ``copies`` is the rate rounded up or down by a hash of the id and the text, so that its mean
+    Rates are nonnegative and descend from 1, over all documents, on the squared misses of the targets by the expected token
+    totals of the domains, rate * tokens * posterior, until the targets are met, however rare a domain is. Targets are shares of
+    the tokens there are; missing domains count as 0. ``reached`` are the shares that the rates give; a target that no
+    rates can meet is reported by a warning as well, with the share that comes closest. ``copies`` is the rate rounded up or down by a hash of the id and the text, so that its mean
     is the rate. Tokens are runs without white space. A null or empty text has no tokens, even posteriors and a rate
     all the same; repeated rows get equal rates; an empty table gives none. Other columns are not read.
 
     Posteriors are written once. Each step is one sum over them with some rows for each task, their number that of the domains
-    squared; what the driver holds is one weight for each domain, which gives every task its rates.
+    squared; what the driver holds is one vector of the domains for each step taken, from which every task derives its rates.
     """
     spark = docs.sparkSession
     d = len(domains.names)
@@ -189,34 +194,35 @@ def mix_to_targets(docs: DataFrame, domains: Domains, targets: Mapping[str, floa
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
-    each = d + d * d + 2
+    each = d + d * d + 1
 
-    def measured(points: np.ndarray) -> list[Sums]:
+    def measured(moves: np.ndarray, tries: np.ndarray, direction: np.ndarray) -> list[Sums]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((len(points), each))
+            out = np.zeros((len(tries), each))
             out[:, -1] = np.inf
             for b in batches:
-                for row, x in zip(out, sums(b.column(0).to_numpy().astype(float), matrix(b.column(1)), points)):
-                    row[:-1] += np.concatenate([x.totals, x.moments.ravel(), [x.squares]])
+                for row, x in zip(out, sums(b.column(0).to_numpy().astype(float), matrix(b.column(1)), moves, tries, direction)):
+                    row[:-1] += np.concatenate([x.totals, x.moments.ravel()])
                     row[-1] = min(row[-1], x.low)
-            yield pa.RecordBatch.from_arrays([pa.array(out.ravel())], names=["x"]).append_column("k", pa.array(range(out.size), pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(out.ravel()), pa.array(range(out.size), pa.int32())], names=["x", "k"])
         rows = judged.select("n_tokens", "posteriors").mapInArrow(run, "x double, k int").groupBy("k").agg(F.sum("x").alias("x"), F.min("x").alias("low")).collect()
-        out = np.zeros((len(points), each))
+        out = np.zeros((len(tries), each))
         for r in rows:
             out[divmod(r.k, each)] = r.low if r.k % each == each - 1 else r.x
-        return [Sums(x[:d], x[d:-2].reshape(d, d), x[-2], x[-1]) for x in out]
+        return [Sums(x[:d], x[d:-1].reshape(d, d), x[-1]) for x in out]
 
-    weights, tokens = np.zeros(d), float(judged.agg(F.sum("n_tokens")).first()[0] or 0)
+    moves, miss, tokens = np.zeros((0, d)), -share, float(judged.agg(F.sum("n_tokens")).first()[0] or 0)
     if tokens:
-        weights, miss = solve(measured, share, tokens, settings)
+        moves, miss = solve(measured, share, tokens, settings)
         missed = [f"{n}: {s:.4g}, closest {s + m:.4g}" for n, s, m in zip(domains.names, share, miss) if abs(m) > settings.tolerance]
         if missed:
             warnings.warn(f"targets that no rates meet ({'; '.join(missed)})", stacklevel=2)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.append_column("rate", pa.array(rates(matrix(b.column(3)), weights)))
+            yield b.append_column("rate", pa.array(rates(matrix(b.column(3)), moves)))
 
     rated = judged.mapInArrow(apply, schema + ", rate double")
     dice = F.pmod(F.xxhash64("code"), F.lit(1 << 30)) / float(1 << 30)
-    return rated.select(F.col("id").alias(id_column), "n_tokens", "posteriors", "rate", (F.floor("rate") + (dice < F.col("rate") % 1).cast("int")).cast("int").alias("copies"), "code")
+    return rated.select(F.col("id").alias(id_column), "n_tokens", "posteriors", "rate", (F.floor("rate") + (dice < F.col("rate") % 1).cast("int")).cast("int").alias("copies"),
+                        F.array(*(F.lit(float(x)) for x in share + miss)).alias("reached"), "code")
