@@ -18,6 +18,7 @@ UNCHANGED, UPDATED, INSERTED, SOFT_DELETED = "unchanged", "updated", "inserted",
 MATCHED = "merge_matched"
 _SRC = "_src_"
 _INSERT, _UPDATE, _DELETE, _HELD = "_insert", "_update", "_delete", "_held"
+_OLD, _NEW, _SALT = "_old", "_new", "_salt"
 
 
 def row_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -69,8 +70,8 @@ def merge(
     Both sides carry the audit columns. The source must be unique on ``keys``
     (see ``dedupe_latest``). NULL keys match nothing: such a source row is
     inserted and such a target row counts as not matched. They would all hash to
-    one partition of an outer join, so they go around it unless the caller knows
-    that there are none (``keys_not_null``).
+    one partition of a shuffled join, so rows with a NULL key carry a salt there, from
+    their values and the partition they come from; ``keys_not_null`` spares it.
 
     ``held`` lists keys the source has although their rows are not merged (they were
     rejected): the target rows stay as they are, and nothing is inserted for them.
@@ -90,44 +91,47 @@ def merge(
     source = source.select(*target.columns)
     compare = [c for c in target.columns if c not in keys and not is_audit(c)]
 
-    spare = None
-    if not keys_not_null:
-        any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-        null_new = _label(source.where(any_null), INSERTED)
-        null_old = _gone(target.where(any_null), merge_ts, rules)
-        spare = null_new.unionByName(null_old)
-        target, source = target.where(~any_null), source.where(~any_null)
-
-    renamed = source.select(*[F.col(c).alias(_SRC + c) for c in target.columns])
+    renamed = source.select(*[F.col(c).alias(_SRC + c) for c in target.columns], F.lit(True).alias(_NEW))
     on = reduce(Column.__and__, [F.col(k) == F.col(_SRC + k) for k in keys])
     # The measured size says nothing about the keys held back.
     small = held is None and source_bytes is not None and source_bytes <= broadcast_limit(source.sparkSession)
     if held is not None:
         known_keys = distinct_keys(source, keys)
         others = held.select(*keys).dropna().distinct().join(known_keys, keys, "left_anti")
-        others = others.select(*[F.col(k).alias(_SRC + k) for k in keys], F.lit(True).alias(_HELD))
+        others = others.select(*[F.col(k).alias(_SRC + k) for k in keys], F.lit(True).alias(_NEW), F.lit(True).alias(_HELD))
         renamed = renamed.withColumn(_HELD, F.lit(False)).unionByName(others, allowMissingColumns=True)
     else:
         renamed = renamed.withColumn(_HELD, F.lit(False))
 
+    old = target.withColumn(_OLD, F.lit(True))
+    if not keys_not_null and not small:
+        old = old.withColumn(_SALT, _null_salt(keys, target.columns))
+        renamed = renamed.withColumn(_SRC + _SALT, _null_salt([_SRC + k for k in keys], [_SRC + c for c in target.columns]))
+        on = on & (F.col(_SALT) == F.col(_SRC + _SALT))
+
     if small or not unique_target:
         # The hint gives the source a shuffle of its own, without which Spark would not
         # split a hot key of the target if the source was partitioned on the keys before.
         side = F.broadcast(renamed) if small else renamed.hint("rebalance")
-        known = target.join(side, on, "left")
+        known = old.join(side, on, "left")
         result = _resolve(known, target.columns, keys, compare, merge_ts, rules, newer_by)
         result = result.unionByName(_label(new_rows(source, target, keys, small), INSERTED))
     else:
-        paired = target.join(renamed, on, "full")
+        paired = old.join(renamed, on, "full")
         if held is not None:
-            paired = paired.where(F.col(keys[0]).isNotNull() | ~F.col(_HELD))
+            paired = paired.where(F.col(_OLD).isNotNull() | ~F.col(_HELD))
         result = _resolve(paired, target.columns, keys, compare, merge_ts, rules, newer_by)
-    if spare is not None:
-        result = result.unionByName(spare)
     unwanted = [c for c, wanted in ((ACTION, with_action), (MATCHED, with_matched)) if not wanted]
     return result.drop(*unwanted)
 
 
+def _null_salt(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """0 for a whole key. With a NULL in it, a number that spreads such rows over the partitions of a join in which they
+    match nothing; copies of a row are told apart by their partition, which stays the same if a task is run again."""
+    any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    return F.when(any_null, F.xxhash64(*columns, F.spark_partition_id())).otherwise(F.lit(0).cast("bigint"))
+
+
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:
     """Source rows whose key the target lacks.
 
@@ -229,17 +233,6 @@ def _label(df: DataFrame, action: str) -> DataFrame:
     return df.withColumns({ACTION: F.lit(action), MATCHED: F.lit(True)})
 
 
-def _gone(target: DataFrame, merge_ts: str, rules: MergeRules) -> DataFrame:
-    """Target rows that no source row matches."""
-    marked = _marks_deleted(rules)
-    return target.withColumns({
-        MODIFIED: F.when(marked, timestamp_literal(merge_ts)).otherwise(F.col(MODIFIED)),
-        DELETED: F.when(marked, F.lit(1)).otherwise(F.col(DELETED)),
-        ACTION: F.when(marked, F.lit(SOFT_DELETED)).otherwise(F.lit(UNCHANGED)),
-        MATCHED: F.lit(False),
-    })
-
-
 def _marks_deleted(rules: MergeRules) -> Column:
     if rules.not_matched_by_source == "ignore":
         return F.lit(False)
@@ -255,9 +248,9 @@ def _resolve(
     rules: MergeRules,
     newer_by: str | None = None,
 ) -> DataFrame:
-    """One output row per pair; an outer side shows as NULL in its (non-null) key."""
+    """One output row per pair; the side that an outer row lacks shows as NULL in its mark."""
     src = {c: F.col(_SRC + c) for c in columns}
-    old, new = F.col(keys[0]).isNotNull(), src[keys[0]].isNotNull()
+    old, new = F.col(_OLD).isNotNull(), F.col(_NEW).isNotNull()
     differs = row_differs([src[c] for c in compare], [F.col(c) for c in compare]) if compare else F.lit(False)
     if rules.undelete:
         differs = differs | (F.col(DELETED) == 1)
