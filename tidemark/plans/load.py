@@ -11,16 +11,19 @@ from datetime import datetime, timezone
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import CREATED, DELETED, MODIFIED, Contract
 from tidemark.operators import merge as m
-from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, accepted, classify, dedupe_latest, rejected
+from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, classify, dedupe_latest, duplicate_keys
 from tidemark.plans.marks import MarkStore, highest
 from tidemark.sources.extract import Delta, extract, run_hook, source_mark
-from tidemark.sources.storage import VersionedTable, append_run, read_appended
+from tidemark.sources.manifest import ManifestTable
+from tidemark.sources.storage import SLICES, VersionedTable, append_run, read_appended
 
 FULL, INCREMENT, APPEND = "Full", "Increment", "Append"
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
+_REJECTS = T.StructType([T.StructField(REASON, T.StringType()), T.StructField(RAW_ROW, T.StringType())])
 
 Hook = Callable[[SparkSession], object] | str | None
 
@@ -38,8 +41,10 @@ class LoadSpec:
     closed: a delta read ends at the highest value the source holds when the run
     starts, so rows that arrive meanwhile wait for the next run.
     keep_versions: how many versions of the target stay; all if not given.
-    slice_by, buckets: see VersionedTable; slices pay off for delta loads, buckets
-    (a number) for snapshots of a table too large to shuffle on every run.
+    slice_by with slices, buckets: see VersionedTable; slices pay off for delta loads,
+    buckets (a number) for snapshots of a table too large to shuffle on every run.
+    file_rows: files by key range with a manifest, see ManifestTable; for delta loads of
+    a table without an expression to slice by, whose keys have to be unique.
     """
 
     name: str
@@ -53,7 +58,9 @@ class LoadSpec:
     only_active: bool = False
     unique_source: bool = False
     slice_by: str | None = None
+    slices: int = SLICES
     buckets: int | None = None
+    file_rows: int | None = None
     keep_versions: int | None = None
     closed: bool = False
     pre_source: Hook = None
@@ -67,8 +74,10 @@ class LoadSpec:
             raise ValueError(f"{self.name}: {self.pattern} needs a delta column or a condition")
         if self.pattern == APPEND and not self.keeps_mark:
             raise ValueError(f"{self.name}: Append needs a delta column to resume from")
-        if self.pattern != INCREMENT and (self.slice_by or self.buckets):
-            raise ValueError(f"{self.name}: slices and buckets are layouts of merged tables")
+        if self.pattern != INCREMENT and (self.slice_by or self.buckets or self.file_rows):
+            raise ValueError(f"{self.name}: slices, buckets and files by key range are layouts of merged tables")
+        if self.file_rows and (self.slice_by or self.buckets):
+            raise ValueError(f"{self.name}: files by key range are a layout of their own")
         if self.pattern == INCREMENT and not self.contract.keys:
             raise ValueError(f"{self.name}: Increment needs key columns")
 
@@ -140,9 +149,11 @@ class Stage:
         self.root = self.root.rstrip("/")
         self.marks = MarkStore(self.spark, f"{self.root}/marks")
 
-    def table(self, spec: LoadSpec) -> VersionedTable:
+    def table(self, spec: LoadSpec) -> VersionedTable | ManifestTable:
+        if spec.file_rows:
+            return ManifestTable(self.spark, f"{self.root}/{spec.name}", spec.contract.target_schema(), spec.contract.keys, spec.file_rows)
         bucket_by = (spec.contract.keys, spec.buckets) if spec.buckets else None
-        return VersionedTable(self.spark, f"{self.root}/{spec.name}", spec.contract.target_schema(), spec.slice_by, bucket_by)
+        return VersionedTable(self.spark, f"{self.root}/{spec.name}", spec.contract.target_schema(), spec.slice_by, bucket_by, spec.slices)
 
     def target(self, spec: LoadSpec) -> DataFrame:
         if spec.pattern == APPEND:
@@ -156,20 +167,20 @@ class Stage:
     def rejects(self, spec: LoadSpec) -> DataFrame:
         """The rows the last run set aside; ``reject_history`` has those of all runs."""
         if spec.pattern == FULL:
-            return self.spark.read.schema(f"{REASON} string, {RAW_ROW} string").parquet(self._reject_path(spec))
+            return self.table(spec).set_aside(_REJECTS)
         return self._landed(spec).where(F.col(REASON).isNotNull()).select(REASON, RAW_ROW)
 
     def reject_history(self, spec: LoadSpec) -> DataFrame:
-        """The rows that runs of an Increment or Append set aside, which the mark has passed."""
-        schema = self.rejects(spec).schema
-        return read_appended(self.spark, f"{self.root}/{spec.name}_rejects", schema)
+        """The rows that all runs set aside: the mark has passed them, or a later full load has replaced theirs."""
+        return read_appended(self.spark, f"{self.root}/{spec.name}_rejects", _REJECTS)
 
     def run(self, spec: LoadSpec, session_start: str, merge_ts: str | None = None) -> LoadStats:
         """Extract, land, merge, then move the mark. Errors reach the caller.
 
         A diff is landed before anything else uses it, so the source is read once
-        and counts, mark and merge all see the same rows. A crash before the mark is
-        committed replays the same rows into the same target.
+        and counts, mark and merge all see the same rows; counts and mark are observed by the
+        tasks that land it. A crash before the mark is committed replays the same rows into
+        the same target.
         """
         stats = LoadStats(spec.name, start_time=_now())
         mark = self.marks.read(spec.name, spec.delta) if spec.keeps_mark else None
@@ -178,13 +189,11 @@ class Stage:
         if spec.pattern == FULL:
             self._replace(spec, rows, stats)
         else:
-            rows.write.mode("overwrite").parquet(self._diff_path(spec))
+            self._land(spec, rows, mark, stats)
         run_hook(self.spark, spec.post_source)
 
-        if spec.pattern != FULL:
-            self._count(spec, mark, stats)
-            if stats.tgt_failed_rows:
-                append_run(self.rejects(spec), f"{self.root}/{spec.name}_rejects", _folder_name(f"{session_start} {mark}"))
+        if stats.tgt_failed_rows:
+            append_run(self.rejects(spec), f"{self.root}/{spec.name}_rejects", _folder_name(f"{session_start} {mark}"))
         if spec.pattern == APPEND:
             # The mark a run starts from names it: a replay starts from the same one.
             rows = self.diff(spec).select(*spec.contract.names)
@@ -249,17 +258,29 @@ class Stage:
         return m.audit_stamp(classify(rows, spec.contract), session_start)
 
     def _replace(self, spec: LoadSpec, rows: DataFrame, stats: LoadStats) -> None:
-        """Write the whole extract as the new target, counting in the same pass.
+        """Write the whole extract as the new target, accepted rows and rejects in the same pass, which also counts them.
 
-        A full extract can be the size of the target, so it is not landed first.
-        Only when rows were set aside is the source read again, for those rows.
+        The source is read once, so what is counted is what is written even if it moves.
         """
         seen = Observation(f"load of {spec.name}")
-        self.table(spec).write(rows, last=lambda df: accepted(df.observe(seen, *_row_counts())))
+        self.table(spec).write_tagged(rows.observe(seen, *_row_counts()), F.col(REASON).isNotNull(), [REASON, RAW_ROW])
         self._note(seen.get, stats)
         stats.inserted_rows = stats.tgt_success_rows
-        bad = rejected(rows) if stats.tgt_failed_rows else rejected(rows.limit(0))
-        bad.write.mode("overwrite").parquet(self._reject_path(spec))
+
+    def _land(self, spec: LoadSpec, rows: DataFrame, mark: str | None, stats: LoadStats) -> None:
+        """Write the diff; the tasks that write it observe the counts and the highest delta value."""
+        seen, counts = Observation(f"diff of {spec.name}"), _row_counts()
+        if spec.keeps_mark:
+            counts.append(spec.target_delta.as_text(F.max(spec.target_delta.value)).alias("top"))
+        rows.observe(seen, *counts).write.mode("overwrite").parquet(self._diff_path(spec))
+        found = seen.get
+        self._note(found, stats)
+        if spec.pattern == INCREMENT and spec.unique_source:
+            repeated = duplicate_keys(self.diff(spec), spec.contract.keys).agg(F.sum(F.col("row_count") - 1)).first()[0]
+            if repeated:
+                raise ValueError(f"{spec.name}: {repeated} rows repeat a key of a source declared unique")
+        if spec.keeps_mark:
+            stats.mark = found["top"] if found["top"] is not None else mark
 
     def _landed(self, spec: LoadSpec) -> DataFrame:
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in spec.contract.target_schema()]
@@ -269,9 +290,6 @@ class Stage:
     def _diff_path(self, spec: LoadSpec) -> str:
         return f"{self.root}/{spec.name}_diff"
 
-    def _reject_path(self, spec: LoadSpec) -> str:
-        return f"{self.root}/{spec.name}_bad"
-
     def _note(self, counts: dict, stats: LoadStats) -> None:
         stats.src_success_rows = counts["read"]
         stats.tgt_failed_rows = counts["bad"]
@@ -279,21 +297,6 @@ class Stage:
         stats.src_failed_rows = stats.total_trans_errors = counts["unreadable"]
         stats.first_error = counts["first_error"]
 
-    def _count(self, spec: LoadSpec, mark: str | None, stats: LoadStats) -> None:
-        """Counts and the new mark, from the landed rows: two columns of a file scan."""
-        counts = _row_counts()
-        if spec.keeps_mark:
-            counts.append(spec.target_delta.as_text(F.max(spec.target_delta.value)).alias("top"))
-        checked = spec.pattern == INCREMENT and spec.unique_source
-        if checked:
-            counts.append(F.count_distinct(F.when(F.col(REASON).isNull(), F.struct(*spec.contract.keys))).alias("keys"))
-        row = self._landed(spec).agg(*counts).first().asDict()
-        self._note(row, stats)
-        if checked and row["keys"] != stats.tgt_success_rows:
-            raise ValueError(f"{spec.name}: {stats.tgt_success_rows - row['keys']} rows repeat a key of a source declared unique")
-        if spec.keeps_mark:
-            stats.mark = row["top"] if row["top"] is not None else mark
-
     def _merge(self, spec: LoadSpec, merge_ts: str, stats: LoadStats) -> None:
         rules, table, diff = spec.merge_rules, self.table(spec), self.diff(spec)
         slices = held = None
@@ -316,7 +319,7 @@ class Stage:
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
         same = F.count_if((F.col(m.ACTION) == m.UNCHANGED) & F.col(m.MATCHED)).alias(m.UNCHANGED)
-        table.write(merged, last=lambda df: df.observe(seen, *hits.values(), same))
+        table.write(merged, last=lambda df: df.observe(seen, *hits.values(), same), replaces=slices)
         stats.inserted_rows, stats.updated_rows, stats.deleted_rows = (seen.get[a] for a in hits)
         stats.unchanged_rows = seen.get[m.UNCHANGED]
         used = stats.inserted_rows + stats.updated_rows + stats.unchanged_rows

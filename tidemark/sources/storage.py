@@ -12,12 +12,14 @@ import uuid
 from collections.abc import Callable, Sequence
 from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE = "_slice"
 SLICES = 1024
+# The layout of a version that holds accepted rows and those set aside, told apart by their folder.
+TAGGED, SET_ASIDE = "t", "_set_aside"
 _VERSION = re.compile(r"v_(\d{8})(?:-[\w-]+)?$")
 
 
@@ -73,7 +75,7 @@ class VersionedTable:
             raise ValueError("a table is either sliced or bucketed")
         if slices < 1:
             raise ValueError("a table has one slice at least")
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), _all_nullable(schema)
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), all_nullable(schema)
         self.slice_by, self.bucket_by, self.slices = slice_by, bucket_by, slices
         self.files = SharedFiles(spark, self.path)
 
@@ -108,6 +110,8 @@ class VersionedTable:
         layout = _layout(newest)
         if self.bucket_by and layout == self.layout:
             return self._read_bucketed(version, newest)
+        if layout == TAGGED:
+            return self._tagged(newest, self.schema, 0)
         if not layout.startswith("s"):
             return self.spark.read.schema(self.schema).parquet(newest)
         current = self._current_slices(committed)
@@ -125,12 +129,12 @@ class VersionedTable:
             return None
         return sorted(r[0] for r in df.select(self._slice()).distinct().collect())
 
-    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None) -> int:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
 
         ``last`` is applied after any shuffle the layout needs, so what it observes
         is observed by the writing tasks, each of which counts once even if
-        executors are lost.
+        executors are lost. ``replaces`` is for tables whose rows do not name their slice.
         """
         version = max(self._seen(), default=0) + 1
         folder = f"{self.path}/v_{version:08d}" + (f"-{self.layout}" if self.layout else "")
@@ -145,6 +149,27 @@ class VersionedTable:
             sliced.select(*names, SLICE).write.partitionBy(SLICE).parquet(folder)
         return version
 
+    def write_tagged(self, df: DataFrame, set_aside: Column, columns: Sequence[str]) -> int:
+        """Commit the rows of one pass as the next version of a plain table: the accepted ones are the table, the others are
+        kept beside them with ``columns``. Both count as committed with the same marker, or neither does."""
+        if self.layout:
+            raise ValueError("only a table without slices or buckets takes rows set aside")
+        version = max(self._seen(), default=0) + 1
+        rows = df.withColumn(SET_ASIDE, F.when(set_aside, 1).otherwise(0)).select(*self.schema.names, *columns, SET_ASIDE)
+        rows.write.partitionBy(SET_ASIDE).parquet(f"{self.path}/v_{version:08d}-{TAGGED}")
+        return version
+
+    def set_aside(self, schema: T.StructType) -> DataFrame:
+        """The rows that the newest version set aside."""
+        committed = self._committed()
+        if not committed or _layout(committed[-1][1]) != TAGGED:
+            return self.spark.createDataFrame([], schema)
+        return self._tagged(committed[-1][1], schema, 1)
+
+    def _tagged(self, folder: str, schema: T.StructType, tag: int) -> DataFrame:
+        path = f"{folder}/{SET_ASIDE}={tag}"
+        return self.spark.read.schema(schema).parquet(path) if self.files.exists(path) else self.spark.createDataFrame([], schema)
+
     def truncate(self) -> int:
         """Commit an empty version; only for tables without slices."""
         if self.slice_by is not None:
@@ -238,7 +263,7 @@ class VersionedTable:
         return self.spark.createDataFrame([], self.schema)
 
 
-def _all_nullable(schema: T.StructType) -> T.StructType:
+def all_nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
@@ -259,5 +284,5 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     files = SharedFiles(spark, path)
     runs = [n for n in files.names(path) if n.startswith("run=")]
     done = [f"{path}/{n}" for n in runs if files.exists(f"{path}/{n}/_SUCCESS")]
-    schema = _all_nullable(schema)
+    schema = all_nullable(schema)
     return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
