@@ -152,3 +152,33 @@ def test_no_python_rows_and_no_cross_joins(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for word in ("PythonEval", "PythonUDF", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
+
+
+def nullable_keys(spark, side, rows=30_000):
+    """A third of the rows have no key, and are copies of one row."""
+    key = F.when(F.col("id") % 3 > 0, F.col("id"))
+    df = spark.range(0, rows, numPartitions=6).select(key.alias("k"), F.when(key.isNull(), 7).otherwise(F.col("id") * side).alias("v"))
+    return audit_stamp(df, "2024-01-01")
+
+
+@pytest.mark.parametrize("unique_target", [True, False])
+def test_null_keys_stay_in_one_join(spark, tmp_path, unique_target):
+    for side in (1, 2):
+        nullable_keys(spark, side).write.parquet(str(tmp_path / str(side)))
+    old, new = (spark.read.parquet(str(tmp_path / str(side))) for side in (1, 2))
+    df = merge(old, new, ["k"], merge_ts=MERGE_TS, unique_target=unique_target)
+    if unique_target:
+        assert count(df, "FileScan parquet") == 2 and count(df, "Exchange hashpartitioning") == 2 and "Union" not in plan(df)
+    rows = df.groupBy(F.col("k").isNull().alias("no_key"), "AUD_isDeleted").count().collect()
+    assert {(r.no_key, r.AUD_isDeleted): r["count"] for r in rows} == {(True, 0): 10_000, (True, 1): 10_000, (False, 0): 20_000}
+
+
+def test_null_keys_are_spread(spark):
+    """The copies of a row without a key come from six partitions and go to as many."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = merge(nullable_keys(spark, 1), nullable_keys(spark, 2), ["k"], merge_ts=MERGE_TS)
+        sizes = [r["count"] for r in df.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 2 and max(sizes) < 15_000 and sum(sizes) == 20_000

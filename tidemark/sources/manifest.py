@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.sources.storage import SharedFiles, all_nullable
 
 PART, LOW, HIGH, FILE, ROWS = "_part", "low", "high", "file", "rows"
-_VERSION = re.compile(r"v_(\d{8})$")
+_VERSION = re.compile(r"v_(\d{8})(?:\.\w+)?$")
 _DATA = re.compile(r"v_(\d{8})-\w+$")
 # Range starts travel as one JSON text, in which timestamps need all their digits.
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -48,16 +48,19 @@ class ManifestTable:
             T.StructField(LOW, self._range), T.StructField(HIGH, self._range)])
 
     def versions(self) -> list[int]:
-        root = f"{self.path}/manifests"
-        found = [int(m.group(1)) for m in map(_VERSION.match, self.files.names(root)) if m]
-        return [v for v in found if self.files.exists(f"{self._listed(v)}/_SUCCESS")]
+        return [v for v, _ in self._committed()]
+
+    def has_mark(self, mark: str) -> bool:
+        """Whether a version that is still there was committed with this mark."""
+        return any(name.endswith(f".{mark}") for _, name in self._committed())
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """(file, rows, low, high) of a version, the newest by default: one row for each data file."""
-        versions = self.versions()
-        if version is None and not versions:
+        committed = self._committed()
+        if version is None and not committed:
             return self.spark.createDataFrame([], self._manifest)
-        return self.spark.read.schema(self._manifest).parquet(self._listed(versions[-1] if version is None else version))
+        name = committed[-1][1] if version is None else dict(committed)[version]
+        return self.spark.read.schema(self._manifest).parquet(f"{self.path}/manifests/{name}")
 
     def certified(self) -> bool:
         """Whether the current version was checked to be unique on its keys; every committed one was."""
@@ -82,12 +85,13 @@ class ManifestTable:
             return []
         return sorted(files[r[0]] for r in df.select(_owner(self._key(), starts, len(files))).distinct().collect())
 
-    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None) -> int:
+    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None,
+              mark: str | None = None) -> int:
         """Commit ``df`` in the place of the files ``replaces``, or of all; what other files hold stays as it is.
 
         Rows go by key range into sorted files, and those of one replaced range never share a file with those of another, so
         that ranges stay apart. ``last`` is applied in the writing tasks. A key that repeats or is NULL fails the write before
-        it is committed.
+        it is committed. ``mark`` (letters and digits) is committed with the version, see ``has_mark``.
         """
         version = max(self._seen(), default=0) + 1
         data = f"data/v_{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -112,7 +116,7 @@ class ManifestTable:
         if not whole:
             gone = self.spark.createDataFrame([(f,) for f in replaces], f"{FILE} string")
             listed = self.manifest().join(gone, FILE, "left_anti").select(*self._manifest.names).unionByName(listed)
-        listed.coalesce(1).write.parquet(self._listed(version))
+        listed.coalesce(1).write.parquet(f"{self.path}/manifests/v_{version:08d}" + (f".{mark}" if mark else ""))
         return version
 
     def truncate(self) -> int:
@@ -138,9 +142,10 @@ class ManifestTable:
             found = _DATA.match(name)
             if found and int(found.group(1)) <= kept[-1] and f"data/{name}" not in folders:
                 self.files.remove(f"{self.path}/data/{name}")
-        for v in self._seen():
-            if v < kept[0]:
-                self.files.remove(self._listed(v))
+        for name in self.files.names(f"{self.path}/manifests"):
+            found = _VERSION.match(name)
+            if found and int(found.group(1)) < kept[0]:
+                self.files.remove(f"{self.path}/manifests/{name}")
 
     def _described(self, data: str) -> DataFrame:
         """The manifest rows of the files of a folder: their keys are read, nothing is shuffled but a row for each file and task."""
@@ -167,8 +172,11 @@ class ManifestTable:
         lists = [int(m.group(1)) for m in map(_VERSION.match, self.files.names(f"{self.path}/manifests")) if m]
         return lists + [int(m.group(1)) for m in map(_DATA.match, self.files.names(f"{self.path}/data")) if m]
 
-    def _listed(self, version: int) -> str:
-        return f"{self.path}/manifests/v_{version:08d}"
+    def _committed(self) -> list[tuple[int, str]]:
+        """Number and folder of every manifest that was written to its end."""
+        root = f"{self.path}/manifests"
+        found = sorted((int(m.group(1)), m.group(0)) for m in map(_VERSION.match, self.files.names(root)) if m)
+        return [(v, name) for v, name in found if self.files.exists(f"{root}/{name}/_SUCCESS")]
 
 
 def _owner(key: Column, starts: Column, size: int) -> Column:

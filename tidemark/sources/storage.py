@@ -20,7 +20,8 @@ SLICE = "_slice"
 SLICES = 1024
 # The layout of a version that holds accepted rows and those set aside, told apart by their folder.
 TAGGED, SET_ASIDE = "t", "_set_aside"
-_VERSION = re.compile(r"v_(\d{8})(?:-[\w-]+)?$")
+# A version's folder: its number, its layout, and the mark of the write that made it, if it bears one.
+_VERSION = re.compile(r"v_(\d{8})(?:-[\w-]+)?(?:\.\w+)?$")
 
 
 class SharedFiles:
@@ -129,15 +130,17 @@ class VersionedTable:
             return None
         return sorted(r[0] for r in df.select(self._slice()).distinct().collect())
 
-    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None) -> int:
+    def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None,
+              mark: str | None = None) -> int:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
 
         ``last`` is applied after any shuffle the layout needs, so what it observes
         is observed by the writing tasks, each of which counts once even if
         executors are lost. ``replaces`` is for tables whose rows do not name their slice.
+        ``mark`` (letters and digits) is committed with the version, see ``has_mark``.
         """
         version = max(self._seen(), default=0) + 1
-        folder = f"{self.path}/v_{version:08d}" + (f"-{self.layout}" if self.layout else "")
+        folder = f"{self.path}/v_{version:08d}" + (f"-{self.layout}" if self.layout else "") + (f".{mark}" if mark else "")
         names = self.schema.names
         if self.bucket_by:
             self._write_bucketed(last(self._in_buckets(df)).select(*names), version, folder)
@@ -149,6 +152,10 @@ class VersionedTable:
             sliced.select(*names, SLICE).write.partitionBy(SLICE).parquet(folder)
         return version
 
+    def has_mark(self, mark: str) -> bool:
+        """Whether a version that is still there was committed with this mark."""
+        return any(folder.endswith(f".{mark}") for _, folder in self._committed())
+
     def write_tagged(self, df: DataFrame, set_aside: Column, columns: Sequence[str]) -> int:
         """Commit the rows of one pass as the next version of a plain table: the accepted ones are the table, the others are
         kept beside them with ``columns``. Both count as committed with the same marker, or neither does."""
@@ -268,7 +275,7 @@ def all_nullable(schema: T.StructType) -> T.StructType:
 
 
 def _layout(folder: str) -> str:
-    return folder.rsplit("/", 1)[1][len("v_00000000-"):]
+    return folder.rsplit("/", 1)[1][len("v_00000000-"):].split(".")[0]
 
 
 def _digest(text: str) -> str:
