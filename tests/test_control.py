@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 
 from tidemark.contract import DELETED
 from tidemark.plans.control import contracts, load_plan, load_spec, run_plan
@@ -84,3 +85,15 @@ def test_plan_runs(spark, tmp_path, tables):
     ids = {t: sorted(map(tuple, stage.target(s).select("Id", DELETED).collect())) for t, s in specs.items()}
     assert ids == {"Currency": [(2, 0), (3, 0)], "Customer": [(1, 0), (2, 0), (3, 0)],
                    "Quota": [(1, 1), (2, 0), (3, 0)], "Open": [(1, 0), (3, 0)]}
+
+
+def test_fail_fast_loads_nothing(spark, tmp_path, tables):
+    plan, catalog = tables
+    stage = Stage(spark, str(tmp_path))
+    reader = lambda entry: lambda s: s.createDataFrame([(1, "open", DAY[0])], "Id long, Name string, Changed timestamp_ntz")
+    with pytest.raises(PySparkException, match="load of sls.Broken: no delta condition"):
+        run_plan(stage, plan, catalog, reader, "2024-02-01", fail_fast=True)
+    assert not list(tmp_path.iterdir())
+    sound = plan.where("table_name IN ('Currency', 'Quota')")
+    stats = run_plan(stage, sound, catalog, reader, "2024-02-01", fail_fast=True).collect()
+    assert [r.status for r in stats] == ["SUCCEEDED", "SUCCEEDED"]

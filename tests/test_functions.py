@@ -11,9 +11,9 @@ from tidemark.contract import Column, Contract, is_audit
 from tidemark.functions import rowversion, text
 from tidemark.operators.joins import update_from
 from tidemark.operators.quality import classify
-from tidemark.plans.control import flows_with_columns, load_plan, runnable
+from tidemark.plans.control import described, load_plan, runnable
 from tidemark.plans.marks import highest
-from tidemark.sources.extract import Delta, extract, read_with_hooks, run_hook, source_mark
+from tidemark.sources.extract import Delta, extract, run_hook, source_mark
 from tidemark.sources.readers import jdbc_options
 
 
@@ -190,8 +190,8 @@ def test_jdbc_options():
 
 
 def test_hooks(spark):
-    df = read_with_hooks(spark, lambda s: s.table("hooked"), "CREATE OR REPLACE TEMP VIEW hooked AS SELECT 7 AS v")
-    assert df.first()["v"] == 7
+    run_hook(spark, "CREATE OR REPLACE TEMP VIEW hooked AS SELECT 7 AS v")
+    assert spark.table("hooked").first()["v"] == 7
     run_hook(spark, lambda s: s.catalog.dropTempView("hooked"))
     run_hook(spark, None)
     assert not spark.catalog.tableExists("hooked")
@@ -222,7 +222,29 @@ def test_load_plan(control):
     assert (rows["a"].target_name, rows["a"].source_filter, rows["a"].problem) == ("stg.a", "", None)
     assert (rows["b"].target_name, rows["b"].source_filter) == ("stg.b_diff", "ts > timestamp_ntz'$last_ts'")
     assert rows["c"].problem == "no delta condition"
-    assert sorted(r.table_name for r in flows_with_columns(control[0], control[3]).collect()) == ["a", "b", "c"]
+    assert sorted(r.table_name for r in described(control[0], control[3]).collect()) == ["a", "b", "c"]
+
+
+def versioned(spark, control):
+    """Table a in three versions, b in one that lacks its owner, c in one without a configuration."""
+    listed = [("a", "V1"), ("a", "V2"), ("a", "V0"), ("b", "V3"), ("c", "none")]
+    flows = spark.createDataFrame(
+        [(i, "s", t, "H\\I", "D", "stg", v, "T\\I", "W") for i, (t, v) in enumerate(listed)],
+        "flow_id long, schema_name string, table_name string, source_server string, source_db string, target_schema string, "
+        "generate_version string, target_server string, target_db string")
+    config = spark.createDataFrame(
+        [("V1", "repo", "f", "o", "m_", 1), ("V2", "repo", "f", "o", "n_", 5), ("V0", "repo", "f", "o", "z_", 3), ("V3", "repo", "f", None, "m_", 9)],
+        "generate_version string, repository string, folder string, owner string, name_prefix string, created_at int")
+    return (flows, *control[1:], config)
+
+
+def test_one_version_of_a_flow_counts(spark, control):
+    rows = {r.table_name: r for r in load_plan(*versioned(spark, control)).collect()}
+    assert (rows["a"].flow_id, rows["a"].generate_version, rows["a"].target_label, rows["a"].load_name) == (1, "V2", "SQL_T_W", "n_a")
+    assert rows["a"].problem is None and rows["b"].problem == rows["c"].problem == "no configuration"
+    asked = load_plan(*versioned(spark, control), version="V0").collect()
+    assert [(r.flow_id, r.load_name, r.problem) for r in asked] == [(2, "z_a", None)]
+    assert load_plan(*versioned(spark, control), version="V7").collect() == []
 
 
 def test_runnable_stops_on_a_problem(control):

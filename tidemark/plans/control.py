@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import groupby
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,20 +18,29 @@ from tidemark.sources.extract import CONSTANT_COLUMN, Delta
 DIFF_SUFFIX = "_diff"
 
 
-def load_plan(flows: DataFrame, statements: DataFrame, conditions: DataFrame, columns: DataFrame) -> DataFrame:
+def load_plan(flows: DataFrame, statements: DataFrame, conditions: DataFrame, columns: DataFrame,
+              config: DataFrame | None = None, version: str | None = None) -> DataFrame:
     """One row per table to load.
 
     flows:      flow_id, schema_name, table_name, source_server, source_db, target_schema
     statements: statement_id, flow_id, custom_where
     conditions: statement_id, delta_column, delta_type
     columns:    schema_name, table_name, pattern (one row per column of every table)
+    config:     generate_version, repository, folder, owner, name_prefix, created_at
 
     One delta condition per statement, one statement per flow. An incremental load
     goes to the diff table. A custom condition outranks the
     delta condition, and a full load has neither. A flow that cannot run carries
     the cause in ``problem``; see ``runnable``.
+
+    With ``config``, flows also have generate_version, target_server and target_db, and a table may be
+    described by several versions: the one asked for counts, or else that of the newest configuration. A version
+    without a configuration row, or with one that lacks its repository, folder or owner, is a problem. The plan then
+    also has the version, the label of the target and the name of the load.
     """
     tables = columns.select("schema_name", "table_name", "pattern").distinct()
+    if config is not None:
+        flows = _of_one_version(flows, config, version)
     joined = left_chain(
         flows.join(tables, ["schema_name", "table_name"]),
         (statements.withColumnRenamed("flow_id", "_flow_id"), F.col("flow_id") == F.col("_flow_id")),
@@ -45,22 +54,43 @@ def load_plan(flows: DataFrame, statements: DataFrame, conditions: DataFrame, co
     )
     source_filter = F.when(increment, F.coalesce("custom_where", delta)).otherwise(F.lit(""))
     target = F.concat("target_schema", F.lit("."), "table_name", F.when(increment, F.lit(DIFF_SUFFIX)).otherwise(F.lit("")))
+    unconfigured = F.lit(False) if config is None else ~F.col("configured")
     problem = (
-        F.when(F.col("pattern").isNull() | ~F.col("pattern").isin("Full", "Increment"), F.lit("no valid pattern"))
+        F.when(unconfigured, F.lit("no configuration"))
+        .when(F.col("pattern").isNull() | ~F.col("pattern").isin("Full", "Increment"), F.lit("no valid pattern"))
         .when(increment & source_filter.isNull(), F.lit("no delta condition"))
         .when(server_label(F.col("source_server"), F.col("source_db")).isNull(), F.lit("no source"))
         .when(target.isNull(), F.lit("no target"))
     )
+    versioned = [] if config is None else [
+        F.col("generate_version"), server_label(F.col("target_server"), F.col("target_db")).alias("target_label"),
+        F.concat("name_prefix", "table_name").alias("load_name")]
     return joined.select(
         "flow_id", "schema_name", "table_name", "pattern",
         server_label(F.col("source_server"), F.col("source_db")).alias("source_name"),
         target.alias("target_name"), source_filter.alias("source_filter"),
         F.when(increment, F.col("delta_column")).alias("delta_column"),
         F.when(increment, F.col("custom_where")).alias("custom_where"),
-        problem.alias("problem"),
+        *versioned, problem.alias("problem"),
     )
 
 
+def _of_one_version(flows: DataFrame, config: DataFrame, version: str | None) -> DataFrame:
+    """The flows of one version per table, each with its configuration and whether that is whole.
+
+    A flow that is listed twice in its version stays listed twice: two loads of one name are refused where they are run.
+    """
+    if version is not None:
+        flows, config = flows.where(F.col("generate_version") == version), config.where(F.col("generate_version") == version)
+    whole = F.col("repository").isNotNull() & F.col("folder").isNotNull() & F.col("owner").isNotNull()
+    known = flows.join(config.select("generate_version", "name_prefix", "created_at", whole.alias("configured")), "generate_version", "left")
+    known = known.withColumn("configured", F.coalesce("configured", F.lit(False)))
+    if version is None:
+        newest = F.max(F.struct("created_at", "generate_version")).over(Window.partitionBy("schema_name", "table_name"))
+        known = known.withColumn("_newest", newest).where(F.struct("created_at", "generate_version").eqNullSafe(F.col("_newest")))
+    return known.drop("_newest", "created_at")
+
+
 def runnable(plan: DataFrame) -> DataFrame:
     """The plan's rows, failing the job on the first one that has a problem."""
     cause = F.concat(F.lit("load of "), F.coalesce("schema_name", F.lit("?")), F.lit("."),
@@ -69,9 +99,9 @@ def runnable(plan: DataFrame) -> DataFrame:
     return plan.withColumn("flow_id", checked).drop("problem")
 
 
-def flows_with_columns(flows: DataFrame, columns: DataFrame) -> DataFrame:
-    """Flows whose table is described in the column catalog."""
-    return inner_distinct(flows, columns, ["schema_name", "table_name"])
+def described(catalog: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows of the catalog that describe a table of the plan."""
+    return inner_distinct(catalog, plan, ["schema_name", "table_name"])
 
 
 def contracts(catalog: DataFrame) -> dict[tuple[str, str], Contract]:
@@ -125,12 +155,17 @@ def run_plan(
     reader: Callable[[Row], Callable[[SparkSession], DataFrame]],
     session_start: str,
     merge_ts: str | None = None,
+    fail_fast: bool = False,
 ) -> DataFrame:
     """Run every load of a plan; one that cannot be set up fails alone, with its cause in the statistics.
 
-    ``reader`` gives the function that reads the source of one row of the plan.
+    ``reader`` gives the function that reads the source of one row of the plan. With ``fail_fast`` the first problem
+    of the plan stops the run before anything is loaded.
     """
-    known, specs, refused = catalog_columns(catalog), [], {}
+    if fail_fast:
+        plan = runnable(plan).withColumn("problem", F.lit(None).cast("string"))
+    # What describes other tables stays where it is.
+    known, specs, refused = catalog_columns(described(catalog, plan)), [], {}
     for entry in plan.collect():  # one row per table to load
         table = (entry.schema_name, entry.table_name)
         try:

@@ -32,6 +32,8 @@ Hook = Callable[[SparkSession], object] | str | None
 class LoadSpec:
     """What to load and how.
 
+    read: gives the source. One with a method ``after`` (see RelationalSource) is given the mark, so
+    that it reads no more than the run needs.
     pattern: Full (replace the target), Increment (merge a diff), Append (add rows).
     missing_rows: what an Increment does to target keys the diff lacks. ``auto``
     soft-deletes them only when the diff is a snapshot of the source; a delta says
@@ -252,7 +254,8 @@ class Stage:
         """This run's rows, converted, stamped and classified."""
         delta = spec.delta if spec.keeps_mark else None
         where = spec.where if spec.pattern != FULL else None
-        source = spec.read(self.spark)
+        past_mark = getattr(spec.read, "after", None) if delta is not None and where is None else None
+        source = past_mark(self.spark, delta, mark) if past_mark else spec.read(self.spark)
         upper = source_mark(source, delta) if spec.closed and delta is not None and where is None else None
         rows = extract(source, spec.contract, delta=delta, mark=mark, upper=upper, where=where)
         return m.audit_stamp(classify(rows, spec.contract), session_start)

@@ -26,8 +26,19 @@ _CONTROL = r"""
 WITH flows AS (
     SELECT s_suppkey AS flow_id, 'S' || s_nationkey AS schema_name, s_name AS table_name,
            CASE WHEN s_acctbal >= 0 THEN n_name || '\INST' ELSE n_name END AS source_server,
-           CASE WHEN s_acctbal >= -900 THEN 'DB' || n_regionkey END AS source_db, 'stg' AS target_schema
+           CASE WHEN s_acctbal >= -900 THEN 'DB' || n_regionkey END AS source_db, 'stg' AS target_schema,
+           'V' || s_suppkey % 6 AS generate_version, n_name || '\DWH' AS target_server, 'DW' || n_regionkey AS target_db
     FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+listed AS (
+    SELECT * FROM flows UNION ALL
+    SELECT flow_id + 1000000, schema_name, table_name, source_server, source_db, 'stg2', 'V4', target_server, target_db
+    FROM flows WHERE flow_id % 6 <> 4 AND flow_id % 5 = 0),
+config AS (
+    SELECT 'V' || r_regionkey AS generate_version, CASE WHEN r_regionkey <> 3 THEN r_name END AS repository,
+           r_regionkey * 7 % 5 AS created_at, 'm' || r_regionkey || '_' AS name_prefix FROM region),
+current AS (
+    SELECT l.*, c.repository, c.name_prefix FROM listed l LEFT JOIN config c ON l.generate_version = c.generate_version
+    QUALIFY rank() OVER (PARTITION BY schema_name, table_name ORDER BY created_at DESC NULLS LAST, l.generate_version DESC) = 1),
 tables AS (
     SELECT DISTINCT 'S' || s_nationkey AS schema_name, s_name AS table_name,
            CASE WHEN s_acctbal > 6000 THEN 'Full' WHEN s_acctbal > -500 THEN 'Increment' END AS pattern
@@ -39,22 +50,24 @@ conditions AS (
     SELECT p_partkey AS statement_id, CASE WHEN p_size <= 45 THEN p_type END AS delta_column,
            CASE WHEN p_size < 25 THEN 'datetime' ELSE 'numeric' END AS delta_type FROM part)
 """
-_LABEL = r"""'SQL_' || CASE WHEN strpos(source_server, '\') > 0 THEN split_part(source_server, '\', 1) ELSE '' END || '_' || source_db"""
+def _label(side):
+    return rf"""'SQL_' || CASE WHEN strpos({side}_server, '\') > 0 THEN split_part({side}_server, '\', 1) ELSE '' END || '_' || {side}_db"""
 
 
 @query(f"""{_CONTROL}, resolved AS (
-    SELECT f.*, t.pattern, s.custom_where, c.delta_column, {_LABEL} AS source_name,
+    SELECT f.*, t.pattern, s.custom_where, c.delta_column, {_label("source")} AS source_name, {_label("target")} AS target_label,
            target_schema || '.' || f.table_name || CASE WHEN pattern = 'Increment' THEN '_diff' ELSE '' END AS target_name,
            CASE WHEN pattern = 'Increment' THEN coalesce(custom_where,
                 CASE WHEN delta_type = 'datetime' THEN delta_column || ' > timestamp_ntz''$last_' || delta_column || ''''
                      ELSE delta_column || ' > $last_' || delta_column END)
                 ELSE '' END AS source_filter
-    FROM flows f JOIN tables t ON f.schema_name = t.schema_name AND f.table_name = t.table_name
+    FROM current f JOIN tables t ON f.schema_name = t.schema_name AND f.table_name = t.table_name
     LEFT JOIN statements s ON f.flow_id = s.flow_id LEFT JOIN conditions c ON s.statement_id = c.statement_id)
 SELECT flow_id, schema_name, table_name, pattern, source_name, target_name, source_filter,
        CASE WHEN pattern = 'Increment' THEN resolved.delta_column END AS delta_column,
        CASE WHEN pattern = 'Increment' THEN resolved.custom_where END AS custom_where,
-       CASE WHEN pattern IS NULL THEN 'no valid pattern' WHEN pattern = 'Increment' AND source_filter IS NULL THEN 'no delta condition'
+       generate_version, target_label, name_prefix || table_name AS load_name,
+       CASE WHEN repository IS NULL THEN 'no configuration' WHEN pattern IS NULL THEN 'no valid pattern' WHEN pattern = 'Increment' AND source_filter IS NULL THEN 'no delta condition'
             WHEN source_name IS NULL THEN 'no source' END AS problem
 FROM resolved""", name="load_plan")
 def table_load_plan(spark, sf_dir):
@@ -66,7 +79,18 @@ def table_load_plan(spark, sf_dir):
         F.when(balance >= 0, F.concat("n_name", F.lit("\\INST"))).otherwise(F.col("n_name")).alias("source_server"),
         F.when(balance >= -900, F.concat(F.lit("DB"), F.col("n_regionkey").cast("string"))).alias("source_db"),
         F.lit("stg").alias("target_schema"),
+        F.concat(F.lit("V"), (F.col("s_suppkey") % 6).cast("string")).alias("generate_version"),
+        F.concat("n_name", F.lit("\\DWH")).alias("target_server"),
+        F.concat(F.lit("DW"), F.col("n_regionkey").cast("string")).alias("target_db"),
     )
+    again = flows.where("flow_id % 6 <> 4 AND flow_id % 5 = 0").withColumns({
+        "flow_id": F.col("flow_id") + 1000000, "target_schema": F.lit("stg2"), "generate_version": F.lit("V4")})
+    region = table(spark, sf_dir, "region")
+    number = F.col("r_regionkey").cast("string")
+    config = region.select(
+        F.concat(F.lit("V"), number).alias("generate_version"), F.when(F.col("r_regionkey") != 3, F.col("r_name")).alias("repository"),
+        F.lit("staging").alias("folder"), F.lit("loader").alias("owner"), F.concat(F.lit("m"), number, F.lit("_")).alias("name_prefix"),
+        (F.col("r_regionkey") * 7 % 5).alias("created_at"))
     columns = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         schema_name, F.col("s_name").alias("table_name"),
         F.when(balance > 6000, "Full").when(balance > -500, "Increment").alias("pattern"),
@@ -80,7 +104,7 @@ def table_load_plan(spark, sf_dir):
         F.when(F.col("p_size") <= 45, F.col("p_type")).alias("delta_column"),
         F.when(F.col("p_size") < 25, "datetime").otherwise("numeric").alias("delta_type"),
     )
-    return load_plan(flows, statements, conditions, columns)
+    return load_plan(flows.unionByName(again), statements, conditions, columns, config)
 
 
 @query("""SELECT 'customer ' || c_custkey AS load_name, CAST(coalesce(last_key, 0) AS VARCHAR) AS mark FROM customer
@@ -177,14 +201,16 @@ def incremental_load_two_runs(spark, sf_dir):
 
 @query(_TWO_RUNS)
 def stream_incremental_merge(spark, sf_dir):
-    """The same change set arriving as files of a stream, one micro-batch each, on a sliced target."""
+    """The same change set arriving twice as files of a stream that is started anew each time, on a sliced target."""
     folder = new_workdir(spark, "stream")
     target = VersionedTable(spark, f"{folder}/target", EVENTS.target_schema(), slice_by="event_id div 4096")
     target.write(audit_stamp(EVENTS.project(early_events(spark, sf_dir)), RUN1))
     incoming = EVENTS.project(changed_events(spark, sf_dir)).where(F.col("ts") > timestamp_literal(EVENT_MARK))
-    incoming.repartition(2, "event_id").write.parquet(f"{folder}/incoming")
-    stream = read_stream(spark, f"{folder}/incoming", incoming.schema, files_per_batch=1)
-    start_merge_stream(stream, target, EVENTS, f"{folder}/checkpoint", RUN2, "ts").awaitTermination()
+    viewed = F.col("event_type") == "view"
+    for arrival in (incoming.where(viewed), incoming.where(~viewed)):
+        arrival.write.mode("append").option("maxRecordsPerFile", 1_000_000).parquet(f"{folder}/incoming")
+        stream = read_stream(spark, f"{folder}/incoming", incoming.schema, bytes_per_batch=64 * 2**30)
+        start_merge_stream(stream, target, EVENTS, f"{folder}/checkpoint", RUN2, "ts").awaitTermination()
     return target.read()
 
 

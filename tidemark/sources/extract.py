@@ -127,15 +127,6 @@ def sql_override(spark: SparkSession, text: str, **tables: DataFrame) -> DataFra
     return spark.sql(text, **tables)
 
 
-def read_with_hooks(
-    spark: SparkSession,
-    read: Callable[[SparkSession], DataFrame],
-    pre: Callable[[SparkSession], None] | str | None = None,
-) -> DataFrame:
-    run_hook(spark, pre)
-    return read(spark)
-
-
 def run_hook(spark: SparkSession, hook: Callable[[SparkSession], object] | str | None) -> None:
     """A hook is a callable or one SQL statement, run for its effect."""
     if callable(hook):

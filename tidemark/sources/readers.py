@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.extract import Delta
+from tidemark.sources.split import Part, split
+
 
 def jdbc_options(
     url: str,
@@ -37,32 +41,76 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    *,
-    partition_column: str | None = None,
-    partitions: int = 1,
-    query: str | None = None,
-    properties: dict[str, str] | None = None,
-) -> DataFrame:
-    """A relational table or query, read by ``partitions`` tasks over ranges of a column.
+# Rows that one task of a relational read fetches.
+TASK_ROWS = 2_000_000
+
+
+@dataclass(frozen=True)
+class RelationalSource:
+    """A relational table or query, read by as many tasks as its rows call for.
 
-    The range is asked from the database first. Without a partition column all rows
-    come through one task, which suits small tables only. Filters and column choices
-    on the result are sent to the database.
+    ``split_on`` is a numeric column or expression whose values share the rows out, ``second`` one that cuts values with
+    too many rows; see ``split``. A source without ``split_on`` comes through one task, which has to be
+    asked for (``one_task``) and suits small tables only. As the ``read`` of a load it is given the mark: rows are
+    counted and fetched past it alone. Filters and column choices on the result are sent to the database.
+
+    ``datetime_literal`` writes a mark as the database's own constant.
     """
-    def load(**options) -> DataFrame:
-        return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).options(**(properties or {})).load()
-
-    if not partition_column or partitions <= 1:
-        return load(query=query)
-    source = f"({query}) src" if query else table
-    bounds = load(query=f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {source}").first()
-    if bounds["lo"] is None:
-        return load(query=query)
-    return load(query=query, partition_column=partition_column, lower=bounds["lo"], upper=bounds["hi"], partitions=partitions)
+
+    url: str
+    table: str
+    query: str | None = None
+    split_on: str | None = None
+    second: str | None = None
+    one_task: bool = False
+    task_rows: int = TASK_ROWS
+    properties: tuple[tuple[str, str], ...] = ()
+    datetime_literal: Callable[[str], str] = "TIMESTAMP '{}'".format
+
+    def __post_init__(self) -> None:
+        if not self.split_on and not self.one_task:
+            raise ValueError(f"{self.table}: name a column to split on, or ask for one task")
+
+    @property
+    def source(self) -> str:
+        return f"({self.query}) src" if self.query else self.table
+
+    def __call__(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, None)
+
+    def after(self, spark: SparkSession, delta: Delta, mark: str, upper: str | None = None) -> DataFrame:
+        """The rows past the mark, and not past ``upper`` if it is given; split by what is there."""
+        bounds = [f"{delta.column} {op} {self._literal(delta, m)}" for op, m in ((">", mark), ("<=", upper)) if m is not None]
+        return self._read(spark, " AND ".join(bounds))
+
+    def parts(self, spark: SparkSession, where: str | None) -> list[Part]:
+        """The conditions of the tasks of a read."""
+        def ask(sql: str) -> list:
+            return self.ask(spark, sql)
+
+        total = int(ask(f"SELECT COUNT(*) AS n FROM {self.source}" + (f" WHERE {where}" if where else ""))[0][0])
+        return split(ask, self.source, self.split_on, max(1, -(-total // self.task_rows)), where, self.second)
+
+    def ask(self, spark: SparkSession, sql: str) -> list:
+        """The rows of a short answer from the database."""
+        return self._format(spark, jdbc_options(self.url, self.table, query=sql)).load().collect()
+
+    def fetch(self, spark: SparkSession, conditions: list[str]) -> DataFrame:
+        """The rows that meet each condition, one task for each."""
+        options = jdbc_options(self.url, self.table, query=self.query)
+        url, table = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, table, predicates=conditions, properties={**options, **dict(self.properties)})
+
+    def _read(self, spark: SparkSession, where: str | None) -> DataFrame:
+        if not self.split_on:
+            return self.fetch(spark, [where or "1 = 1"])
+        return self.fetch(spark, [f"({where}) AND ({p.condition})" if where else p.condition for p in self.parts(spark, where)])
+
+    def _format(self, spark: SparkSession, options: dict[str, str]):
+        return spark.read.format("jdbc").options(**options).options(**dict(self.properties))
+
+    def _literal(self, delta: Delta, mark: str) -> str:
+        return self.datetime_literal(mark) if delta.kind == "datetime" else mark
 
 
 def read_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
