@@ -282,3 +282,18 @@ def test_broadcast_limit(spark, limit, want):
         assert broadcast_limit(spark) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("kind, source, value, want", [
+    ("time", "string", "7:05:09.25", "07:05:09.250000"), ("time", "string", "25:00:00", "c: conversion"), ("time", "string", None, None),
+    ("time", "timestamp_ntz", dt.datetime(2024, 1, 2, 3, 4, 5, 6), "03:04:05.000006"),
+    ("varbinary", "string", "0x0aFF", b"\x0a\xff"), ("varbinary", "string", "zz", "c: conversion"), ("varbinary", "binary", b"12345", "c: length"),
+    ("rowversion", "bigint", 258, b"\0\0\0\0\0\0\1\2"), ("xml", "string", "<a/>", "<a/>"),
+    ("datetimeoffset", "string", "2024-01-01 10:00:00 +02:00", "2024-01-01 08:00:00"), ("datetimeoffset", "string", "never", "c: conversion")])
+def test_further_types(spark, kind, source, value, want):
+    contract = Contract([Column("c", kind, length=4 if kind == "varbinary" else None)])
+    row = classify(spark.createDataFrame([(value,)], f"c {source}"), contract).first()
+    got = row.reject_reason or row.c
+    if kind == "datetimeoffset" and row.reject_reason is None:
+        got = classify(spark.createDataFrame([(value,)], f"c {source}"), contract).select(F.col("c").cast("string")).first()[0]
+    assert (bytes(got) if isinstance(got, bytearray) else got) == want

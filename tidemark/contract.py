@@ -40,8 +40,18 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "datetime": T.TimestampNTZType(),
     "datetime2": T.TimestampNTZType(),
     "smalldatetime": T.TimestampNTZType(),
+    "datetimeoffset": T.TimestampType(),
+    "time": T.StringType(),
+    "xml": T.StringType(),
+    "sysname": T.StringType(),
     "timestamp": T.BinaryType(),
+    "rowversion": T.BinaryType(),
+    "binary": T.BinaryType(),
+    "varbinary": T.BinaryType(),
+    "image": T.BinaryType(),
 }
+# A time of day is carried as text of one form, which sorts as times do.
+TIME_FORMAT = "HH:mm:ss.SSSSSS"
 
 # Ranges narrower than the Spark type that carries them.
 VALUE_RANGES = {"tinyint": (0, 255), "bit": (0, 1)}
@@ -139,9 +149,12 @@ class Contract:
 def convert(value: SparkColumn, column: Column, source_type: T.DataType, strict: bool = True) -> SparkColumn:
     """``value`` in the contract type; a failed conversion stops the job, or gives NULL if not ``strict``."""
     target = column.spark_type
-    if source_type == target:
+    if column.type_name == "time":
+        moment = value if isinstance(source_type, (T.TimestampType, T.TimestampNTZType)) else F.concat(F.lit("1970-01-01 "), value.cast("string")).try_cast("timestamp_ntz")
+        converted = F.date_format(moment, TIME_FORMAT)
+    elif source_type == target:
         return value
-    if isinstance(target, T.BinaryType):
+    elif isinstance(target, T.BinaryType):
         if isinstance(source_type, T.StringType):  # text such as 0x0000000000004652
             converted = F.try_to_binary(F.regexp_replace(value, "^0[xX]", ""), F.lit("hex"))
         else:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import new_workdir
+from tidemark.sources.storage import SharedFiles
 
-_PID, _POS, _TIE = "_pid", "_pos", "_tie"
+# The task of a sort that has a row, and the row's place there.
+TASK, PLACE = "_task", "_place"
+_AT, _TIE = "_at", "_tie"
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
@@ -23,6 +27,15 @@ def sort_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.withColumn(_TIE, F.spark_partition_id()).orderBy(*order, _TIE).drop(_TIE)
 
 
+def placed_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows globally sorted, each with the task of the sort that has it and its place there, from 0."""
+    return sort_rows(df, order).withColumn(_AT, F.monotonically_increasing_id()).select(
+        *df.columns,
+        F.shiftright(_AT, _PARTITION_BITS).cast("int").alias(TASK),
+        F.col(_AT).bitwiseAND(F.lit(2**_PARTITION_BITS - 1)).alias(PLACE),
+    )
+
+
 def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number", folder: str | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY ..) without putting the table into one task.
 
@@ -31,30 +44,38 @@ def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number"
     rows of all earlier partitions, and that table has one row per partition.
 
     The sorted rows are written to ``folder`` (a new one under the shared folder by
-    default), and the result reads them from there: remove it when done with that.
+    default), and the result reads them from there; ``numbered`` removes them when done, and a
+    ``KeyRegistry`` keeps them as the table itself.
     """
     spark = df.sparkSession
-    placed = sort_rows(df, order).withColumn(_POS, F.monotonically_increasing_id()).select(
-        *df.columns,
-        F.shiftright(_POS, _PARTITION_BITS).cast("int").alias(_PID),
-        F.col(_POS).bitwiseAND(F.lit(2**_PARTITION_BITS - 1)).alias(_POS),
-    )
+    placed = placed_rows(df, order)
     folder = folder or new_workdir(spark, "row-numbers")
     placed.write.parquet(folder)
     placed = spark.read.schema(placed.schema).parquet(folder)
 
-    sizes = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = placed.groupBy(TASK).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per range partition: the window's single task sees no table rows.
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PID, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.join(F.broadcast(offsets), _PID)
-    return numbered.select(*df.columns, (F.col("_offset") + F.col(_POS) + 1).cast("bigint").alias(name))
+    before = Window.orderBy(TASK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(TASK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    numbered = placed.join(F.broadcast(offsets), TASK)
+    return numbered.select(*df.columns, (F.col("_offset") + F.col(PLACE) + 1).cast("bigint").alias(name))
+
+
+@contextmanager
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> Iterator[DataFrame]:
+    """``row_numbers`` for as long as the block runs; the sorted rows are removed at its end."""
+    folder = new_workdir(df.sparkSession, "row-numbers")
+    try:
+        yield row_numbers(df, order, name, folder)
+    finally:
+        SharedFiles(df.sparkSession, folder).remove(folder)
 
 
-def surrogate_keys(new: DataFrame, existing: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """New rows with keys that continue after the highest one handed out so far."""
+def surrogate_keys(new: DataFrame, existing: DataFrame, key: str, order: Sequence[Column], folder: str | None = None) -> DataFrame:
+    """New rows with keys that continue after the highest one in ``existing``, which is read for it; a ``KeyRegistry`` knows
+    it without. ``folder`` as for ``row_numbers``."""
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
-    return row_numbers(new, order, name=key).withColumn(key, (F.col(key) + F.lit(top)).cast("bigint"))
+    return row_numbers(new, order, name=key, folder=folder).withColumn(key, (F.col(key) + F.lit(top)).cast("bigint"))
 
 
 def ordered_concat(df: DataFrame, group: Sequence[str], ordinal: str, text: str, delimiter: str, name: str) -> DataFrame:
@@ -69,5 +90,14 @@ def ordered_concat(df: DataFrame, group: Sequence[str], ordinal: str, text: str,
 
 
 def min_pending(df: DataFrame, number: str, done: Column) -> DataFrame:
-    """The lowest number not yet done."""
+    """The lowest stored number not yet done."""
     return df.where(~done).agg(F.min(number).alias("next_number"))
+
+
+def first_pending(df: DataFrame, order: Sequence[str], done: Column) -> DataFrame:
+    """The row number, in an order without ties, of the first row not yet done, without numbering the others: one more than
+    the rows that come before it. Two aggregates, no sort; NULL if all are done."""
+    key = F.struct(*order)
+    first = df.where(~done).agg(F.min(key).alias("first")).scalar()
+    seen = df.select((key < first).alias("_before"), first.isNull().alias("_none"))
+    return seen.agg(F.when(~F.bool_or("_none"), F.count_if("_before") + 1).alias("next_number"))

@@ -80,14 +80,14 @@ def _broken_rule(c: ContractColumn, raw: Column, value: Column, source_type: T.D
     if isinstance(c.spark_type, T.DecimalType) and source_type != c.spark_type:
         # A number that is readable as such but too large for the declared digits.
         tests.append((raw.isNotNull() & value.isNull() & raw.try_cast("double").isNotNull(), PRECISION))
-    if source_type != c.spark_type:
+    if source_type != c.spark_type or c.type_name == "time":
         tests.append((raw.isNotNull() & value.isNull(), CONVERSION))
         if _exact(c.spark_type):
             tests.append((_loses_digits(raw, value, source_type), PRECISION))
     if c.type_name in VALUE_RANGES:
         low, high = VALUE_RANGES[c.type_name]
         tests.append((~value.between(low, high), RANGE))
-    if c.length is not None and isinstance(c.spark_type, T.StringType):
+    if c.length is not None and isinstance(c.spark_type, (T.StringType, T.BinaryType)):
         tests.append((F.length(value) > c.length, LENGTH))
     if not tests:
         return F.lit(None).cast("string")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.contract import Column, Contract
+from tidemark.functions import rowversion
 from tidemark.functions.text import timestamp_literal
 from tidemark.operators.merge import audit_stamp
-from tidemark.plans.control import load_plan
+from tidemark.plans.control import load_plan, run_plan
 from tidemark.plans.load import APPEND, FULL, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import marks_or_default
-from tidemark.registry.common import EVENT_MARK, RUN1, RUN2, registry, table
+from tidemark.registry.common import EVENT_MARK, MERGE_TS, RUN1, RUN2, registry, table
 from tidemark.registry.extracts import EVENTS, ORDERS
 from tidemark.session import new_workdir
 from tidemark.sources.extract import FIRST_NUMBER, Delta
@@ -248,6 +249,127 @@ def merge_sliced_month(spark, sf_dir):
     return stage.target(spec)
 
 
+CHANGING_ORDERS = Contract([
+    Column("o_orderkey", "bigint", key=True, nullable=False), Column("o_totalprice", "float"), Column("changed", "datetime")])
+
+
+_KEY_RANGES = f"""SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 1000 = 5 THEN 1 ELSE 0 END AS o_totalprice,
+    CASE WHEN o_orderkey % 1000 = 5 THEN o_orderdate + INTERVAL 9000 DAY ELSE o_orderdate END AS changed,
+    CASE WHEN o_orderkey % 1000 < 900 THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_CreateDatetime",
+    CASE WHEN o_orderkey % 1000 < 900 AND o_orderkey % 1000 <> 5 THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_LastModDatetime",
+    CAST(0 AS INTEGER) AS "AUD_isDeleted" FROM orders"""
+
+
+def _two_changes(spark, sf_dir, **layout):
+    """Nine tenths of the orders, then the others and corrections, as two delta loads of one target."""
+    orders = table(spark, sf_dir, "orders").withColumn("changed", F.col("o_orderdate"))
+    early, corrected = F.col("o_orderkey") % 1000 < 900, F.col("o_orderkey") % 1000 == 5
+    late = F.expr("INTERVAL 9000 DAYS")
+    rows = orders.where(~early | corrected).withColumns({
+        "changed": F.col("o_orderdate") + late, "o_totalprice": F.when(corrected, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))})
+    stage = Stage(spark, new_workdir(spark, "changes"))
+    for part, at in ((orders.where(early), RUN1), (rows, RUN2)):
+        spec = LoadSpec("orders", CHANGING_ORDERS, lambda _, part=part: part, INCREMENT, Delta("changed", "datetime"), unique_source=True, **layout)
+        stage.run(spec, at)
+    # New rows carry the stamp that the mark lets through; as they are told: the order's own.
+    stamp = F.when(corrected, F.col("changed")).otherwise(F.when(early, F.col("changed")).otherwise(F.col("changed") - late))
+    return stage.target(spec).withColumn("changed", stamp)
+
+
+@query(_KEY_RANGES)
+def merge_manifest_delta(spark, sf_dir):
+    """A target as files by key range: the second load rewrites the files its keys fall into."""
+    return _two_changes(spark, sf_dir, file_rows=100_000)
+
+
+@query(f"""SELECT c_custkey, c_name, c_acctbal, TIMESTAMP '{RUN1}' AS "AUD_CreateDatetime",
+    CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '{MERGE_TS}' WHEN c_custkey % 3 = 0 THEN TIMESTAMP '{RUN2}' ELSE TIMESTAMP '{RUN1}' END AS "AUD_LastModDatetime",
+    CAST(c_custkey % 4 = 0 AS INTEGER) AS "AUD_isDeleted" FROM (
+    SELECT c_custkey, c_name, CAST(c_acctbal + CASE WHEN c_custkey % 4 > 0 AND c_custkey % 3 = 0 THEN 1 ELSE 0 END AS DECIMAL(19,4)) AS c_acctbal FROM customer)""")
+def merge_bucketed_snapshot(spark, sf_dir):
+    """A target in buckets of its key, merged with a snapshot that lacks a quarter of the customers."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    later = customers.where("c_custkey % 4 > 0").withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    contract = Contract([Column("c_custkey", "bigint", key=True), Column("c_name", "nvarchar", length=50), Column("c_acctbal", "money")])
+    stage = Stage(spark, new_workdir(spark, "buckets"))
+    for rows, at, merged in ((customers, RUN1, None), (later, RUN2, MERGE_TS)):
+        spec = LoadSpec("customer", contract, lambda _, rows=rows: rows, INCREMENT, Delta.constant(), buckets=8)
+        stage.run(spec, at, merged)
+    return stage.target(spec)
+
+
+@query("""SELECT 'c_mktsegment: length' AS reject_reason, c_custkey, CAST(2 AS BIGINT) AS times FROM customer WHERE length(c_mktsegment) > 9
+    UNION ALL SELECT NULL, c_custkey, CAST(1 AS BIGINT) FROM customer WHERE length(c_mktsegment) <= 9""")
+def full_refresh_rejects(spark, sf_dir):
+    """A full load run twice: the rows of the target, and how often a row was set aside over both runs."""
+    stage = Stage(spark, new_workdir(spark, "refresh"))
+    spec = LoadSpec("customer", SHORT_SEGMENT, lambda s: table(s, sf_dir, "customer"), FULL)
+    for at in (RUN1, RUN2):
+        stage.run(spec, at)
+    key = F.get_json_object("raw_row", "$.c_custkey").cast("bigint").alias("c_custkey")
+    bad = stage.reject_history(spec).groupBy("reject_reason", key).agg(F.count(F.lit(1)).alias("times"))
+    good = stage.target(spec).select(F.lit(None).cast("string").alias("reject_reason"), "c_custkey", F.lit(1).cast("bigint").alias("times"))
+    return bad.unionByName(good)
+
+
+VERSIONED_EVENTS = Contract([
+    Column("event_id", "bigint", key=True, nullable=False), Column("event_type", "varchar", length=20), Column("rowver", "rowversion")])
+
+
+@query(f"""SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'changed' ELSE event_type END AS event_type,
+    '0x' || lpad(hex(CASE WHEN event_id % 10 = 0 THEN event_id + 1000000000 ELSE event_id END), 16, '0') AS rowver,
+    CASE WHEN event_id < 5000 THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_CreateDatetime",
+    CASE WHEN event_id < 5000 AND event_id % 10 > 0 THEN TIMESTAMP '{RUN1}' ELSE TIMESTAMP '{RUN2}' END AS "AUD_LastModDatetime",
+    CAST(0 AS INTEGER) AS "AUD_isDeleted" FROM events WHERE event_id > 0""")
+def rowversion_load_two_runs(spark, sf_dir):
+    """A load past an eight-byte row version, closed at the highest one there is; a changed row gets a new version."""
+    events = table(spark, sf_dir, "events").where("event_id > 0")
+    changed = F.col("event_id") % 10 == 0
+    later = events.withColumns({
+        "event_type": F.when(changed, F.lit("changed")).otherwise(F.col("event_type")),
+        "rowver": rowversion.from_number(F.when(changed, F.col("event_id") + 1_000_000_000).otherwise(F.col("event_id")))})
+    early = events.where("event_id < 5000").withColumn("rowver", rowversion.from_number(F.col("event_id")))
+    stage = Stage(spark, new_workdir(spark, "versions"))
+    for rows, at in ((early, RUN1), (later, RUN2)):
+        spec = LoadSpec("events", VERSIONED_EVENTS, lambda _, rows=rows: rows, INCREMENT, Delta("rowver", "rowversion"), closed=True)
+        stage.run(spec, at)
+    return stage.target(spec).withColumn("rowver", rowversion.to_hex_text(F.col("rowver")))
+
+
+@query("""SELECT load_name, status, CAST(read_rows AS BIGINT) AS src_success_rows, CAST(read_rows AS BIGINT) AS inserted_rows, first_error FROM (
+    SELECT 'tpch.customer' AS load_name, 'SUCCEEDED' AS status, count(*) AS read_rows, NULL AS first_error FROM customer
+    UNION ALL SELECT 'tpch.orders', 'SUCCEEDED', count(*) FILTER (o_orderkey > 0), NULL FROM orders
+    UNION ALL SELECT 'tpch.part', 'SUCCEEDED', count(*) FILTER (p_size > 10), NULL FROM part
+    UNION ALL SELECT 'tpch.nation', 'SUCCEEDED', count(*), NULL FROM nation
+    UNION ALL SELECT 'tpch.region', 'FAILED', 0, 'no columns in the catalog'
+    UNION ALL SELECT 'tpch.supplier', 'FAILED', 0, 'no delta condition')""")
+def run_plan_stats(spark, sf_dir):
+    """A plan resolved from control tables and run: whole, past a mark, by a condition, as a snapshot; two flows cannot run."""
+    kinds = {"customer": "Full", "orders": "Increment", "part": "Increment", "nation": "Increment", "region": "Full", "supplier": "Increment"}
+    described = {
+        "customer": [("c_custkey", "bigint", 8, 1), ("c_name", "nvarchar", 100, 0)], "orders": [("o_orderkey", "bigint", 8, 1), ("o_orderdate", "datetime", 8, 0)],
+        "part": [("p_partkey", "bigint", 8, 1), ("p_size", "int", 4, 0)], "nation": [("n_nationkey", "int", 4, 1), ("n_name", "varchar", 50, 0)],
+        "supplier": [("s_suppkey", "bigint", 8, 1)]}
+    flows = spark.createDataFrame(
+        [(i, "tpch", t, "HOST\\I", "Shop", "stg", "V1", "DWH\\I", "Stage") for i, t in enumerate(kinds)],
+        "flow_id long, schema_name string, table_name string, source_server string, source_db string, target_schema string, "
+        "generate_version string, target_server string, target_db string")
+    config = spark.createDataFrame([("V1", "repo", "f", "o", "m_", 1)], "generate_version string, repository string, folder string, owner string, name_prefix string, created_at int")
+    statements = spark.createDataFrame([(10 + i, i, "p_size > 10" if t == "part" else None) for i, t in enumerate(kinds)],
+                                       "statement_id long, flow_id long, custom_where string")
+    conditions = spark.createDataFrame([(11, "o_orderkey", "numeric"), (13, "1", "integer")], "statement_id long, delta_column string, delta_type string")
+    columns = spark.createDataFrame([("tpch", t, p) for t, p in kinds.items()], "schema_name string, table_name string, pattern string")
+    catalog = spark.createDataFrame(
+        [("tpch", t, n, c, kind, size, None, None, 1 - key, key, None) for t, cs in described.items() for n, (c, kind, size, key) in enumerate(cs)],
+        "schema_name string, table_name string, column_id int, column_name string, type_name string, max_length int, precision int, scale int, "
+        "is_nullable int, is_pk int, target_column string")
+    plan = load_plan(flows, statements, conditions, columns, config)
+    stage = Stage(spark, new_workdir(spark, "plan"))
+    stats = run_plan(stage, plan, catalog, lambda entry: lambda s: table(s, sf_dir, entry.table_name), RUN1)
+    return stats.select("load_name", "status", "src_success_rows", "inserted_rows", "first_error")
+
+
 DECIMAL_LINES = Contract([
     Column("l_orderkey", "bigint"), Column("l_linenumber", "int"), Column("l_quantity", "float"),
     Column("version", "decimal", precision=20, scale=12),

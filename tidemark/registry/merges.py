@@ -12,13 +12,14 @@ from tidemark.operators.merge import (
     apply_row_actions,
     audit_stamp,
     except_rows,
+    memory_bytes,
     merge,
     merge_counts,
     new_rows,
     row_differs,
     vanished_rows,
 )
-from tidemark.operators.numbering import min_pending, ordered_concat, row_numbers, sort_rows, surrogate_keys
+from tidemark.operators.numbering import first_pending, min_pending, ordered_concat, row_numbers, sort_rows, surrogate_keys
 from tidemark.operators.quality import dedupe_latest, duplicate_keys
 from tidemark.plans.load import APPEND, INCREMENT, LoadSpec, Stage
 from tidemark.plans.marks import highest
@@ -42,6 +43,8 @@ from tidemark.registry.common import (
 from tidemark.registry.extracts import CUSTOMER, EVENTS, ORDERS
 from tidemark.session import new_workdir
 from tidemark.sources.extract import Delta, extract
+from tidemark.sources.checksums import except_by_slices
+from tidemark.sources.keys import KeyRegistry
 from tidemark.sources.storage import VersionedTable
 
 QUERIES, ORACLES, query = registry()
@@ -55,6 +58,11 @@ def merge_soft_delete(spark, sf_dir):
     return merge(staged_orders(spark, sf_dir), stamped_orders(spark, sf_dir), KEY, merge_ts=MERGE_TS, keys_not_null=True)
 
 
+def stamped_lines(lines):
+    return f"""SELECT l_orderkey, l_partkey, TIMESTAMP '{STAGED_AT}' AS "AUD_CreateDatetime", TIMESTAMP '{STAGED_AT}' AS "AUD_LastModDatetime",
+        CAST(0 AS INTEGER) AS "AUD_isDeleted" FROM ({lines})"""
+
+
 RECENT = f"SELECT * FROM ({SOURCE_ORDERS}) WHERE o_orderdate > TIMESTAMP '1999-06-01 00:00:00'"
 
 
@@ -76,6 +84,44 @@ def merge_upsert_split(spark, sf_dir):
                  rules=MergeRules("ignore"), unique_target=False)
 
 
+@query(merge_sql(STAGED_ORDERS, RECENT, KEY, ORDER_COLUMNS, missing="ignore"))
+def merge_broadcast(spark, sf_dir):
+    """A landed delta whose measured size decides: within the session's limit the target is only scanned."""
+    folder = new_workdir(spark, "delta")
+    recent_orders(spark, sf_dir).write.parquet(folder)
+    delta = spark.read.parquet(folder)
+    return merge(staged_orders(spark, sf_dir), delta, KEY, merge_ts=MERGE_TS, rules=MergeRules("ignore"), keys_not_null=True,
+                 source_bytes=memory_bytes(delta))
+
+
+def _some_keys(rows):
+    """A third of the keys unknown."""
+    return rows.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey")))
+
+
+_NO_KEY = "SELECT * REPLACE (CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS o_orderkey) FROM ({})"
+
+
+@query(merge_sql(_NO_KEY.format(STAGED_ORDERS), _NO_KEY.format(SOURCE_ORDERS), KEY, ORDER_COLUMNS))
+def merge_null_keys(spark, sf_dir):
+    """Rows without a key match nothing: old ones are soft-deleted, new ones inserted."""
+    return merge(_some_keys(staged_orders(spark, sf_dir)), _some_keys(stamped_orders(spark, sf_dir)), KEY, merge_ts=MERGE_TS)
+
+
+_HOT_LINES = "SELECT * REPLACE (CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_orderkey) FROM lineitem"
+
+
+@query(merge_sql(stamped_lines(_HOT_LINES), f"SELECT l_orderkey, max(l_partkey) AS l_partkey FROM ({_HOT_LINES}) GROUP BY l_orderkey",
+                 ["l_orderkey"], ["l_orderkey", "l_partkey"], missing="ignore"))
+def merge_split_hot(spark, sf_dir):
+    """A target that repeats its keys, one of them in a third of the rows, updated by one row per key: Spark may split the hot key."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_orderkey")).cast("bigint").alias("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(key, "l_partkey")
+    latest = lines.groupBy("l_orderkey").agg(F.max("l_partkey").alias("l_partkey"))
+    return merge(audit_stamp(lines, STAGED_AT), audit_stamp(latest, RUN2), ["l_orderkey"], merge_ts=MERGE_TS, rules=MergeRules("ignore"),
+                 keys_not_null=True, unique_target=False)
+
+
 @query(merge_sql(STAGED_ORDERS, RECENT, KEY, ORDER_COLUMNS))
 def merge_delta_literal(spark, sf_dir):
     """The literal rule applied to a delta: every row it lacks is marked deleted."""
@@ -140,6 +186,23 @@ def changed_rows_except(spark, sf_dir):
     return except_rows(source_orders(spark, sf_dir), staged_orders(spark, sf_dir), ORDER_COLUMNS)
 
 
+_REPRICED = """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 5000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 7000 <> 9"""
+
+
+@query(f"SELECT {_COLS} FROM ({_REPRICED}) EXCEPT SELECT {_COLS} FROM orders")
+def changed_slices_except(spark, sf_dir):
+    """Rows of a copy that the original lacks; slices whose checksums agree are not compared."""
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    price = F.when(F.col("o_orderkey") % 5000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = orders.withColumn("o_totalprice", price).where("o_orderkey % 7000 <> 9")
+    folder, sides = new_workdir(spark, "slices"), []
+    for name, rows in (("copy", copy), ("original", orders)):
+        sides.append(VersionedTable(spark, f"{folder}/{name}", orders.schema, slice_by="o_orderkey div 512"))
+        sides[-1].write(rows)
+    return except_by_slices(*sides, ORDER_COLUMNS)
+
+
 @query(f"""SELECT merge_action, CAST(count(*) AS BIGINT) AS row_count
     FROM ({merge_sql(STAGED_ORDERS, SOURCE_ORDERS, KEY, ORDER_COLUMNS, with_action=True)}) GROUP BY 1""")
 def load_stats(spark, sf_dir):
@@ -214,9 +277,7 @@ _NUMBERED = "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn,
 @query(f"SELECT min(rn) AS next_number FROM ({_NUMBERED}) WHERE NOT o_orderstatus = 'F'", name="min_pending")
 def next_pending(spark, sf_dir):
     """The lowest number among the orders not yet finished."""
-    numbered = row_numbers(table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus"),
-                           [F.col("o_orderdate"), F.col("o_orderkey")], name="rn")
-    return min_pending(numbered, "rn", F.col("o_orderstatus") == "F")
+    return first_pending(table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], F.col("o_orderstatus") == "F")
 
 
 @query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
@@ -250,6 +311,32 @@ def surrogate_key(spark, sf_dir):
     return existing.unionByName(fresh.select("o_orderkey", "id"))
 
 
+_TWO_BATCHES = """SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderdate >= TIMESTAMP '2000-01-01', o_orderdate, o_orderkey) AS id
+    FROM orders"""
+
+
+def _registered_orders(spark, sf_dir):
+    """Orders numbered by a key registry in two runs, the second of them replayed."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    registry = KeyRegistry(spark, new_workdir(spark, "keys"), orders.schema)
+    old = F.col("o_orderdate") < timestamp_literal("2000-01-01 00:00:00")
+    for run, rows in (("1", orders.where(old)), ("2", orders.where(~old)), ("2", orders.where(~old))):
+        registry.add(rows, [F.col("o_orderdate"), F.col("o_orderkey")], run)
+    return registry.read()
+
+
+@query(_TWO_BATCHES)
+def surrogate_key_two_runs(spark, sf_dir):
+    """Keys that go on from one run to the next."""
+    return _registered_orders(spark, sf_dir).drop("o_orderdate")
+
+
+@query(f"SELECT min(id) AS next_number FROM ({_TWO_BATCHES}) WHERE o_orderstatus <> 'F'", name="min_pending_stored")
+def next_stored(spark, sf_dir):
+    """The lowest stored number of an order not yet finished."""
+    return min_pending(_registered_orders(spark, sf_dir), "id", F.col("o_orderstatus") == "F")
+
+
 @query("""SELECT l_orderkey, string_agg(fragment, ' ' ORDER BY l_linenumber) AS lines FROM (
     SELECT l_orderkey, l_linenumber, '[' || l_linenumber || 'x' || count(*) || ':' || max(l_partkey) || ']' AS fragment
     FROM lineitem GROUP BY l_orderkey, l_linenumber) GROUP BY l_orderkey""")

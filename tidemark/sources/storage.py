@@ -130,6 +130,10 @@ class VersionedTable:
             return None
         return sorted(r[0] for r in df.select(self._slice()).distinct().collect())
 
+    def slice_folders(self) -> dict[int, str]:
+        """The folder, below the table's, that holds the current copy of each slice."""
+        return {int(s): f.removeprefix(f"{self.path}/") for s, f in self._current_slices(self._committed()).items()}
+
     def write(self, df: DataFrame, last: Callable[[DataFrame], DataFrame] = lambda df: df, replaces: Sequence[str] | None = None,
               mark: str | None = None) -> int:
         """Commit ``df`` as the next version: the whole table, or the whole of every slice in it.
