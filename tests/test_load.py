@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.contract import CREATED, DELETED, MODIFIED, Column, Contract
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import audit_stamp, merge
 from tidemark.plans.load import APPEND, FAILED, FULL, INCREMENT, SUCCEEDED, LoadSpec, Stage
 from tidemark.plans.marks import MarkStore
 from tidemark.sources.extract import Delta, extract, source_mark
@@ -528,3 +528,23 @@ def test_lost_tasks_are_counted_once(tmp_path):
     """Every landing task fails after its rows and is run again; value 0 is not above the first mark."""
     done = subprocess.run([sys.executable, "-c", LOST_TASK, str(tmp_path / "stage")], capture_output=True, text=True, timeout=180)
     assert done.stdout.split() == ["999", "999", "999", "999", "999"], done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("layout", [{}, {"slice_by": "id"}], ids=str)
+def test_a_repeated_target_key_fails_the_load(spark, stage, layout):
+    load = spec(people(spark, (1, "new", DAY[1])), **layout)
+    twice = audit_stamp(people(spark, (1, "a", DAY[0]), (1, "b", DAY[0]), (2, "c", DAY[0])), AT[0])
+    stage.table(load).write(twice)
+    with pytest.raises(ValueError, match="repeats a key"):
+        stage.run(load, AT[1])
+    assert stage.target(load).count() == 3 and stage.marks.log().count() == 0
+    stage.table(load).write(twice.where("name <> 'b'"))
+    assert stage.run(load, AT[1]).updated_rows == 1
+
+
+def test_a_certified_target_is_not_checked_again(spark, stage, monkeypatch):
+    from tidemark.plans import load as module
+
+    stage.run(spec(people(spark, (1, "a", DAY[0]))), AT[0])
+    monkeypatch.setattr(module, "duplicate_keys", lambda *_: pytest.fail("checked again"))
+    assert stage.run(spec(people(spark, (1, "b", DAY[1]))), AT[1]).updated_rows == 1

@@ -19,7 +19,7 @@ from tidemark.operators.quality import CONVERSION, RAW_ROW, REASON, classify, de
 from tidemark.plans.marks import MarkStore, highest
 from tidemark.sources.extract import Delta, extract, run_hook, source_mark
 from tidemark.sources.manifest import ManifestTable
-from tidemark.sources.storage import SLICES, VersionedTable, append_run, read_appended
+from tidemark.sources.storage import SLICES, SharedFiles, VersionedTable, append_run, read_appended
 
 FULL, INCREMENT, APPEND = "Full", "Increment", "Append"
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
@@ -302,6 +302,7 @@ class Stage:
 
     def _merge(self, spec: LoadSpec, merge_ts: str, stats: LoadStats) -> None:
         rules, table, diff = spec.merge_rules, self.table(spec), self.diff(spec)
+        self._check_unique(spec, table)
         slices = held = None
         if rules.not_matched_by_source == "ignore":
             if stats.tgt_success_rows == 0:
@@ -322,12 +323,29 @@ class Stage:
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
         same = F.count_if((F.col(m.ACTION) == m.UNCHANGED) & F.col(m.MATCHED)).alias(m.UNCHANGED)
-        table.write(merged, last=lambda df: df.observe(seen, *hits.values(), same), replaces=slices)
+        version = table.write(merged, last=lambda df: df.observe(seen, *hits.values(), same), replaces=slices)
+        # Unique rows merged into unique ones stay so.
+        SharedFiles(self.spark, self.root).touch(self._certificate(spec, version))
         stats.inserted_rows, stats.updated_rows, stats.deleted_rows = (seen.get[a] for a in hits)
         stats.unchanged_rows = seen.get[m.UNCHANGED]
         used = stats.inserted_rows + stats.updated_rows + stats.unchanged_rows
         stats.repeated_rows, stats.tgt_success_rows = stats.tgt_success_rows - used, used
 
+    def _check_unique(self, spec: LoadSpec, table: VersionedTable | ManifestTable) -> None:
+        """The merge relies on a target that is unique on its keys. A version that a merge wrote has a certificate of it; any
+        other is checked once, and a repeated key fails the load before anything is merged."""
+        versions = table.versions()
+        files = SharedFiles(self.spark, self.root)
+        if not versions or isinstance(table, ManifestTable) or files.exists(self._certificate(spec, versions[-1])):
+            return
+        repeated = duplicate_keys(table.read().select(*spec.contract.keys).dropna(), spec.contract.keys).limit(1).count()
+        if repeated:
+            raise ValueError(f"{spec.name}: the target repeats a key")
+        files.touch(self._certificate(spec, versions[-1]))
+
+    def _certificate(self, spec: LoadSpec, version: int) -> str:
+        return f"{self.root}/{spec.name}_unique/v_{version:08d}-{_folder_name('-'.join(spec.contract.keys))}"
+
     def _diff_bytes(self, spec: LoadSpec, rows: int) -> int | None:
         """Measured size of the accepted rows in memory; None once it is beyond any broadcast.
 

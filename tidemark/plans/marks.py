@@ -21,8 +21,9 @@ def highest(df: DataFrame, delta: Delta, mark: str | None = None) -> DataFrame:
 
 
 def current_marks(log: DataFrame) -> DataFrame:
-    """The latest commit of every load; a long history collapses before the shuffle."""
-    newest = F.max_by(F.struct("value_type", "value", "committed_at"), F.struct("committed_at", "committed_seq"))
+    """The latest commit of every load, by the order of commits as a load itself reads them, whatever session they name;
+    a long history collapses before the shuffle."""
+    newest = F.max_by(F.struct("value_type", "value", "committed_at"), "committed_seq")
     return log.groupBy("load_name").agg(newest.alias("state")).select("load_name", "state.*")
 
 

@@ -109,8 +109,7 @@ def table_load_plan(spark, sf_dir):
 
 
 @query("""SELECT 'customer ' || c_custkey AS load_name, CAST(coalesce(last_key, 0) AS VARCHAR) AS mark FROM customer
-    LEFT JOIN (SELECT o_custkey, o_orderkey AS last_key, row_number() OVER (PARTITION BY o_custkey
-        ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) ON o_custkey = c_custkey AND rn = 1""")
+    LEFT JOIN (SELECT o_custkey, max_by(o_orderkey, o_orderkey * 7919 % 1000003) AS last_key FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""")
 def watermark_state(spark, sf_dir):
     """Every customer is a load and every order a commit of its mark; the latest commit counts."""
     name = F.concat(F.lit("customer "), F.col("c_custkey").cast("string"))
@@ -120,7 +119,7 @@ def watermark_state(spark, sf_dir):
         F.lit("numeric").alias("value_type"),
         F.col("o_orderkey").cast("string").alias("value"),
         F.col("o_orderdate").alias("committed_at"),
-        F.col("o_orderkey").alias("committed_seq"),
+        (F.col("o_orderkey") * 7919 % 1000003).alias("committed_seq"),
     )
     return marks_or_default(loads, log)
 

@@ -43,6 +43,10 @@ class SharedFiles:
     def total_bytes(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 
+    def touch(self, path: str) -> None:
+        """An empty file."""
+        self._fs.create(self._path(path), True).close()
+
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
