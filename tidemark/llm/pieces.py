@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.terms import ramps
 from tidemark.session import new_workdir
 
 # Fixed value: the mark that model files write for a space. Here pieces hold the space itself, so that a mark in a
@@ -35,6 +36,8 @@ STIR = np.uint64(0x9E3779B97F4A7C15)
 # Characters of the texts whose words are looked up together.
 TOGETHER = 1 << 20
 CELL_BITS = 20
+# Rows decoded together.
+DECODED = 256
 
 
 @dataclass
@@ -258,6 +261,38 @@ class Vocabulary:
                 hit = tree.get(text[start + i:start + j], False)
         return {k: score[end - start + k] for k in range(size) if score[end - start + k] > NEVER}
 
+    def entries(self, text: str, start: int, end: int, ahead: np.ndarray) -> list[int]:
+        """For each first boundary text[end + k] at or after ``end``, where the chunk's own first piece begins on the path of the whole
+        text, as text[start + j]; ``ahead`` are the best sums of the text up to each such beginning.
+
+        Of equal sums the piece that begins first wins, at every place from the right; one that begins in front of the chunk does so first.
+        """
+        size, n, tree = self.longest, len(text), self.tree
+        cuts = self.cuts(text, start, end)
+        # All paths meet where a piece has to begin: how they go on from there is no matter.
+        stop = cuts[0] if cuts else end
+        score = [NEVER] * (end - start + size + 1)
+        enter = [0] * len(score)
+        for j in range(min(size, len(score))):
+            score[j], enter[j] = int(ahead[j]), j
+        for i in range(stop - start):
+            s, j = score[i], i + 1
+            if s == NEVER:
+                continue
+            hit = tree.get(text[start + i:start + j], False)
+            if not hit:
+                b = s + self.step(text[start + i])[1]
+                if b > score[j]:
+                    score[j], enter[j] = b, enter[i]
+            while hit is not False:
+                if hit is not None and s + hit[1] > score[j]:
+                    score[j], enter[j] = s + hit[1], enter[i]
+                j += 1
+                if start + j > n:
+                    break
+                hit = tree.get(text[start + i:start + j], False)
+        return [enter[stop - start]] * size if cuts else enter[end - start:end - start + size]
+
     def encode(self, text: str) -> list[int]:
         return self.encoded(marked(text))[0]
 
@@ -265,6 +300,24 @@ class Vocabulary:
         texts = self.texts
         return b"".join([texts[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
 
+    @cached_property
+    def spelling(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all ids one after the other, where each id's begin, and how many they are."""
+        most = max(self.texts, default=0) + 1
+        parts = [self.texts.get(i, b"") for i in range(most)]
+        lengths = np.array([len(p) for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+    def decode_all(self, lists: list[np.ndarray | None]) -> list[str | None]:
+        """The texts of many lists of ids, None for None."""
+        data, starts, lengths = self.spelling
+        held = [x for x in lists if x is not None]
+        ids = np.concatenate(held) if held else np.zeros(0, np.int64)
+        buf = data[ramps(starts[ids], lengths[ids])].tobytes()
+        ends = np.concatenate([[0], np.cumsum(lengths[ids])])[np.cumsum([0, *map(len, held)])]
+        texts = iter([buf[a:b].decode("utf-8", "surrogatepass")[1:] for a, b in zip(ends, ends[1:])])
+        return [None if x is None else next(texts) for x in lists]
+
 
 def _codes(texts: list[str], n: int) -> np.ndarray:
     """Texts of one length as rows of code points, moved off zero."""
@@ -300,15 +353,20 @@ def combined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x[:, :, None] + y[None, :, :]).max(axis=1), NEVER)
 
 
-def states(matrices: list[np.ndarray]) -> list[int]:
-    """Where each chunk's first piece begins, and last where the text ends: 0 in front of the first chunk and at the end."""
+def sums_ahead(matrices: list[np.ndarray]) -> list[np.ndarray]:
+    """The best sums of the text up to each place where a chunk's first piece can begin, chunk by chunk."""
     ahead = [np.full(len(matrices[0]), NEVER, np.int64)]
     ahead[0][0] = 0
-    for m in matrices:
+    for m in matrices[:-1]:
         ahead.append(combined(ahead[-1][None, :], m)[0])
+    return ahead
+
+
+def states(entries: list[list[int]]) -> list[int]:
+    """Where each chunk's first piece begins, and last where the text ends: 0 in front of the first chunk and at the end."""
     out = [0]
-    for before, m in zip(reversed(ahead[:-1]), reversed(matrices)):
-        out.append(int(np.argmax(before + m[:, out[-1]])))
+    for found in reversed(entries):
+        out.append(found[out[-1]])
     return out[::-1]
 
 
@@ -318,8 +376,10 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
     Null and empty texts have no pieces; every other text decodes to itself, whatever characters it holds. Equal texts are
     encoded alike; repeated rows give repeated rows, an empty table none. Other columns are not read.
 
-    Texts up to ``chunk`` characters are encoded where they are read. Longer ones are cut into chunks that are dealt
-    to all tasks; a text's matrices, two kilobytes for each chunk, meet in one group to fix the boundaries.
+    Of segmentations with equal sums, the one counts whose last piece begins first, and so on from right to left, at every
+    length of text. Texts up to ``chunk`` characters are encoded where they are read. Longer ones are cut into chunks that are dealt
+    to all tasks; a text's matrices, two kilobytes for each chunk, meet in one group for the sums ahead of each chunk. From these every
+    chunk finds where its first piece begins for each place where its last may end, which fixes the boundaries in a second group.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
@@ -364,9 +424,19 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
             found = [sent.value.transfer(t, *bounds(k, n)).astype("<i8").tobytes() for k, n, t in zip(*(b.column(c).to_pylist() for c in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], names=["row", "k", "matrix"])
 
+    def look_ahead(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values("k")
+        found = sums_ahead([np.frombuffer(m, "<i8").reshape(size, size) for m in df["matrix"]])
+        return pd.DataFrame({"row": df["row"].to_numpy(), "k": df["k"].to_numpy(), "ahead": [a.astype("<i8").tobytes() for a in found]})
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sent.value.entries(t, *bounds(k, n), np.frombuffer(a, "<i8")) for k, n, t, a in zip(*(b.column(c).to_pylist() for c in range(1, 5)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], names=["row", "k", "entries"])
+
     def join_up(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("k")
-        found = states([np.frombuffer(m, "<i8").reshape(size, size) for m in df["matrix"]])
+        found = states(df["entries"].tolist())
         return pd.DataFrame({"row": df["row"].to_numpy(), "k": df["k"].to_numpy(), "enter": found[:-1], "leave": found[1:]})
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +454,10 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
     long_.mapInArrow(cut, schema).write.parquet(path)
     held = spark.read.schema(schema).parquet(path).repartition("row", "k")
     matrices = held.select("row", "k", "n", "text").mapInArrow(measure, "row bigint, k bigint, matrix binary")
-    fixed = matrices.groupBy("row").applyInPandas(join_up, "row bigint, k bigint, enter bigint, leave bigint")
+    ahead = matrices.groupBy("row").applyInPandas(look_ahead, "row bigint, k bigint, ahead binary")
+    entries = (held.join(ahead, ["row", "k"]).select("row", "k", "n", "text", "ahead")
+               .mapInArrow(enter, "row bigint, k bigint, entries array<int>"))
+    fixed = entries.groupBy("row").applyInPandas(join_up, "row bigint, k bigint, enter bigint, leave bigint")
     traced = (held.join(fixed, ["row", "k"]).select("id", "row", "k", "n", "text", "enter", "leave")
               .mapInArrow(trace, f"id {kind}, row bigint, ids array<int>, k bigint"))
     joined = traced.groupBy("row").agg(F.first("id").alias("id"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x.ids)).alias("ids"))
@@ -392,14 +465,25 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
 
 
 def decode(encoded: DataFrame, words: Vocabulary, id_column: str = "doc_id") -> DataFrame:
-    """(id, ``text``) of every row's ``ids``; no ids give an empty text, null ids null."""
+    """(id, ``ids``, ``text``) of every row's ``ids``; no ids give an empty text, null ids null. Other columns are not read."""
     sent = encoded.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [None if ids is None else sent.value.decode(ids) for ids in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["id", "text"])
+            lists = b.column(1)
+            for at in range(0, b.num_rows, DECODED):
+                part = lists.slice(at, DECODED)
+                texts = pa.array(sent.value.decode_all([None if x is None else np.asarray(x, np.int64) for x in _arrays(part)]), pa.string())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, DECODED), part, texts], names=["id", "ids", "text"])
 
-    source = encoded.select(F.col(id_column).alias("id"), "ids")
+    source = encoded.select(F.col(id_column).alias("id"), F.col("ids").cast("array<int>").alias("ids"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_column)
+    return source.mapInArrow(run, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_column)
+
+
+def _arrays(lists: pa.ListArray) -> Iterator[np.ndarray | None]:
+    """The lists as arrays, null ones as None."""
+    valid = lists.is_valid().to_numpy(zero_copy_only=False)
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    for ok, a, b in zip(valid, offsets, offsets[1:]):
+        yield values[a:b] if ok else None

@@ -63,7 +63,9 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, words = _table(spark, sf_dir, "documents"), pieces.vocabulary(PIECES_MODEL)
-    return pieces.encode(docs, words).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    # Decoded again: the hash is that of the text itself.
+    return pieces.decode(pieces.encode(docs, words), words).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op8_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
