@@ -158,7 +158,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id"
     asked = usable(queries, id_column, vector_column, zeros=False).groupBy("id").agg(F.min("vector").alias("vector"))
     about = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim"),
                      F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("square")).first()
-    dim, longest = about.dim or 1, float(about.square or 0) ** 0.5
+    # Rows and queries may differ in length.
+    dim, longest = max(about.dim or 1, asked.agg(F.max(F.size("vector"))).first()[0] or 1), float(about.square or 0) ** 0.5
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [matrix(b.column(0), dim) for b in batches]
@@ -236,12 +237,18 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id"
             for qid, q, s in zip(group["query_id"], asks, scores):
                 s[ids == qid] = -np.inf
                 near = np.flatnonzero(s > -np.inf)
-                if len(near) > k:
-                    kth = np.partition(s, len(s) - k)[len(s) - k]
-                    near = np.flatnonzero(s >= kth - SLACK * longest**2)
+                # Leaves of several trees may be here, and with them a row as many times.
+                most = k * settings.trees
+                if len(near) > most:
+                    kth = np.partition(s, len(s) - most)[len(s) - most]
+                    near = np.flatnonzero((s >= kth - SLACK * longest**2) & (s > -np.inf))
                 exact = inner(q, x[near])
-                for j in np.lexsort((ids[near], -exact))[:k]:
-                    out.append((qid, int(ids[near[j]]), float(exact[j])))
+                order = np.lexsort((ids[near], -exact))
+                found, exact = ids[near][order], exact[order]
+                new = np.ones(len(found), bool)
+                new[1:] = (found[1:] != found[:-1]) | (exact[1:] != exact[:-1])
+                for i, e in zip(found[new][:k].tolist(), exact[new][:k].tolist()):
+                    out.append((qid, i, e))
         return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype({"query_id": "int64", "id": "int64", "score": "float64"})
 
     keys = ["together", "part", "chunk"]

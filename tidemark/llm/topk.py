@@ -79,7 +79,8 @@ def top_products(df: DataFrame, queries: DataFrame, k: int, scale: int = 256, id
     rows = usable(df, id_column, vector_column)
     asked = usable(queries, id_column, vector_column).groupBy("id").agg(F.min("vector").alias("vector"))
     about = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    dim = about.dim or 1
+    # Rows and queries may differ in length.
+    dim = max(about.dim or 1, asked.agg(F.max(F.size("vector"))).first()[0] or 1)
     pages = max(1, -(-about.n // (BLOCK_ROWS * PAGE_BLOCKS)))
     chunks = max(1, -(-asked.count() // QUERY_ROWS))
 
