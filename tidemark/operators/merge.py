@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contract import AUDIT_COLUMNS, CREATED, DELETED, MODIFIED, is_audit
 from tidemark.functions.text import timestamp_literal
@@ -217,14 +218,21 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 def memory_bytes(df: DataFrame, rows: int | None = None) -> int:
     """The size of a landed diff in memory: a fixed part per value, and its texts as they are measured."""
-    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
-    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
-    if rows is None or texts:
-        found = df.agg(F.count(F.lit(1)).alias("rows"), sum(lengths, F.lit(0)).alias("bytes")).first()
-        return fixed_bytes(df, found["rows"]) + found["bytes"]
+    if rows is None or _texts(df.schema):
+        found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(text_bytes(df.schema)).alias("bytes")).first()
+        return fixed_bytes(df, found["rows"]) + (found["bytes"] or 0)
     return fixed_bytes(df, rows)
 
 
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema if f.dataType.typeName() in ("string", "binary")]
+
+
+def text_bytes(schema: T.StructType) -> Column:
+    """The bytes of a row's texts."""
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in _texts(schema)), F.lit(0).cast("bigint"))
+
+
 def fixed_bytes(df: DataFrame, rows: int) -> int:
     return rows * (16 * len(df.columns) + 32)
 

@@ -132,6 +132,8 @@ class LoadStats:
     start_time: datetime | None = None
     end_time: datetime | None = None
     status: str = SUCCEEDED
+    # The size of the diff in memory, as it was landed; not part of the report.
+    diff_bytes: int = field(default=0, repr=False)
 
 
 STATS_SCHEMA = """load_name string, src_success_rows long, src_failed_rows long, tgt_success_rows long,
@@ -273,11 +275,13 @@ class Stage:
     def _land(self, spec: LoadSpec, rows: DataFrame, mark: str | None, stats: LoadStats) -> None:
         """Write the diff; the tasks that write it observe the counts and the highest delta value."""
         seen, counts = Observation(f"diff of {spec.name}"), _row_counts()
+        counts.append(F.sum(F.when(F.col(REASON).isNull(), m.text_bytes(spec.contract.target_schema()))).alias("bytes"))
         if spec.keeps_mark:
             counts.append(spec.target_delta.as_text(F.max(spec.target_delta.value)).alias("top"))
         rows.observe(seen, *counts).write.mode("overwrite").parquet(self._diff_path(spec))
         found = seen.get
         self._note(found, stats)
+        stats.diff_bytes = m.fixed_bytes(self.diff(spec), stats.tgt_success_rows) + (found["bytes"] or 0)
         if spec.pattern == INCREMENT and spec.unique_source:
             repeated = duplicate_keys(self.diff(spec), spec.contract.keys).agg(F.sum(F.col("row_count") - 1)).first()[0]
             if repeated:
@@ -318,7 +322,7 @@ class Stage:
             table.read(slices), diff, spec.contract.keys, merge_ts=merge_ts, rules=rules,
             keys_not_null=True,  # the contract rejects NULL keys before they land
             # A bucketed table is joined along its buckets, which keeps the layout.
-            source_bytes=None if spec.buckets else self._diff_bytes(spec, stats.tgt_success_rows),
+            source_bytes=None if spec.buckets else stats.diff_bytes,
             with_action=True, with_matched=True, held=held)
         seen = Observation(f"merge of {spec.name}")
         hits = {a: F.count_if(F.col(m.ACTION) == a).alias(a) for a in (m.INSERTED, m.UPDATED, m.SOFT_DELETED)}
@@ -346,14 +350,6 @@ class Stage:
     def _certificate(self, spec: LoadSpec, version: int) -> str:
         return f"{self.root}/{spec.name}_unique/v_{version:08d}-{_folder_name('-'.join(spec.contract.keys))}"
 
-    def _diff_bytes(self, spec: LoadSpec, rows: int) -> int | None:
-        """Measured size of the accepted rows in memory; None once it is beyond any broadcast.
-
-        The text is only measured when the fixed part alone could still fit.
-        """
-        diff = self.diff(spec)
-        return None if m.fixed_bytes(diff, rows) > m.broadcast_limit(self.spark) else m.memory_bytes(diff, rows)
-
 
 def _row_counts() -> list[Column]:
     return [
@@ -366,7 +362,8 @@ def _row_counts() -> list[Column]:
 
 def stats_frame(spark: SparkSession, stats: Sequence[LoadStats]) -> DataFrame:
     """One row per load."""
-    return spark.createDataFrame([tuple(asdict(s).values()) for s in stats], STATS_SCHEMA)
+    names = T.StructType.fromDDL(STATS_SCHEMA).names
+    return spark.createDataFrame([tuple(asdict(s)[n] for n in names) for s in stats], STATS_SCHEMA)
 
 
 def _append_schema(contract: Contract):
