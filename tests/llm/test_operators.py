@@ -377,6 +377,28 @@ def test_repeats_without_rows_or_ids(spark):
     assert got == [("1", 0), ("1", 0), ("2", 80), ("None", 0)]
 
 
+def test_ids_of_a_common_step_fall_into_all_groups(spark):
+    ids = np.concatenate([np.arange(4000) * repeats.LEAST_GROUPS, [-1, -5, 2**63 - 1, -2**63]])
+    rows = spark.createDataFrame([(int(i),) for i in ids], "doc_id bigint")
+    got = [r[0] for r in rows.select(repeats.group_of(F.col("doc_id"), repeats.LEAST_GROUPS)).collect()]
+    assert got == (repeats.scattered(ids) % repeats.LEAST_GROUPS).tolist()
+    assert len(set(got)) > 0.95 * repeats.LEAST_GROUPS and max(np.bincount(got)) < 40
+
+
+def test_ids_of_a_common_step_lose_what_they_share(spark):
+    shared = "a passage that stands in every second document of all, whatever its id may be "
+    texts = [f"{i} " * 20 + (shared if i % 2 else "") for i in range(12)]
+    rows = spark.createDataFrame([(i * repeats.LEAST_GROUPS * 7, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in repeats.digest(repeats.remove_repeats(rows)).collect()}
+    assert all((got[i * repeats.LEAST_GROUPS * 7] >= len(shared)) == (i % 2 == 1 and i > 1) for i in range(12))
+
+
+def test_parts_come_one_after_the_other():
+    rows = [(1, "a", b"x"), (1, "b", b"y"), (4, "a", b"z"), (5, "a", b""), (5, "a", b"w")]
+    frames = iter([repeats._frame(rows[:1]), repeats._frame([]), repeats._frame(rows[1:4]), repeats._frame(rows[4:])])
+    assert list(repeats.in_parts(frames)) == [[("a", b"x"), ("b", b"y")], [("a", b"z")], [("a", b""), ("a", b"w")]]
+
+
 def test_levels_merge_geometrically():
     levels, rng = repeats.Levels(), np.random.default_rng(0)
     for _ in range(64):

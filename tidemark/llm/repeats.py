@@ -8,13 +8,13 @@ continues in several ways are the strings of its stretches compared one by one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.rolling import Rolling, joined, mix
@@ -27,6 +27,8 @@ LEAST_PARTS = 1021
 LEAST_GROUPS = 509
 # Strings that need a look are dealt to this many heaps, or one for so many bytes of text.
 LEAST_LOOKS, LOOK_BYTES = 256, 1 << 25
+# Answers that a task holds until it sends them off.
+ANSWER_ROWS = 1 << 20
 # Doc-id ranges whose entries enter a part's levels one after the other.
 BATCHES = 8
 # An anchor with more stretches than this has its strings dealt out by content instead of by anchor.
@@ -267,6 +269,31 @@ def strings(s: Stretches, chosen: np.ndarray, size: int) -> tuple[np.ndarray, np
 
 
 BODY = "part int, kind string, body binary"
+PRIME, FACTOR = 2147483647, 48271
+
+
+def scattered(doc: np.ndarray) -> np.ndarray:
+    """Ids in an order of their own, so that ids of any common step fall into all groups."""
+    return doc % PRIME * FACTOR % PRIME
+
+
+def group_of(doc: Column, groups: int) -> Column:
+    """The group of an id: ``scattered`` modulo ``groups``."""
+    return F.pmod(F.pmod(F.pmod(doc, F.lit(PRIME)) * FACTOR, F.lit(PRIME)), F.lit(groups)).cast("int")
+
+
+def in_parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[str, bytes]]]:
+    """(kind, body) of one part after the other, of rows that come sorted by part."""
+    last, held = None, []
+    for df in batches:
+        for part, kind, body in zip(df["part"], df["kind"], df["body"]):
+            if held and part != last:
+                yield held
+                held = []
+            last = part
+            held.append((kind, body))
+    if held:
+        yield held
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -342,7 +369,7 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
     Stretches (one for some sixteen bytes) are shuffled as fingerprints in packs, equal ones of a pack once; a
     document gets back what was settled. Texts are shuffled once, by id, and read for the few strings
     that need a look and again for the result. Anchors of many documents are dealt out by content, so no
-    key's rows meet in one task.
+    key's rows meet in one task. A task holds one part of the index at a time, whatever number of parts it gets.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
@@ -356,25 +383,28 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
         """What a task found out, dealt to the groups of documents in one go."""
         if found:
             doc, content, mask = (np.concatenate(c) for c in zip(*found))
-            yield _frame([(p, "status", b) for p, b in dealt(doc, groups, doc, content, mask)])
+            yield _frame([(p, "status", b) for p, b in dealt(scattered(doc), groups, doc, content, mask)])
 
-    def first_look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
+    def looked(batches: Iterator[pd.DataFrame], look: Callable[[list[tuple[str, bytes]]], list[list[np.ndarray]]]) -> Iterator[pd.DataFrame]:
+        """What a look finds in every part; one part is held at a time, and a bounded number of answers."""
         found: list[list[np.ndarray]] = []
-        for df in batches:
-            for part, kind, body in zip(df["part"], df["kind"], df["body"]):
-                if kind == "done":
-                    found.append(unpack(body, np.int64, np.uint64, np.uint32))
-                else:
-                    held.setdefault(part, []).append((kind, body))
-        for part in list(held):
-            sent = held.pop(part)
+        for sent in in_parts(batches):
+            found += look(sent)
+            if sum(len(f[0]) for f in found) >= ANSWER_ROWS:
+                yield from answers(found)
+                found = []
+        yield from answers(found)
+
+    def first_look(sent: list[tuple[str, bytes]]) -> list[list[np.ndarray]]:
+        found = [unpack(b, np.int64, np.uint64, np.uint32) for k, b in sent if k == "done"]
+        sent = [(k, b) for k, b in sent if k != "done"]
+        if sent:
             sizes = [int(np.frombuffer(b, np.uint32, 1)[0]) for _, b in sent]
             anchor, content, doc = gathered([b for _, b in sent], np.uint32, np.uint64, np.int64)
             state = settle(anchor, content, doc, np.repeat([k == "hot" for k, _ in sent], sizes))
             keep = np.flatnonzero(state)
             found.append([doc[keep], content[keep], state[keep]])
-        yield from answers(found)
+        return found
 
     def second_look(statuses: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         doc, content, state = gathered(statuses["body"], np.int64, np.uint64, np.uint32)
@@ -431,16 +461,10 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             out += [(p, "names", b) for p, b in dealt(name[rows], looks, name[rows], anchor[rows], d[rows], c[rows], offset[rows].astype(np.uint32))]
         return _frame(out)
 
-    def third_look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list] = {}
-        found: list[list[np.ndarray]] = []
-        for df in batches:
-            for part, kind, body in zip(df["part"], df["kind"], df["body"]):
-                if kind == "status":
-                    found.append(unpack(body, np.int64, np.uint64, np.uint32))
-                else:
-                    held.setdefault((part, kind), []).append(body)
-        for (_, kind), bodies in held.items():
+    def third_look(sent: list[tuple[str, bytes]]) -> list[list[np.ndarray]]:
+        found = [unpack(b, np.int64, np.uint64, np.uint32) for k, b in sent if k == "status"]
+        for kind in sorted({k for k, _ in sent} - {"status"}):
+            bodies = [b for k, b in sent if k == kind]
             if kind == "names":
                 name, anchor, doc, content, offset = gathered(bodies, np.uint64, np.uint64, np.int64, np.uint64, np.uint32)
             else:
@@ -461,7 +485,7 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             rows = np.flatnonzero(before)
             if len(rows):
                 found.append(list(masks(doc[rows], content[rows], offset[rows])))
-        yield from answers(found)
+        return found
 
     def finish(statuses: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         doc, content, mask = gathered(statuses["body"], np.int64, np.uint64, np.uint32)
@@ -508,10 +532,12 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             out.append((i, len(t), kept, [{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])]))
         return pd.DataFrame(out, columns=["doc_id", "n_bytes", "kept", "removed"])
 
-    texts = known.select("doc_id", "text", F.pmod("doc_id", F.lit(groups)).cast("int").alias("part")).groupBy("part")
-    settled = (_entries(known, window, parts, hot.value).repartition(tasks, "part").mapInPandas(first_look, BODY)
-               .groupBy("part").cogroup(texts).applyInPandas(second_look, BODY)
-               .repartition(tasks, "part").mapInPandas(third_look, BODY))
+    texts = known.select("doc_id", "text", group_of(F.col("doc_id"), groups).alias("part")).groupBy("part")
+    def of_parts(rows: DataFrame, look: Callable) -> DataFrame:
+        return rows.repartition(tasks, "part").sortWithinPartitions("part").mapInPandas(lambda batches: looked(batches, look), BODY)
+
+    settled = of_parts(_entries(known, window, parts, hot.value), first_look)
+    settled = of_parts(settled.groupBy("part").cogroup(texts).applyInPandas(second_look, BODY), third_look)
     spans = "array<struct<start:bigint,end:bigint>>"
     result = settled.groupBy("part").cogroup(texts).applyInPandas(finish, f"doc_id bigint, n_bytes bigint, kept binary, removed {spans}")
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
