@@ -269,17 +269,19 @@ def strings(s: Stretches, chosen: np.ndarray, size: int) -> tuple[np.ndarray, np
 
 
 BODY = "part int, kind string, body binary"
-PRIME, FACTOR = 2147483647, 48271
+PRIME, FACTORS = 2147483647, (48271, 69621)
 
 
 def scattered(doc: np.ndarray) -> np.ndarray:
     """Ids in an order of their own, so that ids of any common step fall into all groups."""
-    return doc % PRIME * FACTOR % PRIME
+    x = doc % PRIME * FACTORS[0] % PRIME
+    return (x ^ (x >> 15)) * FACTORS[1] % PRIME
 
 
 def group_of(doc: Column, groups: int) -> Column:
     """The group of an id: ``scattered`` modulo ``groups``."""
-    return F.pmod(F.pmod(F.pmod(doc, F.lit(PRIME)) * FACTOR, F.lit(PRIME)), F.lit(groups)).cast("int")
+    x = F.pmod(F.pmod(doc, F.lit(PRIME)) * FACTORS[0], F.lit(PRIME))
+    return F.pmod(F.pmod(x.bitwiseXOR(F.shiftright(x, 15)) * FACTORS[1], F.lit(PRIME)), F.lit(groups)).cast("int")
 
 
 def in_parts(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[str, bytes]]]:
