@@ -440,6 +440,30 @@ def test_nearest_neighbours(spark):
     assert ann.nearest(df.where("vec_id < 3"), df.where("vec_id < 3"), 20).count() == 6
 
 
+def test_the_forest_that_scores_fewest_rows_is_used():
+    x = np.random.default_rng(3).normal(size=(2000, 64))
+    longest = float(np.sqrt((x * x).sum(axis=1).max()))
+    # In random directions further trees find hardly anything new, and each holds all rows once more.
+    forest = ann.grow(x, longest, ann.Settings(), 20)
+    assert len(forest.planes) == ann.FEWEST_TREES and forest.depth == 4
+    where, asks = forest.place(x), np.arange(0, 2000, 100)
+    counts, hits = np.bincount(where.ravel(), minlength=len(forest.planes) * forest.leaves), 0
+    for q in asks:
+        near = [i for i in np.argsort(-(x @ x[q])) if i != q][:20]
+        hits += np.isin(where[near], forest.search(x[q], counts, 21)).any(axis=1).sum()
+    assert hits >= 0.9 * 20 * len(asks)
+    assert len(ann.grow(x[:40], longest, ann.Settings(), 20).planes) == ann.FEWEST_TREES
+    assert len(ann.grow(x, longest, ann.Settings(trees=1), 20).planes) == 1
+
+
+def test_queries_in_several_chunks(spark, monkeypatch):
+    df, _ = vectors_of(spark)
+    asks = df.where("vec_id % 20 = 0")
+    want = sorted(map(tuple, ann.nearest(df, asks, 5).collect()))
+    monkeypatch.setattr(ann, "QUERY_ROWS", 2)
+    assert sorted(map(tuple, ann.nearest(df, asks, 5).collect())) == want
+
+
 def test_recall_on_the_small_table(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     held = {r.vec_id: np.array(r.embedding, np.float64) for r in rows.collect()}

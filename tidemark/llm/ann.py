@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.rolling import mix
 from tidemark.llm.vectors import best_of, inner, matrix, usable
 from tidemark.session import new_workdir
 
@@ -20,6 +21,8 @@ from tidemark.session import new_workdir
 LEAVES_TOGETHER = 8
 PART_ROWS = 4096
 QUERY_ROWS = 2048
+# Trees of the smallest forest that is considered.
+FEWEST_TREES = 2
 SLACK = 1e-9
 
 
@@ -27,7 +30,8 @@ SLACK = 1e-9
 class Settings:
     """``sample`` bounds the vectors the trees are fitted on; every vector is indexed.
 
-    ``recall`` is aimed at on the sample, by how large a share of the index a search may visit.
+    ``recall`` is aimed at on the sample, by how large a share of the index a search may visit. ``trees`` are grown, and
+    of these the first 2, 4 and so on are compared by the rows a search scores: the forest that scores fewest is used.
     """
 
     trees: int = 8
@@ -55,6 +59,9 @@ class Forest:
     def leaves(self) -> int:
         return self.planes.shape[1] + 1
 
+    def first(self, trees: int) -> Forest:
+        return Forest(self.planes[:trees], self.offsets[:trees], self.longest, self.share)
+
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """One more component brings all vectors to the same length, so that the largest product is the smallest angle."""
         rest = np.sqrt(np.maximum(self.longest**2 - (x * x).sum(axis=1), 0))
@@ -102,7 +109,7 @@ def grow(x: np.ndarray, longest: float, settings: Settings, k: int) -> Forest:
     """Trees over a sample: each node splits at the median along the line through two of its points.
 
     The share to search is the one at which the wanted recall is reached within the sample, where the nearest
-    are farther away than among all rows.
+    are farther away than among all rows. Of the forest's trees as many are kept as reach it with the fewest rows to score.
     """
     rng = np.random.default_rng(settings.seed)
     depth = max(0, int(np.log2(max(1, len(x) / settings.leaf))))
@@ -120,24 +127,38 @@ def grow(x: np.ndarray, longest: float, settings: Settings, k: int) -> Forest:
             cut = float(np.median(along)) if len(rows) else 0.0
             forest.planes[t, node], forest.offsets[t, node] = plane, cut
             held[2 * node + 1], held[2 * node + 2] = rows[along <= cut], rows[along > cut]
+    fewest = min(FEWEST_TREES, settings.trees)
     if len(x) <= 4 * k:
-        return forest
+        return forest.first(fewest)
     where = forest.place(x)
-    counts = np.bincount(where.ravel(), minlength=settings.trees * forest.leaves)
     probes = rng.choice(len(x), min(settings.probes, len(x)), replace=False)
-    needed = []
+    near = []
     for q in probes:
         scores = x @ x[q]
         scores[q] = -np.inf
-        near = np.argpartition(-scores, k)[:k]
+        near.append(np.argpartition(-scores, k)[:k])
+    sizes = [fewest]
+    while sizes[-1] < settings.trees:
+        sizes.append(min(2 * sizes[-1], settings.trees))
+    forests = [forest.first(n) for n in sizes]
+    for f, n in zip(forests, sizes):
+        f.share = needed_share(f, where[:, :n], x[probes], near, settings.recall)
+    # Every tree holds all rows, so a share of more trees is more rows to score.
+    return min(forests, key=lambda f: f.share * len(f.planes))
+
+
+def needed_share(forest: Forest, where: np.ndarray, asks: np.ndarray, near: list[np.ndarray], recall: float) -> float:
+    """The share of the index to search until the queue has met the nearest rows of the asks as often as wanted."""
+    counts = np.bincount(where.ravel(), minlength=len(forest.planes) * forest.leaves)
+    needed = []
+    for q, rows in zip(asks, near):
         visited = np.full(len(counts), np.inf)
         total = 0
-        for leaf in forest.visit(x[q]):
+        for leaf in forest.visit(q):
             total += counts[leaf]
             visited[leaf] = total
-        needed.append(np.sort(visited[where[near]].min(axis=1)) / counts.sum())
-    forest.share = float(np.quantile(np.concatenate(needed), settings.recall))
-    return forest
+        needed.append(visited[where[rows]].min(axis=1) / counts.sum())
+    return float(np.quantile(np.concatenate(needed), recall))
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector_column: str = "embedding",
@@ -189,7 +210,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id"
     (rows.repartition(max(1, -(-about.n // (2 * PART_ROWS)))).mapInArrow(place, "leaf bigint, n bigint, ids binary, rows binary")
      .write.parquet(path))
     index = spark.read.schema("leaf bigint, n bigint, ids binary, rows binary").parquet(path)
-    counts = np.zeros(settings.trees * forest.leaves, np.int64)
+    trees = len(forest.planes)
+    counts = np.zeros(trees * forest.leaves, np.int64)
     # One row for each leaf: the settings bound their number.
     for row in index.groupBy("leaf").agg(F.sum("n").alias("n")).collect():
         counts[row.leaf] = row.n
@@ -200,14 +222,16 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id"
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, parts = sent_counts.value
         for b in batches:
-            x, ids = matrix(b.column(1), dim), b.column(0).to_pylist()
+            x, ids = matrix(b.column(1), dim), b.column(0).to_numpy()
+            # Mixed, as the ids of queries may have a step in common with the number of chunks.
+            chunk = (mix(ids.astype(np.uint64)) % np.uint64(chunk_count)).tolist()
             out: list[tuple] = []
-            for i, q in zip(ids, x):
+            for i, c, q in zip(ids.tolist(), chunk, x):
                 data, by_group = q.astype("<f8").tobytes(), {}
                 for leaf in sent.value.search(q, counts, k + 1):
                     by_group.setdefault(leaf // LEAVES_TOGETHER, []).append(leaf)
                 for g, leaves in by_group.items():
-                    out += [(g, p, i % chunk_count, i, leaves, data) for p in range(int(parts[g]))]
+                    out += [(g, p, c, i, leaves, data) for p in range(int(parts[g]))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(zip(*out) if out else [[]] * 6, (
                     pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
@@ -238,7 +262,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id"
                 s[ids == qid] = -np.inf
                 near = np.flatnonzero(s > -np.inf)
                 # Leaves of several trees may be here, and with them a row as many times.
-                most = k * settings.trees
+                most = k * trees
                 if len(near) > most:
                     kth = np.partition(s, len(s) - most)[len(s) - most]
                     near = np.flatnonzero((s >= kth - SLACK * longest**2) & (s > -np.inf))
