@@ -31,13 +31,15 @@ class Settings:
     """``sample`` bounds the vectors the trees are fitted on; every vector is indexed.
 
     ``recall`` is aimed at on the sample, by how large a share of the index a search may visit. ``trees`` are grown, and
-    of these the first 2, 4 and so on are compared by the rows a search scores: the forest that scores fewest is used.
+    of these the first 2, 4 and so on are compared by the rows a search scores: more trees, each one more copy of the
+    vectors, are used where they score at most ``gain`` of what fewer do.
     """
 
     trees: int = 8
     sample: int = 8192
     leaf: int = 64
     recall: float = 0.96
+    gain: float = 0.8
     probes: int = 192
     seed: int = 5
 
@@ -109,7 +111,7 @@ def grow(x: np.ndarray, longest: float, settings: Settings, k: int) -> Forest:
     """Trees over a sample: each node splits at the median along the line through two of its points.
 
     The share to search is the one at which the wanted recall is reached within the sample, where the nearest
-    are farther away than among all rows. Of the forest's trees as many are kept as reach it with the fewest rows to score.
+    are farther away than among all rows. Of the forest's trees as many are kept as are worth their copies of the rows.
     """
     rng = np.random.default_rng(settings.seed)
     depth = max(0, int(np.log2(max(1, len(x) / settings.leaf))))
@@ -143,8 +145,12 @@ def grow(x: np.ndarray, longest: float, settings: Settings, k: int) -> Forest:
     forests = [forest.first(n) for n in sizes]
     for f, n in zip(forests, sizes):
         f.share = needed_share(f, where[:, :n], x[probes], near, settings.recall)
-    # Every tree holds all rows, so a share of more trees is more rows to score.
-    return min(forests, key=lambda f: f.share * len(f.planes))
+    # Every tree holds all rows, so a share of more trees is more rows to score, and more copies to write and to move.
+    best = forests[0]
+    for f in forests[1:]:
+        if f.share * len(f.planes) <= settings.gain * best.share * len(best.planes):
+            best = f
+    return best
 
 
 def needed_share(forest: Forest, where: np.ndarray, asks: np.ndarray, near: list[np.ndarray], recall: float) -> float:
