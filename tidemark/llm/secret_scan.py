@@ -114,9 +114,13 @@ def is_key(data: bytes | None) -> bool:
 def outer_size(data: bytes) -> tuple[int, bool]:
     """The size of the key that begins with these bytes, and True; or a larger number of bytes needed to tell, and False. 0 for no key."""
     if data[:1] == b"\x30":
+        if len(data) < 2:
+            return 2, False
         n = data[1] & 0x7F if data[1] >= 0x80 else 0
         if n > 4 or data[1] == 0x80:
             return 0, True
+        if len(data) < 2 + n:
+            return 2 + n, False
         return (2 + n + int.from_bytes(data[2:2 + n], "big") if n else 2 + data[1]), True
     if not data.startswith(OPENSSH_MAGIC):
         return 0, True
@@ -199,7 +203,8 @@ def outer_fits(data: bytes) -> int:
     if data[0] != 0x30:
         return n
     at = 2 + (data[1] & 0x7F) * (data[1] >= 0x80)
-    if data[at:at + 2] != b"\x02\x01" or data[at + 2] > 1:
+    # Bytes that end within the version hold no key.
+    if data[at:at + 3] not in (b"\x02\x01\x00", b"\x02\x01\x01"):
         return 0
     # The element after the version: its length has to end within the key.
     at += 3
