@@ -5,8 +5,10 @@ import hashlib
 import json
 import re
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -414,6 +416,37 @@ def test_parts_come_one_after_the_other():
     assert list(repeats.in_parts(frames)) == [[("a", b"x"), ("b", b"y")], [("a", b"z")], [("a", b""), ("a", b"w")]]
 
 
+def test_a_batch_of_texts_is_taken_in_small_pieces():
+    """Runs of one character make a stretch of each byte; neither these nor the size of a batch set what a task holds."""
+    class Docs:
+        @staticmethod
+        def mapInArrow(run, _):
+            return run
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(97, 123, 4000))) + "z" * 20_000 for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    run = repeats._entries(Docs, repeats.Window(), 8, np.zeros(0, np.uint64))
+    assert sum(b.num_rows for b in run(iter([batch.slice(0, 10)])))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 256 * 2**20, peak
+
+
+def test_rows_of_one_key_come_together():
+    rng = np.random.default_rng(2)
+    keys, sizes = rng.integers(0, 40, 500).astype(np.uint64), rng.integers(50, 80, 500)
+    got = list(repeats.together(keys, sizes, 2_000))
+    assert sorted(np.concatenate(got)) == list(range(500))
+    assert sum(len(np.unique(keys[g])) for g in got) == len(np.unique(keys))
+    assert len(got) > 5 and max(sizes[g].sum() for g in got) < 2_000 + np.bincount(keys.astype(int), sizes).max()
+    assert [len(g) for g in repeats.together(keys[:1], sizes[:1], 2_000)] == [1]
+
+
 def test_levels_merge_geometrically():
     levels, rng = repeats.Levels(), np.random.default_rng(0)
     for _ in range(64):

@@ -8,7 +8,7 @@ continues in several ways are the strings of its stretches compared one by one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.rolling import Rolling, joined, mix
 
 # Bytes of text handled at once, and whose entries are sent in one go; bytes of text that a part stands for.
-PIECE_BYTES = 1 << 20
-SENT_BYTES = 1 << 23
+# Every byte of a piece stands for some hundred bytes of arrays, and a worker keeps what it once took.
+PIECE_BYTES = 1 << 18
+SENT_BYTES, STRETCH_BYTES = 1 << 23, 8
 PART_BYTES = 1 << 22
 LEAST_PARTS = 1021
 LEAST_GROUPS = 509
@@ -67,7 +68,7 @@ class Stretches:
     content: np.ndarray
 
 
-def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def pieces(texts: Iterable[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Texts in lists of bounded size; a long one comes in pieces that overlap so that no string is lost or met twice."""
     owner, offset, held, size = [], [], [], 0
     for i, text in enumerate(texts):
@@ -246,6 +247,14 @@ def least_before(keys: tuple[np.ndarray, ...], doc: np.ndarray) -> tuple[np.ndar
     return before, first
 
 
+def together(keys: np.ndarray, sizes: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Rows in lists of about ``limit`` in total size, those of one key in one list."""
+    order = np.argsort(keys, kind="stable")
+    begin = np.cumsum(sizes[order]) - sizes[order]
+    head = np.flatnonzero(leaders(keys[order]))
+    yield from np.split(order, head[np.flatnonzero(np.diff(begin[head] // limit)) + 1])
+
+
 def masks(doc: np.ndarray, content: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One row for each (doc, stretch) with a bit for each of its strings."""
     order = np.lexsort((content, doc))
@@ -302,8 +311,13 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["part", "kind", "body"])
 
 
-def _texts(column) -> list[bytes]:
-    return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in column]
+def _texts(column: Iterable[str | None]) -> Iterator[bytes]:
+    return (b"" if t is None else t.encode("utf-8", "surrogatepass") for t in column)
+
+
+def _strings_of(column: pa.Array) -> Iterator[str | None]:
+    """One text after the other; a batch may hold far more of them than fit a task as Python's strings."""
+    return (t.as_py() for t in column)
 
 
 def _entries(docs: DataFrame, window: Window, parts: int, hot: np.ndarray) -> DataFrame:
@@ -331,11 +345,12 @@ def _entries(docs: DataFrame, window: Window, parts: int, hot: np.ndarray) -> Da
                                                pa.array([r[2] for r in rows], pa.binary())], names=["part", "kind", "body"])
         for b in batches:
             ids = b.column(0).to_numpy()
-            for owner, _, texts in pieces(_texts(b.column(1).to_pylist()), window.length):
+            for owner, _, texts in pieces(_texts(_strings_of(b.column(1))), window.length):
                 s = stretches(texts, window)
                 doc = ids[np.array(owner, np.int64)[s.owner]] if len(s.owner) else np.zeros(0, np.int64)
                 held.append((s.anchor, s.content, doc, np.isin(s.anchor, hot)))
-                size += len(s.buf)
+                # A run of one character makes a stretch of each of its bytes.
+                size += max(len(s.buf), STRETCH_BYTES * len(s.owner))
                 if size >= SENT_BYTES:
                     yield out()
                     held, size = [], 0
@@ -351,7 +366,7 @@ def _hot_anchors(docs: DataFrame, window: Window) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for owner, _, texts in pieces(_texts(b.column(1).to_pylist()), window.length):
+            for owner, _, texts in pieces(_texts(_strings_of(b.column(1))), window.length):
                 s = stretches(texts, window)
                 pairs = np.unique(np.stack([np.array(owner, np.uint64)[s.owner], s.anchor]), axis=1) if len(s.owner) else np.zeros((2, 0), np.uint64)
                 names, counts = np.unique(pairs[1], return_counts=True)
@@ -463,12 +478,20 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             out += [(p, "names", b) for p, b in dealt(name[rows], looks, name[rows], anchor[rows], d[rows], c[rows], offset[rows].astype(np.uint32))]
         return _frame(out)
 
+    def repeated(name: np.ndarray, anchor: np.ndarray, doc: np.ndarray, content: np.ndarray, offset: np.ndarray) -> list[list[np.ndarray]]:
+        """Which strings a smaller document holds."""
+        before, _ = least_before((name, anchor), doc)
+        rows = np.flatnonzero(before)
+        return [list(masks(doc[rows], content[rows], offset[rows]))] if len(rows) else []
+
     def third_look(sent: list[tuple[str, bytes]]) -> list[list[np.ndarray]]:
         found = [unpack(b, np.int64, np.uint64, np.uint32) for k, b in sent if k == "status"]
         for kind in sorted({k for k, _ in sent} - {"status"}):
             bodies = [b for k, b in sent if k == kind]
             if kind == "names":
                 name, anchor, doc, content, offset = gathered(bodies, np.uint64, np.uint64, np.int64, np.uint64, np.uint32)
+                for some in together(name, np.ones(len(name), np.int64), PIECE_BYTES):
+                    found += repeated(name[some], anchor[some], doc[some], content[some], offset[some])
             else:
                 cols, texts = [], []
                 for body in bodies:
@@ -477,16 +500,15 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
                     for _ in range(4):
                         at += 4 + int(np.frombuffer(body, np.uint32, 1, at)[0])
                     texts.append(pa.decompress(body[at:], int(sizes.sum()), "zstd", asbytes=True))
-                    cols.append((d, c, a, sizes))
+                    cols.append((d, c, a, sizes.astype(np.int64)))
                 doc, content, anchor, sizes = (np.concatenate(x) for x in zip(*cols))
-                ends = np.cumsum(sizes.astype(np.int64))
-                s = Stretches(np.frombuffer(b"".join(texts), np.uint8), doc, ends - sizes, ends - window.length, anchor, content)
-                which, offset, name = strings(s, np.arange(len(doc)), window.length)
-                anchor, doc, content = anchor[which], doc[which], content[which]
-            before, _ = least_before((name, anchor), doc)
-            rows = np.flatnonzero(before)
-            if len(rows):
-                found.append(list(masks(doc[rows], content[rows], offset[rows])))
+                buf, begin = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(sizes) - sizes
+                for some in together(anchor, sizes, PIECE_BYTES):
+                    size = sizes[some]
+                    ends = np.cumsum(size)
+                    s = Stretches(taken(buf, begin[some], size), doc[some], ends - size, ends - window.length, anchor[some], content[some])
+                    which, offset, name = strings(s, np.arange(len(some)), window.length)
+                    found += repeated(name, s.anchor[which], s.owner[which], s.content[which], offset)
         return found
 
     def finish(statuses: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
@@ -497,11 +519,11 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
         if len(code):
             head = np.flatnonzero(leaders(code))
             code, mask = code[head], np.bitwise_or.reduceat(mask, head)
-        data, ids = _texts(texts["text"]), texts["doc_id"].to_numpy()
+        data, ids = list(_texts(texts["text"])), texts["doc_id"].to_numpy()
         sizes = np.fromiter(map(len, data), np.int64, len(data))
         begin = np.cumsum(sizes + 1) - sizes - 1
         # Where removed runs begin and end, in all texts one after the other with a place between them.
-        change = np.zeros(int((sizes + 1).sum()) + 1, np.int64)
+        change = np.zeros(int((sizes + 1).sum()) + 1, np.int32)
         touched = np.flatnonzero(np.isin(ids, np.unique(doc)))
         for owner, shift, held in pieces([data[i] for i in touched], window.length):
             s = stretches(held, window)
@@ -525,7 +547,7 @@ def remove_repeats(docs: DataFrame, window: Window = Window(), id_column: str =
             ends = np.concatenate([(place + count - 1 + window.length)[whole], (place[which] + offset + window.length)[on]])
             np.add.at(change, starts, 1)
             np.add.at(change, ends, -1)
-        covered = np.cumsum(change) > 0
+        covered = np.cumsum(change, out=change) > 0
         marked = [covered[a:a + n] for a, n in zip(begin, sizes)]
         out = []
         for i, t, m in zip(ids, data, marked):
