@@ -11,6 +11,8 @@ from tidemark.session import new_workdir
 
 REJECTED_BELOW = 0.7
 MASK = "[SECRET]"
+# Rows whose texts are masked together.
+TOGETHER = 256
 # Near duplicates: a Jaccard similarity of 0.8 or more over distinct shingles of five words.
 NEAR = jaccard.Rule(shingle=5, part=80, whole=100)
 
@@ -69,7 +71,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         return "".join(out) + text[end:] if shown else text
 
     def scan(batches):
-        for b in batches:
+        for b in (whole.slice(k, TOGETHER) for whole in batches for k in range(0, whole.num_rows, TOGETHER)):
             old = b.column(at).to_pylist()
             new = [masked(t) for t in old]
             sizes = [n if a == t else len(t) for n, a, t in zip(b.column(size).to_pylist(), old, new)]

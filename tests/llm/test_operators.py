@@ -31,6 +31,16 @@ def small(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+def held_at_most(run):
+    """The most bytes that a call holds."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
 # Personal data.
 
 BASE = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -254,6 +264,21 @@ def test_secret_base_spans(spark):
 
 # Quality.
 
+def test_scores_hold_little_of_a_batch():
+    """The texts of a batch are scored in pieces; what they are scored beside does not change a score."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 5000, 400))) for _ in range(1000)]
+    model = quality.Model(quality.Settings(), rng.normal(size=(1 << 17, 8)).astype("f4"), rng.normal(size=(8, 2)).astype("f4"), np.zeros(2))
+    found = []
+
+    def run():
+        for _, held in quality.chunks(range(len(texts)), texts, quality.CHUNK_BYTES):
+            found.extend(model.scores(held).tolist())
+
+    assert held_at_most(run) < 64 * 2**20
+    assert found == model.scores([t.encode() for t in texts]).tolist()
+
+
 def test_quality_separates_and_is_defined_everywhere(spark):
     good, bad = [f"the calm river number {i} runs on" for i in range(60)], [f"WIN!! CASH!! {i}!! NOW!!" for i in range(60)]
     table = docs_of(spark, good + bad + AWKWARD)
@@ -663,6 +688,31 @@ def test_pieces_are_the_best_path_and_decode(words):
         assert words.decode(ids) == text
 
 
+def test_encoding_holds_little_of_a_batch(words):
+    """Neither the size of a batch nor words without a space set what is held, and the ids stay with their rows."""
+    texts = [f"{i} " + "the of and " * 1500 for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    sizes, first = [], []
+
+    def run():
+        for b in pieces.encode_batches(words, iter([batch, batch.slice(0, 0)])):
+            sizes.append((b.column(0)[0].as_py(), b.num_rows, b.nbytes))
+            first.append(b.column(1)[0].as_py())
+
+    words.encode_all([pieces.marked(texts[0])])
+    assert held_at_most(run) < 40 * 2**20
+    assert [at for at, _, _ in sizes] == list(np.cumsum([0, *(n for _, n, _ in sizes[:-1])])) and sum(n for _, n, _ in sizes) == len(texts)
+    assert max(size for _, _, size in sizes) < 4 * 2**20
+    assert all(ids == words.encode(texts[at]) for (at, _, _), ids in zip(sizes, first))
+
+
+def test_long_words_are_not_remembered(words):
+    long = [f"{i}" * 300 for i in range(1000, 1020)]
+    ids = words.encode_all([pieces.marked(" ".join([*long, "of", "the"])), " of"])
+    assert words.decode(ids[0].tolist()) == " ".join([*long, "of", "the"]) and words.decode(ids[1].tolist()) == "of"
+    assert " of" in words.memory and max(map(len, words.memory)) <= pieces.LONGEST_REMEMBERED
+
+
 @pytest.mark.parametrize("chunk", [40, 100, 10_000])
 def test_chunks_give_the_same_sum(spark, words, chunk):
     texts = [*AWKWARD, *TEXTS]
@@ -759,6 +809,15 @@ def test_near_duplicates_keep_one_row_of_an_id(spark):
     assert sorted(((r.doc_id or 9), r.text, r.score) for r in kept.collect()) == [(1, long, "a"), (3, other, "c"), (4, "single", "c"), (9, long, "d"), (9, long, "d")]
 
 
+def test_secrets_are_masked_in_their_rows(spark):
+    rows = [(i, None if i % 7 == 0 else f"{i} secret = abcdefgh{i} end" if i % 3 else f"{i} plain", "en", "s", i) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.secret_scans(spark, docs, SF).collect()}
+    for i, text, _, _, n in rows:
+        new = text and f"{i} [SECRET] end" if i % 3 else text
+        assert got[i] == (new, n if new == text else len(new))
+
+
 def test_mixture_keeps_columns_of_clashing_names(spark):
     docs = small(spark).withColumns({c: F.col("doc_id") for c in ("code", "copies", "_code", "_copies", "row", "col", "id", "rate")})
     rows = corpus_pipeline.mixture(spark, docs, SF)

@@ -24,7 +24,7 @@ from tidemark.llm.components import components
 from tidemark.llm.rolling import LOWER, chunks, codes, joined, mix, words
 from tidemark.session import new_workdir
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 # Sizes of a band grow by this power of the ratio of sizes that can link, so that a set meets the band below its own about
 # one time in so many; segments there are more of than needed, so that sets can pass over empty ones.
 BAND_POWER = 3.2

@@ -9,7 +9,7 @@ chunk is then traced back on its own.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
@@ -33,8 +33,9 @@ REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
 GRID = 1 << 20
 NEVER = -(1 << 60)
 STIR = np.uint64(0x9E3779B97F4A7C15)
-# Characters of the texts whose words are looked up together.
+# Characters of the texts whose words are looked up together, and of the words whose paths are found together.
 TOGETHER = 1 << 20
+CELLS = 1 << 17
 CELL_BITS = 20
 # Rows decoded together.
 DECODED = 256
@@ -47,7 +48,7 @@ class Vocabulary:
     pieces: dict[str, tuple[int, int]]
     bytes_: list[int]
     byte_score: int
-    memory: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    memory: dict[str, bytes] = field(default_factory=dict, repr=False)
 
     @cached_property
     def longest(self) -> int:
@@ -152,39 +153,45 @@ class Vocabulary:
             out.append(h ^ (h >> np.uint64(29)))
         return out
 
-    def best_many(self, units: list[str]) -> dict[str, tuple[int, ...]]:
-        """The pieces ``best`` finds for many short texts, those of one length together."""
-        out: dict[str, tuple[int, ...]] = {}
+    def best_many(self, units: list[str]) -> dict[str, bytes]:
+        """The pieces ``best`` finds for many short texts, as ids of 32 bits, those of one length together."""
+        out: dict[str, bytes] = {}
         by_size: dict[int, list[str]] = {}
         for u in units:
             by_size.setdefault(len(u), []).append(u)
-        values = self.table[3]
         for n, group in by_size.items():
             if n > LONGEST_REMEMBERED or len(group) < 8:
-                out.update((u, tuple(self.best(u)[0])) for u in group)
+                out.update((u, _packed(self.best(u)[0])) for u in group)
                 continue
-            m = len(group)
-            found = [self._found(h) for h in self._prints(_codes(group, n))]
-            score = np.full((m, n + 1), NEVER, np.int64)
-            back, piece = np.zeros((m, n + 1), np.int64), np.zeros((m, n + 1), np.int64)
-            score[:, 0] = 0
-            for j in range(1, n + 1):
-                for size in range(min(j, len(found)), 0, -1):
-                    at = found[size - 1][:, j - size]
-                    s = score[:, j - size] + values[at, 1]
-                    better = (at > 0) & (s > score[:, j])
-                    score[better, j], back[better, j], piece[better, j] = s[better], size, at[better]
-            rows, place, steps = np.arange(m), np.full(m, n), []
-            while (place > 0).any():
-                steps.append(np.where(place > 0, values[piece[rows, place], 0], -1))
-                place = place - np.maximum(back[rows, place], (place > 0) & (back[rows, place] == 0))
-            ids = np.stack(steps[::-1], axis=1).tolist()
-            # Characters without a piece are spelt one text at a time.
-            sure = (found[0] > 0).all(axis=1).tolist()
-            for u, row, plain in zip(group, ids, sure):
-                out[u] = tuple([i for i in row if i >= 0] if plain else self.best(u)[0])
+            rows = CELLS // n
+            for at in range(0, len(group), rows):
+                out.update(self._best_of(group[at:at + rows], n))
         return out
 
+    def _best_of(self, group: list[str], n: int) -> dict[str, bytes]:
+        """The pieces of texts of ``n`` characters each."""
+        m, values = len(group), self.table[3]
+        found = [self._found(h) for h in self._prints(_codes(group, n))]
+        score = np.full((m, n + 1), NEVER, np.int64)
+        back, piece = np.zeros((m, n + 1), np.int64), np.zeros((m, n + 1), np.int64)
+        score[:, 0] = 0
+        for j in range(1, n + 1):
+            for size in range(min(j, len(found)), 0, -1):
+                at = found[size - 1][:, j - size]
+                s = score[:, j - size] + values[at, 1]
+                better = (at > 0) & (s > score[:, j])
+                score[better, j], back[better, j], piece[better, j] = s[better], size, at[better]
+        rows, place, steps = np.arange(m), np.full(m, n), []
+        while (place > 0).any():
+            steps.append(np.where(place > 0, values[piece[rows, place], 0], -1))
+            place = place - np.maximum(back[rows, place], (place > 0) & (back[rows, place] == 0))
+        ids = np.stack(steps[::-1], axis=1).astype(np.int32)
+        # A row's ids stand at its end. Characters without a piece are spelt one text at a time.
+        data, ends = ids.tobytes(), ids.itemsize * ids.shape[1] * (rows + 1)
+        starts = ends - ids.itemsize * (ids >= 0).sum(axis=1)
+        sure = (found[0] > 0).all(axis=1)
+        return {u: data[a:b] if plain else _packed(self.best(u)[0]) for u, a, b, plain in zip(group, starts.tolist(), ends.tolist(), sure.tolist())}
+
     @cached_property
     def scores(self) -> dict[int, int]:
         return {b: self.byte_score for b in self.bytes_} | dict(self.pieces.values())
@@ -196,8 +203,13 @@ class Vocabulary:
         units, memory = [self.units.findall(t) for t in texts], self.memory
         if len(memory) > REMEMBERED:
             memory.clear()
-        memory.update(self.best_many(list(set(chain.from_iterable(units)) - memory.keys())))
-        return [np.fromiter(chain.from_iterable(map(memory.__getitem__, us)), np.int32) for us in units]
+        found = self.best_many(list(set(chain.from_iterable(units)) - memory.keys()))
+        memory.update(found)
+        out = [np.frombuffer(b"".join(map(memory.__getitem__, us)), np.int32) for us in units]
+        for u in found:
+            if len(u) > LONGEST_REMEMBERED:
+                del memory[u]
+        return out
 
     def encoded(self, text: str) -> tuple[list[int], int]:
         ids = self.encode_all([text])[0].tolist()
@@ -319,6 +331,10 @@ class Vocabulary:
         return [None if x is None else next(texts) for x in lists]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 def _codes(texts: list[str], n: int) -> np.ndarray:
     """Texts of one length as rows of code points, moved off zero."""
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n).astype(np.uint64) + np.uint64(7)
@@ -370,6 +386,25 @@ def states(entries: list[list[int]]) -> list[int]:
     return out[::-1]
 
 
+def encode_batches(words: Vocabulary, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, ids) of batches of (id, text), in smaller batches: what is held at once does not grow with the batches."""
+    for b in batches:
+        held, size = [], 0
+        for n, t in enumerate(b.column(1), 1):
+            held.append(marked(t.as_py()))
+            size += len(held[-1])
+            if size >= TOGETHER or n == b.num_rows:
+                out = words.encode_all(held)
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, out)]).astype(np.int32)), pa.array(np.concatenate(out)))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(n - len(held), len(held)), ids], names=["id", "ids"])
+                held, size = [], 0
+
+
+def _rows(batch: pa.RecordBatch, *places: int) -> Iterator[tuple]:
+    """The values of some columns, row by row."""
+    return zip(*((v.as_py() for v in batch.column(c)) for c in places))
+
+
 def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ``ids``) of every row: the pieces of its whole text.
 
@@ -390,24 +425,12 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
         raise ValueError("a chunk must be longer than the longest piece")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[np.ndarray] = []
-            held, size_held = [], 0
-            for text in (marked(t.as_py()) for t in b.column(1)):
-                held.append(text)
-                size_held += len(text)
-                if size_held >= TOGETHER:
-                    out += sent.value.encode_all(held)
-                    held, size_held = [], 0
-            out += sent.value.encode_all(held)
-            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            values = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], names=["id", "ids"])
+        yield from encode_batches(sent.value, batches)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, text in enumerate(b.column(1).to_pylist()):
-                plain = marked(text)
+            for i, text in enumerate(b.column(1)):
+                plain = marked(text.as_py())
                 starts = range(0, len(plain), chunk)
                 # A chunk sees the character before it and as much after it as a piece can reach.
                 yield pa.RecordBatch.from_arrays(
@@ -421,7 +444,7 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sent.value.transfer(t, *bounds(k, n)).astype("<i8").tobytes() for k, n, t in zip(*(b.column(c).to_pylist() for c in (1, 2, 3)))]
+            found = [sent.value.transfer(t, *bounds(k, n)).astype("<i8").tobytes() for k, n, t in _rows(b, 1, 2, 3)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], names=["row", "k", "matrix"])
 
     def look_ahead(df: pd.DataFrame) -> pd.DataFrame:
@@ -431,7 +454,7 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sent.value.entries(t, *bounds(k, n), np.frombuffer(a, "<i8")) for k, n, t, a in zip(*(b.column(c).to_pylist() for c in range(1, 5)))]
+            found = [sent.value.entries(t, *bounds(k, n), np.frombuffer(a, "<i8")) for k, n, t, a in _rows(b, 1, 2, 3, 4)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], names=["row", "k", "entries"])
 
     def join_up(df: pd.DataFrame) -> pd.DataFrame:
@@ -441,11 +464,11 @@ def encode(docs: DataFrame, words: Vocabulary, chunk: int = CHUNK, id_column: st
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for k, n, text, enter, leave in zip(*(b.column(c).to_pylist() for c in range(2, 7))):
+            for i, (k, n, text, enter, leave) in enumerate(_rows(b, 2, 3, 4, 5, 6)):
                 start, end = bounds(k, n)
-                out.append(sent.value.encoded(text[start + enter:end + leave])[0])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int32())), b.column(2)], names=["id", "row", "ids", "k"])
+                found = sent.value.encode_all([text[start + enter:end + leave]])[0]
+                ids = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), pa.array(found))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), b.column(1).slice(i, 1), ids, b.column(2).slice(i, 1)], names=["id", "row", "ids", "k"])
 
     short = source.where(F.length("text") < chunk).mapInArrow(whole, f"id {kind}, ids array<int>")
     path = new_workdir(spark, "pieces")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.rolling import Rolling, chunks, joined, mix, words
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -125,9 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, ys, out = b.column(0).to_pylist(), b.column(1).to_pylist(), []
-            for text in b.column(2).to_pylist():
-                bucket, n = np.unique(features([text.encode()], settings)[0], return_counts=True)
-                out.append((bucket.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
+            for text in b.column(2):
+                bucket, n = np.unique(features([text.as_py().encode()], settings)[0], return_counts=True)
+                out.append([zlib.compress(x.astype("<i4").tobytes(), 1) for x in (bucket, n)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, b.schema.field(0).type), pa.array(ys, pa.int32()), pa.array([o[0] for o in out], pa.binary()),
                  pa.array([o[1] for o in out], pa.binary())], names=["id", "label", "buckets", "counts"])
@@ -135,18 +136,18 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {}
         for b in batches:
-            for i, y, bucket, n in zip(*(b.column(k).to_pylist() for k in range(4))):
-                if i not in held or (bucket, n) < held[i][:2]:
-                    held[i] = bucket, n, y
-        rows = [(np.frombuffer(x, "<i4"), np.frombuffer(n, "<i4"), y) for _, (x, n, y) in sorted(held.items(), key=lambda r: str(r[0]))]
-        m = train(rows, settings)
+            for i, y, *packed in zip(*b.columns):
+                i, y, (bucket, n) = i.as_py(), y.as_py(), (np.frombuffer(zlib.decompress(x.as_py()), "<i4") for x in packed)
+                if i not in held or (bucket.tobytes(), n.tobytes()) < tuple(x.astype("<i4").tobytes() for x in held[i][:2]):
+                    held[i] = bucket, n.astype(np.min_scalar_type(n.max(initial=0))), y
+        m = train([row for _, row in sorted(held.items(), key=lambda r: str(r[0]))], settings)
         yield pa.RecordBatch.from_arrays(
             [pa.array([m.vectors.astype("<f4").tobytes()], pa.binary()), pa.array([m.output.astype("<f4").tobytes()], pa.binary()),
              pa.array([m.bias.tolist()], pa.list_(pa.float64()))], names=["vectors", "output", "bias"])
 
     kind = sample.schema["id"].dataType.simpleString()
     counted = sample.mapInArrow(count, f"id {kind}, label int, buckets binary, counts binary")
-    # The features of the sample move to the one task that descends; scan and count stay in theirs.
+    # The features of the sample move, packed, to the one task that descends; scan and count stay in theirs.
     row = counted.repartition(1).mapInArrow(descend, "vectors binary, output binary, bias array<double>").first()
     if row is None:
         return train([], settings)
