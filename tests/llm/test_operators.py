@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, registry, repeats, rolling, secret_scan, topk
-from tidemark.llm.components import components
+from tidemark.llm.components import components, files
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, spans string, id string, key string, score string"
@@ -379,6 +379,27 @@ def test_components(spark, tmp_path):
     assert got == {**{i: 0 for i in range(41)}, 99: 99, 100: 99, 200: 200, 201: 200, 202: 200}
 
 
+def test_small_tables_are_written_to_few_files(spark, monkeypatch, tmp_path):
+    plain = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    monkeypatch.setattr(jaccard, "new_workdir", lambda spark, label: str(tmp_path / label))
+    texts = [t for seed in range(4) for t in near_copies(seed)]
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(docs_of(spark, texts).repartition(8)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == linked_by_brute_force(list(enumerate(texts)))
+    written = {str(d.parent.relative_to(tmp_path)): len(list(d.parent.glob("part-*"))) for d in tmp_path.glob("**/_SUCCESS")}
+    # What is read for these is not known to be little before they are written.
+    free = {f"jaccard/{name}" for name in ("about", "heads", "grouped", "last")}
+    assert {"jaccard/checked", "jaccard/open", "jaccard/final/stars-1", "jaccard/named"} < written.keys()
+    assert {name: n for name, n in written.items() if n > 1 and name not in free} == {}
+    assert [files(n) for n in (0, 1, 1 << 16, (1 << 16) + 1)] == [1, 1, 1, 2]
+
+
 # Repeats.
 
 def kept_by_brute_force(rows, size=50):

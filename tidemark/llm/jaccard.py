@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, files, landed
 from tidemark.llm.rolling import LOWER, chunks, codes, joined, mix, words
 from tidemark.session import new_workdir
 
@@ -30,6 +30,8 @@ CHUNK_BYTES = 1 << 18
 BAND_POWER = 3.2
 SPARE = 1.2
 LARGEST = 1 << 40
+# Bytes of text, and shingles of pairs that are compared, that one file is to stand for.
+FILE_BYTES, FILE_SHINGLES = 1 << 22, 1 << 20
 # Bits, in words of 64, of the parities by which pairs are passed over: a differing token flips one bit.
 SKETCH_WORDS = 16
 # Of the cost model: the share of shingles of three words taken to be common, which falls with their length as a power,
@@ -187,24 +189,24 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
     for b in batches:
         for ids, texts in chunks(b.column(0).to_pylist(), (t.as_py() for t in b.column(1)), CHUNK_BYTES):
-            yield ids, shingle_sets(texts, k)
+            yield ids, [len(t) for t in texts], shingle_sets(texts, k)
 
 
 def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, rule.shingle):
+        for ids, sizes, sets in _sets(batches, rule.shingle):
             total = [int(s.sum(dtype=np.uint64)) for s in sets]
             mixed = [int(mix(s + np.uint64(77)).sum(dtype=np.uint64)) for s in sets]
             signed = lambda xs: np.array(xs, np.uint64).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(signed(total)), pa.array(signed(mixed))],
-                names=["id", "n", "f1", "f2"])
-    return docs.mapInArrow(run, "id bigint, n bigint, f1 bigint, f2 bigint")
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(signed(total)), pa.array(signed(mixed)),
+                 pa.array(sizes, pa.int64())], names=["id", "n", "f1", "f2", "bytes"])
+    return docs.mapInArrow(run, "id bigint, n bigint, f1 bigint, f2 bigint, bytes bigint")
 
 
 def _announced(docs: DataFrame, bands: Bands) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, bands.rule.shingle):
+        for ids, _, sets in _sets(batches, bands.rule.shingle):
             keys = [bands.announce(s) if i is not None else s[:0] for i, s in zip(ids, sets)]
             owner = np.repeat(np.array([i or 0 for i in ids], np.int64), [len(x) for x in keys])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(owner)], names=["key", "id"])
@@ -269,11 +271,14 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     metric), and hashed token parities by no more bits than a link may have differing tokens.
     """
     spark, work = docs.sparkSession, new_workdir(docs.sparkSession, "jaccard")
-    land = lambda df, name: (df.write.parquet(f"{work}/{name}"), spark.read.schema(df.schema).parquet(f"{work}/{name}"))[1]
+    land = lambda df, name, most=None: landed(df, f"{work}/{name}", most)
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
 
     about = land(_describe(source, rule), "about")
-    classes = land(about.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "classes")
+    # Tables whose rows are known to be few go to few files: each is a process or a request to where they are kept.
+    held = about.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    by_rows, by_bytes = files(held.rows), files(held.bytes, FILE_BYTES)
+    classes = land(about.where("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")), "classes", by_rows)
     bands = Bands(rule)
     edges = F.array(*[F.lit(s) for s in bands.starts])
     # One row for each band of sizes.
@@ -284,38 +289,44 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     keys = _announced(source, bands)
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").select("key", "head")
     heads = land(heads, "heads")
-    rep_of = land(about.join(classes, ["n", "f1", "f2"]).select("id", "rep", "n"), "reps")
+    rep_of = land(about.join(classes, ["n", "f1", "f2"]).select("id", "rep", "n"), "reps", by_rows)
     # A key's smallest id stands for its class as well: equal sets announce the same keys.
     single = rep_of.where("id = rep").select(F.col("id").alias("own"), "n").distinct()
     grouped = land(keys.join(heads, "key").join(single, F.col("id") == F.col("own")).select("key", "head", "id", "n"), "grouped")
-    first = land(grouped.where("head <> id").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "first")
+    by_keys = files(grouped.count())
+    first = grouped.where("head <> id").groupBy(F.col("head").alias("a"), F.col("id").alias("b")).agg((2 * F.max("n")).alias("n"))
+    first = land(first, "first", by_keys)
     needed = first.select(F.col("a").alias("id")).union(first.select("b")).distinct()
     # One plan at every size: what the ids of candidates weigh is not bounded, so they are not broadcast.
-    texts = land(_packed(source).join(needed.hint("merge"), "id", "left_semi"), "texts")
+    texts = land(_packed(source).join(needed.hint("merge"), "id", "left_semi"), "texts", by_bytes)
 
     is_link = f"{rule.whole} * shared >= {rule.part} * total"
-    checked = land(_verified(first, texts, rule), "checked")
+    # Sets that share a key differ little in size: the shingles of one tell what a pair takes.
+    checking = lambda pairs: files(pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], FILE_SHINGLES)
+    checked = land(_verified(first.select("a", "b"), texts, rule), "checked", checking(first))
     links = checked.where(is_link).select("a", "b")
-    found = components(links, f"{work}/components-0")
+    found = components(links, f"{work}/components-0", links.count())
 
     far = checked.select(F.col("a").alias("head"), F.col("b").alias("id"), (1 - F.col("shared") / F.col("total")).alias("far"))
     placed = grouped.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).join(far, ["head", "id"], "left")
-    placed = land(placed.select("key", "id", "n", "component", F.coalesce("far", F.lit(0.0)).alias("far")), "placed")
+    placed = land(placed.select("key", "id", "n", "component", F.coalesce("far", F.lit(0.0)).alias("far")), "placed", by_keys)
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     sketches = _sketches(texts, rule).select("id", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
-    open_ = land(placed.join(land(mixed, "mixed"), "key").join(sketches, "id"), "open")
+    open_ = land(placed.join(land(mixed, "mixed", by_keys), "key").join(sketches, "id"), "open", max(by_keys, by_bytes))
     other = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in open_.columns if c != "key"))
     apart = " + ".join(f"bit_count(s{i} ^ s{i}_b)" for i in range(SKETCH_WORDS))
     last = (open_.join(other, "key").where("component < component_b")
             .where(f"n * {rule.whole} >= n_b * {rule.part} AND n_b * {rule.whole} >= n * {rule.part}")
             .where(f"abs(far - far_b) <= {1 - rule.part / rule.whole} + 1e-9")
             .where(f"({apart}) * {rule.whole + rule.part} <= {rule.whole - rule.part} * (n + n_b)")
-            .select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct())
-    rest = land(_verified(land(last, "last"), texts, rule), "rest")
-    final = components(links.unionByName(rest.where(is_link).select("a", "b")), f"{work}/final")
+            .groupBy(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).agg(F.max(F.col("n") + F.col("n_b")).alias("n")))
+    last = land(last, "last")
+    rest = land(_verified(last.select("a", "b"), texts, rule), "rest", checking(last))
+    links = links.unionByName(rest.where(is_link).select("a", "b"))
+    final = components(links, f"{work}/final", links.count())
 
     named = land(classes.join(final, classes["rep"] == final["id"], "left")
-                 .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id")), "named")
+                 .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id")), "named", by_rows)
     # Rows of one id with several sets carry the smallest component of them.
     result = about.join(named, ["n", "f1", "f2"], "left")
     return result.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
