@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, registry, repeats, rolling, secret_scan, topk
 from tidemark.llm.components import components, files
+from tidemark.session import FREE_SHUFFLES, shuffles_freed
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, spans string, id string, key string, score string"
@@ -400,6 +401,81 @@ def test_small_tables_are_written_to_few_files(spark, monkeypatch, tmp_path):
     assert [files(n) for n in (0, 1, 1 << 16, (1 << 16) + 1)] == [1, 1, 1, 2]
 
 
+def unlike_with_a_common_half(n=6, size=6000):
+    rng = np.random.default_rng(8)
+    common = [f"w{x}" for x in rng.integers(0, 10**6, size // 2)]
+    return [" ".join([*common, *(f"v{x}" for x in rng.integers(0, 10**6, size // 2))]) for _ in range(n)]
+
+
+def test_no_text_travels_for_large_unlike_sets(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jaccard, "new_workdir", lambda spark, label: str(tmp_path / label))
+    rule, unlike = jaccard.Rule(shingle=5, part=80, whole=100), unlike_with_a_common_half()
+    texts = [*unlike, *(" ".join(t.split()[:-300]) for t in unlike[3:])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(docs_of(spark, texts), rule).collect()}
+    assert got == linked_by_brute_force(list(enumerate(texts)), 5, 80) and [got[i][1] for i in range(9)] == [0, 1, 2, 3, 4, 5, 3, 4, 5]
+    rest = spark.read.parquet(str(tmp_path / "jaccard/rest")).collect()
+    assert all(100 * r.shared >= 80 * r.total for r in rest), len(rest)
+    left = {d.name for d in (tmp_path / "jaccard").iterdir()}
+    assert "about" in left and not left & {"heads", "grouped", "texts", "placed", "sketches", "last"}
+
+
+def test_parities_follow_the_size_of_a_set():
+    rng = np.random.default_rng(9)
+    for rule in (jaccard.Rule(), jaccard.Rule(shingle=5, part=80, whole=100)):
+        for n in (0, 1, 300, 2000, 2100, 5000, 9000, 40000):
+            x, other = rng.integers(0, 2**63, (2, n), dtype=np.uint64)
+            lost = rule.differences(n, n) // 2
+            y = np.concatenate([x[lost:], rng.integers(0, 2**63, lost, dtype=np.uint64)])
+            p, q, r = (jaccard._sketch(s, rule) for s in (x, y, other))
+            assert len(p) == len(q) and not len(p) % jaccard.SKETCH_WORDS
+            bits = lambda a, b: int(np.bitwise_count(a ^ b).sum())
+            for size in (len(p), jaccard.SKETCH_WORDS):
+                assert bits(jaccard._folded(p, size), jaccard._folded(q, size)) <= 2 * lost
+            assert n < 300 or bits(p, r) > rule.differences(n, n)
+    assert len(jaccard._sketch(np.arange(1, 10**6, dtype=np.uint64), jaccard.Rule(shingle=5, part=50, whole=100))) == jaccard.MOST_WORDS
+
+
+def test_pairs_are_told_apart_by_any_of_their_sets(spark):
+    rule, unlike = jaccard.Rule(shingle=5, part=80, whole=100), unlike_with_a_common_half(3)
+    near = " ".join(unlike[0].split()[:-300])
+    # Id 4 is two documents, the second of them small.
+    rows = [(0, unlike[0]), (1, unlike[1]), (2, near), (3, "a b c d e f"), (4, unlike[2]), (4, "a b c d e f g")]
+    packed = jaccard._packed(spark.createDataFrame(rows, "id long, text string"))
+    pairs = spark.createDataFrame([(0, 1, 12000), (0, 2, 12000), (1, 2, 12000), (1, 4, 12000), (3, 4, 5), (0, 3, 6000)], "a long, b long, n long")
+    got = sorted((r.a, r.b) for r in jaccard._told(pairs, jaccard._sketches(packed, rule), rule).collect())
+    assert got == [(0, 2), (0, 3), (1, 4), (3, 4)]
+
+
+def shuffle_files(spark):
+    files_ = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.rpartition("/")[2] for f in files_.mkString("\n").split("\n") if f.rpartition("/")[2].startswith("shuffle_")}
+
+
+def test_steps_of_the_join_leave_no_shuffled_rows(spark):
+    docs = docs_of(spark, near_copies(4)).repartition(4)
+    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, None)
+    frame = jaccard.linked(docs)
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert sorted(frame.collect()) == sorted(frame.collect())
+
+
+def test_shuffles_are_freed_within_the_block_alone(spark):
+    with pytest.raises(ValueError), shuffles_freed(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        raise ValueError
+    spark.conf.set(FREE_SHUFFLES, "false")
+    try:
+        with shuffles_freed(spark):
+            assert spark.conf.get(FREE_SHUFFLES) == "true"
+        assert spark.conf.get(FREE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)
+
+
 # Repeats.
 
 def kept_by_brute_force(rows, size=50):

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, files, landed
 from tidemark.llm.rolling import LOWER, chunks, codes, joined, mix, words
-from tidemark.session import new_workdir
+from tidemark.session import new_workdir, shuffles_freed
+from tidemark.sources.storage import SharedFiles
 
 CHUNK_BYTES = 1 << 18
 # Sizes of a band grow by this power of the ratio of sizes that can link, so that a set meets the band below its own about
@@ -32,8 +33,9 @@ SPARE = 1.2
 LARGEST = 1 << 40
 # Bytes of text, and shingles of pairs that are compared, that one file is to stand for.
 FILE_BYTES, FILE_SHINGLES = 1 << 22, 1 << 20
-# Bits, in words of 64, of the parities by which pairs are passed over: a differing token flips one bit.
-SKETCH_WORDS = 16
+# Bits, in words of 64, of the parities by which pairs are passed over: a differing token flips one bit. Parities of unlike sets
+# differ in half of their bits at most, so large sets have more of them, up to a bound; the first number is compared where pairs form.
+SKETCH_WORDS, MOST_WORDS = 16, 1 << 12
 # Of the cost model: the share of shingles of three words taken to be common, which falls with their length as a power,
 # and the cost of a false candidate in announced rows.
 COMMON, FALSE_COST = 0.02, 20
@@ -213,9 +215,18 @@ def _announced(docs: DataFrame, bands: Bands) -> DataFrame:
     return docs.mapInArrow(run, "key bigint, id bigint")
 
 
-def _sketch(tokens: np.ndarray) -> list[int]:
-    bits = np.bincount((mix(tokens + np.uint64(99)) >> np.uint64(32)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
+def _sketch(tokens: np.ndarray, rule: Rule) -> np.ndarray:
+    """Parities of a set, in words: enough that linked sets of its size differ in four of nine bits at most."""
+    n = SKETCH_WORDS
+    while 64 * n < rule.differences(len(tokens), len(tokens)) * 9 // 4 and n < MOST_WORDS:
+        n *= 2
+    bits = np.bincount((mix(tokens + np.uint64(99)) >> np.uint64(32)).astype(np.int64) % (64 * n), minlength=64 * n) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+
+
+def _folded(sketch: np.ndarray, n: int) -> np.ndarray:
+    """The same set's sketch of ``n`` words: sizes are powers of two times one number."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, n), axis=0)
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -228,12 +239,37 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _sketches(packed: DataFrame, rule: Rule) -> DataFrame:
+    """(id, sketch, wide): the parities in ``SKETCH_WORDS`` words, and in all that the set has if these are more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, texts in chunks(b.column(0).to_pylist(), (zlib.decompress(t.as_py()) for t in b.column(1)), CHUNK_BYTES):
-                found = [_sketch(s) for s in shingle_sets(texts, rule.shingle)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketch"])
-    return packed.mapInArrow(run, "id bigint, sketch array<bigint>")
+                found = [_sketch(s, rule) for s in shingle_sets(texts, rule.shingle)]
+                wide = [x.tobytes() if len(x) > SKETCH_WORDS else None for x in found]
+                found = [_folded(x, SKETCH_WORDS).view(np.int64).tolist() for x in found]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(wide, pa.binary())],
+                                                 names=["id", "sketch", "wide"])
+    return packed.mapInArrow(run, "id bigint, sketch array<bigint>, wide binary")
+
+
+def _told(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b, n), n being the sum of sizes, but for those whose wide parities differ in more bits than a link allows."""
+    left = sketches.select(F.col("id").alias("a"), F.col("wide").alias("left"))
+    right = sketches.select(F.col("id").alias("b"), F.col("wide").alias("right"))
+
+    def near(n: int, x: bytes | None, y: bytes | None) -> bool:
+        if x is None or y is None:
+            return True
+        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        size = min(len(p), len(q))
+        return int(np.bitwise_count(_folded(p, size) ^ _folded(q, size)).sum()) <= rule.differences(n, 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [near(n.as_py(), x.as_py(), y.as_py()) for n, x, y in zip(b.column(2), b.column(3), b.column(4))]
+            yield b.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "left", "right")
+    # An id that is repeated may have several sets: a pair stays if any two of theirs may link.
+    return both.mapInArrow(run, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
 def _verified(pairs: DataFrame, packed: DataFrame, rule: Rule) -> DataFrame:
@@ -258,22 +294,14 @@ def _verified(pairs: DataFrame, packed: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint, shared bigint, total bigint")
 
 
-def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, ``n_shingles``, ``component_id``) of every row: the size of its set, and the smallest id it reaches by links.
-
-    Words are runs without ASCII white space, A to Z lower-cased. A null or empty text has the empty set and links
-    with nothing, and so does a row without an id (its component is null). Rows that repeat an id are one document
-    with several sets. Equal sets are joined first; an empty table returns none. Only the id and text columns are read.
+def _classes(source: DataFrame, rule: Rule, work: str) -> tuple[DataFrame, DataFrame]:
+    """About every row, and the component of every class of equal sets (n, f1, f2); both are written to the folder ``work``.
 
-    No group is expanded into its pairs: every key's sets are checked against the smallest id among them. Only where
-    they then still lie in different components are pairs formed, between components alone, and only those that two
-    bounds leave: the distances from the common set may differ by no more than a link allows (the Jaccard distance is a
-    metric), and hashed token parities by no more bits than a link may have differing tokens.
+    Of the tables written on the way, those that follow the size of the input are removed after their last use.
     """
-    spark, work = docs.sparkSession, new_workdir(docs.sparkSession, "jaccard")
+    shared = SharedFiles(source.sparkSession, work)
     land = lambda df, name, most=None: landed(df, f"{work}/{name}", most)
-    source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
-
+    drop = lambda *names: [shared.remove(f"{work}/{name}") for name in names]
     about = land(_describe(source, rule), "about")
     # Tables whose rows are known to be few go to few files: each is a process or a request to where they are kept.
     held = about.agg(F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
@@ -293,6 +321,7 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     # A key's smallest id stands for its class as well: equal sets announce the same keys.
     single = rep_of.where("id = rep").select(F.col("id").alias("own"), "n").distinct()
     grouped = land(keys.join(heads, "key").join(single, F.col("id") == F.col("own")).select("key", "head", "id", "n"), "grouped")
+    drop("heads", "reps")
     by_keys = files(grouped.count())
     first = grouped.where("head <> id").groupBy(F.col("head").alias("a"), F.col("id").alias("b")).agg((2 * F.max("n")).alias("n"))
     first = land(first, "first", by_keys)
@@ -310,9 +339,12 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     far = checked.select(F.col("a").alias("head"), F.col("b").alias("id"), (1 - F.col("shared") / F.col("total")).alias("far"))
     placed = grouped.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).join(far, ["head", "id"], "left")
     placed = land(placed.select("key", "id", "n", "component", F.coalesce("far", F.lit(0.0)).alias("far")), "placed", by_keys)
+    drop("grouped", "first")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    sketches = _sketches(texts, rule).select("id", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
-    open_ = land(placed.join(land(mixed, "mixed", by_keys), "key").join(sketches, "id"), "open", max(by_keys, by_bytes))
+    sketches = land(_sketches(texts, rule), "sketches", by_bytes)
+    first_words = sketches.select("id", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH_WORDS)))
+    open_ = land(placed.join(land(mixed, "mixed", by_keys), "key").join(first_words, "id"), "open", max(by_keys, by_bytes))
+    drop("placed", "mixed")
     other = open_.select("key", *(F.col(c).alias(f"{c}_b") for c in open_.columns if c != "key"))
     apart = " + ".join(f"bit_count(s{i} ^ s{i}_b)" for i in range(SKETCH_WORDS))
     last = (open_.join(other, "key").where("component < component_b")
@@ -321,12 +353,35 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
             .where(f"({apart}) * {rule.whole + rule.part} <= {rule.whole - rule.part} * (n + n_b)")
             .groupBy(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).agg(F.max(F.col("n") + F.col("n_b")).alias("n")))
     last = land(last, "last")
-    rest = land(_verified(last.select("a", "b"), texts, rule), "rest", checking(last))
+    # A pair's texts travel with it, and of unlike large sets there may be as many pairs as the square of their number.
+    told = land(_told(last, sketches, rule), "told", files(last.count()))
+    rest = land(_verified(told.select("a", "b"), texts, rule), "rest", checking(told))
+    drop("texts", "sketches", "last", "told")
     links = links.unionByName(rest.where(is_link).select("a", "b"))
     final = components(links, f"{work}/final", links.count())
 
     named = land(classes.join(final, classes["rep"] == final["id"], "left")
                  .select("n", "f1", "f2", F.coalesce("component", "rep").alias("component_id")), "named", by_rows)
+    return about, named
+
+
+def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, ``n_shingles``, ``component_id``) of every row: the size of its set, and the smallest id it reaches by links.
+
+    Words are runs without ASCII white space, A to Z lower-cased. A null or empty text has the empty set and links
+    with nothing, and so does a row without an id (its component is null). Rows that repeat an id are one document
+    with several sets. Equal sets are joined first; an empty table returns none. Only the id and text columns are read.
+
+    No group is expanded into its pairs: every key's sets are checked against the smallest id among them. Only where
+    they then still lie in different components are pairs formed, between components alone, and only those that two
+    bounds leave: the distances from the common set may differ by no more than a link allows (the Jaccard distance is a
+    metric), and hashed token parities by no more bits than a link may have differing tokens. Pairs of large sets, of which a
+    fixed number of bits tells little, are then held to parities that grow with the set, before any text travels for them.
+    """
+    spark, work = docs.sparkSession, new_workdir(docs.sparkSession, "jaccard")
+    source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
+    with shuffles_freed(spark):
+        about, named = _classes(source, rule, work)
     # Rows of one id with several sets carry the smallest component of them.
     result = about.join(named, ["n", "f1", "f2"], "left")
     return result.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
