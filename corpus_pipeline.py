@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, mixing, pieces, quality, secret_scan
 from tidemark.llm.registry import MIXTURE, PIECES_MODEL, send_package
-from tidemark.session import new_workdir, shuffles_freed
+from tidemark.session import FREE_SHUFFLES, new_workdir, settings
 
 REJECTED_BELOW = 0.7
 MASK = "[SECRET]"
@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     send_package(spark)
     # Written, so that its size is known: where no id is repeated, it is broadcast and no row travels for it.
     path = new_workdir(spark, "repeated")
-    with shuffles_freed(spark):
+    with settings(spark, FREE_SHUFFLES):
         docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id").write.parquet(path)
     repeated = spark.read.schema(docs.select("doc_id").schema).parquet(path)
     least = F.min(F.struct(F.col("text").isNull().alias("empty"), F.struct(*docs.columns).alias("row"))).alias("least")
@@ -118,7 +118,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         result = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return result
-        with shuffles_freed(spark):
+        with settings(spark, FREE_SHUFFLES):
             result.write.parquet(f"{work}/{k}-{name}")
         docs = spark.read.schema(result.schema).parquet(f"{work}/{k}-{name}")
     return docs

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm import ann, jaccard, licences, mixing, pieces, pii, quality, registry, repeats, rolling, secret_scan, topk
 from tidemark.llm.components import components, files
-from tidemark.session import FREE_SHUFFLES, shuffles_freed
+from tidemark.session import settings
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, spans string, id string, key string, score string"
@@ -453,27 +453,29 @@ def shuffle_files(spark):
 
 def test_steps_of_the_join_leave_no_shuffled_rows(spark):
     docs = docs_of(spark, near_copies(4)).repartition(4)
-    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, None)
+    before, were = shuffle_files(spark), {k: spark.conf.get(k, None) for k in jaccard.WHILE_LINKING}
     frame = jaccard.linked(docs)
     end = time.time() + 20
     while (left := shuffle_files(spark) - before) and time.time() < end:
         time.sleep(0.2)
     assert not left
-    assert spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert {k: spark.conf.get(k, None) for k in jaccard.WHILE_LINKING} == were
     assert sorted(frame.collect()) == sorted(frame.collect())
 
 
-def test_shuffles_are_freed_within_the_block_alone(spark):
-    with pytest.raises(ValueError), shuffles_freed(spark):
-        assert spark.conf.get(FREE_SHUFFLES) == "true"
-        raise ValueError
-    spark.conf.set(FREE_SHUFFLES, "false")
+def test_settings_hold_within_the_block_alone(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
     try:
-        with shuffles_freed(spark):
-            assert spark.conf.get(FREE_SHUFFLES) == "true"
-        assert spark.conf.get(FREE_SHUFFLES) == "false"
+        for own in (None, "77"):
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            was = spark.conf.get(key)
+            with pytest.raises(ValueError), settings(spark, {key: "5"}):
+                assert spark.conf.get(key) == "5"
+                raise ValueError
+            assert spark.conf.get(key) == was == (own or was)
     finally:
-        spark.conf.unset(FREE_SHUFFLES)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 # Repeats.

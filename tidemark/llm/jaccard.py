@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, files, landed
 from tidemark.llm.rolling import LOWER, chunks, codes, joined, mix, words
-from tidemark.session import new_workdir, shuffles_freed
+from tidemark.session import FREE_SHUFFLES, new_workdir, settings
 from tidemark.sources.storage import SharedFiles
 
 CHUNK_BYTES = 1 << 18
@@ -36,6 +36,8 @@ FILE_BYTES, FILE_SHINGLES = 1 << 22, 1 << 20
 # Bits, in words of 64, of the parities by which pairs are passed over: a differing token flips one bit. Parities of unlike sets
 # differ in half of their bits at most, so large sets have more of them, up to a bound; the first number is compared where pairs form.
 SKETCH_WORDS, MOST_WORDS = 16, 1 << 12
+# Rows go to a Python worker in small batches, as both sides hold them.
+WHILE_LINKING = FREE_SHUFFLES | {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 # Of the cost model: the share of shingles of three words taken to be common, which falls with their length as a power,
 # and the cost of a false candidate in announced rows.
 COMMON, FALSE_COST = 0.02, 20
@@ -380,7 +382,7 @@ def linked(docs: DataFrame, rule: Rule = Rule(), id_column: str = "doc_id", text
     """
     spark, work = docs.sparkSession, new_workdir(docs.sparkSession, "jaccard")
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).cast("string").alias("text"))
-    with shuffles_freed(spark):
+    with settings(spark, WHILE_LINKING):
         about, named = _classes(source, rule, work)
     # Rows of one id with several sets carry the smallest component of them.
     result = about.join(named, ["n", "f1", "f2"], "left")

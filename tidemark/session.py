@@ -66,19 +66,22 @@ def new_workdir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# What a query has shuffled is removed as it ends, and not when the driver happens to collect its garbage. For steps that are
+# written and read again: frames made under this setting should run once.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """While the block runs, what a query has shuffled is removed as it ends, and not when the driver happens to collect its
-    garbage. For steps that are written and read again: frames made in the block should run once."""
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
+def settings(spark: SparkSession, changed: dict[str, str]) -> Iterator[None]:
+    """Session settings for as long as the block runs."""
+    before = {k: spark.conf.get(k, None) for k in changed}
     try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(FREE_SHUFFLES)
-        else:
-            spark.conf.set(FREE_SHUFFLES, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
